@@ -26,16 +26,61 @@ def hex_prefix_int(hex_col: Column, digits: int) -> Column:
     return F.conv(F.substring(hex_col, 1, digits), 16, 10).cast("bigint")
 
 
-def dropout_keep(id_col, i, keep_prob: float, seed: int, step: int | Column) -> Column:
-    """Keep flag of feature ``i`` of row ``id``: first 8 hex digits of
-    ``md5('<seed>:<step>:<id>:<i>')`` below ``keep_prob · 2^32`` (I10)."""
+# Fixed values of the mask hash: the 32-bit integer mixer
+# x -> ((x >> 16) ^ x) * 0x45d9f3b mod 2^32, twice, then (x >> 16) ^ x.
+MIX_MUL = 0x45D9F3B
+MASK32 = 0xFFFFFFFF
+
+
+def mix32(x: Column) -> Column:
+    """32-bit integer mixing hash on a non-negative bigint below 2^32 (products stay < 2^59)."""
+    for _ in range(2):
+        x = (F.shiftright(x, 16).bitwiseXOR(x) * F.lit(MIX_MUL)).bitwiseAND(F.lit(MASK32))
+    return F.shiftright(x, 16).bitwiseXOR(x)
+
+
+def row_hash(id_col, seed: int, step: int | Column) -> Column:
+    """Per-row part of the mask hash: mixes seed, step and the 64-bit id."""
     step_c = step if isinstance(step, Column) else F.lit(step)
-    h = F.md5(F.concat_ws(":", F.lit(str(seed)), step_c.cast("string"),
-                          _col(id_col).cast("string"), _col(i).cast("string")))
-    return hex_prefix_int(h, 8) < F.lit(int(keep_prob * TWO_32))
+    ident = _col(id_col).cast("bigint")
+    h = mix32(F.pmod(F.lit(seed).cast("bigint") * F.lit(65537) + step_c.cast("bigint"), F.lit(1 << 32)))
+    h = mix32(h.bitwiseXOR(ident.bitwiseAND(F.lit(MASK32))))
+    return mix32(h.bitwiseXOR(F.shiftright(ident, 32).bitwiseAND(F.lit(MASK32))))
+
+
+def dropout_keep(id_col, i, keep_prob: float, seed: int, step: int | Column) -> Column:
+    """Keep flag of feature ``i`` of row ``id``: ``mix32(row_hash ^ i) < keep_prob · 2^32``."""
+    h = mix32(row_hash(id_col, seed, step).bitwiseXOR(_col(i).cast("bigint")))
+    return h < F.lit(int(keep_prob * TWO_32))
 
 
 def dropout_mask(id_col, width: int, keep_prob: float, seed: int, step: int | Column) -> Column:
     """``array<boolean>`` of keep flags for features ``0 .. width-1``."""
+    rh = row_hash(id_col, seed, step)
     return F.transform(F.sequence(F.lit(0), F.lit(width - 1)),
-                       lambda i: dropout_keep(id_col, i, keep_prob, seed, step))
+                       lambda i: mix32(rh.bitwiseXOR(i.cast("bigint"))) < F.lit(int(keep_prob * TWO_32)))
+
+
+# ---- the same hash in numpy (used inside training tasks) -----------------------------
+
+def mix32_np(x):
+    import numpy as np
+
+    x = np.asarray(x, dtype=np.uint64)
+    m, mask = np.uint64(MIX_MUL), np.uint64(MASK32)
+    for _ in range(2):
+        x = (((x >> np.uint64(16)) ^ x) * m) & mask
+    return (x >> np.uint64(16)) ^ x
+
+
+def dropout_mask_np(ids, width: int, keep_prob: float, seed: int, step: int):
+    """Boolean keep mask (rows × width) equal to :func:`dropout_mask` row by row."""
+    import numpy as np
+
+    ident = np.asarray(ids, dtype=np.int64).astype(np.uint64)
+    base = np.uint64((seed * 65537 + step) % (1 << 32))
+    h = mix32_np(np.full(len(ident), base, dtype=np.uint64))
+    h = mix32_np(h ^ (ident & np.uint64(MASK32)))
+    h = mix32_np(h ^ ((ident >> np.uint64(32)) & np.uint64(MASK32)))
+    full = mix32_np(h[:, None] ^ np.arange(width, dtype=np.uint64)[None, :])
+    return full < np.uint64(int(keep_prob * TWO_32))

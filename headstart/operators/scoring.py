@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from ..model import Model, forward
+from ..session import ship_package
 from .arrowbatch import list_matrix, matrix_list
 
 # Upper bound for a broadcast model; the model's size is known before it is shipped.
@@ -27,13 +28,18 @@ DEFAULT_BATCH_ROWS = 1024
 BatchFn = Callable[[np.ndarray], np.ndarray]
 
 
-def broadcast_model(spark: SparkSession, model: Model):
-    """Broadcast a model after checking its size against ``headstart.model.maxBroadcastBytes``."""
+def check_model_size(spark: SparkSession, size: int) -> None:
+    """Refuse to ship a model above ``headstart.model.maxBroadcastBytes`` (default 4 GiB)."""
     limit = int(spark.conf.get(MAX_MODEL_BYTES_CONF, str(DEFAULT_MAX_MODEL_BYTES)))
-    size = model.nbytes()
     if size > limit:
         raise ValueError(f"model has {size} bytes, above the broadcast limit {limit} "
                          f"({MAX_MODEL_BYTES_CONF})")
+
+
+def broadcast_model(spark: SparkSession, model: Model):
+    """Broadcast a model after checking its size; its size is known before shipping."""
+    check_model_size(spark, model.nbytes())
+    ship_package(spark)
     return spark.sparkContext.broadcast(model)
 
 
@@ -59,6 +65,7 @@ def featurize(df: DataFrame, scorer_factory: Callable[[], BatchFn], *, input_col
     where a user plugs in a pre-trained network (e.g. an ONNX session). ``keep`` columns
     ride along unchanged (default: all but the input); one output row per input row.
     """
+    ship_package(df.sparkSession)
     keep = [c for c in df.columns if c != input_col] if keep is None else list(keep)
     src = df.select(*keep, input_col)
     value_t = T.FloatType() if output_float else T.DoubleType()

@@ -10,6 +10,11 @@ from __future__ import annotations
 R = 6
 
 
+def rnd(x: str) -> str:
+    """Round to 6 places; ``+ 0.0`` turns -0.0 into 0.0 (as on the Spark side)."""
+    return f"(round({x}, {R}) + 0.0)"
+
+
 def _weights(n_in: int, n_out: int) -> str:
     return (f"SELECT range // {n_out} AS i, range % {n_out} AS j, "
             f"CAST(((31 * (range // {n_out}) + 17 * (range % {n_out})) % 13) - 6 AS DOUBLE) / 20.0 AS w "
@@ -53,7 +58,7 @@ CLASSES = (f"WITH c AS ({CONF}), s AS ("
 
 
 def _exploded(zsql: str, value: str) -> str:
-    return f"SELECT vec_id, CAST(j AS INTEGER) AS j, round({value}, {R}) AS value FROM ({zsql})"
+    return f"SELECT vec_id, CAST(j AS INTEGER) AS j, {rnd(value)} AS value FROM ({zsql})"
 
 
 def _path_sql() -> str:
@@ -79,18 +84,18 @@ POS = ("SELECT vec_id, label, row_number() OVER (ORDER BY md5('42:' || CAST(vec_
 
 ORACLES: dict[str, str] = {
     "scan_features": "SELECT vec_id, label, CAST(len(embedding) AS INTEGER) AS dim FROM embeddings",
-    "predict": f"SELECT vec_id, label, pred, round(prob, {R}) AS prob, round(nll, {R}) AS nll FROM ({PRED})",
+    "predict": f"SELECT vec_id, label, pred, {rnd('prob')} AS prob, {rnd('nll')} AS nll FROM ({PRED})",
     "confusion_matrix": f"SELECT label, pred, n FROM ({CONF})",
-    "accuracy": (f"SELECT round(sum(CASE WHEN label = pred THEN n ELSE 0 END) / sum(n), {R}) AS accuracy "
+    "accuracy": (f"SELECT {rnd('sum(CASE WHEN label = pred THEN n ELSE 0 END) / sum(n)')} AS accuracy "
                  f"FROM ({CONF})"),
-    "per_class_stats": (f"SELECT cls, tp, predicted, actual, round(precision, {R}) AS precision, "
-                        f"round(recall, {R}) AS recall FROM ({CLASSES})"),
-    "macro_precision_recall": (f"SELECT round(avg(precision), {R}) AS precision, "
-                               f"round(avg(recall), {R}) AS recall FROM ({CLASSES})"),
-    "mean_nll": f"SELECT round(avg(nll), {R}) AS loss FROM ({PRED})",
-    "evaluate": (f"SELECT CAST(sum(actual) AS BIGINT) AS n, round(sum(tp) / sum(actual), {R}) AS accuracy, "
-                 f"round(avg(precision), {R}) AS precision, round(avg(recall), {R}) AS recall, "
-                 f"round(sum(nll_sum) / sum(actual), {R}) AS loss FROM ({CLASSES})"),
+    "per_class_stats": (f"SELECT cls, tp, predicted, actual, {rnd('precision')} AS precision, "
+                        f"{rnd('recall')} AS recall FROM ({CLASSES})"),
+    "macro_precision_recall": (f"SELECT {rnd('avg(precision)')} AS precision, "
+                               f"{rnd('avg(recall)')} AS recall FROM ({CLASSES})"),
+    "mean_nll": f"SELECT {rnd('avg(nll)')} AS loss FROM ({PRED})",
+    "evaluate": (f"SELECT CAST(sum(actual) AS BIGINT) AS n, {rnd('sum(tp) / sum(actual)')} AS accuracy, "
+                 f"{rnd('avg(precision)')} AS precision, {rnd('avg(recall)')} AS recall, "
+                 f"{rnd('sum(nll_sum) / sum(actual)')} AS loss FROM ({CLASSES})"),
     "dense_layer": _exploded(_dense(X, 64, 16), "z"),
     "relu_layer": _exploded(_dense(X, 64, 16), "greatest(z, 0.0)"),
     "softmax_probs": _exploded(P1, "p"),
@@ -98,8 +103,9 @@ ORACLES: dict[str, str] = {
     "onehot_encode": ("SELECT vec_id, CAST(10 AS INTEGER) AS n, label AS hot, CAST(1.0 AS DOUBLE) AS total "
                       "FROM embeddings"),
     "onehot_decode": "SELECT vec_id, label FROM embeddings",
-    "ml_bridge": (f"SELECT vec_id, CAST(label AS DOUBLE) AS label, round(list_sum(list_transform(embedding, "
-                  f"lambda x: CAST(x AS DOUBLE) * CAST(x AS DOUBLE))), {R}) AS sq_norm FROM embeddings"),
+    "ml_bridge": (f"SELECT vec_id, CAST(label AS DOUBLE) AS label, "
+                  f"{rnd('list_sum(list_transform(embedding, lambda x: CAST(x AS DOUBLE) * CAST(x AS DOUBLE)))')} "
+                  f"AS sq_norm FROM embeddings"),
     "label_from_path": (f"SELECT vec_id, path, CAST(regexp_extract(path, '{PATH_RE}', 1) AS INTEGER) - 1 "
                         f"AS label FROM ({_path_sql()})"),
     "label_from_path_reject": (
@@ -115,9 +121,85 @@ ORACLES: dict[str, str] = {
     "minibatch_assign": (f"SELECT vec_id, CAST(pos // 160 AS INTEGER) AS round, "
                          f"CAST((pos % 160) // 40 AS INTEGER) AS worker, "
                          f"CAST((pos % 40) // 8 AS INTEGER) AS batch FROM ({POS})"),
-    "dropout_mask": (
-        "SELECT vec_id, CAST(i AS INTEGER) AS i, "
-        "CAST('0x' || substr(md5('42:0:' || CAST(vec_id AS VARCHAR) || ':' || CAST(i AS VARCHAR)), 1, 8) "
-        "AS BIGINT) < CAST(0.9 * 4294967296 AS BIGINT) AS kept "
-        "FROM (SELECT vec_id, unnest(range(len(embedding))) AS i FROM embeddings)"),
+    "dropout_mask": None,  # filled below
 }
+
+
+# ---- training, models, moments, schedule, staged featurization, sinks, sources ----------
+
+_XW = ("SELECT e.vec_id, e.label, p.pos // 25 AS worker, CAST(unnest(e.embedding) AS DOUBLE) AS v, "
+       f"unnest(range(len(e.embedding))) AS i FROM embeddings e JOIN ({POS}) p ON p.vec_id = e.vec_id")
+_GW = ("SELECT worker, i, j, avg(v * (0.1 - CASE WHEN label = j THEN 1 ELSE 0 END)) AS g FROM "
+       f"(SELECT worker, i, v, label, unnest(range(10)) AS j FROM ({_XW})) GROUP BY worker, i, j")
+_BW = ("SELECT worker, j, avg(0.1 - CASE WHEN label = j THEN 1 ELSE 0 END) AS g FROM "
+       f"(SELECT p.pos // 25 AS worker, e.label, unnest(range(10)) AS j FROM embeddings e "
+       f"JOIN ({POS}) p ON p.vec_id = e.vec_id) GROUP BY worker, j")
+# one averaging round from zero weights, rate 1: w = -mean over workers of the worker gradient
+ZERO_ROUND = (f"SELECT 'W' AS param, i, j, -avg(g) AS v FROM ({_GW}) GROUP BY i, j "
+              f"UNION ALL SELECT 'b' AS param, 0 AS i, j, -avg(g) AS v FROM ({_BW}) GROUP BY j")
+
+_MOM = "SELECT i, avg(v) AS mean, var_pop(v) AS var FROM ({X}) GROUP BY i".replace("{X}", X)
+
+_H = f"SELECT vec_id, label, j AS i, greatest(z, 0.0) AS v FROM ({_dense(X, 64, 16)})"
+P2 = _softmax(_dense(_H, 16, 10))  # two-stage chain probabilities
+
+SPLIT = "CASE WHEN pos < 50 THEN 'valid' WHEN pos < 110 THEN 'test' ELSE 'train' END"
+
+_SCHED = ("SELECT CAST(split_part(pair, ',', 1) AS INTEGER) AS iteration, "
+          "max_by(CAST(split_part(pair, ',', 2) AS DOUBLE), ord) AS rate FROM ("
+          "SELECT unnest(string_split(t, '|')) AS pair, unnest(range(len(string_split(t, '|')))) AS ord "
+          "FROM (SELECT '0,0.1|3,0.01|3,0.05|7,0.001' AS t)) GROUP BY 1")
+
+_PX = ("SELECT vec_id, label, k, CAST(least(greatest(floor((x + 0.5) * 256), 0), 255) AS BIGINT) AS p FROM "
+       "(SELECT vec_id, label, CAST(unnest(embedding) AS DOUBLE) AS x, unnest(range(len(embedding))) AS k "
+       "FROM embeddings)")
+
+ORACLES.update({
+    "param_average": (f"SELECT param, CAST(i AS INTEGER) AS i, CAST(j AS INTEGER) AS j, {rnd('v')} AS value "
+                      f"FROM ({ZERO_ROUND})"),
+    "model_roundtrip": (f"SELECT param, CAST(i AS INTEGER) AS row, CAST(count(*) AS INTEGER) AS n, "
+                        f"{rnd('sum(v)')} AS s FROM ({ZERO_ROUND}) GROUP BY param, i"),
+    "l2_penalty": f"SELECT {rnd('0.5 * 0.05 * sum(v * v)')} AS penalty FROM ({ZERO_ROUND}) WHERE param = 'W'",
+    "lr_schedule_asof": (f"SELECT r.vec_id, r.iteration, coalesce(s.rate, 0.001) AS rate FROM "
+                         f"(SELECT vec_id, CAST(pos // 8 AS INTEGER) AS iteration FROM ({POS})) r "
+                         f"ASOF LEFT JOIN ({_SCHED}) s ON r.iteration >= s.iteration"),
+    "feature_moments": (f"SELECT CAST(i AS INTEGER) AS i, {rnd('mean')} AS mean, {rnd('var')} AS var "
+                        f"FROM ({_MOM})"),
+    "batchnorm_apply": (f"SELECT x.vec_id, CAST(x.i AS INTEGER) AS j, "
+                        f"{rnd('(x.v - m.mean) / sqrt(m.var + 1e-5)')} AS value "
+                        f"FROM ({X}) x JOIN ({_MOM}) m ON m.i = x.i"),
+    "featurize_stage2": _exploded(P2, "p"),
+    "feature_table_roundtrip": (
+        f"SELECT e.vec_id, e.label, {SPLIT} AS split, "
+        f"{rnd('list_sum(list_transform(e.embedding, lambda x: CAST(x AS DOUBLE)))')} AS s "
+        f"FROM embeddings e JOIN ({POS}) p ON p.vec_id = e.vec_id"),
+    "scan_splits": f"SELECT e.vec_id, e.label, {SPLIT} AS split FROM embeddings e JOIN ({POS}) p ON p.vec_id = e.vec_id",
+    "scan_binary": ("SELECT regexp_extract(filename, '([^/]+)$', 1) AS name, CAST(size AS BIGINT) AS length, "
+                    "md5(content) AS md5 FROM read_blob('/root/testdata/sf0.01/*.parquet')"),
+    "scan_image": (f"SELECT x.vec_id, x.label, {SPLIT} AS split, CAST(8 AS INTEGER) AS height, "
+                   f"CAST(8 AS INTEGER) AS width, CAST(3 AS INTEGER) AS n_channels, "
+                   f"CAST(max(CASE WHEN k = 0 THEN x.p END) AS INTEGER) AS first_red, "
+                   f"CAST(4 * sum(x.p + x.p // 2 + 25 * x.label) AS DOUBLE) AS tensor_sum "
+                   f"FROM ({_PX}) x JOIN ({POS}) p ON p.vec_id = x.vec_id GROUP BY x.vec_id, x.label, p.pos"),
+})
+
+
+def _mix_steps(src: str, cols: str) -> str:
+    """Apply the 32-bit mixer to column ``x`` of ``src`` as nested selects."""
+    for _ in range(2):
+        src = f"SELECT {cols}, (xor(x >> 16, x) * 73244475) & 4294967295 AS x FROM ({src})"
+    return f"SELECT {cols}, xor(x >> 16, x) AS x FROM ({src})"
+
+
+def _dropout_sql(keep: float, seed: int, step: int) -> str:
+    cols = "vec_id, i"
+    s = (f"SELECT vec_id, CAST(i AS INTEGER) AS i, CAST(({seed} * 65537 + {step}) % 4294967296 AS BIGINT) AS x "
+         f"FROM (SELECT vec_id, unnest(range(len(embedding))) AS i FROM embeddings)")
+    s = _mix_steps(s, cols)
+    s = _mix_steps(f"SELECT {cols}, xor(x, vec_id & 4294967295) AS x FROM ({s})", cols)
+    s = _mix_steps(f"SELECT {cols}, xor(x, (vec_id >> 32) & 4294967295) AS x FROM ({s})", cols)
+    s = _mix_steps(f"SELECT {cols}, xor(x, CAST(i AS BIGINT)) AS x FROM ({s})", cols)
+    return f"SELECT vec_id, i, x < {int(keep * 4294967296)} AS kept FROM ({s})"
+
+
+ORACLES["dropout_mask"] = _dropout_sql(0.9, 42, 0)

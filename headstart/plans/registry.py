@@ -7,22 +7,37 @@ are rounded to 6 places on both sides.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import labels as L
-from ..functions.random import dropout_keep, order_key
+from ..functions.random import dropout_keep
+from ..model import dense, head, init_params, initial_preset
 from ..operators import evaluation as E
 from ..operators import ordering as O
+from ..operators.schedule import parse_schedule, rate_column
 from ..operators.scoring import predict, score
-from ..sources.features import read_features
+from ..operators.stats import batchnorm_from_moments, feature_moments, moments_long
+from ..operators.training import UPDATERS, FitParams, fit, l2_penalty
+from ..session import scratch_path
+from ..sources.features import SPLITS, read_features, read_split_folders, write_features
+from ..sources.files import scan_binary, scan_images, to_tensor, with_split_from_path
+from ..sources.models import model_to_df, read_model, write_model
+from . import derived_images as DI
 from . import fixtures as FX
+from .derived_images import write_images
 
 R = 6  # rounding places for floating outputs
 
 
+def _rnd(c):
+    """Round to 6 places and turn -0.0 into 0.0."""
+    return F.round(c, R) + F.lit(0.0)
+
+
 def _emb(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_features(spark, f"{sf_dir}/embeddings.parquet", features="embedding",
                          label="label", columns=["vec_id"])
@@ -30,7 +45,7 @@ def _emb(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _exploded(df: DataFrame, col: str = "output") -> DataFrame:
     return df.select("vec_id", F.posexplode(col).alias("j", "v")) \
-        .select("vec_id", "j", F.round("v", R).alias("value"))
+        .select("vec_id", "j", _rnd(F.col("v")).alias("value"))
 
 
 def q_scan_features(spark, sf_dir):
@@ -43,8 +58,8 @@ def _predicted(spark, sf_dir):
 
 
 def q_predict(spark, sf_dir):
-    return _predicted(spark, sf_dir).select("vec_id", "label", "pred", F.round("prob", R).alias("prob"),
-                                            F.round("nll", R).alias("nll"))
+    return _predicted(spark, sf_dir).select("vec_id", "label", "pred", _rnd(F.col("prob")).alias("prob"),
+                                            _rnd(F.col("nll")).alias("nll"))
 
 
 def _conf(spark, sf_dir):
@@ -56,27 +71,27 @@ def q_confusion_matrix(spark, sf_dir):
 
 
 def q_accuracy(spark, sf_dir):
-    return E.accuracy(_conf(spark, sf_dir)).select(F.round("accuracy", R).alias("accuracy"))
+    return E.accuracy(_conf(spark, sf_dir)).select(_rnd(F.col("accuracy")).alias("accuracy"))
 
 
 def q_per_class_stats(spark, sf_dir):
     return E.per_class_stats(_conf(spark, sf_dir)).select(
         "cls", "tp", "predicted", "actual",
-        F.round("precision", R).alias("precision"), F.round("recall", R).alias("recall"))
+        _rnd(F.col("precision")).alias("precision"), _rnd(F.col("recall")).alias("recall"))
 
 
 def q_macro_precision_recall(spark, sf_dir):
     return E.macro_precision_recall(_conf(spark, sf_dir)).select(
-        F.round("precision", R).alias("precision"), F.round("recall", R).alias("recall"))
+        _rnd(F.col("precision")).alias("precision"), _rnd(F.col("recall")).alias("recall"))
 
 
 def q_mean_nll(spark, sf_dir):
-    return E.mean_loss(_predicted(spark, sf_dir)).select(F.round("loss", R).alias("loss"))
+    return E.mean_loss(_predicted(spark, sf_dir)).select(_rnd(F.col("loss")).alias("loss"))
 
 
 def q_evaluate(spark, sf_dir):
     return E.evaluate(_predicted(spark, sf_dir)).select(
-        "n", *[F.round(c, R).alias(c) for c in ("accuracy", "precision", "recall", "loss")])
+        "n", *[_rnd(F.col(c)).alias(c) for c in ("accuracy", "precision", "recall", "loss")])
 
 
 def q_dense_layer(spark, sf_dir):
@@ -101,7 +116,7 @@ def q_onehot_encode(spark, sf_dir):
     hot = _emb(spark, sf_dir).select("vec_id", L.onehot_encode(F.col("label"), FX.N_CLASSES).alias("y"))
     return hot.select("vec_id", F.size("y").alias("n"),
                       (F.array_position("y", F.lit(1.0).cast("float")) - 1).cast("int").alias("hot"),
-                      F.round(F.aggregate("y", F.lit(0.0), lambda a, x: a + x), R).alias("total"))
+                      _rnd(F.aggregate("y", F.lit(0.0), lambda a, x: a + x)).alias("total"))
 
 
 def q_onehot_decode(spark, sf_dir):
@@ -115,7 +130,7 @@ def q_ml_bridge(spark, sf_dir):
     pts = L.to_labeled_points(_emb(spark, sf_dir), features="embedding", keep=("vec_id",))
     arr = vector_to_array(F.col("features"))
     return pts.select("vec_id", "label",
-                      F.round(F.aggregate(arr, F.lit(0.0), lambda a, x: a + x * x), R).alias("sq_norm"))
+                      _rnd(F.aggregate(arr, F.lit(0.0), lambda a, x: a + x * x)).alias("sq_norm"))
 
 
 def _paths(spark, sf_dir):
@@ -176,6 +191,206 @@ def q_dropout_mask(spark, sf_dir):
     return df.select("vec_id", "i", dropout_keep(F.col("vec_id"), F.col("i"), 0.9, FX.SEED, 0).alias("kept"))
 
 
+def _zero_one_round(spark, sf_dir):
+    """One parameter-averaging round over the whole table from zero weights (k = 1, plain
+    SGD, rate 1): every worker takes one step on its own 25 rows, then the mean is taken.
+    Workers grow with the table; each group stays 25 rows."""
+    df = _emb(spark, sf_dir)
+    n = df.count()
+    p = FitParams(epochs=1, workers=max(1, math.ceil(n / 25)), batch_size=25, avg_freq=1, rate=1.0,
+                  updater="sgd", eval_interval=1 << 30, seed=FX.SEED)
+    m0 = init_params([dense("predictions", FX.WIDTH, FX.N_CLASSES, "softmax")], scheme="zeros")
+    return fit(df, m0, p, id_col="vec_id", features="embedding", label="label").model
+
+
+def _model_long(spark, model):
+    recs = []
+    for k in model.keys():
+        arr = model.params[k]
+        name = k.rsplit("/", 1)[1]
+        mat = arr.reshape(1, -1) if arr.ndim == 1 else arr
+        for i in range(mat.shape[0]):
+            for j in range(mat.shape[1]):
+                recs.append((name, i, j, float(mat[i, j])))
+    df = spark.createDataFrame(recs, "param string, i int, j int, v double")
+    return df.select("param", "i", "j", _rnd(F.col("v")).alias("value"))
+
+
+def q_param_average(spark, sf_dir):
+    return _model_long(spark, _zero_one_round(spark, sf_dir))
+
+
+def q_model_roundtrip(spark, sf_dir):
+    model = _zero_one_round(spark, sf_dir)
+    path = scratch_path(spark, "model")
+    write_model(spark, model, path, meta={"iterations": 1})
+    back, _, _ = read_model(spark, path)
+    table = model_to_df(spark, back)
+    return table.select("param", "row", F.size("values").alias("n"),
+                        _rnd(F.aggregate("values", F.lit(0.0), lambda acc, x: acc + x)).alias("s"))
+
+
+def q_l2_penalty(spark, sf_dir):
+    model = _zero_one_round(spark, sf_dir)
+    return spark.createDataFrame([(l2_penalty(model, 0.05),)], "penalty double") \
+        .select(_rnd(F.col("penalty")).alias("penalty"))
+
+
+SCHEDULE_TEXT = "0,0.1|3,0.01|3,0.05|7,0.001"
+
+
+def q_lr_schedule_asof(spark, sf_dir):
+    sched = parse_schedule(SCHEDULE_TEXT)
+    it = (F.col("pos") / 8).cast("long").cast("int")
+    return _positioned(spark, sf_dir).select("vec_id", it.alias("iteration")) \
+        .withColumn("rate", rate_column("iteration", sched, 0.001))
+
+
+def _moments(spark, sf_dir):
+    return feature_moments(_emb(spark, sf_dir), features="embedding")
+
+
+def q_feature_moments(spark, sf_dir):
+    return moments_long(_moments(spark, sf_dir)).select(
+        "i", _rnd(F.col("mean")).alias("mean"), _rnd(F.col("var")).alias("var"))
+
+
+def q_batchnorm_apply(spark, sf_dir):
+    bn = batchnorm_from_moments(_moments(spark, sf_dir))
+    out = score(_emb(spark, sf_dir), bn, features="embedding", keep=["vec_id"])
+    return out.select("vec_id", F.posexplode("output").alias("j", "v")) \
+        .select("vec_id", "j", _rnd(F.col("v")).alias("value"))
+
+
+def q_featurize_stage2(spark, sf_dir):
+    chain = FX.two_stage()
+    stage1 = scratch_path(spark, "stage1")
+    stage2 = scratch_path(spark, "stage2")
+    s1 = score(_emb(spark, sf_dir), chain.upto("fc1"), features="embedding", output="features",
+               keep=["vec_id", "label"])
+    write_features(s1, stage1, split=None)
+    s2 = score(read_features(spark, stage1, features="features", columns=["vec_id"]), chain.after("fc1"),
+               features="features", output="features", keep=["vec_id", "label"])
+    write_features(s2, stage2, split=None)
+    out = read_features(spark, stage2, features="features", columns=["vec_id"])
+    return _exploded(out, "features")
+
+
+def _with_split(spark, sf_dir):
+    return O.split_fixed(O.with_position(_emb(spark, sf_dir), "vec_id", FX.SEED), 50, 60).drop("pos")
+
+
+def q_feature_table_roundtrip(spark, sf_dir):
+    path = scratch_path(spark, "features")
+    write_features(_with_split(spark, sf_dir), path)
+    back = spark.read.parquet(path)
+    return back.select("vec_id", "label", "split",
+                       _rnd(F.aggregate("embedding", F.lit(0.0), lambda a, x: a + x.cast("double"))).alias("s"))
+
+
+def q_scan_splits(spark, sf_dir):
+    root = scratch_path(spark, "split-folders")
+    df = _with_split(spark, sf_dir)
+    for sp in SPLITS:  # the reference layout: one plain folder per split
+        write_features(df.filter(F.col("split") == sp).drop("split"), f"{root}/{sp}", split=None)
+    back = read_split_folders(spark, root)
+    return back.select("vec_id", "label", "split")
+
+
+def q_scan_binary(spark, sf_dir):
+    files = scan_binary(spark, sf_dir, glob="*.parquet")
+    return files.select(F.regexp_extract("path", r"([^/]+)$", 1).alias("name"), "length",
+                        F.md5("content").alias("md5"))
+
+
+def _image_root(spark, sf_dir):
+    root = scratch_path(spark, "images")
+    write_images(_with_split(spark, sf_dir), root)
+    return root
+
+
+IMAGE_ID = r"\.c(\d+)/\d{3}_(\d{4})\.jpg$"
+
+
+def q_scan_image(spark, sf_dir):
+    imgs = with_split_from_path(scan_images(spark, _image_root(spark, sf_dir)))
+    imgs = imgs.withColumn("label", L.checked_path_label("path", FX.N_CLASSES)) \
+        .withColumn("vec_id", F.regexp_extract("path", IMAGE_ID, 1).cast("long") * 10000
+                    + F.regexp_extract("path", IMAGE_ID, 2).cast("long"))
+    t = to_tensor(imgs, height=2 * DI.SIDE, width=2 * DI.SIDE, keep=["vec_id", "label", "split", "height",
+                                                                    "width", "n_channels"])
+    return t.select("vec_id", "label", "split", "height", "width", "n_channels",
+                    F.col("features")[0].cast("int").alias("first_red"),
+                    F.aggregate("features", F.lit(0.0), lambda a, x: a + x.cast("double")).alias("tensor_sum"))
+
+
+def _history_row(h):
+    return h.select("epoch", "split", "n", *[_rnd(F.col(c)).alias(c) for c in
+                                             ("loss", "accuracy", "precision", "recall", "l2_penalty")])
+
+
+def _train_valid(spark, sf_dir):
+    df = _with_split(spark, sf_dir)
+    return df.filter(F.col("split") == "train"), df.filter(F.col("split") == "valid")
+
+
+def q_train_history(spark, sf_dir):
+    train, valid = _train_valid(spark, sf_dir)
+    model = init_params(head("fc2", FX.WIDTH, FX.N_CLASSES, keep_prob=0.9), seed=FX.SEED)
+    p = FitParams(epochs=4, workers=4, batch_size=32, avg_freq=5, rate=0.01, momentum=0.9, l2=0.05,
+                  updater="nesterovs", eval_interval=2, seed=FX.SEED)
+    res = fit(train, model, p, id_col="vec_id", features="embedding", valid=valid)
+    return _history_row(res.history_df(spark))
+
+
+def q_train_updaters(spark, sf_dir):
+    train, valid = _train_valid(spark, sf_dir)
+    frames = []
+    for u in UPDATERS:
+        model = init_params(head("predictions", FX.WIDTH, FX.N_CLASSES), seed=FX.SEED)
+        p = FitParams(epochs=1, workers=4, batch_size=16, avg_freq=2, rate=0.01, updater=u,
+                      eval_interval=1, seed=FX.SEED)
+        res = fit(train, model, p, id_col="vec_id", features="embedding", valid=valid)
+        frames.append(_history_row(res.history_df(spark)).withColumn("updater", F.lit(u)))
+    out = frames[0]
+    for f in frames[1:]:
+        out = out.unionByName(f)
+    return out
+
+
+def q_train_warm_start(spark, sf_dir):
+    train, valid = _train_valid(spark, sf_dir)
+    pre = initial_preset("fc2", FX.WIDTH, FX.N_CLASSES)
+    first = fit(train, init_params(pre.layers, seed=pre.seed),
+                FitParams(epochs=1, rate=pre.rate, momentum=pre.momentum, l2=pre.l2, eval_interval=1),
+                id_col="vec_id", features="embedding", valid=valid)
+    path = scratch_path(spark, "warm-model")
+    write_model(spark, first.model, path, state=first.state, meta={"iterations": first.iterations})
+    model, state, meta = read_model(spark, path)
+    p = FitParams(epochs=2, rate=0.01, schedule=parse_schedule(SCHEDULE_TEXT), updater="nesterovs",
+                  momentum=0.9, l2=0.01, eval_interval=1, seed=7)
+    res = fit(train, model, p, id_col="vec_id", features="embedding", valid=valid, state=state,
+              iterations=int(meta.get("iterations", 0)))
+    return _history_row(res.history_df(spark)).withColumn("iterations", F.lit(res.iterations))
+
+
+def q_ml_baseline(spark, sf_dir):
+    from pyspark.ml import Pipeline
+    from pyspark.ml.classification import LogisticRegression
+    from pyspark.ml.feature import StandardScaler
+
+    df = _with_split(spark, sf_dir)
+    pts = L.to_labeled_points(df, features="embedding", keep=("split",))
+    pipe = Pipeline(stages=[StandardScaler(inputCol="features", outputCol="scaled", withMean=True),
+                            LogisticRegression(featuresCol="scaled", labelCol="label", family="multinomial",
+                                               maxIter=50, regParam=0.01)])
+    fitted = pipe.fit(pts.filter(F.col("split") == "train"))
+    pred = fitted.transform(pts).select("split", F.col("label").cast("int").alias("label"),
+                                         F.col("prediction").cast("int").alias("pred"))
+    return pred.groupBy("split").agg(F.count(F.lit(1)).alias("n"),
+                                     _rnd(F.avg((F.col("label") == F.col("pred")).cast("double"))).alias("accuracy"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "scan_features": q_scan_features,
     "predict": q_predict,
@@ -199,4 +414,19 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "split_fixed": q_split_fixed,
     "minibatch_assign": q_minibatch_assign,
     "dropout_mask": q_dropout_mask,
+    "param_average": q_param_average,
+    "model_roundtrip": q_model_roundtrip,
+    "l2_penalty": q_l2_penalty,
+    "lr_schedule_asof": q_lr_schedule_asof,
+    "feature_moments": q_feature_moments,
+    "batchnorm_apply": q_batchnorm_apply,
+    "featurize_stage2": q_featurize_stage2,
+    "feature_table_roundtrip": q_feature_table_roundtrip,
+    "scan_splits": q_scan_splits,
+    "scan_binary": q_scan_binary,
+    "scan_image": q_scan_image,
+    "train_history": q_train_history,
+    "train_updaters": q_train_updaters,
+    "train_warm_start": q_train_warm_start,
+    "ml_baseline": q_ml_baseline,
 }

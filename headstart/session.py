@@ -25,6 +25,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.driver.memory", "8g")
@@ -68,6 +69,42 @@ def local_fs_path(path: str) -> str:
     return path[len("file:"):] if path.startswith("file:") else path
 
 
+def arrow_uri(path: str) -> str:
+    """A Hadoop-style path (``/x``, ``file:/x``, ``s3a://b/x``) as a URI pyarrow.fs accepts."""
+    if path.startswith("file:") and not path.startswith("file://"):
+        return "file://" + path[len("file:"):]
+    if path.startswith("/"):
+        return "file://" + path
+    if path.startswith("s3a://") or path.startswith("s3n://"):
+        return "s3://" + path.split("://", 1)[1]
+    return path
+
+
 def ensure_parent(path: str) -> None:
     if is_local_path(path):
         os.makedirs(os.path.dirname(local_fs_path(path)), exist_ok=True)
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``headstart`` importable in Python workers: zip it once per application and
+    ``addPyFile`` it (Spark distributes the file to every executor)."""
+    import zipfile
+
+    sc = spark.sparkContext
+    app = sc.applicationId
+    if app in _SHIPPED:
+        return
+    pkg = os.path.dirname(os.path.abspath(__file__))
+    parent = os.path.dirname(pkg)
+    zpath = os.path.join(tempfile.mkdtemp(prefix="headstart-pkg-"), "headstart.zip")
+    with zipfile.ZipFile(zpath, "w", zipfile.ZIP_DEFLATED) as z:
+        for root, _, files in os.walk(pkg):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(root, f)
+                    z.write(full, os.path.relpath(full, parent))
+    sc.addPyFile(zpath)
+    _SHIPPED.add(app)

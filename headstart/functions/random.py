@@ -32,11 +32,17 @@ MIX_MUL = 0x45D9F3B
 MASK32 = 0xFFFFFFFF
 
 
+def _let(x: Column, f) -> Column:
+    """``f(x)`` with ``x`` evaluated once (a one-element lambda), so nesting stays linear."""
+    return F.element_at(F.transform(F.array(x), f), 1)
+
+
 def mix32(x: Column) -> Column:
     """32-bit integer mixing hash on a non-negative bigint below 2^32 (products stay < 2^59)."""
-    for _ in range(2):
-        x = (F.shiftright(x, 16).bitwiseXOR(x) * F.lit(MIX_MUL)).bitwiseAND(F.lit(MASK32))
-    return F.shiftright(x, 16).bitwiseXOR(x)
+    def step(v):
+        return (F.shiftright(v, 16).bitwiseXOR(v) * F.lit(MIX_MUL)).bitwiseAND(F.lit(MASK32))
+
+    return _let(_let(_let(x, step), step), lambda v: F.shiftright(v, 16).bitwiseXOR(v))
 
 
 def row_hash(id_col, seed: int, step: int | Column) -> Column:
@@ -56,9 +62,9 @@ def dropout_keep(id_col, i, keep_prob: float, seed: int, step: int | Column) ->
 
 def dropout_mask(id_col, width: int, keep_prob: float, seed: int, step: int | Column) -> Column:
     """``array<boolean>`` of keep flags for features ``0 .. width-1``."""
-    rh = row_hash(id_col, seed, step)
-    return F.transform(F.sequence(F.lit(0), F.lit(width - 1)),
-                       lambda i: mix32(rh.bitwiseXOR(i.cast("bigint"))) < F.lit(int(keep_prob * TWO_32)))
+    thr = F.lit(int(keep_prob * TWO_32))
+    return _let(row_hash(id_col, seed, step), lambda rh: F.transform(
+        F.sequence(F.lit(0), F.lit(width - 1)), lambda i: mix32(rh.bitwiseXOR(i.cast("bigint"))) < thr))
 
 
 # ---- the same hash in numpy (used inside training tasks) -----------------------------

@@ -43,10 +43,27 @@ def scan_images(spark: SparkSession, path: str, *, recursive: bool = True,
     r = spark.read.format("image")
     if recursive:
         r = r.option("recursiveFileLookup", "true")
-    df = r.load(path).select(F.col("image.origin").alias("path"), F.col("image.height").alias("height"),
-                             F.col("image.width").alias("width"),
-                             F.col("image.nChannels").alias("n_channels"),
-                             F.col("image.mode").alias("mode"), F.col("image.data").alias("data"))
+    return _image_columns(r.load(path), on_invalid)
+
+
+def stream_images(spark: SparkSession, path: str, *, recursive: bool = True, on_invalid: str = "error",
+                  max_files_per_trigger: int | None = None) -> DataFrame:
+    """The same columns as :func:`scan_images` from a streaming file source: new files in
+    the folder are picked up by the next trigger."""
+    from pyspark.ml.image import ImageSchema
+
+    r = spark.readStream.format("image").schema(ImageSchema.imageSchema)
+    if recursive:
+        r = r.option("recursiveFileLookup", "true")
+    if max_files_per_trigger:
+        r = r.option("maxFilesPerTrigger", str(max_files_per_trigger))
+    return _image_columns(r.load(path), on_invalid)
+
+
+def _image_columns(raw: DataFrame, on_invalid: str) -> DataFrame:
+    df = raw.select(F.col("image.origin").alias("path"), F.col("image.height").alias("height"),
+                    F.col("image.width").alias("width"), F.col("image.nChannels").alias("n_channels"),
+                    F.col("image.mode").alias("mode"), F.col("image.data").alias("data"))
     bad = F.col("height") < 0
     if on_invalid == "drop":
         return df.filter(~bad)

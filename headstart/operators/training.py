@@ -2,16 +2,19 @@
 
 Plan of one fit:
 
-1. seeded order → dense position → ``round, worker, batch`` (one range of work per round);
-2. the assigned table is materialized once (Parquet below the checkpoint folder, sorted
-   by round, so each round's read skips other row groups by statistics; or ``persist``);
-   lineage is cut, an executor lost later costs a re-read, not a re-shuffle;
-3. per round: filter ``round = r`` → ``groupBy(worker).applyInPandas`` (each group is at
-   most ``batch_size · avg_freq`` rows, bounded by the parameters, not the data) → every
-   worker emits its parameter + optimizer-state vector in fixed-size chunks →
-   ``groupBy(chunk)`` with the built-in ``Summarizer.mean`` (partial + final aggregate, so a
-   chunk's state is one chunk wide however many workers there are) → the averaged vector
-   (model-sized) comes back to the driver and is broadcast for the next round;
+1. seeded order → dense position → ``round, worker, batch`` (T4);
+2. one hash exchange puts worker ``j``'s rows of every round alone in partition ``j``
+   (keys chosen so the hash lands exactly; explicit partition count, so AQE keeps it),
+   sorted by round; the table is checkpointed to the checkpoint folder (lineage cut: a
+   lost executor costs a re-read, not a re-shuffle) and persisted with one cache batch
+   per round, so a round's filter skips the other batches;
+3. per round: filter ``round = r`` → ``mapInArrow`` over the ``workers`` partitions — no
+   per-round data shuffle; each task trains at most ``batch_size · avg_freq`` rows, a bound
+   set by the parameters, not by the data — every task emits its parameter + optimizer
+   state vector → the mean over workers: collected and averaged on the driver while
+   ``workers × vector`` is small (size-checked), else ``groupBy(chunk)`` with the built-in
+   ``Summarizer.mean`` (partial + final aggregate, state one chunk wide) → broadcast for
+   the next round;
 4. every ``eval_interval`` epochs: single-pass evaluation on train (and valid).
 
 Workers without rows in the last round are absent from the mean (equal weight per active
@@ -26,6 +29,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark import StorageLevel
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
@@ -35,8 +39,9 @@ from pyspark.sql import types as T
 
 from ..functions.random import dropout_mask_np
 from ..model import DENSE, DROPOUT, TRAINABLE, Model, loss_and_grads, pack, replace
-from ..session import scratch_path, ship_package
+from ..session import checkpoint_root, ship_package
 from . import evaluation as E
+from .arrowbatch import list_matrix
 from .ordering import assign_minibatches, with_position
 from .schedule import rate_at
 from .scoring import check_model_size, predict
@@ -196,36 +201,54 @@ ROUND_OUT = T.StructType([
     T.StructField("values", T.ArrayType(T.DoubleType(), False), False),
 ])
 
+# Averaging: the workers' vectors are collected to the driver while workers × vector size
+# stays under this bound; above it they are averaged by a distributed aggregate.
+COLLECT_AVERAGE_BYTES = 256 << 20
+
 
 def _round_fn(bc, id_col: str, features: str, label: str):
-    def fn(pdf: pd.DataFrame) -> pd.DataFrame:
+    """Train one worker's rows of the round; a task holds exactly one worker's rows."""
+    def fn(batches):
         model, state, p, it0, epoch = bc.value
-        pdf = pdf.sort_values("pos")
-        ids = pdf[id_col].to_numpy()
-        x = np.stack(pdf[features].to_numpy()).astype(np.float64)
-        y = pdf[label].to_numpy().astype(np.int64)
-        if len(y) and (y.min() < 0 or y.max() >= model.n_out):
+        tables = [rb for rb in batches if rb.num_rows]
+        if not tables:
+            return
+        t = pa.Table.from_batches(tables).combine_chunks()
+        pos = t.column("pos").to_numpy()
+        order = np.argsort(pos, kind="stable")
+        ids = t.column(id_col).to_numpy()[order]
+        x = list_matrix(t.column(features), model.n_in)[order]
+        y = t.column(label).to_numpy().astype(np.int64)[order]
+        if y.min() < 0 or y.max() >= model.n_out:
             raise ValueError(f"label outside 0..{model.n_out - 1}")
-        b = pdf["batch"].to_numpy()
-        order = np.unique(b)
-        batches = ((ids[b == k], x[b == k], y[b == k]) for k in order)
-        new_model, new_state, steps, loss_sum = train_batches(model, state, batches, p, it0, epoch)
+        bnum = t.column("batch").to_numpy()[order]
+        workers = np.unique(t.column("worker").to_numpy())
+        if len(workers) != 1:
+            raise RuntimeError(f"a training task got rows of workers {workers.tolist()}")
+        groups = ((ids[bnum == k], x[bnum == k], y[bnum == k]) for k in np.unique(bnum))
+        new_model, new_state, steps, loss_sum = train_batches(model, state, groups, p, it0, epoch)
         vec = flatten(new_model, new_state)
-        worker = int(pdf["worker"].iloc[0])
         n_chunks = max(1, math.ceil(len(vec) / CHUNK))
-        return pd.DataFrame({
-            "worker": [worker] * n_chunks,
-            "chunk": list(range(n_chunks)),
-            "steps": [steps] * n_chunks,
-            "loss_sum": [loss_sum] + [0.0] * (n_chunks - 1),
-            "values": [vec[c * CHUNK:(c + 1) * CHUNK] for c in range(n_chunks)],
-        })
+        yield pa.RecordBatch.from_arrays([
+            pa.array([int(workers[0])] * n_chunks, type=pa.int32()),
+            pa.array(list(range(n_chunks)), type=pa.int32()),
+            pa.array([steps] * n_chunks, type=pa.int32()),
+            pa.array([loss_sum] + [0.0] * (n_chunks - 1), type=pa.float64()),
+            matrix_list_ragged([vec[c * CHUNK:(c + 1) * CHUNK] for c in range(n_chunks)]),
+        ], schema=pa.schema([("worker", pa.int32()), ("chunk", pa.int32()), ("steps", pa.int32()),
+                             ("loss_sum", pa.float64()), ("values", pa.list_(pa.float64()))]))
     return fn
 
 
+def matrix_list_ragged(parts: list) -> pa.Array:
+    lens = np.array([len(v) for v in parts], dtype=np.int32)
+    offsets = np.concatenate([[0], np.cumsum(lens)]).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(parts), type=pa.float64()))
+
+
 def average_chunks(worker_chunks: DataFrame) -> DataFrame:
     """Mean parameter vector over the workers, per chunk (A6): ``chunk, values, workers,
-    steps, loss_sum`` with a bounded (chunk-wide) aggregation state."""
+    steps, loss_sum`` with a bounded (chunk-wide) aggregation state (partial + final)."""
     return (worker_chunks
             .groupBy("chunk")
             .agg(vector_to_array(Summarizer.mean(array_to_vector("values"))).alias("values"),
@@ -234,22 +257,53 @@ def average_chunks(worker_chunks: DataFrame) -> DataFrame:
 
 
 def run_round(part: DataFrame, model: Model, state: dict, p: FitParams, it0: int, epoch: int,
-              *, id_col: str, features: str, label: str):
-    """One parameter-averaging round → (model, state, steps, mean batch loss)."""
+              *, id_col: str, features: str, label: str, workers: int):
+    """One parameter-averaging round over ``part`` (one partition per worker, already
+    filtered to the round) → (model, state, steps, mean batch loss)."""
     spark = part.sparkSession
-    check_model_size(spark, model.nbytes() + sum(v.nbytes for v in state.values()))
+    vec_bytes = model.nbytes() + sum(v.nbytes for v in state.values())
+    check_model_size(spark, vec_bytes)
     ship_package(spark)
     bc = spark.sparkContext.broadcast((model, state, p, it0, epoch))
-    chunks = part.groupBy("worker").applyInPandas(_round_fn(bc, id_col, features, label), ROUND_OUT)
-    rows = average_chunks(chunks).orderBy("chunk").collect()
-    bc.unpersist()
-    if not rows:
-        return model, state, 0, float("nan")
-    vec = np.concatenate([np.asarray(r["values"], dtype=np.float64) for r in rows])
-    steps = int(rows[0]["steps"])
-    loss = float(rows[0]["loss_sum"]) / max(1, int(rows[0]["workers"]) * max(1, steps))
+    try:
+        chunks = part.mapInArrow(_round_fn(bc, id_col, features, label), ROUND_OUT)
+        if workers * vec_bytes <= COLLECT_AVERAGE_BYTES:
+            rows = chunks.collect()
+            if not rows:
+                return model, state, 0, float("nan")
+            by_worker: dict[int, list] = {}
+            for r in sorted(rows, key=lambda r: (r["worker"], r["chunk"])):
+                by_worker.setdefault(r["worker"], []).append(r)
+            vecs = [np.concatenate([np.asarray(r["values"], dtype=np.float64) for r in rs])
+                    for _, rs in sorted(by_worker.items())]
+            vec = np.mean(np.stack(vecs), axis=0)
+            steps = max(int(rs[0]["steps"]) for rs in by_worker.values())
+            loss_sum = sum(float(rs[0]["loss_sum"]) for rs in by_worker.values())
+            n_workers = len(by_worker)
+        else:
+            agg = average_chunks(chunks).orderBy("chunk").collect()
+            if not agg:
+                return model, state, 0, float("nan")
+            vec = np.concatenate([np.asarray(r["values"], dtype=np.float64) for r in agg])
+            steps, loss_sum, n_workers = int(agg[0]["steps"]), float(agg[0]["loss_sum"]), int(agg[0]["workers"])
+    finally:
+        bc.unpersist()
     new_model, new_state = unflatten(model, state, vec)
-    return new_model, new_state, steps, loss
+    return new_model, new_state, steps, loss_sum / max(1, n_workers * max(1, steps))
+
+
+def worker_keys(spark, workers: int) -> list[int]:
+    """For each worker ``j`` a bigint key whose hash partition among ``workers``
+    partitions is exactly ``j`` (Spark's own ``hash`` = the shuffle's Murmur3, seed 42),
+    so ``repartition(workers, key)`` puts every worker alone in its own partition."""
+    span = workers * 64
+    while True:
+        rows = (spark.range(span).select("id", F.pmod(F.hash("id"), F.lit(workers)).alias("p"))
+                .groupBy("p").agg(F.min("id").alias("k")).collect())
+        keys = {int(r["p"]): int(r["k"]) for r in rows}
+        if len(keys) == workers:
+            return [keys[j] for j in range(workers)]
+        span *= 4
 
 
 # ---- fit -----------------------------------------------------------------------------
@@ -284,21 +338,33 @@ def l2_penalty(model: Model, l2: float) -> float:
 
 def prepare(df: DataFrame, p: FitParams, *, id_col: str, features: str, label: str,
             materialize: str = "checkpoint") -> tuple[DataFrame, int]:
-    """Seeded order + mini-batch assignment, materialized once → (table, n_rounds)."""
+    """Seeded order + mini-batch assignment, laid out once for all epochs → (table, rounds).
+
+    Partition ``j`` holds worker ``j``'s rows of every round, sorted by round and position:
+    ``repartition(workers, key)`` with keys from :func:`worker_keys` (an explicit partition
+    count, so AQE keeps it). ``checkpoint`` (default) writes it to the checkpoint folder
+    (lineage cut: a lost executor re-reads, no re-shuffle), then it is persisted with
+    column batches of one round's rows so that a round's filter skips the other batches.
+    """
+    spark = df.sparkSession
     assigned = assign_minibatches(
         with_position(df.select(id_col, features, label), id_col, p.seed),
         p.workers, p.batch_size, p.avg_freq)
-    spark = df.sparkSession
+    keys = worker_keys(spark, p.workers)
+    key_of = F.element_at(F.array(*[F.lit(k).cast("bigint") for k in keys]), F.col("worker") + 1)
+    laid = (assigned.withColumn("_wkey", key_of).repartition(p.workers, "_wkey")
+            .sortWithinPartitions("round", "pos").drop("_wkey"))
     if materialize == "checkpoint":
-        path = scratch_path(spark, "train-rounds")
-        n_parts = spark.sparkContext.defaultParallelism
-        (assigned.repartitionByRange(n_parts, "round", "worker").sortWithinPartitions("round", "worker", "pos")
-         .write.parquet(path))
-        table = spark.read.parquet(path)
-    elif materialize == "persist":
-        table = assigned.persist(StorageLevel.MEMORY_AND_DISK)
-    else:
+        checkpoint_root(spark)
+        laid = laid.checkpoint(eager=True)
+    elif materialize != "persist":
         raise ValueError("materialize must be 'checkpoint' or 'persist'")
+    prev = spark.conf.get("spark.sql.inMemoryColumnarStorage.batchSize")
+    spark.conf.set("spark.sql.inMemoryColumnarStorage.batchSize", str(max(1, p.batch_size * p.avg_freq)))
+    try:
+        table = laid.persist(StorageLevel.MEMORY_AND_DISK)
+    finally:
+        spark.conf.set("spark.sql.inMemoryColumnarStorage.batchSize", prev)
     top = table.agg(F.max("round").alias("r")).first()["r"]
     return table, (0 if top is None else int(top) + 1)
 
@@ -329,8 +395,8 @@ def fit(df: DataFrame, model: Model, p: FitParams, *, id_col: str = "id", featur
         for epoch in range(p.epochs):
             for r in range(n_rounds):
                 part = table.filter(F.col("round") == r)
-                model, state, steps, _ = run_round(part, model, state, p, it, epoch,
-                                                   id_col=id_col, features=features, label=label)
+                model, state, steps, _ = run_round(part, model, state, p, it, epoch, id_col=id_col,
+                                                   features=features, label=label, workers=p.workers)
                 it += steps
             if (epoch + 1) % p.eval_interval == 0:
                 for split, data in (("train", df), ("valid", valid)):
@@ -341,8 +407,7 @@ def fit(df: DataFrame, model: Model, p: FitParams, *, id_col: str = "id", featur
                                  "accuracy": m.get("accuracy"), "precision": m.get("precision"),
                                  "recall": m.get("recall"), "l2_penalty": l2_penalty(model, p.l2)})
     finally:
-        if materialize == "persist":
-            table.unpersist()
+        table.unpersist()
     history = pd.DataFrame(hist, columns=HISTORY_SCHEMA.fieldNames())
     if history_path and len(history):
         df.sparkSession.createDataFrame(history, schema=HISTORY_SCHEMA).write.mode("append").parquet(history_path)

@@ -6,10 +6,41 @@ import numpy as np
 import pyarrow as pa
 
 
+def packed_matrix(col: pa.Array, width: int | None = None) -> np.ndarray:
+    """A binary column of packed little-endian float32 vectors as a float64 matrix."""
+    n = len(col)
+    if col.null_count:
+        raise ValueError("null feature vector")
+    large = pa.types.is_large_binary(col.type)
+    bufs = col.buffers()
+    off_t = np.int64 if large else np.int32
+    offsets = np.frombuffer(bufs[1], dtype=off_t, count=n + 1, offset=col.offset * np.dtype(off_t).itemsize)
+    lens = np.diff(offsets)
+    w = int(lens[0] // 4) if (width is None and n) else (width or 0)
+    if n and (lens != 4 * w).any():
+        raise ValueError(f"feature vectors must all have length {w}; found byte lengths "
+                         f"{sorted(set(lens.tolist()))[:5]}")
+    if not n:
+        return np.zeros((0, w))
+    flat = np.frombuffer(bufs[2], dtype="<f4", count=int(offsets[-1] - offsets[0]) // 4, offset=int(offsets[0]))
+    return flat.astype(np.float64).reshape(n, w)
+
+
+def pack_rows(m: np.ndarray) -> pa.Array:
+    """Rows of a 2-d array as packed little-endian float32 binary values."""
+    m = np.ascontiguousarray(m, dtype="<f4")
+    n, w = m.shape
+    offsets = pa.array(np.arange(0, n * w * 4 + 1, w * 4, dtype=np.int32))
+    return pa.BinaryArray.from_buffers(pa.binary(), n, [None, offsets.buffers()[1], pa.py_buffer(m.tobytes())])
+
+
 def list_matrix(col: pa.Array, width: int | None = None) -> np.ndarray:
-    """A list column of equal-length numeric arrays as a float64 matrix (rows × width)."""
+    """Feature column as a float64 matrix (rows × width): a list column of equal-length
+    numeric arrays, or packed float32 binary (see :func:`packed_matrix`)."""
     if isinstance(col, pa.ChunkedArray):
         col = pa.concat_arrays(col.chunks) if col.num_chunks != 1 else col.chunk(0)
+    if pa.types.is_binary(col.type) or pa.types.is_large_binary(col.type):
+        return packed_matrix(col, width)
     n = len(col)
     if col.null_count:
         raise ValueError("null feature vector")

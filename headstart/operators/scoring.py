@@ -18,7 +18,7 @@ from pyspark.sql import types as T
 
 from ..model import Model, forward
 from ..session import ship_package
-from .arrowbatch import list_matrix, matrix_list
+from .arrowbatch import list_matrix, matrix_list, pack_rows
 
 # Upper bound for a broadcast model; the model's size is known before it is shipped.
 MAX_MODEL_BYTES_CONF = "headstart.model.maxBroadcastBytes"
@@ -58,20 +58,25 @@ def _column(rb: pa.RecordBatch, name: str) -> pa.Array:
 
 def featurize(df: DataFrame, scorer_factory: Callable[[], BatchFn], *, input_col: str,
               output_col: str, keep: list[str] | None = None, in_dim: int | None = None,
-              batch_rows: int = DEFAULT_BATCH_ROWS, output_float: bool = False) -> DataFrame:
-    """Run a batch function over ``input_col`` and append ``output_col`` (array<double>).
+              batch_rows: int = DEFAULT_BATCH_ROWS, output_float: bool = False,
+              output_packed: bool = False) -> DataFrame:
+    """Run a batch function over ``input_col`` and append ``output_col``.
 
     ``scorer_factory`` is called once per task and returns ``f(x: n×d) -> n×k``; this is
     where a user plugs in a pre-trained network (e.g. an ONNX session). ``keep`` columns
     ride along unchanged (default: all but the input); one output row per input row.
+    The input may be ``array<float|double>`` or packed float32 ``binary``; the output is
+    ``array<double>`` (``array<float>`` with ``output_float``; packed float32 ``binary``
+    with ``output_packed``, the fastest layout to move between the JVM and Python).
     """
     ship_package(df.sparkSession)
     keep = [c for c in df.columns if c != input_col] if keep is None else list(keep)
     src = df.select(*keep, input_col)
     value_t = T.FloatType() if output_float else T.DoubleType()
-    schema = T.StructType([_field(src, c) for c in keep]
-                          + [T.StructField(output_col, T.ArrayType(value_t, False), False)])
+    out_t = T.BinaryType() if output_packed else T.ArrayType(value_t, False)
+    schema = T.StructType([_field(src, c) for c in keep] + [T.StructField(output_col, out_t, False)])
     arrow_t = pa.float32() if output_float else pa.float64()
+    encode = pack_rows if output_packed else (lambda y: matrix_list(y, arrow_t))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fn = scorer_factory()
@@ -81,7 +86,7 @@ def featurize(df: DataFrame, scorer_factory: Callable[[], BatchFn], *, input_col
                 y = np.asarray(fn(x), dtype=np.float64)
                 if y.ndim != 2 or y.shape[0] != part.num_rows:
                     raise ValueError(f"scorer returned shape {y.shape} for {part.num_rows} rows")
-                cols = [_column(part, c) for c in keep] + [matrix_list(y, arrow_t)]
+                cols = [_column(part, c) for c in keep] + [encode(y)]
                 yield pa.RecordBatch.from_arrays(cols, names=keep + [output_col])
 
     return src.mapInArrow(run, schema)
@@ -99,11 +104,12 @@ def layer_chain(bc) -> Callable[[], BatchFn]:
 
 def score(df: DataFrame, model: Model, *, features: str = "features", output: str = "output",
           keep: list[str] | None = None, batch_rows: int = DEFAULT_BATCH_ROWS,
-          output_float: bool = False) -> DataFrame:
+          output_float: bool = False, output_packed: bool = False) -> DataFrame:
     """Append the model's output activations as ``output`` (I1 with I3/I4 slices)."""
     bc = broadcast_model(df.sparkSession, model)
     return featurize(df, layer_chain(bc), input_col=features, output_col=output, keep=keep,
-                     in_dim=model.n_in, batch_rows=batch_rows, output_float=output_float)
+                     in_dim=model.n_in, batch_rows=batch_rows, output_float=output_float,
+                     output_packed=output_packed)
 
 
 def predict(df: DataFrame, model: Model, *, features: str = "features", label: str | None = "label",

@@ -29,6 +29,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.driver.memory", "8g")
+        .config("spark.sql.execution.arrow.maxBytesPerBatch", str(64 << 20))
     )
     for k, v in (extra or {}).items():
         builder = builder.config(k, v)

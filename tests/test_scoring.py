@@ -44,3 +44,18 @@ def test_with_probs_sums_to_one(spark, emb):
     out = predict(emb, FX.one_layer(), features="embedding", keep=["vec_id"], label=None, with_probs=True)
     s = out.select(F.aggregate("probs", F.lit(0.0), lambda a, x: a + x).alias("s")).collect()
     assert all(abs(r.s - 1) < 1e-12 for r in s)
+
+
+def test_packed_layout_scores_like_arrays(spark, emb):
+    from headstart.sources.features import to_array, to_packed
+
+    packed = to_packed(emb, "embedding")
+    assert packed.schema["embedding"].dataType.simpleString() == "binary"
+    a = _collect(predict(emb, FX.one_layer(), features="embedding", keep=["vec_id", "label"]))
+    b = _collect(predict(packed, FX.one_layer(), features="embedding", keep=["vec_id", "label"]))
+    assert a == b
+    back = to_array(packed, "embedding").join(emb.withColumnRenamed("embedding", "orig"), "vec_id")
+    assert back.filter("embedding != orig").count() == 0
+    out = score(packed, FX.one_layer(), features="embedding", keep=["vec_id"], output_packed=True)
+    assert out.schema["output"].dataType.simpleString() == "binary"
+    assert len(out.first().output) == 10 * 4

@@ -52,13 +52,14 @@ def q_scan_features(spark, sf_dir):
     return _emb(spark, sf_dir).select("vec_id", "label", F.size("embedding").alias("dim"))
 
 
-def _predicted(spark, sf_dir):
+def _predicted(spark, sf_dir, keep=("label",)):
+    """Scored rows; only ``keep`` columns cross the Python boundary (no pruning through it)."""
     return predict(_emb(spark, sf_dir), FX.one_layer(), features="embedding", label="label",
-                   keep=["vec_id", "label"])
+                   keep=list(keep))
 
 
 def q_predict(spark, sf_dir):
-    return _predicted(spark, sf_dir).select("vec_id", "label", "pred", _rnd(F.col("prob")).alias("prob"),
+    return _predicted(spark, sf_dir, ("vec_id", "label")).select("vec_id", "label", "pred", _rnd(F.col("prob")).alias("prob"),
                                             _rnd(F.col("nll")).alias("nll"))
 
 

@@ -5,11 +5,16 @@ retry. The dense position is computed without a single-partition window over the
 
 1. bucket = first 4 hex digits of the key (65,536 fixed, data-independent ranges; md5 is
    uniform, so buckets are balanced when ids are unique);
-2. per-bucket counts (partial + final aggregate of an id-only scan) → cumulative offsets
-   over at most 65,536 rows (bounded, broadcast);
-3. ``row_number`` inside each bucket (hash exchange on the bucket, sort within it).
+2. per-bucket counts (partial + final aggregate of an id-only scan). A bucket above
+   ``max_group_rows`` — one id, or a group of copies, holding a large share of the rows —
+   is split into ``ceil(count / max_group_rows)`` sub-buckets by the row's input partition
+   (``spark_partition_id``: the same set of rows on every pass and retry, for file scans and
+   shuffle outputs alike); sub-bucket counts → cumulative offsets over a table bounded by
+   ``65,536 + n / max_group_rows`` rows (broadcast);
+3. ``row_number`` inside each sub-bucket (hash exchange on it, sort within it), so no
+   window partition holds more than about ``max_group_rows`` rows.
 
-Ids must be unique: duplicates share a key, and their relative order is then arbitrary.
+Rows that tie on (key, id) — copies — get consecutive positions in an arbitrary order.
 """
 
 from __future__ import annotations
@@ -19,31 +24,46 @@ from pyspark.sql import functions as F
 
 from ..functions.random import hex_prefix_int, order_key
 
-KEY, BUCKET = "_order_key", "_order_bucket"
-BUCKET_DIGITS = 4  # 16^4 = 65,536 buckets: offsets table ≤ 65,536 rows (≈1 MB)
+KEY, BUCKET, SALT, TIE = "_order_key", "_order_bucket", "_order_salt", "_order_tie"
+BUCKET_DIGITS = 4  # 16^4 = 65,536 buckets
+MAX_GROUP_ROWS = 1_000_000
 
 
 def shuffle_order(df: DataFrame, id_col: str, seed: int = 42, num_partitions: int | None = None,
                   key: str = KEY) -> DataFrame:
-    """Rows range-partitioned and sorted by the seeded key (O1): one range exchange."""
+    """Rows range-partitioned and sorted by the seeded key (O1): one range exchange.
+
+    A per-row tiebreaker (input partition and row number within it) joins the range key,
+    so the range partitioner can split a hot id or a group of copies across partitions.
+    """
     n = num_partitions or df.sparkSession.sparkContext.defaultParallelism
-    keyed = df.withColumn(key, order_key(id_col, seed))
-    return keyed.repartitionByRange(n, key, id_col).sortWithinPartitions(key, id_col)
+    keyed = df.withColumn(key, order_key(id_col, seed)).withColumn(TIE, F.monotonically_increasing_id())
+    return keyed.repartitionByRange(n, key, id_col, TIE).sortWithinPartitions(key, id_col, TIE).drop(TIE)
 
 
 def with_position(df: DataFrame, id_col: str, seed: int = 42, out: str = "pos",
-                  keep_key: bool = False) -> DataFrame:
+                  keep_key: bool = False, max_group_rows: int = MAX_GROUP_ROWS) -> DataFrame:
     """Append the dense 0-based position ``out`` in seeded order (O3)."""
-    keyed = df.withColumn(KEY, order_key(id_col, seed)) \
-        .withColumn(BUCKET, hex_prefix_int(F.col(KEY), BUCKET_DIGITS).cast("int"))
-    counts = (df.select(hex_prefix_int(order_key(id_col, seed), BUCKET_DIGITS).cast("int").alias(BUCKET))
-              .groupBy(BUCKET).agg(F.count(F.lit(1)).alias("_n")))
-    # ≤ 65,536 rows by construction: a single-partition running sum here is bounded.
-    offsets = counts.select(BUCKET, (F.sum("_n").over(Window.orderBy(BUCKET)) - F.col("_n")).alias("_off"))
-    rn = F.row_number().over(Window.partitionBy(BUCKET).orderBy(KEY, id_col))
-    res = (keyed.join(F.broadcast(offsets), BUCKET, "inner")
+    if max_group_rows <= 0:
+        raise ValueError("max_group_rows must be positive")
+    bucket = hex_prefix_int(order_key(id_col, seed), BUCKET_DIGITS).cast("int")
+    counts = df.select(bucket.alias(BUCKET)).groupBy(BUCKET).agg(F.count(F.lit(1)).alias("_n"))
+    # at most 65,536 rows: the number of sub-buckets of every bucket
+    splits = counts.select(BUCKET, F.greatest(F.lit(1), F.ceil(F.col("_n") / F.lit(max_group_rows)))
+                           .cast("int").alias("_s"))
+    salted = (df.withColumn(KEY, order_key(id_col, seed)).withColumn(BUCKET, bucket)
+              .join(F.broadcast(splits), BUCKET, "inner")
+              .withColumn(SALT, F.when(F.col("_s") > 1, F.pmod(F.spark_partition_id(), F.col("_s")))
+                          .otherwise(F.lit(0)))
+              .drop("_s"))
+    sub = salted.groupBy(BUCKET, SALT).agg(F.count(F.lit(1)).alias("_n"))
+    # ≤ 65,536 + n / max_group_rows rows: a single-partition running sum here is bounded
+    offsets = sub.select(BUCKET, SALT, (F.sum("_n").over(Window.orderBy(BUCKET, SALT)) - F.col("_n"))
+                         .alias("_off"))
+    rn = F.row_number().over(Window.partitionBy(BUCKET, SALT).orderBy(KEY, id_col))
+    res = (salted.join(F.broadcast(offsets), [BUCKET, SALT], "inner")
            .withColumn(out, F.col("_off") + rn - F.lit(1))
-           .drop("_off", BUCKET))
+           .drop("_off", BUCKET, SALT))
     return res if keep_key else res.drop(KEY)
 
 

@@ -38,3 +38,28 @@ def test_minibatch_assignment_shape(emb):
     a = O.assign_minibatches(O.with_position(emb.select("vec_id"), "vec_id", 42), 4, 8, 5)
     per = a.groupBy("round", "worker", "batch").count().filter("round = 0")
     assert per.count() == 4 * 5 and per.agg(F.max("count")).first()[0] == 8
+
+
+def test_hot_id_is_split_and_positions_stay_dense(spark):
+    # a third of the rows share one id: the bucket is split into sub-buckets
+    n = 600
+    df = spark.range(n).select(F.when(F.col("id") % 3 == 0, F.lit(7)).otherwise(F.col("id")).alias("vec_id")) \
+        .repartition(6)
+    pos = O.with_position(df, "vec_id", 42, max_group_rows=50)
+    got = sorted(r.pos for r in pos.collect())
+    assert got == list(range(n))
+    # rows of the hot id get consecutive positions
+    hot = sorted(r.pos for r in pos.filter("vec_id = 7").collect())
+    assert hot == list(range(hot[0], hot[0] + len(hot)))
+    # and no window partition holds the whole hot group
+    b = O.hex_prefix_int(O.order_key(F.col("vec_id"), 42), O.BUCKET_DIGITS).cast("int")
+    sizes = (df.withColumn("b", b).withColumn("p", F.spark_partition_id()).filter("vec_id = 7")
+             .groupBy(F.pmod("p", F.lit(4)).alias("s")).count().collect())
+    assert max(r["count"] for r in sizes) < 200
+
+
+def test_shuffle_order_splits_hot_key(spark):
+    df = spark.range(400).select(F.lit(1).alias("vec_id"), "id").repartition(4)
+    o = O.shuffle_order(df, "vec_id", 42, num_partitions=4)
+    per = [r["count"] for r in o.groupBy(F.spark_partition_id().alias("p")).count().collect()]
+    assert len(per) > 1 and max(per) < 400

@@ -59,7 +59,8 @@ def _column(rb: pa.RecordBatch, name: str) -> pa.Array:
 def featurize(df: DataFrame, scorer_factory: Callable[[], BatchFn], *, input_col: str,
               output_col: str, keep: list[str] | None = None, in_dim: int | None = None,
               batch_rows: int = DEFAULT_BATCH_ROWS, output_float: bool = False,
-              output_packed: bool = False) -> DataFrame:
+              output_packed: bool = False, input_cols: list[str] | None = None,
+              decode: Callable[[pa.RecordBatch], np.ndarray] | None = None) -> DataFrame:
     """Run a batch function over ``input_col`` and append ``output_col``.
 
     ``scorer_factory`` is called once per task and returns ``f(x: n×d) -> n×k``; this is
@@ -68,10 +69,13 @@ def featurize(df: DataFrame, scorer_factory: Callable[[], BatchFn], *, input_col
     The input may be ``array<float|double>`` or packed float32 ``binary``; the output is
     ``array<double>`` (``array<float>`` with ``output_float``; packed float32 ``binary``
     with ``output_packed``, the fastest layout to move between the JVM and Python).
+    ``decode`` turns a batch of ``input_cols`` into the input matrix (e.g. image bytes →
+    resized tensors), so decoding and scoring share one pass through Python.
     """
     ship_package(df.sparkSession)
-    keep = [c for c in df.columns if c != input_col] if keep is None else list(keep)
-    src = df.select(*keep, input_col)
+    input_cols = list(input_cols or [input_col])
+    keep = [c for c in df.columns if c not in input_cols] if keep is None else list(keep)
+    src = df.select(*keep, *[c for c in input_cols if c not in keep])
     value_t = T.FloatType() if output_float else T.DoubleType()
     out_t = T.BinaryType() if output_packed else T.ArrayType(value_t, False)
     schema = T.StructType([_field(src, c) for c in keep] + [T.StructField(output_col, out_t, False)])
@@ -82,7 +86,7 @@ def featurize(df: DataFrame, scorer_factory: Callable[[], BatchFn], *, input_col
         fn = scorer_factory()
         for rb in batches:
             for part in _rows(rb, batch_rows):
-                x = list_matrix(_column(part, input_col), in_dim)
+                x = decode(part) if decode is not None else list_matrix(_column(part, input_col), in_dim)
                 y = np.asarray(fn(x), dtype=np.float64)
                 if y.ndim != 2 or y.shape[0] != part.num_rows:
                     raise ValueError(f"scorer returned shape {y.shape} for {part.num_rows} rows")

@@ -24,7 +24,8 @@ from ..operators.evaluation import evaluate
 from ..operators.scoring import BatchFn, featurize, layer_chain, broadcast_model, predict
 from ..operators.training import FitParams, FitResult, fit
 from ..sources.features import read_features, write_features
-from ..sources.files import IMAGE_CHANNELS, IMAGE_HEIGHT, IMAGE_WIDTH, scan_images, to_tensor, with_split_from_path
+from ..sources.files import (IMAGE_CHANNELS, IMAGE_HEIGHT, IMAGE_INPUTS, IMAGE_WIDTH, image_decoder, scan_images,
+                            with_split_from_path)
 from ..sources.models import read_model, write_model
 
 
@@ -41,8 +42,8 @@ def image_features(imgs: DataFrame, scorer_factory: Callable[[], BatchFn], *, n_
     split and label from the path, resize, then the scorer, all narrow (no shuffle)."""
     imgs = with_split_from_path(imgs)
     imgs = with_path_label(imgs, "path", "label", n_classes=n_classes, on_bad=on_bad)
-    tensors = to_tensor(imgs, height=height, width=width, channels=channels, keep=["path", "split", "label"])
-    feats = featurize(tensors, scorer_factory, input_col="features", output_col="features",
+    feats = featurize(imgs, scorer_factory, input_col="data", input_cols=IMAGE_INPUTS,
+                      decode=image_decoder(height, width, channels), output_col="features",
                       keep=["path", "split", "label"])
     if with_onehot:
         feats = feats.withColumn("label_onehot", onehot_encode(F.col("label"), n_classes))

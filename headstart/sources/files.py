@@ -99,39 +99,50 @@ def _resize_bilinear(img: np.ndarray, h: int, w: int) -> np.ndarray:
     return (a * (1 - wx) + b * wx) * (1 - wy) + (c * (1 - wx) + d * wx) * wy
 
 
+IMAGE_INPUTS = ["height", "width", "n_channels", "data"]
+
+
+def image_decoder(height: int = IMAGE_HEIGHT, width: int = IMAGE_WIDTH, channels: int = IMAGE_CHANNELS,
+                  method: str = "nearest"):
+    """Batch function: decoded-image columns → ``rows × (height·width·channels)`` RGB floats
+    (0–255, row-major). Grey images are repeated to 3 channels, alpha is dropped."""
+    if method not in ("nearest", "bilinear"):
+        raise ValueError("method must be 'nearest' or 'bilinear'")
+    resize = _resize_nearest if method == "nearest" else _resize_bilinear
+
+    def decode(rb: pa.RecordBatch) -> np.ndarray:
+        hs = rb.column(rb.schema.get_field_index("height")).to_numpy(zero_copy_only=False)
+        ws = rb.column(rb.schema.get_field_index("width")).to_numpy(zero_copy_only=False)
+        cs = rb.column(rb.schema.get_field_index("n_channels")).to_numpy(zero_copy_only=False)
+        data = rb.column(rb.schema.get_field_index("data"))
+        out = np.empty((rb.num_rows, height * width * channels), dtype=np.float32)
+        for k in range(rb.num_rows):
+            h, w, c = int(hs[k]), int(ws[k]), int(cs[k])
+            img = np.frombuffer(data[k].as_buffer(), dtype=np.uint8).reshape(h, w, c).astype(np.float32)
+            img = img[:, :, [2, 1, 0]] if c >= 3 else np.repeat(img[:, :, :1], 3, axis=2)  # BGR(A) → RGB
+            out[k] = resize(img[:, :, :channels], height, width).reshape(-1)
+        return out
+
+    return decode
+
+
 def to_tensor(images: DataFrame, *, height: int = IMAGE_HEIGHT, width: int = IMAGE_WIDTH,
               channels: int = IMAGE_CHANNELS, method: str = "nearest", out: str = "features",
               keep: list[str] | None = None) -> DataFrame:
-    """Resize decoded images to ``height × width × channels`` RGB floats (0–255), row-major,
-    as ``array<float>`` (S2). Grey images are repeated to 3 channels, alpha is dropped."""
-    if method not in ("nearest", "bilinear"):
-        raise ValueError("method must be 'nearest' or 'bilinear'")
+    """Resized images as ``array<float>`` (S2). To score images, pass :func:`image_decoder`
+    to ``featurize`` instead: decoding and scoring then share one pass through Python."""
+    decode = image_decoder(height, width, channels, method)
     ship_package(images.sparkSession)
-    src_cols = ["height", "width", "n_channels", "data"]
-    keep = [c for c in images.columns if c not in src_cols + ["mode"]] if keep is None else list(keep)
-    src = images.select(*keep, *[c for c in src_cols if c not in keep])
+    keep = [c for c in images.columns if c not in IMAGE_INPUTS + ["mode"]] if keep is None else list(keep)
+    src = images.select(*keep, *[c for c in IMAGE_INPUTS if c not in keep])
     schema = T.StructType([src.schema[c] for c in keep]
                           + [T.StructField(out, T.ArrayType(T.FloatType(), False), False)])
-    resize = _resize_nearest if method == "nearest" else _resize_bilinear
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rb in batches:
-            hs = rb.column(rb.schema.get_field_index("height")).to_numpy(zero_copy_only=False)
-            ws = rb.column(rb.schema.get_field_index("width")).to_numpy(zero_copy_only=False)
-            cs = rb.column(rb.schema.get_field_index("n_channels")).to_numpy(zero_copy_only=False)
-            data = rb.column(rb.schema.get_field_index("data")).to_pylist()
-            outs = np.empty((rb.num_rows, height * width * channels), dtype=np.float32)
-            for k in range(rb.num_rows):
-                h, w, c = int(hs[k]), int(ws[k]), int(cs[k])
-                img = np.frombuffer(data[k], dtype=np.uint8).reshape(h, w, c).astype(np.float32)
-                if c >= 3:
-                    img = img[:, :, [2, 1, 0]]  # BGR(A) → RGB
-                else:
-                    img = np.repeat(img[:, :, :1], 3, axis=2)
-                img = img[:, :, :channels]
-                outs[k] = resize(img, height, width).reshape(-1)
-            offsets = pa.array(np.arange(0, outs.size + 1, outs.shape[1] or 1, dtype=np.int32)[: rb.num_rows + 1])
-            arr = pa.ListArray.from_arrays(offsets, pa.array(outs.ravel(), type=pa.float32()))
+            m = decode(rb)
+            offsets = pa.array(np.arange(0, m.size + 1, max(1, m.shape[1]), dtype=np.int32)[: rb.num_rows + 1])
+            arr = pa.ListArray.from_arrays(offsets, pa.array(m.ravel(), type=pa.float32()))
             cols = [rb.column(rb.schema.get_field_index(c)) for c in keep] + [arr]
             yield pa.RecordBatch.from_arrays(cols, names=keep + [out])
 

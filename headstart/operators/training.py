@@ -287,7 +287,7 @@ def run_round(part: DataFrame, model: Model, state: dict, p: FitParams, it0: int
             vec = np.concatenate([np.asarray(r["values"], dtype=np.float64) for r in agg])
             steps, loss_sum, n_workers = int(agg[0]["steps"]), float(agg[0]["loss_sum"]), int(agg[0]["workers"])
     finally:
-        bc.unpersist()
+        bc.destroy()  # the round's job is over: free executors and driver alike
     new_model, new_state = unflatten(model, state, vec)
     return new_model, new_state, steps, loss_sum / max(1, n_workers * max(1, steps))
 

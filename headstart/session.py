@@ -14,6 +14,17 @@ import uuid
 from pyspark.sql import SparkSession
 
 
+# Settings recommended for any session that runs the engine (cluster or local):
+RECOMMENDED_CONF = {
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    # bound Python-side memory for wide rows (4096 floats = 16 KB, images more)
+    "spark.sql.execution.arrow.maxBytesPerBatch": str(64 << 20),
+    # remove checkpointed training layouts once their DataFrame is gone
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
+}
+
+
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "headstart",
                   extra: dict[str, str] | None = None) -> SparkSession:
     """A local session with the settings the engine expects (AQE on, UI off, UTC, Arrow on)."""
@@ -29,9 +40,8 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.driver.memory", "8g")
-        .config("spark.sql.execution.arrow.maxBytesPerBatch", str(64 << 20))
     )
-    for k, v in (extra or {}).items():
+    for k, v in {**RECOMMENDED_CONF, **(extra or {})}.items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")

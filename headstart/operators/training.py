@@ -30,6 +30,7 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401  (pa.compute)
 from pyspark import StorageLevel
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
@@ -201,12 +202,22 @@ ROUND_OUT = T.StructType([
     T.StructField("values", T.ArrayType(T.DoubleType(), False), False),
 ])
 
+# Same rows with the whole vector packed as little-endian float64 bytes (one chunk): the
+# collect path, where bytes cross the JVM without a per-value conversion.
+ROUND_OUT_PACKED = T.StructType([
+    T.StructField("worker", T.IntegerType(), False),
+    T.StructField("chunk", T.IntegerType(), False),
+    T.StructField("steps", T.IntegerType(), False),
+    T.StructField("loss_sum", T.DoubleType(), False),
+    T.StructField("values", T.BinaryType(), False),
+])
+
 # Averaging: the workers' vectors are collected to the driver while workers × vector size
 # stays under this bound; above it they are averaged by a distributed aggregate.
 COLLECT_AVERAGE_BYTES = 256 << 20
 
 
-def _round_fn(bc, id_col: str, features: str, label: str):
+def _round_fn(bc, id_col: str, features: str, label: str, packed: bool = False):
     """Train one worker's rows of the round; a task holds exactly one worker's rows."""
     def fn(batches):
         model, state, p, it0, epoch = bc.value
@@ -228,6 +239,13 @@ def _round_fn(bc, id_col: str, features: str, label: str):
         groups = ((ids[bnum == k], x[bnum == k], y[bnum == k]) for k in np.unique(bnum))
         new_model, new_state, steps, loss_sum = train_batches(model, state, groups, p, it0, epoch)
         vec = flatten(new_model, new_state)
+        if packed:
+            yield pa.RecordBatch.from_arrays([
+                pa.array([int(workers[0])], type=pa.int32()), pa.array([0], type=pa.int32()),
+                pa.array([steps], type=pa.int32()), pa.array([loss_sum], type=pa.float64()),
+                pa.array([np.ascontiguousarray(vec, dtype="<f8").tobytes()], type=pa.binary()),
+            ], names=ROUND_OUT_PACKED.fieldNames())
+            return
         n_chunks = max(1, math.ceil(len(vec) / CHUNK))
         yield pa.RecordBatch.from_arrays([
             pa.array([int(workers[0])] * n_chunks, type=pa.int32()),
@@ -266,26 +284,26 @@ def run_round(part: DataFrame, model: Model, state: dict, p: FitParams, it0: int
     ship_package(spark)
     bc = spark.sparkContext.broadcast((model, state, p, it0, epoch))
     try:
-        chunks = part.mapInArrow(_round_fn(bc, id_col, features, label), ROUND_OUT)
         if workers * vec_bytes <= COLLECT_AVERAGE_BYTES:
-            rows = chunks.collect()
-            if not rows:
+            t = part.mapInArrow(_round_fn(bc, id_col, features, label, packed=True), ROUND_OUT_PACKED).toArrow()
+            if t.num_rows == 0:
                 return model, state, 0, float("nan")
-            by_worker: dict[int, list] = {}
-            for r in sorted(rows, key=lambda r: (r["worker"], r["chunk"])):
-                by_worker.setdefault(r["worker"], []).append(r)
-            vecs = [np.concatenate([np.asarray(r["values"], dtype=np.float64) for r in rs])
-                    for _, rs in sorted(by_worker.items())]
-            vec = np.mean(np.stack(vecs), axis=0)
-            steps = max(int(rs[0]["steps"]) for rs in by_worker.values())
-            loss_sum = sum(float(rs[0]["loss_sum"]) for rs in by_worker.values())
-            n_workers = len(by_worker)
+            order = np.argsort(t.column("worker").to_numpy(), kind="stable")  # fixed addition order
+            blobs = t.column("values").to_pylist()
+            vecs = np.stack([np.frombuffer(blobs[i], dtype="<f8") for i in order])
+            vec = vecs.mean(axis=0)
+            steps = int(t.column("steps").to_numpy().max())
+            loss_sum = float(t.column("loss_sum").to_numpy().sum())
+            n_workers = len(vecs)
         else:
-            agg = average_chunks(chunks).orderBy("chunk").collect()
-            if not agg:
+            chunks = part.mapInArrow(_round_fn(bc, id_col, features, label), ROUND_OUT)
+            agg = average_chunks(chunks).orderBy("chunk").toArrow()
+            if agg.num_rows == 0:
                 return model, state, 0, float("nan")
-            vec = np.concatenate([np.asarray(r["values"], dtype=np.float64) for r in agg])
-            steps, loss_sum, n_workers = int(agg[0]["steps"]), float(agg[0]["loss_sum"]), int(agg[0]["workers"])
+            vec = pa.concat_arrays(agg.column("values").chunks).flatten().to_numpy()
+            steps = int(agg.column("steps")[0].as_py())
+            loss_sum = float(agg.column("loss_sum")[0].as_py())
+            n_workers = int(agg.column("workers")[0].as_py())
     finally:
         bc.destroy()  # the round's job is over: free executors and driver alike
     new_model, new_state = unflatten(model, state, vec)

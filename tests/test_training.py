@@ -81,3 +81,35 @@ def test_keep_prob_override(emb):
               keep_prob=0.5)
     assert r2.model.layers[0].keep_prob == 0.5
     assert not np.array_equal(r1.model.params["predictions/W"], r2.model.params["predictions/W"])
+
+
+def test_distributed_average_equals_collected(emb, monkeypatch):
+    from headstart.operators import training as TR
+
+    m = init_params(head("fc2", 64, 10, keep_prob=0.9), seed=42)
+    p = FitParams(epochs=1, workers=3, batch_size=16, avg_freq=2, rate=0.05, updater="adam",
+                  eval_interval=1 << 30)
+    a = fit(emb, m, p, id_col="vec_id", features="embedding")
+    monkeypatch.setattr(TR, "COLLECT_AVERAGE_BYTES", 0)   # force groupBy(chunk) + Summarizer
+    monkeypatch.setattr(TR, "CHUNK", 100)                 # several chunks per vector
+    b = fit(emb, m, p, id_col="vec_id", features="embedding")
+    assert a.iterations == b.iterations
+    for k in m.keys():
+        assert np.abs(a.model.params[k] - b.model.params[k]).max() < 1e-12
+    for k in a.state:
+        assert np.abs(a.state[k] - b.state[k]).max() < 1e-12
+
+
+def test_each_task_holds_exactly_one_worker(emb):
+    from pyspark.sql import functions as F
+
+    from headstart.operators.training import prepare
+
+    p = FitParams(workers=5, batch_size=8, avg_freq=3)
+    table, rounds = prepare(emb, p, id_col="vec_id", features="embedding", label="label")
+    per = (table.groupBy(F.spark_partition_id().alias("part"))
+           .agg(F.countDistinct("worker").alias("w"), F.min("worker").alias("worker")).collect())
+    assert len(per) == 5 and all(r.w == 1 for r in per)
+    assert sorted(r.worker for r in per) == list(range(5))
+    assert rounds == -(-emb.count() // (5 * 8 * 3))
+    table.unpersist()

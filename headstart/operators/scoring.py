@@ -149,7 +149,10 @@ def predict(df: DataFrame, model: Model, *, features: str = "features", label: s
                 cols += [pa.array(pred.astype(np.int32)), pa.array(out[idx, pred])]
                 names = keep + ["pred", "prob"]
                 if label is not None:
-                    y = _column(part, label).to_numpy(zero_copy_only=False)
+                    ycol = _column(part, label)
+                    if ycol.null_count:
+                        raise ValueError(f"null in column {label}")
+                    y = ycol.to_numpy(zero_copy_only=False)
                     if part.num_rows and (np.isnan(y.astype(np.float64)).any()
                                           or y.min() < 0 or y.max() >= n_out):
                         raise ValueError(f"label outside 0..{n_out - 1}")

@@ -229,6 +229,8 @@ def _round_fn(bc, id_col: str, features: str, label: str, packed: bool = False):
         order = np.argsort(pos, kind="stable")
         ids = t.column(id_col).to_numpy()[order]
         x = list_matrix(t.column(features), model.n_in)[order]
+        if t.column(label).null_count:
+            raise ValueError(f"null in column {label}")
         y = t.column(label).to_numpy().astype(np.int64)[order]
         if y.min() < 0 or y.max() >= model.n_out:
             raise ValueError(f"label outside 0..{model.n_out - 1}")

@@ -34,13 +34,22 @@ def require_not_null(df: DataFrame, cols: list[str], on_null: str = "error") ->
 def read_features(spark: SparkSession, path: str, *, features: str = "embedding", label: str = "label",
                   columns: list[str] | None = None, recursive: bool = False,
                   on_null: str = "error") -> DataFrame:
-    """Scan a feature table; ``columns`` = extra columns to keep (e.g. the id)."""
+    """Scan a feature table; ``columns`` = extra columns to keep (e.g. the id).
+
+    ``on_null="error"`` (default): a null feature vector or label fails the job where it is
+    consumed (scoring, training and the label functions refuse nulls). No check is added
+    to the plan here, so label filters still reach the Parquet reader and an id-only query
+    still reads only the id. ``"drop"`` adds ``IsNotNull`` filters (pushed to the reader).
+    """
+    if on_null not in ("error", "drop"):
+        raise ValueError(f"on_null must be 'error' or 'drop', not {on_null!r}")
     reader = spark.read
     if recursive:
         reader = reader.option("recursiveFileLookup", "true")
     df = reader.parquet(path)
     keep = list(columns if columns is not None else [c for c in df.columns if c not in (features, label)])
-    return require_not_null(df.select(*keep, features, label), [features, label], on_null)
+    df = df.select(*keep, features, label)
+    return require_not_null(df, [features, label], "drop") if on_null == "drop" else df
 
 
 def read_split_folders(spark: SparkSession, root: str, *, fmt: str = "parquet") -> DataFrame:

@@ -59,3 +59,19 @@ def test_packed_layout_scores_like_arrays(spark, emb):
     out = score(packed, FX.one_layer(), features="embedding", keep=["vec_id"], output_packed=True)
     assert out.schema["output"].dataType.simpleString() == "binary"
     assert len(out.first().output) == 10 * 4
+
+
+def test_null_label_or_features_fail_where_consumed(spark):
+    from headstart.operators.training import FitParams, fit
+    from headstart.model import dense, init_params
+
+    df = spark.createDataFrame([(1, [0.0] * 64, None), (2, [0.0] * 64, 1)],
+                               "vec_id long, embedding array<float>, label int")
+    with pytest.raises(Exception, match="null in column label"):
+        predict(df, FX.one_layer(), features="embedding", keep=["vec_id"]).collect()
+    m = init_params([dense("out", 64, 10, "softmax")], scheme="zeros")
+    with pytest.raises(Exception, match="null in column label"):
+        fit(df, m, FitParams(workers=1, batch_size=2, avg_freq=1), id_col="vec_id", features="embedding")
+    nf = spark.createDataFrame([(1, None, 0)], "vec_id long, embedding array<float>, label int")
+    with pytest.raises(Exception, match="null feature vector"):
+        predict(nf, FX.one_layer(), features="embedding", keep=["vec_id"]).collect()

@@ -119,3 +119,11 @@ def ship_package(spark: SparkSession) -> None:
                     z.write(full, os.path.relpath(full, parent))
     sc.addPyFile(zpath)
     _SHIPPED.add(app)
+
+
+def remove_path(spark: SparkSession, path: str) -> bool:
+    """Delete a scratch folder through Spark's Hadoop file system (any shared store)."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return bool(fs.delete(p, True))

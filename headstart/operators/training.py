@@ -395,11 +395,35 @@ def evaluate_model(df: DataFrame, model: Model, *, features: str, label: str) ->
     return row.asDict() if row is not None else {}
 
 
+@dataclass
+class Layout:
+    """A prepared training layout (see :func:`prepare`), reusable by fits that share the
+    data, seed, workers, batch size and averaging frequency (e.g. a sweep over updaters)."""
+    table: DataFrame
+    rounds: int
+    key: tuple
+
+    def release(self) -> None:
+        self.table.unpersist()
+
+
+def layout_key(p: FitParams) -> tuple:
+    return (p.seed, p.workers, p.batch_size, p.avg_freq)
+
+
+def prepare_layout(df: DataFrame, p: FitParams, *, id_col: str = "id", features: str = "features",
+                   label: str = "label", materialize: str = "checkpoint") -> Layout:
+    table, rounds = prepare(df, p, id_col=id_col, features=features, label=label, materialize=materialize)
+    return Layout(table, rounds, layout_key(p))
+
+
 def fit(df: DataFrame, model: Model, p: FitParams, *, id_col: str = "id", features: str = "features",
         label: str = "label", valid: DataFrame | None = None, state: dict | None = None,
-        iterations: int = 0, materialize: str = "checkpoint", history_path: str | None = None) -> FitResult:
+        iterations: int = 0, materialize: str = "checkpoint", history_path: str | None = None,
+        layout: Layout | None = None) -> FitResult:
     """Train ``model`` on ``df`` for ``p.epochs`` epochs (T5, T9); warm start = pass a saved
-    model, its ``state`` and ``iterations`` (T10). History rows every ``eval_interval``."""
+    model, its ``state`` and ``iterations`` (T10). History rows every ``eval_interval``.
+    ``layout``: a :class:`Layout` prepared from the same ``df`` (kept for the caller)."""
     last = model.layers[-1]
     if last.kind != DENSE or last.activation != "softmax":
         raise ValueError("the model must end in a softmax dense layer")
@@ -408,7 +432,13 @@ def fit(df: DataFrame, model: Model, p: FitParams, *, id_col: str = "id", featur
         state = init_state(model, p.updater)
     else:
         state = {k: state[k] for k in init_state(model, p.updater)}
-    table, n_rounds = prepare(df, p, id_col=id_col, features=features, label=label, materialize=materialize)
+    if layout is not None:
+        if layout.key != layout_key(p):
+            raise ValueError(f"layout was prepared for (seed, workers, batch, avg_freq) = {layout.key}, "
+                             f"not {layout_key(p)}")
+        table, n_rounds = layout.table, layout.rounds
+    else:
+        table, n_rounds = prepare(df, p, id_col=id_col, features=features, label=label, materialize=materialize)
     hist = []
     it = iterations
     try:
@@ -427,7 +457,8 @@ def fit(df: DataFrame, model: Model, p: FitParams, *, id_col: str = "id", featur
                                  "accuracy": m.get("accuracy"), "precision": m.get("precision"),
                                  "recall": m.get("recall"), "l2_penalty": l2_penalty(model, p.l2)})
     finally:
-        table.unpersist()
+        if layout is None:
+            table.unpersist()
     history = pd.DataFrame(hist, columns=HISTORY_SCHEMA.fieldNames())
     if history_path and len(history):
         df.sparkSession.createDataFrame(history, schema=HISTORY_SCHEMA).write.mode("append").parquet(history_path)

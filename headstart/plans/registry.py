@@ -21,7 +21,7 @@ from ..operators import ordering as O
 from ..operators.schedule import parse_schedule, rate_column
 from ..operators.scoring import predict, score
 from ..operators.stats import batchnorm_from_moments, feature_moments, moments_long
-from ..operators.training import UPDATERS, FitParams, fit, l2_penalty
+from ..operators.training import UPDATERS, FitParams, fit, l2_penalty, prepare_layout
 from ..session import scratch_path
 from ..sources.features import SPLITS, read_features, read_split_folders, write_features
 from ..sources.files import scan_binary, scan_images, to_tensor, with_split_from_path
@@ -347,12 +347,14 @@ def q_train_history(spark, sf_dir):
 def q_train_updaters(spark, sf_dir):
     train, valid = _train_valid(spark, sf_dir)
     frames = []
+    base = FitParams(epochs=1, workers=4, batch_size=16, avg_freq=2, rate=0.01, eval_interval=1, seed=FX.SEED)
+    layout = prepare_layout(train, base, id_col="vec_id", features="embedding")  # shared by the sweep
     for u in UPDATERS:
         model = init_params(head("predictions", FX.WIDTH, FX.N_CLASSES), seed=FX.SEED)
-        p = FitParams(epochs=1, workers=4, batch_size=16, avg_freq=2, rate=0.01, updater=u,
-                      eval_interval=1, seed=FX.SEED)
-        res = fit(train, model, p, id_col="vec_id", features="embedding", valid=valid)
+        res = fit(train, model, base.replace(updater=u), id_col="vec_id", features="embedding", valid=valid,
+                  layout=layout)
         frames.append(_history_row(res.history_df(spark)).withColumn("updater", F.lit(u)))
+    layout.release()
     out = frames[0]
     for f in frames[1:]:
         out = out.unionByName(f)

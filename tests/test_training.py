@@ -113,3 +113,19 @@ def test_each_task_holds_exactly_one_worker(emb):
     assert sorted(r.worker for r in per) == list(range(5))
     assert rounds == -(-emb.count() // (5 * 8 * 3))
     table.unpersist()
+
+
+def test_shared_layout_gives_the_same_fit(emb):
+    from headstart.operators.training import prepare_layout
+
+    m = init_params(head("predictions", 64, 10), seed=3)
+    p = FitParams(epochs=1, workers=2, batch_size=16, avg_freq=2, rate=0.05, updater="rmsprop",
+                  eval_interval=1 << 30)
+    layout = prepare_layout(emb, p, id_col="vec_id", features="embedding")
+    a = fit(emb, m, p, id_col="vec_id", features="embedding", layout=layout)
+    b = fit(emb, m, p, id_col="vec_id", features="embedding")
+    for k in m.keys():
+        assert np.array_equal(a.model.params[k], b.model.params[k])
+    with pytest.raises(ValueError, match="layout was prepared"):
+        fit(emb, m, p.replace(workers=3), id_col="vec_id", features="embedding", layout=layout)
+    layout.release()

@@ -41,9 +41,8 @@ def shuffle_order(df: DataFrame, id_col: str, seed: int = 42, num_partitions: in
     return keyed.repartitionByRange(n, key, id_col, TIE).sortWithinPartitions(key, id_col, TIE).drop(TIE)
 
 
-def with_position(df: DataFrame, id_col: str, seed: int = 42, out: str = "pos",
-                  keep_key: bool = False, max_group_rows: int = MAX_GROUP_ROWS) -> DataFrame:
-    """Append the dense 0-based position ``out`` in seeded order (O3)."""
+def sub_buckets(df: DataFrame, id_col: str, seed: int = 42, max_group_rows: int = MAX_GROUP_ROWS) -> DataFrame:
+    """``df`` with the order key, its bucket and the sub-bucket (salt) of every row."""
     if max_group_rows <= 0:
         raise ValueError("max_group_rows must be positive")
     bucket = hex_prefix_int(order_key(id_col, seed), BUCKET_DIGITS).cast("int")
@@ -51,11 +50,17 @@ def with_position(df: DataFrame, id_col: str, seed: int = 42, out: str = "pos",
     # at most 65,536 rows: the number of sub-buckets of every bucket
     splits = counts.select(BUCKET, F.greatest(F.lit(1), F.ceil(F.col("_n") / F.lit(max_group_rows)))
                            .cast("int").alias("_s"))
-    salted = (df.withColumn(KEY, order_key(id_col, seed)).withColumn(BUCKET, bucket)
-              .join(F.broadcast(splits), BUCKET, "inner")
-              .withColumn(SALT, F.when(F.col("_s") > 1, F.pmod(F.spark_partition_id(), F.col("_s")))
-                          .otherwise(F.lit(0)))
-              .drop("_s"))
+    return (df.withColumn(KEY, order_key(id_col, seed)).withColumn(BUCKET, bucket)
+            .join(F.broadcast(splits), BUCKET, "inner")
+            .withColumn(SALT, F.when(F.col("_s") > 1, F.pmod(F.spark_partition_id(), F.col("_s")))
+                        .otherwise(F.lit(0)))
+            .drop("_s"))
+
+
+def with_position(df: DataFrame, id_col: str, seed: int = 42, out: str = "pos",
+                  keep_key: bool = False, max_group_rows: int = MAX_GROUP_ROWS) -> DataFrame:
+    """Append the dense 0-based position ``out`` in seeded order (O3)."""
+    salted = sub_buckets(df, id_col, seed, max_group_rows)
     sub = salted.groupBy(BUCKET, SALT).agg(F.count(F.lit(1)).alias("_n"))
     # ≤ 65,536 + n / max_group_rows rows: a single-partition running sum here is bounded
     offsets = sub.select(BUCKET, SALT, (F.sum("_n").over(Window.orderBy(BUCKET, SALT)) - F.col("_n"))

@@ -51,11 +51,12 @@ def test_hot_id_is_split_and_positions_stay_dense(spark):
     # rows of the hot id get consecutive positions
     hot = sorted(r.pos for r in pos.filter("vec_id = 7").collect())
     assert hot == list(range(hot[0], hot[0] + len(hot)))
-    # and no window partition holds the whole hot group
-    b = O.hex_prefix_int(O.order_key(F.col("vec_id"), 42), O.BUCKET_DIGITS).cast("int")
-    sizes = (df.withColumn("b", b).withColumn("p", F.spark_partition_id()).filter("vec_id = 7")
-             .groupBy(F.pmod("p", F.lit(4)).alias("s")).count().collect())
-    assert max(r["count"] for r in sizes) < 200
+    # the hot bucket is split into ceil(hot / 50) sub-buckets, none holding the whole group
+    n_hot = len(hot)
+    sub = (O.sub_buckets(df, "vec_id", 42, max_group_rows=50).filter("vec_id = 7")
+           .groupBy(O.BUCKET, O.SALT).count().collect())
+    assert len(sub) == -(-n_hot // 50) and max(r["count"] for r in sub) < n_hot
+    assert sum(r["count"] for r in sub) == n_hot
 
 
 def test_shuffle_order_splits_hot_key(spark):

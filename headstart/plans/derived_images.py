@@ -63,13 +63,24 @@ def write_images(df: DataFrame, root: str, *, id_col: str = "vec_id", features:
         from pyarrow import fs as pafs
 
         n = 0
+        filesystems: dict[str, pafs.FileSystem] = {}  # one per scheme + authority in a task
+        made: set[str] = set()
         for rb in batches:
             paths = rb.column(0).to_pylist()
             px = rb.column(1).to_pylist()
             labels = rb.column(2).to_pylist()
             for path, p, lab in zip(paths, px, labels):
-                filesystem, rel = pafs.FileSystem.from_uri(arrow_uri(path))
-                filesystem.create_dir(rel.rsplit("/", 1)[0], recursive=True)
+                uri = arrow_uri(path)
+                scheme, _, rest = uri.partition("://")
+                root = scheme + "://" + (rest.split("/", 1)[0] if scheme != "file" else "")
+                if root not in filesystems:
+                    filesystems[root] = pafs.FileSystem.from_uri(uri)[0]
+                filesystem = filesystems[root]
+                rel = pafs.FileSystem.from_uri(uri)[1] if scheme != "file" else rest
+                folder = rel.rsplit("/", 1)[0]
+                if folder not in made:
+                    filesystem.create_dir(folder, recursive=True)
+                    made.add(folder)
                 p = np.asarray(p, dtype=np.int64).reshape(SIDE, SIDE)
                 rgb = np.stack([p, p // 2, np.full_like(p, 25 * lab)], axis=2)
                 with filesystem.open_output_stream(rel) as out:

@@ -5,12 +5,12 @@ retry. The dense position is computed without a single-partition window over the
 
 1. bucket = first 4 hex digits of the key (65,536 fixed, data-independent ranges; md5 is
    uniform, so buckets are balanced when ids are unique);
-2. per-bucket counts (partial + final aggregate of an id-only scan). A bucket above
-   ``max_group_rows`` — one id, or a group of copies, holding a large share of the rows —
-   is split into ``ceil(count / max_group_rows)`` sub-buckets by the row's input partition
-   (``spark_partition_id``: the same set of rows on every pass and retry, for file scans and
-   shuffle outputs alike); sub-bucket counts → cumulative offsets over a table bounded by
-   ``65,536 + n / max_group_rows`` rows (broadcast);
+2. a bucket above ``max_group_rows`` rows — one id, or a group of copies, holding a large
+   share of the rows — is split into ``ceil(count / max_group_rows)`` sub-buckets by the
+   row's input partition (the input is checkpointed first, so the split is the same on
+   every pass and retry); per-(sub-)bucket counts (partial + final aggregate of an id-only
+   scan) → cumulative offsets over a table bounded by ``65,536 + n / max_group_rows`` rows
+   (broadcast);
 3. ``row_number`` inside each sub-bucket (hash exchange on it, sort within it), so no
    window partition holds more than about ``max_group_rows`` rows.
 
@@ -23,6 +23,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.random import hex_prefix_int, order_key
+from ..session import checkpoint_root
 
 KEY, BUCKET, SALT, TIE = "_order_key", "_order_bucket", "_order_salt", "_order_tie"
 BUCKET_DIGITS = 4  # 16^4 = 65,536 buckets
@@ -42,19 +43,30 @@ def shuffle_order(df: DataFrame, id_col: str, seed: int = 42, num_partitions: in
 
 
 def sub_buckets(df: DataFrame, id_col: str, seed: int = 42, max_group_rows: int = MAX_GROUP_ROWS) -> DataFrame:
-    """``df`` with the order key, its bucket and the sub-bucket (salt) of every row."""
+    """``df`` with the order key, its bucket and the sub-bucket (salt) of every row.
+
+    Hot buckets (above ``max_group_rows`` rows) are found by one aggregate of an id-only
+    scan; only they come back (at most ``n / max_group_rows`` rows, bounded) and are inlined
+    as a literal map, so the common case adds no join. When there are hot buckets, the input
+    is checkpointed first: partition ids, and with them the salts, are then the same on
+    every later pass and retry, whatever produced the input.
+    """
     if max_group_rows <= 0:
         raise ValueError("max_group_rows must be positive")
     bucket = hex_prefix_int(order_key(id_col, seed), BUCKET_DIGITS).cast("int")
-    counts = df.select(bucket.alias(BUCKET)).groupBy(BUCKET).agg(F.count(F.lit(1)).alias("_n"))
-    # at most 65,536 rows: the number of sub-buckets of every bucket
-    splits = counts.select(BUCKET, F.greatest(F.lit(1), F.ceil(F.col("_n") / F.lit(max_group_rows)))
-                           .cast("int").alias("_s"))
-    return (df.withColumn(KEY, order_key(id_col, seed)).withColumn(BUCKET, bucket)
-            .join(F.broadcast(splits), BUCKET, "inner")
-            .withColumn(SALT, F.when(F.col("_s") > 1, F.pmod(F.spark_partition_id(), F.col("_s")))
-                        .otherwise(F.lit(0)))
-            .drop("_s"))
+    hot = (df.select(bucket.alias(BUCKET)).groupBy(BUCKET).agg(F.count(F.lit(1)).alias("_n"))
+           .filter(F.col("_n") > max_group_rows).collect())
+    keyed = df
+    if hot:
+        checkpoint_root(df.sparkSession)
+        keyed = df.checkpoint(eager=True)
+    keyed = keyed.withColumn(KEY, order_key(id_col, seed)).withColumn(BUCKET, bucket)
+    if not hot:
+        return keyed.withColumn(SALT, F.lit(0))
+    parts = F.create_map(*[x for r in hot for x in (F.lit(int(r[BUCKET])),
+                                                     F.lit(-(-int(r["_n"]) // max_group_rows)))])
+    n_sub = F.coalesce(F.element_at(parts, F.col(BUCKET)), F.lit(1))
+    return keyed.withColumn(SALT, F.pmod(F.spark_partition_id(), n_sub))
 
 
 def with_position(df: DataFrame, id_col: str, seed: int = 42, out: str = "pos",

@@ -30,7 +30,6 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-import pyarrow.compute  # noqa: F401  (pa.compute)
 from pyspark import StorageLevel
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer

@@ -129,3 +129,42 @@ def test_shared_layout_gives_the_same_fit(emb):
     with pytest.raises(ValueError, match="layout was prepared"):
         fit(emb, m, p.replace(workers=3), id_col="vec_id", features="embedding", layout=layout)
     layout.release()
+
+
+def test_distributed_fit_equals_brute_force_schedule(emb):
+    """Whole schedule without Spark: same rows, rounds and workers, every worker's steps,
+    then the mean of parameters and optimizer state — compared with the distributed fit."""
+    from headstart.operators.training import flatten, unflatten
+
+    m = init_params(head("fc2", 64, 10, keep_prob=0.8), seed=11)
+    p = FitParams(epochs=2, workers=4, batch_size=8, avg_freq=3, rate=0.02, momentum=0.9, l2=0.01,
+                  updater="nesterovs", eval_interval=1 << 30, seed=5)
+    res = fit(emb, m, p, id_col="vec_id", features="embedding")
+
+    rows = assign_minibatches(with_position(emb, "vec_id", p.seed), p.workers, p.batch_size,
+                              p.avg_freq).orderBy("pos").collect()
+    model, state, it = m, init_state(m, p.updater), 0
+    n_rounds = max(r["round"] for r in rows) + 1
+    for epoch in range(p.epochs):
+        for rnd in range(n_rounds):
+            vecs, steps = [], 0
+            for w in range(p.workers):
+                mine = [r for r in rows if r["round"] == rnd and r["worker"] == w]
+                if not mine:
+                    continue
+                batches = []
+                for b in sorted({r["batch"] for r in mine}):
+                    sel = [r for r in mine if r["batch"] == b]
+                    batches.append((np.array([r.vec_id for r in sel]),
+                                    np.array([r.embedding for r in sel], dtype=np.float64),
+                                    np.array([r.label for r in sel])))
+                new_m, new_s, k, _ = train_batches(model, state, batches, p, it, epoch)
+                vecs.append(flatten(new_m, new_s))
+                steps = max(steps, k)
+            model, state = unflatten(model, state, np.mean(np.stack(vecs), axis=0))
+            it += steps
+    assert res.iterations == it
+    for k in m.keys():
+        assert np.abs(res.model.params[k] - model.params[k]).max() < 1e-12, k
+    for k in state:
+        assert np.abs(res.state[k] - state[k]).max() < 1e-12, k

@@ -378,13 +378,15 @@ def prepare(df: DataFrame, p: FitParams, *, id_col: str, features: str, label: s
         laid = laid.checkpoint(eager=True)
     elif materialize != "persist":
         raise ValueError("materialize must be 'checkpoint' or 'persist'")
+    # One cache batch per round and worker: the setting must hold while the cache is built,
+    # i.e. until the first action below has materialized every partition.
     prev = spark.conf.get("spark.sql.inMemoryColumnarStorage.batchSize")
     spark.conf.set("spark.sql.inMemoryColumnarStorage.batchSize", str(max(1, p.batch_size * p.avg_freq)))
     try:
         table = laid.persist(StorageLevel.MEMORY_AND_DISK)
+        top = table.agg(F.max("round").alias("r")).first()["r"]
     finally:
         spark.conf.set("spark.sql.inMemoryColumnarStorage.batchSize", prev)
-    top = table.agg(F.max("round").alias("r")).first()["r"]
     return table, (0 if top is None else int(top) + 1)
 
 

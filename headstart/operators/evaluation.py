@@ -65,7 +65,7 @@ def summarize(conf: DataFrame) -> DataFrame:
     stats = per_class_stats(conf)
     loss = (F.sum("nll_sum") / F.sum("actual")) if "nll_sum" in stats.columns \
         else F.lit(None).cast("double")
-    return stats.agg(F.sum("actual").alias("n"),
+    return stats.agg(F.coalesce(F.sum("actual"), F.lit(0).cast("bigint")).alias("n"),
                      (F.sum("tp") / F.sum("actual")).alias("accuracy"),
                      F.avg("precision").alias("precision"), F.avg("recall").alias("recall"),
                      loss.alias("loss"))

@@ -22,3 +22,9 @@ def test_evaluate_single_pass_matches_parts(spark):
     assert r.n == 4 and r.accuracy == pytest.approx(0.5)
     assert r.loss == pytest.approx((0.1 + 2.0 + 0.5 + 1.5) / 4)
     assert E.mean_loss(scored).first().loss == pytest.approx(r.loss)
+
+
+def test_evaluate_empty_table(spark):
+    empty = spark.createDataFrame([], "label int, pred int, nll double")
+    r = E.evaluate(empty).first()
+    assert r.n == 0 and r.accuracy is None and r.loss is None

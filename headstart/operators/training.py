@@ -391,9 +391,24 @@ def prepare(df: DataFrame, p: FitParams, *, id_col: str, features: str, label: s
 
 
 def evaluate_model(df: DataFrame, model: Model, *, features: str, label: str) -> dict:
-    row = E.evaluate(predict(df.select(features, label), model, features=features, label=label,
-                             keep=[label])).first()
-    return row.asDict() if row is not None else {}
+    return evaluate_splits({"data": df}, model, features=features, label=label)["data"]
+
+
+def evaluate_splits(frames: dict[str, DataFrame | None], model: Model, *, features: str,
+                    label: str) -> dict[str, dict]:
+    """Metrics of several tables in one job: the tables are tagged and unioned, scored
+    once, and the confusion aggregate is grouped by the tag."""
+    parts = [d.select(features, label).withColumn("_split", F.lit(name))
+             for name, d in frames.items() if d is not None]
+    if not parts:
+        return {}
+    union = parts[0]
+    for d in parts[1:]:
+        union = union.unionByName(d)
+    scored = predict(union, model, features=features, label=label, keep=[label, "_split"])
+    got = {r["_split"]: r.asDict() for r in E.evaluate(scored, by=("_split",)).collect()}
+    empty = {"n": 0, "loss": None, "accuracy": None, "precision": None, "recall": None}
+    return {name: got.get(name, empty) for name, d in frames.items() if d is not None}
 
 
 @dataclass
@@ -450,10 +465,8 @@ def fit(df: DataFrame, model: Model, p: FitParams, *, id_col: str = "id", featur
                                                    features=features, label=label, workers=p.workers)
                 it += steps
             if (epoch + 1) % p.eval_interval == 0:
-                for split, data in (("train", df), ("valid", valid)):
-                    if data is None:
-                        continue
-                    m = evaluate_model(data, model, features=features, label=label)
+                metrics = evaluate_splits({"train": df, "valid": valid}, model, features=features, label=label)
+                for split, m in metrics.items():
                     hist.append({"epoch": epoch, "split": split, "n": m.get("n"), "loss": m.get("loss"),
                                  "accuracy": m.get("accuracy"), "precision": m.get("precision"),
                                  "recall": m.get("recall"), "l2_penalty": l2_penalty(model, p.l2)})

@@ -28,3 +28,19 @@ def test_evaluate_empty_table(spark):
     empty = spark.createDataFrame([], "label int, pred int, nll double")
     r = E.evaluate(empty).first()
     assert r.n == 0 and r.accuracy is None and r.loss is None
+
+
+def test_split_evaluation_in_one_pass_equals_separate(spark, emb):
+    from pyspark.sql import functions as F
+
+    from headstart.operators.scoring import predict
+    from headstart.operators.training import evaluate_splits
+    from headstart.plans import fixtures as FX
+
+    a, b = emb.filter(F.col("vec_id") % 2 == 0), emb.filter(F.col("vec_id") % 2 == 1)
+    both = evaluate_splits({"a": a, "b": b, "none": None}, FX.one_layer(), features="embedding", label="label")
+    assert set(both) == {"a", "b"}
+    for name, d in (("a", a), ("b", b)):
+        one = E.evaluate(predict(d, FX.one_layer(), features="embedding", keep=["label"])).first().asDict()
+        for k in ("n", "accuracy", "precision", "recall", "loss"):
+            assert both[name][k] == pytest.approx(one[k], abs=1e-12), (name, k)

@@ -457,6 +457,10 @@ def fit(df: DataFrame, model: Model, p: FitParams, *, id_col: str = "id", featur
         table, n_rounds = prepare(df, p, id_col=id_col, features=features, label=label, materialize=materialize)
     hist = []
     it = iterations
+    # evaluate the training rows from the persisted layout (no recomputation of df's
+    # lineage); keep the validation rows for the run as well
+    train_eval = table.select(features, label)
+    valid_eval = valid.select(features, label).persist(StorageLevel.MEMORY_AND_DISK) if valid is not None else None
     try:
         for epoch in range(p.epochs):
             for r in range(n_rounds):
@@ -465,7 +469,8 @@ def fit(df: DataFrame, model: Model, p: FitParams, *, id_col: str = "id", featur
                                                    features=features, label=label, workers=p.workers)
                 it += steps
             if (epoch + 1) % p.eval_interval == 0:
-                metrics = evaluate_splits({"train": df, "valid": valid}, model, features=features, label=label)
+                metrics = evaluate_splits({"train": train_eval, "valid": valid_eval}, model, features=features,
+                                          label=label)
                 for split, m in metrics.items():
                     hist.append({"epoch": epoch, "split": split, "n": m.get("n"), "loss": m.get("loss"),
                                  "accuracy": m.get("accuracy"), "precision": m.get("precision"),
@@ -473,6 +478,8 @@ def fit(df: DataFrame, model: Model, p: FitParams, *, id_col: str = "id", featur
     finally:
         if layout is None:
             table.unpersist()
+        if valid_eval is not None:
+            valid_eval.unpersist()
     history = pd.DataFrame(hist, columns=HISTORY_SCHEMA.fieldNames())
     if history_path and len(history):
         df.sparkSession.createDataFrame(history, schema=HISTORY_SCHEMA).write.mode("append").parquet(history_path)

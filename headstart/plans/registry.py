@@ -23,7 +23,7 @@ from ..operators.scoring import predict, score
 from ..operators.stats import batchnorm_from_moments, feature_moments, moments_long
 from ..operators.training import UPDATERS, FitParams, fit, l2_penalty, prepare_layout
 from ..session import scratch_path
-from ..sources.features import SPLITS, read_features, read_split_folders, write_features
+from ..sources.features import read_features, read_split_folders, write_features, write_split_folders
 from ..sources.files import scan_binary, scan_images, to_tensor, with_split_from_path
 from ..sources.models import model_to_df, read_model, write_model
 from . import derived_images as DI
@@ -291,9 +291,7 @@ def q_feature_table_roundtrip(spark, sf_dir):
 
 def q_scan_splits(spark, sf_dir):
     root = scratch_path(spark, "split-folders")
-    df = _with_split(spark, sf_dir)
-    for sp in SPLITS:  # the reference layout: one plain folder per split
-        write_features(df.filter(F.col("split") == sp).drop("split"), f"{root}/{sp}", split=None)
+    write_split_folders(_with_split(spark, sf_dir), root)  # one plain folder per split
     back = read_split_folders(spark, root)
     return back.select("vec_id", "label", "split")
 

@@ -68,6 +68,21 @@ def write_features(df: DataFrame, path: str, *, split: str | None = "split",
     w.parquet(path)
 
 
+def write_split_folders(df: DataFrame, root: str, *, split: str = "split",
+                        mode: str = "errorifexists") -> None:
+    """The reference's layout: ``root/train``, ``root/test``, ``root/valid`` as plain folders
+    (no ``split=`` prefix). The input is persisted for the three writes, so its lineage runs
+    once; read it back with :func:`read_split_folders`."""
+    from pyspark import StorageLevel
+
+    kept = df.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        for sp in SPLITS:
+            kept.filter(F.col(split) == sp).drop(split).write.mode(mode).parquet(f"{root.rstrip('/')}/{sp}")
+    finally:
+        kept.unpersist()
+
+
 def to_packed(df: DataFrame, features: str = "features", out: str | None = None) -> DataFrame:
     """``array<float|double>`` features → packed little-endian float32 ``binary`` (the
     layout that crosses the JVM/Python boundary fastest: one copy per row, no per-element

@@ -13,8 +13,8 @@ from headstart.sources.models import read_model
 from .conftest import SF01
 
 
-def _vgg_like():
-    # three dense stages named like the network the reference cuts: fc1 → fc2 → predictions
+def _three_dense_stages():
+    # three dense stages named like the layers the reference cuts at: fc1 → fc2 → predictions
     return init_params([dense("fc1", 64, 32, "relu"), dense("fc2", 32, 16, "relu"),
                         dense("predictions", 16, 10, "softmax")], scheme="fixture")
 
@@ -32,7 +32,7 @@ def feature_root(spark):
 def test_second_stage_featurization(spark, feature_root):
     from headstart.operators.scoring import score
 
-    chain = _vgg_like()
+    chain = _three_dense_stages()
     # first featurization cut after fc1 (32 wide), like the image featurizer would write it
     fc1 = scratch_path(spark, "t-fc1")
     write_features(score(spark.read.parquet(feature_root), chain.upto("fc1"), features="features",

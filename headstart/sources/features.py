@@ -12,8 +12,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 SPLITS = ("train", "test", "valid")
-# Fixed value: split folders are named train, test and valid.
-SPLIT_FROM_PATH = r"/(train|test|valid)/"
+# Fixed value: split folders are named train, test and valid. Patterns are anchored at the
+# end of the path, so a parent folder with one of those names is never taken for the split.
+SPLIT_FOLDER = r"/(train|test|valid)/[^/]+$"            # root/{split}/part-….parquet
+SPLIT_FROM_IMAGE_PATH = r"/(train|test|valid)/[^/]+/[^/]+$"  # root/{split}/{ddd}.{name}/{file}
 
 
 def require_not_null(df: DataFrame, cols: list[str], on_null: str = "error") -> DataFrame:
@@ -56,7 +58,7 @@ def read_split_folders(spark: SparkSession, root: str, *, fmt: str = "parquet")
     """One scan of ``root/{train,test,valid}/…`` (unpartitioned folders) with a ``split``
     column taken from each file's path (S4); a single job instead of one per split."""
     df = (spark.read.format(fmt).option("recursiveFileLookup", "true").load(root))
-    return df.withColumn("split", F.regexp_extract(F.col("_metadata.file_path"), SPLIT_FROM_PATH, 1))
+    return df.withColumn("split", F.regexp_extract(F.col("_metadata.file_path"), SPLIT_FOLDER, 1))
 
 
 def write_features(df: DataFrame, path: str, *, split: str | None = "split",

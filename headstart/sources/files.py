@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..session import ship_package
-from .features import SPLIT_FROM_PATH
+from .features import SPLIT_FROM_IMAGE_PATH
 
 # Fixed values of the reference's input: 224 × 224 pixels, 3 channels.
 IMAGE_HEIGHT, IMAGE_WIDTH, IMAGE_CHANNELS = 224, 224, 3
@@ -75,7 +75,7 @@ def _image_columns(raw: DataFrame, on_invalid: str) -> DataFrame:
 
 def with_split_from_path(df: DataFrame, path: str = "path", out: str = "split") -> DataFrame:
     """``split`` = the ``train``/``test``/``valid`` folder the file sits in."""
-    return df.withColumn(out, F.regexp_extract(F.col(path), SPLIT_FROM_PATH, 1))
+    return df.withColumn(out, F.regexp_extract(F.col(path), SPLIT_FROM_IMAGE_PATH, 1))
 
 
 def _resize_nearest(img: np.ndarray, h: int, w: int) -> np.ndarray:

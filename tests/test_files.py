@@ -112,3 +112,11 @@ def test_streaming_featurization_is_incremental(spark):
     featurize_stream(spark, root, out, ck, **kw).awaitTermination(120)
     df = spark.read.parquet(out)
     assert df.count() == 7 and df.filter(F.col("path").endswith("002_0100.jpg")).first().label == 1
+
+
+def test_split_comes_from_the_split_folder_not_a_parent(spark):
+    root = os.path.join(tempfile.mkdtemp(prefix="hs-"), "test", "images")  # a parent named "test"
+    want = _write_tree(root, n=6, junk=False)
+    got = {r.path.replace("file://", "").replace("file:", ""): r.split
+           for r in with_split_from_path(scan_images(spark, root)).collect()}
+    assert got == {p: v[0] for p, v in want.items()}

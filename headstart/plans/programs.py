@@ -35,16 +35,21 @@ def _require(**kw) -> None:
         raise ValueError(f"missing required argument(s): {', '.join(missing)}")
 
 
+# Images decoded per scoring slice: 64 × 224 × 224 × 3 float32 ≈ 38 MB in a Python worker.
+IMAGE_BATCH_ROWS = 64
+
+
 def image_features(imgs: DataFrame, scorer_factory: Callable[[], BatchFn], *, n_classes: int,
                    height: int = IMAGE_HEIGHT, width: int = IMAGE_WIDTH, channels: int = IMAGE_CHANNELS,
-                   on_bad: str = "error", with_onehot: bool = False) -> DataFrame:
+                   on_bad: str = "error", with_onehot: bool = False,
+                   batch_rows: int = IMAGE_BATCH_ROWS) -> DataFrame:
     """Decoded images (batch or stream) → ``path, split, label, features`` (+ one-hot):
     split and label from the path, resize, then the scorer, all narrow (no shuffle)."""
     imgs = with_split_from_path(imgs)
     imgs = with_path_label(imgs, "path", "label", n_classes=n_classes, on_bad=on_bad)
     feats = featurize(imgs, scorer_factory, input_col="data", input_cols=IMAGE_INPUTS,
                       decode=image_decoder(height, width, channels), output_col="features",
-                      keep=["path", "split", "label"])
+                      keep=["path", "split", "label"], batch_rows=batch_rows)
     if with_onehot:
         feats = feats.withColumn("label_onehot", onehot_encode(F.col("label"), n_classes))
     return feats

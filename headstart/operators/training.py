@@ -436,10 +436,17 @@ def prepare_layout(df: DataFrame, p: FitParams, *, id_col: str = "id", features:
 def fit(df: DataFrame, model: Model, p: FitParams, *, id_col: str = "id", features: str = "features",
         label: str = "label", valid: DataFrame | None = None, state: dict | None = None,
         iterations: int = 0, materialize: str = "checkpoint", history_path: str | None = None,
-        layout: Layout | None = None) -> FitResult:
+        layout: Layout | None = None, snapshot_path: str | None = None,
+        snapshot_every: int = 1, start_epoch: int = 0) -> FitResult:
     """Train ``model`` on ``df`` for ``p.epochs`` epochs (T5, T9); warm start = pass a saved
     model, its ``state`` and ``iterations`` (T10). History rows every ``eval_interval``.
-    ``layout``: a :class:`Layout` prepared from the same ``df`` (kept for the caller)."""
+    ``layout``: a :class:`Layout` prepared from the same ``df`` (kept for the caller).
+    ``snapshot_path``: every ``snapshot_every`` epochs the model, optimizer state and
+    iteration count are written there as a model table (overwritten), so a run that loses
+    its driver resumes from the last snapshot with a warm start; pass ``start_epoch`` =
+    snapshot epoch + 1 so dropout masks (keyed by epoch) continue where they stopped."""
+    if snapshot_every <= 0:
+        raise ValueError("snapshot_every must be positive")
     last = model.layers[-1]
     if last.kind != DENSE or last.activation != "softmax":
         raise ValueError("the model must end in a softmax dense layer")
@@ -462,12 +469,17 @@ def fit(df: DataFrame, model: Model, p: FitParams, *, id_col: str = "id", featur
     train_eval = table.select(features, label)
     valid_eval = valid.select(features, label).persist(StorageLevel.MEMORY_AND_DISK) if valid is not None else None
     try:
-        for epoch in range(p.epochs):
+        for epoch in range(start_epoch, start_epoch + p.epochs):
             for r in range(n_rounds):
                 part = table.filter(F.col("round") == r)
                 model, state, steps, _ = run_round(part, model, state, p, it, epoch, id_col=id_col,
                                                    features=features, label=label, workers=p.workers)
                 it += steps
+            if snapshot_path and (epoch + 1) % snapshot_every == 0:
+                from ..sources.models import write_model
+
+                write_model(df.sparkSession, model, snapshot_path, state=state,
+                            meta={"iterations": it, "epoch": epoch}, mode="overwrite")
             if (epoch + 1) % p.eval_interval == 0:
                 metrics = evaluate_splits({"train": train_eval, "valid": valid_eval}, model, features=features,
                                           label=label)

@@ -113,34 +113,40 @@ def featurize_features(spark: SparkSession, data_path: str, save_path: str, mode
 def train_head(spark: SparkSession, train_path: str, input_layer: str, *, n_in: int, n_classes: int,
                params: FitParams = FitParams(), valid_path: str | None = None, save_path: str | None = None,
                id_col: str = "id", features: str = "features", label: str = "label",
-               history_path: str | None = None) -> FitResult:
-    """Build the head for ``input_layer`` (Xavier init, ``params.seed``), fit, optionally save."""
+               history_path: str | None = None, snapshot_path: str | None = None) -> FitResult:
+    """Build the head for ``input_layer`` (Xavier init, ``params.seed``), fit, optionally save
+    (``snapshot_path``: a model table rewritten after every epoch, for resuming)."""
     _require(train_path=train_path, input_layer=input_layer)
     model = init_params(head(input_layer, n_in, n_classes, keep_prob=params.keep_prob or 1.0), seed=params.seed)
     train = read_features(spark, train_path, features=features, label=label, columns=[id_col])
     valid = (read_features(spark, valid_path, features=features, label=label, columns=[id_col])
              if valid_path else None)
     res = fit(train, model, params, id_col=id_col, features=features, label=label, valid=valid,
-              history_path=history_path)
+              history_path=history_path, snapshot_path=snapshot_path)
     if save_path:
-        write_model(spark, res.model, save_path, state=res.state, meta={"iterations": res.iterations})
+        write_model(spark, res.model, save_path, state=res.state,
+                    meta={"iterations": res.iterations, "epoch": params.epochs - 1})
     return res
 
 
 def train_incrementally(spark: SparkSession, train_path: str, model_path: str, save_path: str, *,
                         params: FitParams = FitParams(), valid_path: str | None = None, id_col: str = "id",
                         features: str = "features", label: str = "label",
-                        history_path: str | None = None) -> FitResult:
-    """Warm start: load a model table, continue with new settings (rate, schedule,
-    updater, momentum, L2, seed, keep probability), save."""
+                        history_path: str | None = None, snapshot_path: str | None = None) -> FitResult:
+    """Warm start: load a model table (a saved model or a snapshot), continue with new
+    settings (rate, schedule, updater, momentum, L2, seed, keep probability), save. Epoch
+    numbering continues after the saved epoch."""
     _require(train_path=train_path, model_path=model_path, save_path=save_path)
     model, state, meta = read_model(spark, model_path)
     train = read_features(spark, train_path, features=features, label=label, columns=[id_col])
     valid = (read_features(spark, valid_path, features=features, label=label, columns=[id_col])
              if valid_path else None)
+    start = int(meta.get("epoch", -1)) + 1
     res = fit(train, model, params, id_col=id_col, features=features, label=label, valid=valid,
-              state=state, iterations=int(meta.get("iterations", 0)), history_path=history_path)
-    write_model(spark, res.model, save_path, state=res.state, meta={"iterations": res.iterations})
+              state=state, iterations=int(meta.get("iterations", 0)), history_path=history_path,
+              snapshot_path=snapshot_path, start_epoch=start)
+    write_model(spark, res.model, save_path, state=res.state,
+                meta={"iterations": res.iterations, "epoch": start + params.epochs - 1})
     return res
 
 

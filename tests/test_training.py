@@ -168,3 +168,23 @@ def test_distributed_fit_equals_brute_force_schedule(emb):
         assert np.abs(res.model.params[k] - model.params[k]).max() < 1e-12, k
     for k in state:
         assert np.abs(res.state[k] - state[k]).max() < 1e-12, k
+
+
+def test_snapshot_resume_equals_uninterrupted_run(spark, emb):
+    from headstart.session import scratch_path
+    from headstart.sources.models import read_model
+
+    m = init_params(head("fc2", 64, 10, keep_prob=0.8), seed=9)  # dropout: masks keyed by epoch
+    p = FitParams(epochs=2, workers=2, batch_size=16, avg_freq=2, rate=0.05, updater="adam",
+                  eval_interval=1 << 30)
+    full = fit(emb, m, p, id_col="vec_id", features="embedding")
+    snap = scratch_path(spark, "t-snap")
+    fit(emb, m, p.replace(epochs=1), id_col="vec_id", features="embedding", snapshot_path=snap)
+    model, state, meta = read_model(spark, snap)
+    assert meta["epoch"] == 0
+    # resume the second epoch from the snapshot
+    rest = fit(emb, model, p.replace(epochs=1), id_col="vec_id", features="embedding", state=state,
+               iterations=int(meta["iterations"]), start_epoch=int(meta["epoch"]) + 1)
+    assert rest.iterations == full.iterations
+    for k in m.keys():
+        assert np.abs(rest.model.params[k] - full.model.params[k]).max() < 1e-12

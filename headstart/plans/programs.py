@@ -29,6 +29,17 @@ from ..sources.files import (IMAGE_CHANNELS, IMAGE_HEIGHT, IMAGE_INPUTS, IMAGE_W
 from ..sources.models import read_model, write_model
 
 
+LAYOUTS = {"float": dict(output_float=True), "double": dict(), "packed": dict(output_packed=True)}
+
+
+def _layout(layout: str) -> dict:
+    """Feature column type of a written table: ``float`` (array<float>, the reference's
+    precision, default), ``double`` (array<double>) or ``packed`` (float32 binary)."""
+    if layout not in LAYOUTS:
+        raise ValueError(f"layout must be one of {sorted(LAYOUTS)}, not {layout!r}")
+    return LAYOUTS[layout]
+
+
 def _require(**kw) -> None:
     missing = [k for k, v in kw.items() if v is None or v == ""]
     if missing:
@@ -42,14 +53,14 @@ IMAGE_BATCH_ROWS = 64
 def image_features(imgs: DataFrame, scorer_factory: Callable[[], BatchFn], *, n_classes: int,
                    height: int = IMAGE_HEIGHT, width: int = IMAGE_WIDTH, channels: int = IMAGE_CHANNELS,
                    on_bad: str = "error", with_onehot: bool = False,
-                   batch_rows: int = IMAGE_BATCH_ROWS) -> DataFrame:
+                   batch_rows: int = IMAGE_BATCH_ROWS, layout: str = "float") -> DataFrame:
     """Decoded images (batch or stream) → ``path, split, label, features`` (+ one-hot):
     split and label from the path, resize, then the scorer, all narrow (no shuffle)."""
     imgs = with_split_from_path(imgs)
     imgs = with_path_label(imgs, "path", "label", n_classes=n_classes, on_bad=on_bad)
     feats = featurize(imgs, scorer_factory, input_col="data", input_cols=IMAGE_INPUTS,
                       decode=image_decoder(height, width, channels), output_col="features",
-                      keep=["path", "split", "label"], batch_rows=batch_rows)
+                      keep=["path", "split", "label"], batch_rows=batch_rows, **_layout(layout))
     if with_onehot:
         feats = feats.withColumn("label_onehot", onehot_encode(F.col("label"), n_classes))
     return feats
@@ -73,20 +84,21 @@ def featurize_images(spark: SparkSession, image_root: str, save_path: str, *, n_
                      model: Model | None = None, output_layer: str | None = None,
                      scorer_factory: Callable[[], BatchFn] | None = None, height: int = IMAGE_HEIGHT,
                      width: int = IMAGE_WIDTH, channels: int = IMAGE_CHANNELS, on_bad: str = "error",
-                     with_onehot: bool = False, mode: str = "errorifexists") -> None:
+                     with_onehot: bool = False, mode: str = "errorifexists", layout: str = "float") -> None:
     """Featurize ``image_root/{train,test,valid}/ddd.name/ddd_dddd.jpg`` in one job.
 
     The network is either a layer chain ``model`` truncated after ``output_layer`` or any
     ``scorer_factory`` (e.g. a pre-trained convolutional network behind onnxruntime).
-    Output: ``path, split, label int, features array<double>`` (+ ``label_onehot``),
-    written one folder per split; fails if ``save_path`` exists (default mode).
+    Output: ``path, split, label int, features`` (+ ``label_onehot``), features as
+    ``array<float>`` by default (see ``layout``), written one folder per split; fails if
+    ``save_path`` exists (default mode).
     """
     _require(image_root=image_root, save_path=save_path)
     scorer = image_scorer(spark, model=model, output_layer=output_layer, scorer_factory=scorer_factory,
                           n_in=height * width * channels)
     imgs = scan_images(spark, image_root, on_invalid="drop" if on_bad == "drop" else "error")
     feats = image_features(imgs, scorer, n_classes=n_classes, height=height, width=width, channels=channels,
-                           on_bad=on_bad, with_onehot=with_onehot)
+                           on_bad=on_bad, with_onehot=with_onehot, layout=layout)
     write_features(feats, save_path, mode=mode)
 
 
@@ -94,7 +106,8 @@ STAGES = {"fc2": ("fc1", "fc2"), "predictions": ("fc2", None)}
 
 
 def featurize_features(spark: SparkSession, data_path: str, save_path: str, model: Model,
-                       last_layer: str, *, features: str = "features", mode: str = "errorifexists") -> None:
+                       last_layer: str, *, features: str = "features", mode: str = "errorifexists",
+                       layout: str = "float") -> None:
     """Second-stage featurization: ``fc2`` runs the layers after ``fc1`` up to ``fc2``;
     ``predictions`` runs everything after ``fc2``. Other names are refused."""
     _require(data_path=data_path, save_path=save_path, last_layer=last_layer)
@@ -106,7 +119,7 @@ def featurize_features(spark: SparkSession, data_path: str, save_path: str, mode
     df = spark.read.parquet(data_path)
     keep = [c for c in df.columns if c != features]
     out = featurize(df, layer_chain(broadcast_model(spark, tail)), input_col=features, output_col=features,
-                    keep=keep, in_dim=tail.n_in)
+                    keep=keep, in_dim=tail.n_in, **_layout(layout))
     write_features(out, save_path, split="split" if "split" in keep else None, mode=mode)
 
 

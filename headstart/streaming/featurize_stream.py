@@ -25,7 +25,7 @@ def featurize_stream(spark: SparkSession, image_root: str, save_path: str, check
                      scorer_factory: Callable[[], BatchFn] | None = None, height: int = IMAGE_HEIGHT,
                      width: int = IMAGE_WIDTH, channels: int = IMAGE_CHANNELS, on_bad: str = "error",
                      max_files_per_trigger: int | None = None, available_now: bool = True,
-                     processing_time: str | None = None) -> StreamingQuery:
+                     processing_time: str | None = None, layout: str = "float") -> StreamingQuery:
     """Start the stream; the sink is partitioned by ``split`` like the batch writer."""
     if not (image_root and save_path and checkpoint):
         raise ValueError("image_root, save_path and checkpoint are required")
@@ -34,7 +34,7 @@ def featurize_stream(spark: SparkSession, image_root: str, save_path: str, check
     imgs = stream_images(spark, image_root, on_invalid="drop" if on_bad == "drop" else "error",
                          max_files_per_trigger=max_files_per_trigger)
     feats = image_features(imgs, scorer, n_classes=n_classes, height=height, width=width, channels=channels,
-                           on_bad=on_bad)
+                           on_bad=on_bad, layout=layout)
     w = (feats.writeStream.format("parquet").option("checkpointLocation", checkpoint)
          .partitionBy("split").outputMode("append"))
     if processing_time:

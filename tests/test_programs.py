@@ -38,10 +38,10 @@ def test_second_stage_featurization(spark, feature_root):
     write_features(score(spark.read.parquet(feature_root), chain.upto("fc1"), features="features",
                          output="features"), fc1)
     fc2 = scratch_path(spark, "t-fc2")
-    P.featurize_features(spark, fc1, fc2, chain, "fc2")  # layers after fc1 up to fc2
+    P.featurize_features(spark, fc1, fc2, chain, "fc2", layout="double")  # layers after fc1 up to fc2
     assert len(spark.read.parquet(fc2).first().features) == 16
     pred_path = scratch_path(spark, "t-pred")
-    P.featurize_features(spark, fc2, pred_path, chain, "predictions")  # layers after fc2
+    P.featurize_features(spark, fc2, pred_path, chain, "predictions", layout="double")  # after fc2
     pred = {r.id: r.features for r in spark.read.parquet(pred_path).collect()}
     src = {r.id: r.features for r in spark.read.parquet(feature_root).collect()}
     assert pred.keys() == src.keys()
@@ -79,3 +79,22 @@ def test_initial_model_presets(spark):
         P.save_initial_model(spark, "conv", scratch_path(spark, "t-init2"), n_in=32, n_classes=5)
     with pytest.raises(ValueError, match="missing required"):
         P.train_head(spark, None, "fc2", n_in=4, n_classes=2)
+
+
+def test_feature_layouts_of_written_tables(spark, feature_root):
+    from headstart.operators.scoring import score
+
+    chain = _three_dense_stages()
+    types = {}
+    # the stage that starts after fc1 reads fc1 features
+
+    fc1 = scratch_path(spark, "t-fc1-src")
+    write_features(score(spark.read.parquet(feature_root), chain.upto("fc1"), features="features",
+                         output="features"), fc1)
+    for layout in ("float", "double", "packed"):
+        out = scratch_path(spark, f"t-layout-{layout}")
+        P.featurize_features(spark, fc1, out, chain, "fc2", layout=layout)
+        types[layout] = spark.read.parquet(out).schema["features"].dataType.simpleString()
+    assert types == {"float": "array<float>", "double": "array<double>", "packed": "binary"}
+    with pytest.raises(ValueError, match="layout"):
+        P.featurize_features(spark, fc1, scratch_path(spark, "t-x"), chain, "fc2", layout="half")

@@ -62,3 +62,30 @@ def test_rate_column_equals_rate_at(spark, schedule, base):
     df = spark.range(40).withColumn("rate", rate_column("id", schedule, base))
     got = [r.rate for r in df.orderBy("id").collect()]
     assert got == [rate_at(t, schedule, base) for t in range(40)]
+
+
+@SETTINGS
+@given(st.lists(st.integers(-(1 << 40), 1 << 40), min_size=5, max_size=30, unique=True),
+       st.floats(0.05, 0.95), st.integers(0, 1000), st.integers(0, 50))
+def test_dropout_mask_same_bits_in_spark_and_numpy(spark, ids, keep, seed, step):
+    import numpy as np
+
+    from headstart.functions.random import dropout_mask, dropout_mask_np
+
+    df = spark.createDataFrame([(i,) for i in ids], "vec_id long")
+    got = {r.vec_id: r.m for r in df.select("vec_id", dropout_mask("vec_id", 7, keep, seed, step).alias("m")).collect()}
+    want = dropout_mask_np(np.array(ids), 7, keep, seed, step)
+    assert all(list(want[k]) == got[i] for k, i in enumerate(ids))
+
+
+@SETTINGS
+@given(st.lists(st.integers(0, 10 ** 9), min_size=1, max_size=60, unique=True), st.integers(0, 99))
+def test_position_equals_python_sort(spark, ids, seed):
+    import hashlib
+
+    from headstart.operators.ordering import with_position
+
+    df = spark.createDataFrame([(i,) for i in ids], "vec_id long").repartition(3)
+    got = {r.vec_id: r.pos for r in with_position(df, "vec_id", seed).collect()}
+    order = sorted(ids, key=lambda i: (hashlib.md5(f"{seed}:{i}".encode()).hexdigest(), i))
+    assert got == {i: k for k, i in enumerate(order)}

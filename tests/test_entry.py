@@ -38,3 +38,10 @@ def test_query_matches_duckdb(spark, duck, name):
     assert sorted(sp.columns) == sorted(dd.columns)
     assert len(sp) == len(dd)
     assert _rows(sp) == _rows(dd)
+
+
+def test_public_api_imports():
+    import headstart
+
+    missing = [n for n in headstart.__all__ if not hasattr(headstart, n)]
+    assert not missing

@@ -15,7 +15,10 @@ Plan of one fit:
    ``workers × vector`` is small (size-checked), else ``groupBy(chunk)`` with the built-in
    ``Summarizer.mean`` (partial + final aggregate, state one chunk wide) → broadcast for
    the next round;
-4. every ``eval_interval`` epochs: single-pass evaluation on train (and valid).
+4. every ``eval_interval`` epochs: train rows (from the persisted layout) and valid rows
+   (persisted for the run) are scored in one pass and evaluated grouped by split;
+5. optionally every ``snapshot_every`` epochs: model, optimizer state and counters are
+   written as a model table, so a run can resume exactly after losing its driver.
 
 Workers without rows in the last round are absent from the mean (equal weight per active
 worker); a short last batch uses its own length. Jobs per epoch = number of rounds.

@@ -453,6 +453,9 @@ def fit(df: DataFrame, model: Model, p: FitParams, *, id_col: str = "id", featur
     last = model.layers[-1]
     if last.kind != DENSE or last.activation != "softmax":
         raise ValueError("the model must end in a softmax dense layer")
+    if not isinstance(df.schema[id_col].dataType, T.IntegralType):
+        raise ValueError(f"id column {id_col!r} must be an integer type (e.g. xxhash64 of a path), "
+                         f"not {df.schema[id_col].dataType.simpleString()}")
     model = with_keep_prob(model, p.keep_prob)
     if state is None or any(k not in state for k in init_state(model, p.updater)):
         state = init_state(model, p.updater)

@@ -54,13 +54,14 @@ def image_features(imgs: DataFrame, scorer_factory: Callable[[], BatchFn], *, n_
                    height: int = IMAGE_HEIGHT, width: int = IMAGE_WIDTH, channels: int = IMAGE_CHANNELS,
                    on_bad: str = "error", with_onehot: bool = False,
                    batch_rows: int = IMAGE_BATCH_ROWS, layout: str = "float") -> DataFrame:
-    """Decoded images (batch or stream) → ``path, split, label, features`` (+ one-hot):
-    split and label from the path, resize, then the scorer, all narrow (no shuffle)."""
-    imgs = with_split_from_path(imgs)
+    """Decoded images (batch or stream) → ``id, path, split, label, features`` (+ one-hot):
+    split and label from the path, resize, then the scorer, all narrow (no shuffle).
+    ``id`` = ``xxhash64(path)``: a deterministic 64-bit row id for seeded order and masks."""
+    imgs = with_split_from_path(imgs).withColumn("id", F.xxhash64("path"))
     imgs = with_path_label(imgs, "path", "label", n_classes=n_classes, on_bad=on_bad)
     feats = featurize(imgs, scorer_factory, input_col="data", input_cols=IMAGE_INPUTS,
                       decode=image_decoder(height, width, channels), output_col="features",
-                      keep=["path", "split", "label"], batch_rows=batch_rows, **_layout(layout))
+                      keep=["id", "path", "split", "label"], batch_rows=batch_rows, **_layout(layout))
     if with_onehot:
         feats = feats.withColumn("label_onehot", onehot_encode(F.col("label"), n_classes))
     return feats
@@ -89,7 +90,7 @@ def featurize_images(spark: SparkSession, image_root: str, save_path: str, *, n_
 
     The network is either a layer chain ``model`` truncated after ``output_layer`` or any
     ``scorer_factory`` (e.g. a pre-trained convolutional network behind onnxruntime).
-    Output: ``path, split, label int, features`` (+ ``label_onehot``), features as
+    Output: ``id bigint, path, split, label int, features`` (+ ``label_onehot``), features as
     ``array<float>`` by default (see ``layout``), written one folder per split; fails if
     ``save_path`` exists (default mode).
     """

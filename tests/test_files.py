@@ -120,3 +120,30 @@ def test_split_comes_from_the_split_folder_not_a_parent(spark):
     got = {r.path.replace("file://", "").replace("file:", ""): r.split
            for r in with_split_from_path(scan_images(spark, root)).collect()}
     assert got == {p: v[0] for p, v in want.items()}
+
+
+def test_images_to_trained_head_end_to_end(spark):
+    from headstart.operators.training import FitParams
+    from headstart.plans.programs import score_model, train_head
+    from headstart.session import scratch_path
+
+    root = tempfile.mkdtemp(prefix="hs-e2e-")
+    _write_tree(root, n=24, junk=False)
+    feats = scratch_path(spark, "t-e2e-features")
+    featurize_images(spark, root, feats, n_classes=4, model=_small_chain(), output_layer="fc1",
+                     height=6, width=5)
+    table = spark.read.parquet(feats)
+    assert table.schema["id"].dataType.simpleString() == "bigint"
+    assert table.select("id").distinct().count() == 24
+    model_path = scratch_path(spark, "t-e2e-model")
+    res = train_head(spark, f"{feats}/split=train", "fc2", n_in=7, n_classes=4, save_path=model_path,
+                     params=FitParams(epochs=2, workers=2, batch_size=2, avg_freq=2, rate=0.05, keep_prob=0.9,
+                                      eval_interval=1), valid_path=f"{feats}/split=valid")
+    assert len(res.history) == 4
+    m = score_model(spark, model_path, f"{feats}/split=test").first()
+    assert m.n == 8
+    bad = spark.createDataFrame([("a", [0.0] * 7, 1)], "id string, features array<float>, label int")
+    from headstart.operators.training import fit
+
+    with pytest.raises(ValueError, match="must be an integer type"):
+        fit(bad, res.model, FitParams(), id_col="id")

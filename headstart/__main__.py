@@ -68,6 +68,7 @@ def parser() -> argparse.ArgumentParser:
     f.add_argument("--height", type=int, default=224)
     f.add_argument("--width", type=int, default=224)
     f.add_argument("--layout", default="float", choices=sorted(P.LAYOUTS))
+    f.add_argument("--channelsFirst", action="store_true", help="feed an ONNX model NCHW tensors")
     s2 = sub.add_parser("featurize-stage2")
     s2.add_argument("--data", required=True)
     s2.add_argument("--save", required=True)
@@ -104,7 +105,8 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> di
         if a.modelPath.endswith(".onnx"):
             from .operators.onnx_scorer import onnx_scorer
 
-            kw = dict(scorer_factory=onnx_scorer(spark, a.modelPath, input_shape=(a.height, a.width, 3)))
+            kw = dict(scorer_factory=onnx_scorer(spark, a.modelPath, input_shape=(a.height, a.width, 3),
+                                                 channels_first=a.channelsFirst))
         else:
             kw = dict(model=read_model(spark, a.modelPath)[0], output_layer=a.outputLayer)
         P.featurize_images(spark, a.imagePath, a.savePath, n_classes=a.numClasses, height=a.height,

@@ -17,9 +17,12 @@ from .scoring import BatchFn
 
 
 def onnx_scorer(spark: SparkSession, model_path: str, *, input_shape: tuple[int, ...] | None = None,
-                output_name: str | None = None, threads: int = 1) -> Callable[[], BatchFn]:
+                channels_first: bool = False, output_name: str | None = None,
+                threads: int = 1) -> Callable[[], BatchFn]:
     """Factory for ``featurize``: rows (n × d) are reshaped to ``(n, *input_shape)``, run
-    through the graph, and the chosen output (default: the first) is flattened per row."""
+    through the graph, and the chosen output (default: the first) is flattened per row.
+    Image rows are height × width × channels; ``channels_first`` transposes them to the
+    NCHW order most pre-trained networks take (``input_shape`` stays ``(h, w, c)``)."""
     spark.sparkContext.addFile(model_path)
     name = os.path.basename(model_path)
 
@@ -36,6 +39,8 @@ def onnx_scorer(spark: SparkSession, model_path: str, *, input_shape: tuple[int,
         def run(x: np.ndarray) -> np.ndarray:
             shaped = x.astype(np.float32).reshape((len(x),) + tuple(input_shape)) if input_shape else \
                 x.astype(np.float32)
+            if channels_first and shaped.ndim == 4:
+                shaped = np.ascontiguousarray(shaped.transpose(0, 3, 1, 2))
             y = sess.run([out], {inp: shaped})[0]
             return np.asarray(y, dtype=np.float64).reshape(len(x), -1)
 

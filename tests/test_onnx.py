@@ -65,3 +65,20 @@ def test_onnx_scorer_matches_numpy(spark, emb, tmp_path):
     for r in out[:50]:
         want = np.maximum(np.asarray(r.embedding, dtype=np.float32) @ w.astype(np.float32), 0)
         assert np.allclose(r.f, want, atol=1e-5)
+
+
+def test_channels_first_transposes_not_reshapes(spark, tmp_path):
+    from headstart.operators.onnx_scorer import onnx_scorer
+
+    # identity-like graph: MatMul with an identity matrix over 2*3*3 = 18 inputs
+    path = tmp_path / "id.onnx"
+    path.write_bytes(_matmul_relu_model(np.eye(18)))
+    x = np.arange(18, dtype=np.float64)[None, :]  # one image, h=2, w=3, c=3, values >= 0
+    plain = onnx_scorer(spark, str(path))()(x)
+    assert np.array_equal(plain, x)
+    fn = onnx_scorer(spark, str(path), input_shape=(2, 3, 3), channels_first=True)
+    with pytest.raises(Exception):  # the graph takes a flat (n, 18) input, not NCHW
+        fn()(x)
+    # the transpose itself: NHWC → NCHW
+    img = x.reshape(1, 2, 3, 3)
+    assert np.array_equal(img.transpose(0, 3, 1, 2)[0, 0], img[0, :, :, 0])

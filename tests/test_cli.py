@@ -31,3 +31,26 @@ def test_cli_checks_arguments_before_spark():
         parser().parse_args(["train", "--inputLayer", "fc2", "--numIn", "4"])  # --train missing
     with pytest.raises(SystemExit):
         parser().parse_args(["train-incremental", "--train", "x", "--model", "m"])  # --save missing
+
+
+def test_cli_featurize_with_a_model_table_and_initial_model(spark):
+    import tempfile
+
+    from headstart.sources.models import read_model, write_model
+
+    from .test_files import _small_chain, _write_tree
+
+    root = tempfile.mkdtemp(prefix="hs-cli-img-")
+    want = _write_tree(root, n=9, junk=False)
+    model_path = scratch_path(spark, "t-cli-chain")
+    write_model(spark, _small_chain(), model_path)
+    out = scratch_path(spark, "t-cli-feats")
+    main(["featurize", "--imagePath", root, "--savePath", out, "--modelPath", model_path, "--outputLayer", "fc1",
+          "--numClasses", "4", "--height", "6", "--width", "5"], spark=spark)
+    feats = spark.read.parquet(out)
+    assert feats.count() == len(want) and feats.schema["features"].dataType.simpleString() == "array<float>"
+    init = scratch_path(spark, "t-cli-init")
+    main(["save-initial-model", "--save", init, "--predictAfter", "predictions", "--numIn", "7",
+          "--numClasses", "4"], spark=spark)
+    model, _, meta = read_model(spark, init)
+    assert model.n_in == 7 and model.n_out == 4 and meta["momentum"] == 0.98

@@ -69,6 +69,8 @@ def parser() -> argparse.ArgumentParser:
     f.add_argument("--width", type=int, default=224)
     f.add_argument("--layout", default="float", choices=sorted(P.LAYOUTS))
     f.add_argument("--channelsFirst", action="store_true", help="feed an ONNX model NCHW tensors")
+    f.add_argument("--splitFolders", action="store_true",
+                   help="write savePath/train, /test, /valid (the reference's layout) instead of split=…")
     s2 = sub.add_parser("featurize-stage2")
     s2.add_argument("--data", required=True)
     s2.add_argument("--save", required=True)
@@ -110,7 +112,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> di
         else:
             kw = dict(model=read_model(spark, a.modelPath)[0], output_layer=a.outputLayer)
         P.featurize_images(spark, a.imagePath, a.savePath, n_classes=a.numClasses, height=a.height,
-                           width=a.width, layout=a.layout, **kw)
+                           width=a.width, layout=a.layout, split_folders=a.splitFolders, **kw)
     elif a.program == "featurize-stage2":
         P.featurize_features(spark, a.data, a.save, read_model(spark, a.model)[0], a.lastLayer, layout=a.layout)
     elif a.program == "train":

@@ -23,7 +23,7 @@ from ..model import Model, head, init_params, initial_preset
 from ..operators.evaluation import evaluate
 from ..operators.scoring import BatchFn, featurize, layer_chain, broadcast_model, predict
 from ..operators.training import FitParams, FitResult, fit
-from ..sources.features import read_features, write_features
+from ..sources.features import read_features, write_features, write_split_folders
 from ..sources.files import (IMAGE_CHANNELS, IMAGE_HEIGHT, IMAGE_INPUTS, IMAGE_WIDTH, image_decoder, scan_images,
                             with_split_from_path)
 from ..sources.models import read_model, write_model
@@ -85,14 +85,16 @@ def featurize_images(spark: SparkSession, image_root: str, save_path: str, *, n_
                      model: Model | None = None, output_layer: str | None = None,
                      scorer_factory: Callable[[], BatchFn] | None = None, height: int = IMAGE_HEIGHT,
                      width: int = IMAGE_WIDTH, channels: int = IMAGE_CHANNELS, on_bad: str = "error",
-                     with_onehot: bool = False, mode: str = "errorifexists", layout: str = "float") -> None:
+                     with_onehot: bool = False, mode: str = "errorifexists", layout: str = "float",
+                     split_folders: bool = False) -> None:
     """Featurize ``image_root/{train,test,valid}/ddd.name/ddd_dddd.jpg`` in one job.
 
     The network is either a layer chain ``model`` truncated after ``output_layer`` or any
     ``scorer_factory`` (e.g. a pre-trained convolutional network behind onnxruntime).
     Output: ``id bigint, path, split, label int, features`` (+ ``label_onehot``), features as
-    ``array<float>`` by default (see ``layout``), written one folder per split; fails if
-    ``save_path`` exists (default mode).
+    ``array<float>`` by default (see ``layout``), written one folder per split (``split=``
+    partitions, or the reference's plain ``train``/``test``/``valid`` folders with
+    ``split_folders``); fails if ``save_path`` exists (default mode).
     """
     _require(image_root=image_root, save_path=save_path)
     scorer = image_scorer(spark, model=model, output_layer=output_layer, scorer_factory=scorer_factory,
@@ -100,7 +102,7 @@ def featurize_images(spark: SparkSession, image_root: str, save_path: str, *, n_
     imgs = scan_images(spark, image_root, on_invalid="drop" if on_bad == "drop" else "error")
     feats = image_features(imgs, scorer, n_classes=n_classes, height=height, width=width, channels=channels,
                            on_bad=on_bad, with_onehot=with_onehot, layout=layout)
-    write_features(feats, save_path, mode=mode)
+    (write_split_folders if split_folders else write_features)(feats, save_path, mode=mode)
 
 
 STAGES = {"fc2": ("fc1", "fc2"), "predictions": ("fc2", None)}

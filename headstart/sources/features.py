@@ -73,16 +73,18 @@ def write_features(df: DataFrame, path: str, *, split: str | None = "split",
 def write_split_folders(df: DataFrame, root: str, *, split: str = "split",
                         mode: str = "errorifexists") -> None:
     """The reference's layout: ``root/train``, ``root/test``, ``root/valid`` as plain folders
-    (no ``split=`` prefix). The input is persisted for the three writes, so its lineage runs
-    once; read it back with :func:`read_split_folders`."""
-    from pyspark import StorageLevel
-
-    kept = df.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        for sp in SPLITS:
-            kept.filter(F.col(split) == sp).drop(split).write.mode(mode).parquet(f"{root.rstrip('/')}/{sp}")
-    finally:
-        kept.unpersist()
+    (no ``split=`` prefix). One partitioned write (the input's lineage runs once), then each
+    ``split=<name>`` folder is renamed to ``<name>`` through Spark's Hadoop file system — a
+    metadata operation. Read it back with :func:`read_split_folders`."""
+    write_features(df, root, split=split, mode=mode)
+    spark = df.sparkSession
+    jvm = spark.sparkContext._jvm
+    base = jvm.org.apache.hadoop.fs.Path(root)
+    fs = base.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    for sp in SPLITS:
+        src = jvm.org.apache.hadoop.fs.Path(base, f"{split}={sp}")
+        if fs.exists(src) and not fs.rename(src, jvm.org.apache.hadoop.fs.Path(base, sp)):
+            raise RuntimeError(f"could not rename {src} to {sp}")
 
 
 def to_packed(df: DataFrame, features: str = "features", out: str | None = None) -> DataFrame:

@@ -147,3 +147,16 @@ def test_images_to_trained_head_end_to_end(spark):
 
     with pytest.raises(ValueError, match="must be an integer type"):
         fit(bad, res.model, FitParams(), id_col="id")
+
+
+def test_featurize_into_plain_split_folders(spark):
+    from headstart.sources.features import read_split_folders
+
+    root = tempfile.mkdtemp(prefix="hs-folders-")
+    want = _write_tree(root, n=9, junk=False)
+    out = os.path.join(tempfile.mkdtemp(prefix="hs-out-"), "feats")
+    featurize_images(spark, root, out, n_classes=4, model=_small_chain(), output_layer="fc1", height=6, width=5,
+                     split_folders=True)
+    assert sorted(d for d in os.listdir(out) if not d.startswith(("_", "."))) == ["test", "train", "valid"]
+    back = {r.path.replace("file://", "").replace("file:", ""): r.split for r in read_split_folders(spark, out).collect()}
+    assert back == {p: v[0] for p, v in want.items()}

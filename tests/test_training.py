@@ -188,3 +188,18 @@ def test_snapshot_resume_equals_uninterrupted_run(spark, emb):
     assert rest.iterations == full.iterations
     for k in m.keys():
         assert np.abs(rest.model.params[k] - full.model.params[k]).max() < 1e-12
+
+
+def test_fit_survives_losing_the_cached_layout(emb):
+    """Executors lost ⇒ cached blocks gone: rounds then read the checkpointed layout (no
+    re-shuffle, one worker per partition still) and give exactly the same model."""
+    from headstart.operators.training import prepare_layout
+
+    m = init_params(head("fc2", 64, 10, keep_prob=0.8), seed=4)
+    p = FitParams(epochs=1, workers=3, batch_size=16, avg_freq=2, rate=0.05, eval_interval=1 << 30)
+    ref = fit(emb, m, p, id_col="vec_id", features="embedding")
+    layout = prepare_layout(emb, p, id_col="vec_id", features="embedding")
+    layout.table.unpersist(blocking=True)  # as if every executor holding the cache were lost
+    res = fit(emb, m, p, id_col="vec_id", features="embedding", layout=layout)
+    for k in m.keys():
+        assert np.array_equal(res.model.params[k], ref.model.params[k])

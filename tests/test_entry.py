@@ -45,3 +45,11 @@ def test_public_api_imports():
 
     missing = [n for n in headstart.__all__ if not hasattr(headstart, n)]
     assert not missing
+
+
+@pytest.mark.parametrize("name", ["train_history", "train_warm_start"])
+def test_rows_only_queries_are_deterministic(spark, name):
+    q = E.queries()[name]
+    a = sorted(map(tuple, q(spark, SF01).collect()))
+    b = sorted(map(tuple, q(spark, SF01).collect()))
+    assert a == b and len(a) == 4

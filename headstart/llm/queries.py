@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import idfile, langid, mixing, packing, secret_scan, topk
+from . import idfile, langid, lm_score, mixing, near_dedup, packing, pii, secret_scan, topk
 from .common import fold_of
 
 
@@ -15,6 +15,10 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_duplicates(_table(spark, sf_dir, "documents"))
+
+
 def op2_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_table(spark, sf_dir, "documents"))
 
@@ -31,6 +35,10 @@ def op6_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
 
 
+def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.find_pii(_table(spark, sf_dir, "documents"))
+
+
 def op8_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     fold = fold_of(F.col("doc_id"), 5)
@@ -42,7 +50,15 @@ def op9_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(_table(spark, sf_dir, "documents"))
 
 
+def op10_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    fold = fold_of(F.col("doc_id"), 7)
+    role = F.when(fold == 2, lm_score.TEST).when(fold == 0, lm_score.HELD).otherwise(lm_score.CORE)
+    scored = lm_score.score(docs, role)
+    return scored.withColumn("held_out", F.col("role") == lm_score.TEST).drop("role")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_pack, op3_huffman_ids, op4_secrets, op6_topk, op8_langid, op9_mix)}
+    f.__name__: f for f in (op1_near_dedup, op2_pack, op3_huffman_ids, op4_secrets, op6_topk, op7_pii, op8_langid, op9_mix, op10_lm_score)}
 
 ORACLES: dict[str, str] = {}

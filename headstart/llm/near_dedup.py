@@ -46,6 +46,8 @@ REGION = 8
 CHAIN = 2
 MIN_AGREE = 50
 SIMILAR = 75  # per cent
+#: Ids of candidates that are broadcast at most, to filter texts where they are read.
+BROADCAST_IDS = 1_000_000
 
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 _rng = np.random.default_rng(1)
@@ -224,8 +226,11 @@ def agreeing(pairs: DataFrame, reps: DataFrame) -> DataFrame:
 
 def confirmed(pairs: DataFrame, docs: DataFrame) -> DataFrame:
     """The pairs whose full shingle sets are similar."""
-    ids = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    texts = stage(docs.select(F.col("doc_id").cast("long").alias("node"), "text").join(ids, "node", "left_semi"), "forest-texts")
+    ids = stage(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "forest-ids")
+    few = ids.count() <= BROADCAST_IDS  # 8 bytes each; more of them meet the texts by a shuffle
+    texts = stage(docs.select(F.col("doc_id").cast("long").alias("node"), "text")
+                  .join(F.broadcast(ids) if few else ids, "node", "left_semi"), "forest-texts")
+    drop_stage(ids)
 
     def similar(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -287,6 +292,12 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
                                             F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
 
 
+def keep_one(docs: DataFrame) -> DataFrame:
+    """``docs`` with one document of each group, the one with the smallest id; rows without an id stay."""
+    kept = near_duplicates(docs).filter("kept and doc_id is not null").select("doc_id").distinct()
+    return docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"]).unionByName(docs.filter("doc_id is null"))
+
+
 def _same_id(full: DataFrame, reps: DataFrame) -> DataFrame:
     """Links between the sets of rows that share an id."""
     more = full.groupBy("doc_id").agg(F.min("f1").alias("lo"), F.max("f1").alias("hi")).filter("lo < hi").select("doc_id")

@@ -7,6 +7,7 @@ touches A-Z only (what ``bytes.lower()`` does). Scratch tables are Parquet below
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -57,6 +58,13 @@ def drop_stage(*tables: DataFrame) -> None:
         remove_path(t.sparkSession, t.scratch_folder)
 
 
+def free_shuffles(spark: SparkSession) -> None:
+    """Let Spark delete the shuffle files of finished steps now: it does so once the driver's
+    garbage collector has seen that no plan can read them any more."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

@@ -34,7 +34,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import drop_stage, map_arrow, stage
+from .common import free_shuffles, map_arrow, stage
 
 CHUNK_TOKENS = 1_000_000
 TOKENS_PER_OWNER = 500_000
@@ -57,38 +57,51 @@ class _Index(dict):
         return n
 
 
+class _Building:
+    """A chunk that documents are added to."""
+
+    def __init__(self) -> None:
+        self.index, self.ids, self.roles, self.parts, self.size = _Index(), [], [], [], 0
+
+    def add(self, doc_id: int | None, role: int, text: str | None) -> None:
+        words = text.encode("utf-8", "replace").lower().split() if text else []
+        words.append(None)  # the end
+        self.parts.append(np.fromiter(map(self.index.__getitem__, words), np.uint32, len(words)))
+        self.ids.append(doc_id)
+        self.roles.append(role)
+        self.size += len(words)
+
+    def row(self, chunk: int) -> pa.RecordBatch:
+        vocab = np.fromiter((END_HASH if w is None else xxhash.xxh3_64_intdigest(w) for w in self.index), np.uint64, len(self.index))
+        # words are numbered as they come, so high bytes are mostly zero: byte by byte they pack well
+        stream = np.concatenate(self.parts).astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes()
+        blobs = {"roles": np.array(self.roles, np.uint8), "lens": np.array([len(p) for p in self.parts], "<i4"), "vocab": vocab,
+                 "stream": np.frombuffer(pa.compress(stream, "zstd", asbytes=True), np.uint8)}
+        return pa.record_batch({"chunk": pa.array([chunk], pa.int64()), "tokens": pa.array([self.size], pa.int64()),
+                                "doc_ids": pa.array([self.ids], pa.list_(pa.int64()))}
+                               | {k: pa.array([v.tobytes()], pa.binary()) for k, v in blobs.items()})
+
+
 def _chunk_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Chunks: document ids, roles and lengths, the words' hashes, and the tokens as word numbers."""
+    """Chunks: document ids, roles and lengths, the words' hashes, and the tokens as word numbers.
+
+    Held-out documents have chunks of their own, with odd numbers: only those make EM events.
+    """
     number, task = 0, TaskContext.get().partitionId()
-    index, ids, roles, parts = _Index(), [], [], []
-
-    def chunk() -> pa.RecordBatch:
-        nonlocal number, index, ids, roles, parts
-        vocab = np.fromiter((END_HASH if w is None else xxhash.xxh3_64_intdigest(w) for w in index), np.uint64, len(index))
-        out = {"chunk": pa.array([task << 32 | number], pa.int64()), "doc_ids": pa.array([ids], pa.list_(pa.int64())),
-               "roles": np.array(roles, np.uint8), "lens": np.array([len(p) for p in parts], "<i4"), "vocab": vocab,
-               "stream": np.concatenate(parts).astype("<u4")}
-        number, index, ids, roles, parts = number + 1, _Index(), [], [], []
-        return pa.record_batch({k: v if isinstance(v, pa.Array) else pa.array([v.tobytes()], pa.binary())
-                                for k, v in out.items()})
-
-    size = 0
+    building = {False: _Building(), True: _Building()}
     for b in batches:
         for i, role, text in zip(b.column("doc_id").to_pylist(), b.column("role").to_pylist(), b.column("text").to_pylist()):
-            words = text.encode("utf-8", "replace").lower().split() if text else []
-            words.append(None)
-            parts.append(np.fromiter(map(index.__getitem__, words), np.uint32, len(words)))
-            ids.append(i)
-            roles.append(role)
-            size += len(words)
-            if size >= CHUNK_TOKENS:
-                yield chunk()
-                size = 0
-    if parts:
-        yield chunk()
+            held = role == HELD
+            building[held].add(i, role, text)
+            if building[held].size >= CHUNK_TOKENS:
+                yield building[held].row(task << 32 | number << 1 | held)
+                number, building[held] = number + 1, _Building()
+    for held, c in building.items():
+        if c.size:
+            yield c.row(task << 32 | number << 1 | held)
 
 
-_CHUNK_SCHEMA = "chunk long, doc_ids array<long>, roles binary, lens binary, vocab binary, stream binary"
+_CHUNK_SCHEMA = "chunk long, tokens long, doc_ids array<long>, roles binary, lens binary, vocab binary, stream binary"
 
 
 @dataclass
@@ -106,7 +119,9 @@ class _Chunk:
     @classmethod
     def of(cls, r: dict) -> _Chunk:
         lens, vocab = np.frombuffer(r["lens"], "<i4"), np.frombuffer(r["vocab"], np.uint64)
-        token, roles = np.frombuffer(r["stream"], "<u4").astype(np.int64), np.frombuffer(r["roles"], np.uint8)
+        roles, n = np.frombuffer(r["roles"], np.uint8), r["tokens"]
+        planes = np.frombuffer(pa.decompress(r["stream"], 4 * n, "zstd", asbytes=True), np.uint8).reshape(4, n)
+        token = np.ascontiguousarray(planes.T).view("<u4")[:, 0].astype(np.int64)
         starts = np.cumsum(lens) - lens
         context = np.roll(token, 1)
         context[starts] = np.flatnonzero(vocab == END_HASH)[0]  # a document begins after an end
@@ -281,11 +296,13 @@ def score(docs: DataFrame, role: Column) -> DataFrame:
     """
     chunks = stage(map_arrow(docs.select(F.col("doc_id").cast("long").alias("doc_id"), role.cast("int").alias("role"), "text"),
                              _chunk_rows, _CHUNK_SCHEMA), "lm-chunks")
-    tokens = chunks.agg(F.sum(F.length("stream") / 4).alias("n")).first().n or 0
+    tokens = chunks.agg(F.sum("tokens").alias("n")).first().n or 0
     owners = max(8, int(tokens // TOKENS_PER_OWNER))
     words, bigrams = _answers(chunks, owners, "words"), _answers(chunks, owners, "bigrams")
     v, n, v_core, n_core = (int(x or 0) for x in words.agg(*(F.sum(c) for c in ("v", "n", "v_core", "n_core"))).first())
-    weights = learn_weights(_events(chunks, words, bigrams, n_core), 1 / (v_core + 1))
+    free_shuffles(chunks.sparkSession)
+    odd = lambda t: t.filter(F.col("chunk") % 2 == 1)
+    weights = learn_weights(_events(odd(chunks), odd(words), odd(bigrams), n_core), 1 / (v_core + 1))
 
     def final(c: _Chunk, counts) -> pa.Table:
         word, context, pair = counts("train")

@@ -21,10 +21,6 @@ def order_key(id_col, seed: int) -> Column:
     return F.md5(F.concat(F.lit(f"{seed}:"), _col(id_col).cast("string")))
 
 
-def hex_prefix_int(hex_col: Column, digits: int) -> Column:
-    """The first ``digits`` hex characters as a non-negative bigint."""
-    return F.conv(F.substring(hex_col, 1, digits), 16, 10).cast("bigint")
-
 
 # Fixed values of the mask hash: the 32-bit integer mixer
 # x -> ((x >> 16) ^ x) * 0x45d9f3b mod 2^32, twice, then (x >> 16) ^ x.

@@ -1,20 +1,17 @@
 """Seeded shuffle, dense global position, fixed-size split, mini-batch assignment (O1–O3, T4).
 
-The order is ``md5('<seed>:<id>')`` — reproducible on any partitioning and after any
-retry. The dense position is computed without a single-partition window over the data:
-
-1. bucket = first 4 hex digits of the key (65,536 fixed, data-independent ranges; md5 is
-   uniform, so buckets are balanced when ids are unique);
-2. a bucket above ``max_group_rows`` rows — one id, or a group of copies, holding a large
-   share of the rows — is split into ``ceil(count / max_group_rows)`` sub-buckets by the
-   row's input partition (the input is checkpointed first, so the split is the same on
-   every pass and retry); per-(sub-)bucket counts (partial + final aggregate of an id-only
-   scan) → cumulative offsets over a table bounded by ``65,536 + n / max_group_rows`` rows
-   (broadcast);
-3. ``row_number`` inside each sub-bucket (hash exchange on it, sort within it), so no
-   window partition holds more than about ``max_group_rows`` rows.
-
-Rows that tie on (key, id) — copies — get consecutive positions in an arbitrary order.
+The order is ``md5('<seed>:<id>')``, then the id, then a hash of the whole row, so rows that
+share an id have a fixed order too. The dense position needs no window over the data:
+
+1. one range exchange on (key, id, row hash, input row number) sorts the table into
+   ranges. The last key only tells rows apart that are equal in every column, so the range
+   partitioner can split any group, and which of such rows comes first doesn't matter.
+   The number of ranges is the session's shuffle partitions, coalesced by AQE to the data's size;
+2. the sorted ranges are checkpointed, which fixes their rows on every retry;
+3. the ranges' row counts give each range's offset (one row per range), and
+   position = offset + row number within the range.
+
+Positions are exact and the same at any size and partitioning.
 """
 
 from __future__ import annotations
@@ -22,66 +19,40 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.random import hex_prefix_int, order_key
+from ..functions.random import order_key
 from ..session import checkpoint_root
 
-KEY, BUCKET, SALT, TIE = "_order_key", "_order_bucket", "_order_salt", "_order_tie"
-BUCKET_DIGITS = 4  # 16^4 = 65,536 buckets
-MAX_GROUP_ROWS = 1_000_000
+KEY, HASH, TIE, RANGE = "_order_key", "_order_hash", "_order_tie", "_order_range"
+#: ``monotonically_increasing_id`` counts rows of a partition in its low 33 bits.
+ROW_BITS = 33
 
 
 def shuffle_order(df: DataFrame, id_col: str, seed: int = 42, num_partitions: int | None = None,
                   key: str = KEY) -> DataFrame:
     """Rows range-partitioned and sorted by the seeded key (O1): one range exchange.
 
-    A per-row tiebreaker (input partition and row number within it) joins the range key,
-    so the range partitioner can split a hot id or a group of copies across partitions.
+    Without ``num_partitions`` AQE sizes the ranges by the data.
     """
-    n = num_partitions or df.sparkSession.sparkContext.defaultParallelism
-    keyed = df.withColumn(key, order_key(id_col, seed)).withColumn(TIE, F.monotonically_increasing_id())
-    return keyed.repartitionByRange(n, key, id_col, TIE).sortWithinPartitions(key, id_col, TIE).drop(TIE)
-
-
-def sub_buckets(df: DataFrame, id_col: str, seed: int = 42, max_group_rows: int = MAX_GROUP_ROWS) -> DataFrame:
-    """``df`` with the order key, its bucket and the sub-bucket (salt) of every row.
-
-    Hot buckets (above ``max_group_rows`` rows) are found by one aggregate of an id-only
-    scan; only they come back (at most ``n / max_group_rows`` rows, bounded) and are inlined
-    as a literal map, so the common case adds no join. When there are hot buckets, the input
-    is checkpointed first: partition ids, and with them the salts, are then the same on
-    every later pass and retry, whatever produced the input.
-    """
-    if max_group_rows <= 0:
-        raise ValueError("max_group_rows must be positive")
-    bucket = hex_prefix_int(order_key(id_col, seed), BUCKET_DIGITS).cast("int")
-    hot = (df.select(bucket.alias(BUCKET)).groupBy(BUCKET).agg(F.count(F.lit(1)).alias("_n"))
-           .filter(F.col("_n") > max_group_rows).collect())
-    keyed = df
-    if hot:
-        checkpoint_root(df.sparkSession)
-        keyed = df.checkpoint(eager=True)
-    keyed = keyed.withColumn(KEY, order_key(id_col, seed)).withColumn(BUCKET, bucket)
-    if not hot:
-        return keyed.withColumn(SALT, F.lit(0))
-    parts = F.create_map(*[x for r in hot for x in (F.lit(int(r[BUCKET])),
-                                                     F.lit(-(-int(r["_n"]) // max_group_rows)))])
-    n_sub = F.coalesce(F.element_at(parts, F.col(BUCKET)), F.lit(1))
-    return keyed.withColumn(SALT, F.pmod(F.spark_partition_id(), n_sub))
+    keyed = (df.withColumn(key, order_key(id_col, seed))
+             .withColumn(HASH, F.xxhash64(*df.columns)).withColumn(TIE, F.monotonically_increasing_id()))
+    by = (key, id_col, HASH, TIE)
+    ranged = keyed.repartitionByRange(num_partitions, *by) if num_partitions else keyed.repartitionByRange(*by)
+    return ranged.sortWithinPartitions(*by).drop(HASH, TIE)
 
 
 def with_position(df: DataFrame, id_col: str, seed: int = 42, out: str = "pos",
-                  keep_key: bool = False, max_group_rows: int = MAX_GROUP_ROWS) -> DataFrame:
+                  keep_key: bool = False) -> DataFrame:
     """Append the dense 0-based position ``out`` in seeded order (O3)."""
-    salted = sub_buckets(df, id_col, seed, max_group_rows)
-    sub = salted.groupBy(BUCKET, SALT).agg(F.count(F.lit(1)).alias("_n"))
-    # ≤ 65,536 + n / max_group_rows rows: a single-partition running sum here is bounded
-    offsets = sub.select(BUCKET, SALT, (F.sum("_n").over(Window.orderBy(BUCKET, SALT)) - F.col("_n"))
-                         .alias("_off"))
-    rn = F.row_number().over(Window.partitionBy(BUCKET, SALT).orderBy(KEY, id_col))
-    res = (salted.join(F.broadcast(offsets), [BUCKET, SALT], "inner")
-           .withColumn(out, F.col("_off") + rn - F.lit(1))
-           .drop("_off", BUCKET, SALT))
-    return res if keep_key else res.drop(KEY)
+    checkpoint_root(df.sparkSession)
+    ranged = shuffle_order(df, id_col, seed)
+    ranged = (ranged if keep_key else ranged.drop(KEY)).checkpoint(eager=True)
+    n = F.monotonically_increasing_id()
+    numbered = ranged.withColumn(RANGE, F.shiftright(n, ROW_BITS).cast("int")) \
+        .withColumn(out, n.bitwiseAND(F.lit((1 << ROW_BITS) - 1)))
+    # one row per range: the running sum is over the number of partitions
+    counts = ranged.groupBy(F.spark_partition_id().alias(RANGE)).agg(F.count(F.lit(1)).alias("_n"))
+    offsets = counts.select(RANGE, (F.sum("_n").over(Window.orderBy(RANGE)) - F.col("_n")).alias("_off"))
+    return (numbered.join(offsets, RANGE).withColumn(out, F.col("_off") + F.col(out)).drop("_off", RANGE))
 
 
 def split_fixed(positioned: DataFrame, n_valid: int, n_test: int, pos: str = "pos",

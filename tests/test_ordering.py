@@ -1,3 +1,5 @@
+import hashlib
+
 from pyspark.sql import functions as F
 
 from headstart.operators import ordering as O
@@ -40,23 +42,58 @@ def test_minibatch_assignment_shape(emb):
     assert per.count() == 4 * 5 and per.agg(F.max("count")).first()[0] == 8
 
 
-def test_hot_id_is_split_and_positions_stay_dense(spark):
-    # a third of the rows share one id: the bucket is split into sub-buckets
-    n = 600
-    df = spark.range(n).select(F.when(F.col("id") % 3 == 0, F.lit(7)).otherwise(F.col("id")).alias("vec_id")) \
-        .repartition(6)
-    pos = O.with_position(df, "vec_id", 42, max_group_rows=50)
-    got = sorted(r.pos for r in pos.collect())
-    assert got == list(range(n))
-    # rows of the hot id get consecutive positions
-    hot = sorted(r.pos for r in pos.filter("vec_id = 7").collect())
-    assert hot == list(range(hot[0], hot[0] + len(hot)))
-    # the hot bucket is split into ceil(hot / 50) sub-buckets, none holding the whole group
-    n_hot = len(hot)
-    sub = (O.sub_buckets(df, "vec_id", 42, max_group_rows=50).filter("vec_id = 7")
-           .groupBy(O.BUCKET, O.SALT).count().collect())
-    assert len(sub) == -(-n_hot // 50) and max(r["count"] for r in sub) < n_hot
-    assert sum(r["count"] for r in sub) == n_hot
+def _exact(rows, seed=42):
+    """Positions by a plain sort on (md5, id); rows of one id as a set of positions."""
+    key = lambda i: (hashlib.md5(f"{seed}:{i}".encode()).hexdigest(), i)
+    out = {}
+    for pos, i in enumerate(sorted(rows, key=key)):
+        out.setdefault(i, set()).add(pos)
+    return out
+
+
+def _got(df, **kw):
+    out = {}
+    for r in O.with_position(df, "vec_id", 42, **kw).collect():
+        out.setdefault(r.vec_id, set()).add(r.pos)
+    return out
+
+
+def test_exact_order_at_3_and_7_partitions(spark):
+    ids = list(range(3000)) + [5] * 40
+    df = spark.createDataFrame([(i,) for i in ids], "vec_id long")
+    want = _exact(ids)
+    assert _got(df.repartition(3)) == want
+    assert _got(df.repartition(7)) == want
+
+
+def test_hot_id_clustered_in_one_partition_is_split(spark):
+    # half of the rows share one id, and all of those come from one input partition
+    df = spark.range(4000).select(F.when(F.col("id") < 2000, F.lit(7)).otherwise(F.col("id")).alias("vec_id"),
+                                  (F.col("id") % 97).alias("x")).coalesce(1)
+    ids = [r.vec_id for r in df.collect()]
+    assert _got(df) == _exact(ids)
+    o = O.shuffle_order(df, "vec_id", 42, num_partitions=8)
+    per = [r["count"] for r in o.groupBy(F.spark_partition_id().alias("p")).count().collect()]
+    assert len(per) == 8 and max(per) < 1000
+    # rows of one id have one order, however the input is partitioned
+    a = {r.pos: (r.vec_id, r.x) for r in O.with_position(df, "vec_id", 42).collect()}
+    b = {r.pos: (r.vec_id, r.x) for r in O.with_position(df.repartition(5), "vec_id", 42).collect()}
+    assert a == b
+
+
+def test_millions_of_ids(spark):
+    n = 2_000_000
+    pos = O.with_position(spark.range(n).withColumnRenamed("id", "vec_id"), "vec_id", 42, keep_key=True)
+    pos = pos.cache()
+    assert pos.agg(F.min("pos"), F.max("pos"), F.countDistinct("pos")).first()[:] == (0, n - 1, n)
+    # neighbours in position are neighbours in key order
+    ahead = pos.select((F.col("pos") - 1).alias("pos"), F.col(O.KEY).alias("next"))
+    assert pos.join(ahead, "pos").filter(F.col(O.KEY) >= F.col("next")).count() == 0
+    pos.unpersist()
+
+
+def test_empty_table(spark):
+    assert O.with_position(spark.range(0).withColumnRenamed("id", "vec_id"), "vec_id").count() == 0
 
 
 def test_shuffle_order_splits_hot_key(spark):

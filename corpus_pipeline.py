@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from headstart.llm import langid, mixing, packing, secret_scan
+from headstart.llm import langid, mixing, near_dedup, packing, secret_scan
 from headstart.llm.common import drop_stage, stage
 
 #: A document whose best language has less calibrated probability than this is rejected.
@@ -23,17 +23,27 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return marked.filter((F.col(pred) != langid.UND) & (F.col(score) >= MIN_LANG_SCORE)).drop(pred, score)
 
 
+def dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near-duplicates: the one with the smallest id."""
+    return near_dedup.keep_one(docs)
+
+
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document, with the secrets in its text replaced."""
     return secret_scan.redact_secrets(docs)
 
 
+def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents as often as the mix of sources takes them."""
+    return mixing.epochs_of(docs)
+
+
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The pieces of every document and their places in the training sequences."""
     return packing.pack(docs)
 
 
-STAGES = [("language", language), ("secrets", secrets), ("pack", pack)]
+STAGES = [("language", language), ("dedup", dedup), ("secrets", secrets), ("mix", mix), ("pack", pack)]
 
 #: Trained language identification and public tokenizers aren't SQL.
 ORACLE_SQL: str | None = None

@@ -14,13 +14,14 @@ source without words has target 0.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import n_words, with_prefix_sums
 
 WEIGHTS = (1, 2, 3)
 MAX_EPOCHS = 3
+SEED = 9
 
 
 def water_fill(sizes: list[int], weights: list[int], max_epochs: int = MAX_EPOCHS) -> list[float]:
@@ -57,10 +58,14 @@ def source_targets(sized: DataFrame, max_epochs: int = MAX_EPOCHS) -> DataFrame:
                                  "source string, source_size long, target double")
 
 
-def mix(docs: DataFrame, max_epochs: int = MAX_EPOCHS, seed: int = 9) -> DataFrame:
-    """``doc_id, size, source_size, target, taken`` for every document of ``docs``."""
-    sized = docs.select("doc_id", "source", n_words(F.col("text")).alias("size"),
-                        F.xxhash64(F.lit(seed), "doc_id", F.col("text")).alias("key"))
+def random_key(seed: int = SEED) -> Column:
+    """A document's hash-random place on its source's line."""
+    return F.xxhash64(F.lit(seed), F.col("doc_id"), F.col("text"))
+
+
+def mix(docs: DataFrame, max_epochs: int = MAX_EPOCHS, seed: int = SEED) -> DataFrame:
+    """``doc_id, size, source_size, target, taken, key`` for every document of ``docs``."""
+    sized = docs.select("doc_id", "source", n_words(F.col("text")).alias("size"), random_key(seed).alias("key"))
     placed, scratch = with_prefix_sums(sized, ["source"], ["key", "doc_id"], "size", "before", "mix")
     t = source_targets(scratch, max_epochs).withColumnRenamed("source", "t_source")
     # one row per source, as many as the mix names
@@ -70,4 +75,20 @@ def mix(docs: DataFrame, max_epochs: int = MAX_EPOCHS, seed: int = 9) -> DataFra
     rest = budget - epochs * F.col("source_size")
     part = F.greatest(F.lit(0), F.least(F.col("size"), rest - F.col("before")))
     return joined.select("doc_id", "size", "source_size", "target",
-                        (epochs * F.col("size") + part).cast("long").alias("taken"))
+                        (epochs * F.col("size") + part).cast("long").alias("taken"), "key")
+
+
+def epochs_of(docs: DataFrame, max_epochs: int = MAX_EPOCHS, seed: int = SEED) -> DataFrame:
+    """``docs`` as the mix takes them: a row for each time a document is taken.
+
+    Documents stay whole: the one at a source's cut is taken once more if the mix takes half
+    of its words or more. A document without words costs nothing and is taken once.
+    """
+    times = mix(docs, max_epochs, seed).select(
+        F.col("doc_id").alias("_mix_id"), F.col("key").alias("_mix_key"),
+        F.when(F.col("size") > 0, F.round(F.col("taken") / F.col("size"))).otherwise(F.lit(1)).cast("int").alias("_mix_times"))
+    # rows that repeat an id and a text are taken equally often
+    times = times.groupBy("_mix_id", "_mix_key").agg(F.max("_mix_times").alias("_mix_times")).filter("_mix_times > 0")
+    joined = docs.join(times, random_key(seed).eqNullSafe(F.col("_mix_key")) & docs["doc_id"].eqNullSafe(F.col("_mix_id")))
+    return joined.withColumn("_mix_times", F.explode(F.sequence(F.lit(1), F.col("_mix_times")))) \
+        .drop("_mix_id", "_mix_key", "_mix_times")

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import idfile, langid, lm_score, mixing, near_dedup, packing, pii, secret_scan, topk
+from . import ann, idfile, langid, lm_score, mixing, near_dedup, packing, pii, secret_scan, topk
 from .common import fold_of
 
 
@@ -31,6 +31,10 @@ def op4_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.scan_secrets(_table(spark, sf_dir, "documents"))
 
 
+def op5_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.nearest(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 def op6_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
 
@@ -47,7 +51,7 @@ def op8_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mixing.mix(_table(spark, sf_dir, "documents"))
+    return mixing.mix(_table(spark, sf_dir, "documents")).drop("key")
 
 
 def op10_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -59,6 +63,6 @@ def op10_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_near_dedup, op2_pack, op3_huffman_ids, op4_secrets, op6_topk, op7_pii, op8_langid, op9_mix, op10_lm_score)}
+    f.__name__: f for f in (op1_near_dedup, op2_pack, op3_huffman_ids, op4_secrets, op5_ann, op6_topk, op7_pii, op8_langid, op9_mix, op10_lm_score)}
 
 ORACLES: dict[str, str] = {}

@@ -19,6 +19,7 @@ import sys
 
 from pyspark.sql import SparkSession
 
+from .model import layer_width
 from .operators.schedule import parse_schedule
 from .operators.training import FitParams
 from .plans import programs as P
@@ -80,7 +81,7 @@ def parser() -> argparse.ArgumentParser:
     t = sub.add_parser("train")
     _training_flags(t, incremental=False)
     t.add_argument("--inputLayer", required=True)
-    t.add_argument("--numIn", type=int, required=True)
+    t.add_argument("--numIn", type=int, help="features per row; by default the input layer's width")
     t.add_argument("--numClasses", type=int, default=257)
     ti = sub.add_parser("train-incremental")
     _training_flags(ti, incremental=True)
@@ -94,7 +95,7 @@ def parser() -> argparse.ArgumentParser:
     si = sub.add_parser("save-initial-model")
     si.add_argument("--save", required=True)
     si.add_argument("--predictAfter", required=True)
-    si.add_argument("--numIn", type=int, required=True)
+    si.add_argument("--numIn", type=int, help="features per row; by default the layer's width")
     si.add_argument("--numClasses", type=int, default=257)
     return root
 
@@ -116,7 +117,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> di
     elif a.program == "featurize-stage2":
         P.featurize_features(spark, a.data, a.save, read_model(spark, a.model)[0], a.lastLayer, layout=a.layout)
     elif a.program == "train":
-        res = P.train_head(spark, a.train, a.inputLayer, n_in=a.numIn, n_classes=a.numClasses,
+        res = P.train_head(spark, a.train, a.inputLayer, n_in=a.numIn or layer_width(a.inputLayer), n_classes=a.numClasses,
                            params=_fit_params(a, spark), valid_path=a.valid, save_path=a.save,
                            id_col=a.idCol, features=a.featuresCol, label=a.labelCol,
                            history_path=a.history, snapshot_path=a.snapshot)
@@ -131,7 +132,8 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> di
         out["metrics"] = P.score_model(spark, a.model, a.test, features=a.featuresCol,
                                        label=a.labelCol).first().asDict()
     elif a.program == "save-initial-model":
-        P.save_initial_model(spark, a.predictAfter, a.save, n_in=a.numIn, n_classes=a.numClasses)
+        P.save_initial_model(spark, a.predictAfter, a.save, n_in=a.numIn or layer_width(a.predictAfter),
+                             n_classes=a.numClasses)
     return out
 
 

@@ -37,7 +37,7 @@ def checked_path_label(path, n_classes: int | None = None) -> Column:
     """Label from path; a non-matching or out-of-range path fails the job, naming the path."""
     p = _col(path)
     return F.when(path_is_valid(p, n_classes), path_label(p)).otherwise(
-        F.raise_error(F.concat(F.lit("Could not parse label from path: "), p)).cast("int"))
+        F.raise_error(F.concat(F.lit("no class number in image path: "), p)).cast("int"))
 
 
 def with_path_label(df: DataFrame, path: str = "path", out: str = "label", *,

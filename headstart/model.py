@@ -9,7 +9,7 @@ A model is an ordered chain of layers (every graph the reference builds is a cha
 * ``dropout``   identity at inference; in training an inverted mask with ``keep_prob``.
 
 Parameters live in a flat dict ``{"<layer>/<param>": ndarray}``. The same arrays are
-packed to one float64 vector for parameter averaging (:func:`pack`/:func:`unpack`).
+packed to one float64 vector for parameter averaging (:func:`pack`).
 Everything here runs inside Spark tasks on small arrays (one model, one batch); the data
 never comes here whole.
 """
@@ -117,9 +117,6 @@ class Model:
             raise ValueError(f"no layers after {name!r}")
         return self._sub(rest)
 
-    def then(self, other: "Model") -> "Model":
-        return Model(self.layers + other.layers, {**self.params, **other.params})
-
     def copy(self) -> "Model":
         return Model(self.layers, {k: v.copy() for k, v in self.params.items()})
 
@@ -141,17 +138,6 @@ def pack(model: Model, keys: list[str] | None = None) -> np.ndarray:
     return np.concatenate([model.params[k].ravel() for k in keys])
 
 
-def unpack(model: Model, vec: np.ndarray) -> Model:
-    out, off = {}, 0
-    for k in model.keys():
-        arr = model.params[k]
-        out[k] = np.asarray(vec[off: off + arr.size], dtype=np.float64).reshape(arr.shape).copy()
-        off += arr.size
-    if off != len(vec):
-        raise ValueError(f"vector has {len(vec)} values, model needs {off}")
-    return Model(model.layers, out)
-
-
 # ---- numerics -----------------------------------------------------------------------
 
 def softmax(z: np.ndarray) -> np.ndarray:
@@ -298,6 +284,19 @@ def init_params(layers, *, seed: int = 42, scheme: str = "xavier") -> Model:
     return Model(tuple(layers), params)
 
 
+#: Width of the named featurizer layers' output.
+LAYER_WIDTHS = {"predictions": 1000, "fc2": 4096, "fc1": 4096}
+
+
+def layer_width(input_layer: str) -> int:
+    """Features that the named layer gives."""
+    if input_layer.lower() not in LAYER_WIDTHS:
+        raise ValueError(f"layer {input_layer} not supported")
+    return LAYER_WIDTHS[input_layer.lower()]
+
+
+# Fixed values in the heads and presets below: layer names, rates, momenta, penalties.
+
 def head(input_layer: str, n_in: int, n_classes: int, *, keep_prob: float = 1.0,
          hidden: int | None = None) -> list[Layer]:
     """Classifier head stacked on a featurizer layer (names compared lower-case).

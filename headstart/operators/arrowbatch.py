@@ -50,6 +50,8 @@ def list_matrix(col: pa.Array, width: int | None = None) -> np.ndarray:
     if n and (lens != w).any():
         raise ValueError(f"feature vectors must all have length {w}; found {sorted(set(lens.tolist()))[:5]}")
     values = col.values.slice(int(offsets[0]), int(offsets[-1] - offsets[0])) if n else col.values.slice(0, 0)
+    if values.null_count:
+        raise ValueError("null element in a feature vector")
     flat = values.to_numpy(zero_copy_only=False)
     return np.asarray(flat, dtype=np.float64).reshape(n, w)
 

@@ -13,7 +13,12 @@ from collections.abc import Callable
 import numpy as np
 from pyspark.sql import SparkSession
 
-from .scoring import BatchFn
+from .scoring import BatchFn, check_model_size
+
+
+def _file_bytes(spark: SparkSession, path: str) -> int:
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()).getFileStatus(p).getLen()
 
 
 def onnx_scorer(spark: SparkSession, model_path: str, *, input_shape: tuple[int, ...] | None = None,
@@ -23,6 +28,7 @@ def onnx_scorer(spark: SparkSession, model_path: str, *, input_shape: tuple[int,
     through the graph, and the chosen output (default: the first) is flattened per row.
     Image rows are height × width × channels; ``channels_first`` transposes them to the
     NCHW order most pre-trained networks take (``input_shape`` stays ``(h, w, c)``)."""
+    check_model_size(spark, _file_bytes(spark, model_path))
     spark.sparkContext.addFile(model_path)
     name = os.path.basename(model_path)
 

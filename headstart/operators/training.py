@@ -2,26 +2,28 @@
 
 Plan of one fit:
 
-1. seeded order → dense position → ``round, worker, batch`` (T4);
-2. one hash exchange puts worker ``j``'s rows of every round alone in partition ``j``
-   (keys chosen so the hash lands exactly; explicit partition count, so AQE keeps it),
-   sorted by round; the table is checkpointed to the checkpoint folder (lineage cut: a
-   lost executor costs a re-read, not a re-shuffle) and persisted with one cache batch
-   per round, so a round's filter skips the other batches;
-3. per round: filter ``round = r`` → ``mapInArrow`` over the ``workers`` partitions — no
-   per-round data shuffle; each task trains at most ``batch_size · avg_freq`` rows, a bound
-   set by the parameters, not by the data — every task emits its parameter + optimizer
-   state vector → the mean over workers: collected and averaged on the driver while
-   ``workers × vector`` is small (size-checked), else ``groupBy(chunk)`` with the built-in
-   ``Summarizer.mean`` (partial + final aggregate, state one chunk wide) → broadcast for
-   the next round;
-4. every ``eval_interval`` epochs: train rows (from the persisted layout) and valid rows
-   (persisted for the run) are scored in one pass and evaluated grouped by split;
-5. optionally every ``snapshot_every`` epochs: model, optimizer state and counters are
-   written as a model table, so a run can resume exactly after losing its driver.
+1. seeded order → dense position → ``round, worker, batch`` (T4); the positions come in sorted
+   ranges, so a task holds consecutive rounds;
+2. the table is written once below the checkpoint folder, partitioned by blocks of
+   ``ROUNDS_PER_BLOCK`` consecutive rounds: an epoch reads every block once, and a lost
+   executor costs a re-read;
+3. a block (its size is set by the parameters, not by the data) is dealt to its workers by one
+   exchange, each worker alone in a partition, and persisted while its rounds run;
+4. per round: filter ``round = r`` → ``mapInArrow`` over the ``workers`` partitions, no shuffle
+   of rows; each task trains at most ``batch_size · avg_freq`` rows and emits its parameter +
+   optimizer state vector in chunks → mean per chunk over the workers, added in worker
+   order, so reruns are bit-equal → broadcast for the next round;
+5. every ``eval_interval`` epochs of the run: train rows (from the layout) and valid rows
+   (persisted for the run) are scored in one pass and evaluated grouped by split; the
+   metrics are appended to the history table at once;
+6. optionally every ``snapshot_every`` epochs: model, optimizer state and counters are
+   written to a new folder, so a run can resume exactly after losing its driver.
 
 Workers without rows in the last round are absent from the mean (equal weight per active
-worker); a short last batch uses its own length. Jobs per epoch = number of rounds.
+worker); a short last batch uses its own length. Jobs per epoch = rounds + blocks.
+
+``full_batch_round`` is the other shape of a round: every worker takes one step on all its
+rows, whose gradient sums are accumulated over Arrow batches in any number of tasks.
 """
 
 from __future__ import annotations
@@ -33,16 +35,14 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark import StorageLevel
-from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.ml.stat import Summarizer
+from pyspark import StorageLevel, TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.random import dropout_mask_np
-from ..model import DENSE, DROPOUT, TRAINABLE, Model, loss_and_grads, pack, replace
-from ..session import checkpoint_root, ship_package
+from ..model import BATCHNORM, DENSE, DROPOUT, TRAINABLE, Model, loss_and_grads, pack, replace
+from ..session import remove_path, scratch_path, ship_package
 from . import evaluation as E
 from .arrowbatch import list_matrix
 from .ordering import assign_minibatches, with_position
@@ -53,6 +53,7 @@ UPDATERS = ("sgd", "nesterovs", "adam", "adadelta", "rmsprop")
 STATE_SLOTS = {"sgd": (), "nesterovs": ("v",), "adam": ("m", "v"), "adadelta": ("g2", "dx2"),
                "rmsprop": ("g2",)}
 CHUNK = 16384  # doubles per averaged row (128 KB)
+ROUNDS_PER_BLOCK = 32
 
 # Fixed optimizer constants.
 ADAM_B1, ADAM_B2, ADAM_EPS = 0.9, 0.999, 1e-8
@@ -78,7 +79,7 @@ class FitParams:
     def __post_init__(self):
         object.__setattr__(self, "updater", self.updater.lower())
         if self.updater not in UPDATERS:
-            raise ValueError(f"Invalid updater: {self.updater}")
+            raise ValueError(f"unknown updater {self.updater!r}, not one of {', '.join(UPDATERS)}")
         for name in ("epochs", "workers", "batch_size", "avg_freq", "eval_interval"):
             if getattr(self, name) <= 0:
                 raise ValueError(f"{name} must be positive")
@@ -99,7 +100,8 @@ class FitParams:
 # ---- optimizer ---------------------------------------------------------------------
 
 def init_state(model: Model, updater: str) -> dict[str, np.ndarray]:
-    return {f"{k}@{s}": np.zeros_like(model.params[k])
+    """Zero state; keys name the updater, so one rule never reads another's state."""
+    return {f"{k}@{updater}.{s}": np.zeros_like(model.params[k])
             for k in _trainable(model) for s in STATE_SLOTS[updater]}
 
 
@@ -107,43 +109,42 @@ def _trainable(model: Model) -> list[str]:
     return [k for k in model.keys() if k.rsplit("/", 1)[1] in TRAINABLE]
 
 
-def apply_update(params: dict, grads: dict, state: dict, p: FitParams, lr: float, it: int) -> None:
-    """One optimizer step in place (L2 on weight matrices only)."""
+def apply_update(params: dict, grads: dict, state: dict, p: FitParams, lr: float, step: int) -> None:
+    """One optimizer step in place (L2 on weight matrices only); ``step`` counts this
+    updater's steps from 0."""
     for k, g in grads.items():
         if p.l2 and k.endswith("/W"):
             g = g + p.l2 * params[k]
-        u = p.updater
-        if u == "sgd":
+        slot = f"{k}@{p.updater}."
+        if p.updater == "sgd":
             params[k] = params[k] - lr * g
-        elif u == "nesterovs":
-            v_prev = state[f"{k}@v"]
-            v = p.momentum * v_prev - lr * g
-            state[f"{k}@v"] = v
-            params[k] = params[k] - p.momentum * v_prev + (1 + p.momentum) * v
-        elif u == "adam":
-            m = ADAM_B1 * state[f"{k}@m"] + (1 - ADAM_B1) * g
-            v = ADAM_B2 * state[f"{k}@v"] + (1 - ADAM_B2) * g * g
-            state[f"{k}@m"], state[f"{k}@v"] = m, v
-            t = it + 1
-            mhat, vhat = m / (1 - ADAM_B1 ** t), v / (1 - ADAM_B2 ** t)
+        elif p.updater == "nesterovs":
+            before = state[slot + "v"]
+            v = state[slot + "v"] = p.momentum * before - lr * g
+            params[k] = params[k] - p.momentum * before + (1 + p.momentum) * v
+        elif p.updater == "adam":
+            m = state[slot + "m"] = ADAM_B1 * state[slot + "m"] + (1 - ADAM_B1) * g
+            v = state[slot + "v"] = ADAM_B2 * state[slot + "v"] + (1 - ADAM_B2) * g * g
+            mhat, vhat = m / (1 - ADAM_B1 ** (step + 1)), v / (1 - ADAM_B2 ** (step + 1))
             params[k] = params[k] - lr * mhat / (np.sqrt(vhat) + ADAM_EPS)
-        elif u == "rmsprop":
-            r = RMS_DECAY * state[f"{k}@g2"] + (1 - RMS_DECAY) * g * g
-            state[f"{k}@g2"] = r
+        elif p.updater == "rmsprop":
+            r = state[slot + "g2"] = RMS_DECAY * state[slot + "g2"] + (1 - RMS_DECAY) * g * g
             params[k] = params[k] - lr * g / np.sqrt(r + RMS_EPS)
-        elif u == "adadelta":
-            eg = ADADELTA_RHO * state[f"{k}@g2"] + (1 - ADADELTA_RHO) * g * g
-            dx = -np.sqrt(state[f"{k}@dx2"] + ADADELTA_EPS) / np.sqrt(eg + ADADELTA_EPS) * g
-            state[f"{k}@g2"] = eg
-            state[f"{k}@dx2"] = ADADELTA_RHO * state[f"{k}@dx2"] + (1 - ADADELTA_RHO) * dx * dx
+        else:  # adadelta
+            eg = state[slot + "g2"] = ADADELTA_RHO * state[slot + "g2"] + (1 - ADADELTA_RHO) * g * g
+            dx = -np.sqrt(state[slot + "dx2"] + ADADELTA_EPS) / np.sqrt(eg + ADADELTA_EPS) * g
+            state[slot + "dx2"] = ADADELTA_RHO * state[slot + "dx2"] + (1 - ADADELTA_RHO) * dx * dx
             params[k] = params[k] + dx
 
 
-def train_batches(model: Model, state: dict, batches, p: FitParams, it0: int, epoch: int):
+def train_batches(model: Model, state: dict, batches, p: FitParams, it0: int, epoch: int, step0: int | None = None):
     """Sequential mini-batch steps of one worker. ``batches`` yields ``(ids, x, y)``.
 
+    ``it0`` counts iterations (schedule), ``step0`` the updater's own steps (same by default).
+
     Returns the new model, state, number of steps and the summed batch loss.
     """
+    step0 = it0 if step0 is None else step0
     params = {k: v.copy() for k, v in model.params.items()}
     state = {k: v.copy() for k, v in state.items()}
     steps, loss_sum = 0, 0.0
@@ -155,7 +156,7 @@ def train_batches(model: Model, state: dict, batches, p: FitParams, it0: int, ep
                 masks[l.name] = dropout_mask_np(ids, l.n_in, l.keep_prob, p.seed + 7919 * li, epoch)
         loss, grads, running = loss_and_grads(cur, x, y, masks)
         lr = rate_at(it0 + steps, p.schedule, p.rate)
-        apply_update(params, grads, state, p, lr, it0 + steps)
+        apply_update(params, grads, state, p, lr, step0 + steps)
         params.update(running)
         steps += 1
         loss_sum += loss
@@ -196,122 +197,143 @@ def unflatten(model: Model, state: dict, vec: np.ndarray) -> tuple[Model, dict]:
 
 # ---- distributed round ---------------------------------------------------------------
 
-ROUND_OUT = T.StructType([
-    T.StructField("worker", T.IntegerType(), False),
-    T.StructField("chunk", T.IntegerType(), False),
-    T.StructField("steps", T.IntegerType(), False),
-    T.StructField("loss_sum", T.DoubleType(), False),
-    T.StructField("values", T.ArrayType(T.DoubleType(), False), False),
-])
+#: A chunk of a worker's vector, packed as little-endian float64 bytes.
+ROUND_OUT = "worker int, chunk int, steps int, loss_sum double, values binary"
+AVERAGED = "chunk int, workers int, steps int, loss_sum double, values binary"
 
-# Same rows with the whole vector packed as little-endian float64 bytes (one chunk): the
-# collect path, where bytes cross the JVM without a per-value conversion.
-ROUND_OUT_PACKED = T.StructType([
-    T.StructField("worker", T.IntegerType(), False),
-    T.StructField("chunk", T.IntegerType(), False),
-    T.StructField("steps", T.IntegerType(), False),
-    T.StructField("loss_sum", T.DoubleType(), False),
-    T.StructField("values", T.BinaryType(), False),
-])
 
-# Averaging: the workers' vectors are collected to the driver while workers × vector size
-# stays under this bound; above it they are averaged by a distributed aggregate.
-COLLECT_AVERAGE_BYTES = 256 << 20
+def _chunk_rows(worker: int, steps: int, loss_sum: float, vec: np.ndarray) -> pa.RecordBatch:
+    n = max(1, math.ceil(len(vec) / CHUNK))
+    return pa.record_batch({
+        "worker": pa.array([worker] * n, pa.int32()), "chunk": pa.array(range(n), pa.int32()),
+        "steps": pa.array([steps] * n, pa.int32()), "loss_sum": pa.array([loss_sum] * n, pa.float64()),
+        "values": pa.array([vec[c * CHUNK:(c + 1) * CHUNK].astype("<f8").tobytes() for c in range(n)], pa.binary())})
 
 
-def _round_fn(bc, id_col: str, features: str, label: str, packed: bool = False):
+def _rows_of(t: pa.Table, model: Model, id_col: str, features: str, label: str):
+    """Checked (ids, features, labels) of a table of training rows."""
+    if t.column(label).null_count:
+        raise ValueError(f"null in column {label}")
+    y = t.column(label).to_numpy().astype(np.int64)
+    if len(y) and (y.min() < 0 or y.max() >= model.n_out):
+        raise ValueError(f"label outside 0..{model.n_out - 1}")
+    return t.column(id_col).to_numpy(), list_matrix(t.column(features), model.n_in), y
+
+
+def _round_fn(bc, id_col: str, features: str, label: str):
     """Train one worker's rows of the round; a task holds exactly one worker's rows."""
     def fn(batches):
-        model, state, p, it0, epoch = bc.value
+        model, state, p, it0, step0, epoch = bc.value
         tables = [rb for rb in batches if rb.num_rows]
         if not tables:
             return
-        t = pa.Table.from_batches(tables).combine_chunks()
-        pos = t.column("pos").to_numpy()
-        order = np.argsort(pos, kind="stable")
-        ids = t.column(id_col).to_numpy()[order]
-        x = list_matrix(t.column(features), model.n_in)[order]
-        if t.column(label).null_count:
-            raise ValueError(f"null in column {label}")
-        y = t.column(label).to_numpy().astype(np.int64)[order]
-        if y.min() < 0 or y.max() >= model.n_out:
-            raise ValueError(f"label outside 0..{model.n_out - 1}")
-        bnum = t.column("batch").to_numpy()[order]
+        t = pa.Table.from_batches(tables).combine_chunks().sort_by("pos")
         workers = np.unique(t.column("worker").to_numpy())
         if len(workers) != 1:
             raise RuntimeError(f"a training task got rows of workers {workers.tolist()}")
-        groups = ((ids[bnum == k], x[bnum == k], y[bnum == k]) for k in np.unique(bnum))
-        new_model, new_state, steps, loss_sum = train_batches(model, state, groups, p, it0, epoch)
-        vec = flatten(new_model, new_state)
-        if packed:
-            yield pa.RecordBatch.from_arrays([
-                pa.array([int(workers[0])], type=pa.int32()), pa.array([0], type=pa.int32()),
-                pa.array([steps], type=pa.int32()), pa.array([loss_sum], type=pa.float64()),
-                pa.array([np.ascontiguousarray(vec, dtype="<f8").tobytes()], type=pa.binary()),
-            ], names=ROUND_OUT_PACKED.fieldNames())
-            return
-        n_chunks = max(1, math.ceil(len(vec) / CHUNK))
-        yield pa.RecordBatch.from_arrays([
-            pa.array([int(workers[0])] * n_chunks, type=pa.int32()),
-            pa.array(list(range(n_chunks)), type=pa.int32()),
-            pa.array([steps] * n_chunks, type=pa.int32()),
-            pa.array([loss_sum] + [0.0] * (n_chunks - 1), type=pa.float64()),
-            matrix_list_ragged([vec[c * CHUNK:(c + 1) * CHUNK] for c in range(n_chunks)]),
-        ], schema=pa.schema([("worker", pa.int32()), ("chunk", pa.int32()), ("steps", pa.int32()),
-                             ("loss_sum", pa.float64()), ("values", pa.list_(pa.float64()))]))
+        ids, x, y = _rows_of(t, model, id_col, features, label)
+        batch = t.column("batch").to_numpy()
+        groups = ((ids[batch == k], x[batch == k], y[batch == k]) for k in np.unique(batch))
+        new_model, new_state, steps, loss_sum = train_batches(model, state, groups, p, it0, epoch, step0)
+        yield _chunk_rows(int(workers[0]), steps, loss_sum, flatten(new_model, new_state))
     return fn
 
 
-def matrix_list_ragged(parts: list) -> pa.Array:
-    lens = np.array([len(v) for v in parts], dtype=np.int32)
-    offsets = np.concatenate([[0], np.cumsum(lens)]).astype(np.int32)
-    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(parts), type=pa.float64()))
+def _mean_of_workers(t: pa.Table) -> pa.Table:
+    t = t.sort_by("worker")  # a fixed order of addition
+    vecs = [np.frombuffer(v, "<f8") for v in t.column("values").to_pylist()]
+    return pa.table({"chunk": t.column("chunk").slice(0, 1), "workers": pa.array([len(vecs)], pa.int32()),
+                     "steps": pa.array([max(t.column("steps").to_pylist())], pa.int32()),
+                     "loss_sum": pa.array([math.fsum(t.column("loss_sum").to_pylist())]),
+                     "values": pa.array([(np.sum(vecs, axis=0) / len(vecs)).astype("<f8").tobytes()], pa.binary())})
 
 
 def average_chunks(worker_chunks: DataFrame) -> DataFrame:
-    """Mean parameter vector over the workers, per chunk (A6): ``chunk, values, workers,
-    steps, loss_sum`` with a bounded (chunk-wide) aggregation state (partial + final)."""
-    return (worker_chunks
-            .groupBy("chunk")
-            .agg(vector_to_array(Summarizer.mean(array_to_vector("values"))).alias("values"),
-                 F.count(F.lit(1)).alias("workers"), F.max("steps").alias("steps"),
-                 F.sum("loss_sum").alias("loss_sum")))
+    """Mean parameter vector over the workers, chunk by chunk (A6): a group holds ``workers``
+    chunks of 128 KB, so it is bounded by the parameters."""
+    return worker_chunks.groupBy("chunk").applyInArrow(_mean_of_workers, AVERAGED)
+
+
+def _averaged(worker_chunks: DataFrame, model: Model, state: dict):
+    """(model, state, steps, mean batch loss) from the workers' chunks; the model comes to
+    the driver by design, to be broadcast again."""
+    agg = average_chunks(worker_chunks).orderBy("chunk").toArrow()
+    if agg.num_rows == 0:
+        return model, state, 0, float("nan")
+    vec = np.frombuffer(b"".join(agg.column("values").to_pylist()), "<f8")
+    steps, n = agg.column("steps")[0].as_py(), agg.column("workers")[0].as_py()
+    new_model, new_state = unflatten(model, state, vec)
+    return new_model, new_state, steps, agg.column("loss_sum")[0].as_py() / max(1, n * steps)
 
 
 def run_round(part: DataFrame, model: Model, state: dict, p: FitParams, it0: int, epoch: int,
-              *, id_col: str, features: str, label: str, workers: int):
+              *, id_col: str, features: str, label: str, step0: int | None = None):
     """One parameter-averaging round over ``part`` (one partition per worker, already
     filtered to the round) → (model, state, steps, mean batch loss)."""
     spark = part.sparkSession
-    vec_bytes = model.nbytes() + sum(v.nbytes for v in state.values())
-    check_model_size(spark, vec_bytes)
+    check_model_size(spark, model.nbytes() + sum(v.nbytes for v in state.values()))
     ship_package(spark)
-    bc = spark.sparkContext.broadcast((model, state, p, it0, epoch))
+    bc = spark.sparkContext.broadcast((model, state, p, it0, it0 if step0 is None else step0, epoch))
     try:
-        if workers * vec_bytes <= COLLECT_AVERAGE_BYTES:
-            t = part.mapInArrow(_round_fn(bc, id_col, features, label, packed=True), ROUND_OUT_PACKED).toArrow()
-            if t.num_rows == 0:
-                return model, state, 0, float("nan")
-            order = np.argsort(t.column("worker").to_numpy(), kind="stable")  # fixed addition order
-            blobs = t.column("values").to_pylist()
-            vecs = np.stack([np.frombuffer(blobs[i], dtype="<f8") for i in order])
-            vec = vecs.mean(axis=0)
-            steps = int(t.column("steps").to_numpy().max())
-            loss_sum = float(t.column("loss_sum").to_numpy().sum())
-            n_workers = len(vecs)
-        else:
-            chunks = part.mapInArrow(_round_fn(bc, id_col, features, label), ROUND_OUT)
-            agg = average_chunks(chunks).orderBy("chunk").toArrow()
-            if agg.num_rows == 0:
-                return model, state, 0, float("nan")
-            vec = pa.concat_arrays(agg.column("values").chunks).flatten().to_numpy()
-            steps = int(agg.column("steps")[0].as_py())
-            loss_sum = float(agg.column("loss_sum")[0].as_py())
-            n_workers = int(agg.column("workers")[0].as_py())
+        return _averaged(part.mapInArrow(_round_fn(bc, id_col, features, label), ROUND_OUT), model, state)
     finally:
         bc.destroy()  # the round's job is over: free executors and driver alike
-    new_model, new_state = unflatten(model, state, vec)
-    return new_model, new_state, steps, loss_sum / max(1, n_workers * max(1, steps))
+
+
+def full_batch_round(df: DataFrame, model: Model, state: dict, p: FitParams, it0: int = 0, step0: int | None = None,
+                     *, features: str, label: str, worker: str = "worker"):
+    """One round in which every worker takes one step on all its rows → (model, state, mean loss).
+
+    Gradient sums are accumulated over Arrow batches wherever the rows are, then added per
+    worker in task order: no task holds a worker's rows. For models without batch-norm and
+    dropout, whose gradient of a batch is the sum over its rows.
+    """
+    if any(l.kind in (BATCHNORM, DROPOUT) for l in model.layers):
+        raise ValueError("a full-batch round takes models without batch-norm and dropout")
+    spark = df.sparkSession
+    check_model_size(spark, model.nbytes() + sum(v.nbytes for v in state.values()))
+    ship_package(spark)
+    bc = spark.sparkContext.broadcast((model, state))
+    step = it0 if step0 is None else step0
+    names = _trainable(model)
+
+    def sums(batches):
+        model, _ = bc.value
+        total: dict[int, list] = {}
+        for b in batches:
+            t = pa.Table.from_batches([b])
+            workers = t.column(worker).to_numpy()
+            for w in np.unique(workers):
+                mine = t.filter(pa.array(workers == w)).combine_chunks()
+                _, x, y = _rows_of(mine, model, worker, features, label)
+                loss, grads, _ = loss_and_grads(model, x, y, None)
+                vec = np.concatenate([grads[k].ravel() for k in names]) * len(y)
+                n, s, v = total.get(int(w), (0, 0.0, 0.0))
+                total[int(w)] = n + len(y), s + loss * len(y), v + vec
+        for w, (n, s, v) in total.items():
+            yield pa.record_batch({"worker": pa.array([w], pa.int32()), "task": pa.array([TaskContext.get().partitionId()], pa.int32()),
+                                   "n": pa.array([n], pa.int64()), "loss": pa.array([s]),
+                                   "values": pa.array([np.asarray(v, "<f8").tobytes()], pa.binary())})
+
+    def one_step(t: pa.Table) -> pa.Table:
+        model, state = bc.value
+        t = t.sort_by("task")
+        n = sum(t.column("n").to_pylist())
+        mean = np.sum([np.frombuffer(v, "<f8") for v in t.column("values").to_pylist()], axis=0) / n
+        params, new_state, grads, at = dict(model.params), dict(state), {}, 0
+        for k in names:
+            grads[k] = mean[at:at + params[k].size].reshape(params[k].shape)
+            at += params[k].size
+        apply_update(params, grads, new_state, p, rate_at(it0, p.schedule, p.rate), step)
+        return pa.Table.from_batches([_chunk_rows(t.column("worker")[0].as_py(), 1, math.fsum(t.column("loss").to_pylist()) / n,
+                                                  flatten(Model(model.layers, params), new_state))])
+
+    try:
+        partial = df.select(worker, features, label).mapInArrow(sums, "worker int, task int, n long, loss double, values binary")
+        new_model, new_state, _, loss = _averaged(partial.groupBy("worker").applyInArrow(one_step, ROUND_OUT), model, state)
+        return new_model, new_state, loss
+    finally:
+        bc.destroy()
 
 
 def worker_keys(spark, workers: int) -> list[int]:
@@ -336,6 +358,11 @@ class FitResult:
     state: dict
     iterations: int
     history: pd.DataFrame
+    updater_steps: int = 0
+
+    def meta(self) -> dict[str, float]:
+        """Counters to save with the model, for a warm start."""
+        return {"iterations": self.iterations, "updater_steps": self.updater_steps}
 
     def history_df(self, spark) -> DataFrame:
         return spark.createDataFrame(self.history, schema=HISTORY_SCHEMA)
@@ -358,43 +385,59 @@ def l2_penalty(model: Model, l2: float) -> float:
     return 0.5 * l2 * float(sum((model.params[k] ** 2).sum() for k in model.keys() if k.endswith("/W")))
 
 
-def prepare(df: DataFrame, p: FitParams, *, id_col: str, features: str, label: str,
-            materialize: str = "checkpoint") -> tuple[DataFrame, int]:
-    """Seeded order + mini-batch assignment, laid out once for all epochs → (table, rounds).
+@dataclass
+class Layout:
+    """A prepared training layout, reusable by fits that share the data, seed, workers, batch
+    size and averaging frequency (e.g. a sweep over updaters)."""
+    table: DataFrame
+    path: str
+    rounds: int
+    key: tuple
+    per_block: int
+
+    @property
+    def blocks(self) -> int:
+        return -(-self.rounds // self.per_block)
+
+    def block(self, b: int, workers: int, rows: int) -> DataFrame:
+        """Block ``b`` with each worker alone in its partition, persisted; cached in column
+        batches of one round's ``rows`` of a worker, so a round's filter skips the others."""
+        spark = self.table.sparkSession
+        keys = F.array(*[F.lit(k).cast("bigint") for k in worker_keys(spark, workers)])
+        read = spark.read.schema(self.table.drop("block").schema).parquet(f"{self.path}/block={b}")
+        laid = (read.withColumn("_wkey", F.element_at(keys, F.col("worker") + 1)).repartition(workers, "_wkey")
+                .sortWithinPartitions("round", "pos").drop("_wkey"))
+        # the setting must hold until the count below has built the cache
+        conf = "spark.sql.inMemoryColumnarStorage.batchSize"
+        before = spark.conf.get(conf)
+        spark.conf.set(conf, str(max(1, rows)))
+        try:
+            laid = laid.persist(StorageLevel.MEMORY_AND_DISK)
+            laid.count()
+        finally:
+            spark.conf.set(conf, before)
+        return laid
 
-    Partition ``j`` holds worker ``j``'s rows of every round, sorted by round and position:
-    ``repartition(workers, key)`` with keys from :func:`worker_keys` (an explicit partition
-    count, so AQE keeps it). ``checkpoint`` (default) writes it to the checkpoint folder
-    (lineage cut: a lost executor re-reads, no re-shuffle), then it is persisted with
-    column batches of one round's rows so that a round's filter skips the other batches.
-    """
-    spark = df.sparkSession
-    assigned = assign_minibatches(
-        with_position(df.select(id_col, features, label), id_col, p.seed),
-        p.workers, p.batch_size, p.avg_freq)
-    keys = worker_keys(spark, p.workers)
-    key_of = F.element_at(F.array(*[F.lit(k).cast("bigint") for k in keys]), F.col("worker") + 1)
-    laid = (assigned.withColumn("_wkey", key_of).repartition(p.workers, "_wkey")
-            .sortWithinPartitions("round", "pos").drop("_wkey"))
-    if materialize == "checkpoint":
-        checkpoint_root(spark)
-        laid = laid.checkpoint(eager=True)
-    elif materialize != "persist":
-        raise ValueError("materialize must be 'checkpoint' or 'persist'")
-    # One cache batch per round and worker: the setting must hold while the cache is built,
-    # i.e. until the first action below has materialized every partition.
-    prev = spark.conf.get("spark.sql.inMemoryColumnarStorage.batchSize")
-    spark.conf.set("spark.sql.inMemoryColumnarStorage.batchSize", str(max(1, p.batch_size * p.avg_freq)))
-    try:
-        table = laid.persist(StorageLevel.MEMORY_AND_DISK)
-        top = table.agg(F.max("round").alias("r")).first()["r"]
-    finally:
-        spark.conf.set("spark.sql.inMemoryColumnarStorage.batchSize", prev)
-    return table, (0 if top is None else int(top) + 1)
+    def release(self) -> None:
+        remove_path(self.table.sparkSession, self.path)
 
 
-def evaluate_model(df: DataFrame, model: Model, *, features: str, label: str) -> dict:
-    return evaluate_splits({"data": df}, model, features=features, label=label)["data"]
+def layout_key(p: FitParams) -> tuple:
+    return (p.seed, p.workers, p.batch_size, p.avg_freq)
+
+
+def prepare_layout(df: DataFrame, p: FitParams, *, id_col: str = "id", features: str = "features",
+                   label: str = "label", rounds_per_block: int = ROUNDS_PER_BLOCK) -> Layout:
+    """Seeded order + mini-batch assignment, written once for all epochs in blocks of rounds."""
+    spark = df.sparkSession
+    assigned = assign_minibatches(with_position(df.select(id_col, features, label), id_col, p.seed),
+                                  p.workers, p.batch_size, p.avg_freq)
+    path = scratch_path(spark, "layout")
+    blocked = assigned.withColumn("block", F.floor(F.col("round") / rounds_per_block).cast("int"))
+    blocked.write.partitionBy("block").parquet(path)
+    table = spark.read.schema(blocked.schema).parquet(path)
+    top = table.agg(F.max("round").alias("r")).first()["r"]
+    return Layout(table, path, 0 if top is None else int(top) + 1, layout_key(p), rounds_per_block)
 
 
 def evaluate_splits(frames: dict[str, DataFrame | None], model: Model, *, features: str,
@@ -414,40 +457,23 @@ def evaluate_splits(frames: dict[str, DataFrame | None], model: Model, *, featur
     return {name: got.get(name, empty) for name, d in frames.items() if d is not None}
 
 
-@dataclass
-class Layout:
-    """A prepared training layout (see :func:`prepare`), reusable by fits that share the
-    data, seed, workers, batch size and averaging frequency (e.g. a sweep over updaters)."""
-    table: DataFrame
-    rounds: int
-    key: tuple
-
-    def release(self) -> None:
-        self.table.unpersist()
-
-
-def layout_key(p: FitParams) -> tuple:
-    return (p.seed, p.workers, p.batch_size, p.avg_freq)
-
-
-def prepare_layout(df: DataFrame, p: FitParams, *, id_col: str = "id", features: str = "features",
-                   label: str = "label", materialize: str = "checkpoint") -> Layout:
-    table, rounds = prepare(df, p, id_col=id_col, features=features, label=label, materialize=materialize)
-    return Layout(table, rounds, layout_key(p))
-
-
 def fit(df: DataFrame, model: Model, p: FitParams, *, id_col: str = "id", features: str = "features",
         label: str = "label", valid: DataFrame | None = None, state: dict | None = None,
-        iterations: int = 0, materialize: str = "checkpoint", history_path: str | None = None,
+        iterations: int = 0, updater_steps: int | None = None, history_path: str | None = None,
         layout: Layout | None = None, snapshot_path: str | None = None,
         snapshot_every: int = 1, start_epoch: int = 0) -> FitResult:
-    """Train ``model`` on ``df`` for ``p.epochs`` epochs (T5, T9); warm start = pass a saved
-    model, its ``state`` and ``iterations`` (T10). History rows every ``eval_interval``.
-    ``layout``: a :class:`Layout` prepared from the same ``df`` (kept for the caller).
-    ``snapshot_path``: every ``snapshot_every`` epochs the model, optimizer state and
-    iteration count are written there as a model table (overwritten), so a run that loses
-    its driver resumes from the last snapshot with a warm start; pass ``start_epoch`` =
-    snapshot epoch + 1 so dropout masks (keyed by epoch) continue where they stopped."""
+    """Train ``model`` on ``df`` for ``p.epochs`` epochs.
+
+    Warm start (T10): pass a saved model, its ``state``, ``iterations`` and ``updater_steps``.
+    State of another updater isn't used: the new one starts from zero state and zero steps.
+    History rows every ``eval_interval`` epochs of this run, appended to ``history_path`` as
+    they come. ``layout``: a :class:`Layout` prepared from the same ``df`` (kept for the caller).
+    ``snapshot_path``: every ``snapshot_every`` epochs a model table is written to its folder
+    ``epoch=N``; a run that loses its driver resumes from the newest complete one
+    (``read_model`` finds it) with ``start_epoch`` = its epoch + 1, so dropout masks (keyed by
+    epoch) continue where they stopped."""
+    from ..sources.models import write_snapshot
+
     if snapshot_every <= 0:
         raise ValueError("snapshot_every must be positive")
     last = model.layers[-1]
@@ -457,48 +483,51 @@ def fit(df: DataFrame, model: Model, p: FitParams, *, id_col: str = "id", featur
         raise ValueError(f"id column {id_col!r} must be an integer type (e.g. xxhash64 of a path), "
                          f"not {df.schema[id_col].dataType.simpleString()}")
     model = with_keep_prob(model, p.keep_prob)
-    if state is None or any(k not in state for k in init_state(model, p.updater)):
-        state = init_state(model, p.updater)
-    else:
-        state = {k: state[k] for k in init_state(model, p.updater)}
-    if layout is not None:
-        if layout.key != layout_key(p):
-            raise ValueError(f"layout was prepared for (seed, workers, batch, avg_freq) = {layout.key}, "
-                             f"not {layout_key(p)}")
-        table, n_rounds = layout.table, layout.rounds
+    fresh, it = init_state(model, p.updater), iterations
+    if state is None or any(k not in state for k in fresh):
+        state, steps_done = fresh, 0
     else:
-        table, n_rounds = prepare(df, p, id_col=id_col, features=features, label=label, materialize=materialize)
-    hist = []
-    it = iterations
-    # evaluate the training rows from the persisted layout (no recomputation of df's
-    # lineage); keep the validation rows for the run as well
-    train_eval = table.select(features, label)
+        state, steps_done = {k: state[k] for k in fresh}, iterations if updater_steps is None else updater_steps
+    if layout is not None and layout.key != layout_key(p):
+        raise ValueError(f"layout was prepared for (seed, workers, batch, avg_freq) = {layout.key}, not {layout_key(p)}")
+    own = layout is None
+    layout = layout or prepare_layout(df, p, id_col=id_col, features=features, label=label)
+    spark, hist = df.sparkSession, []
+    # training rows are evaluated from the layout (no recomputation of df's lineage); validation
+    # rows are kept for the run as well
+    train_eval = layout.table.select(features, label)
     valid_eval = valid.select(features, label).persist(StorageLevel.MEMORY_AND_DISK) if valid is not None else None
+    held, block = None, None
     try:
         for epoch in range(start_epoch, start_epoch + p.epochs):
-            for r in range(n_rounds):
-                part = table.filter(F.col("round") == r)
-                model, state, steps, _ = run_round(part, model, state, p, it, epoch, id_col=id_col,
-                                                   features=features, label=label, workers=p.workers)
-                it += steps
-            if snapshot_path and (epoch + 1) % snapshot_every == 0:
-                from ..sources.models import write_model
-
-                write_model(df.sparkSession, model, snapshot_path, state=state,
-                            meta={"iterations": it, "epoch": epoch}, mode="overwrite")
-            if (epoch + 1) % p.eval_interval == 0:
+            for r in range(layout.rounds):
+                if r // layout.per_block != held:  # a single block stays for all epochs
+                    if block is not None:
+                        block.unpersist()
+                    held = r // layout.per_block
+                    block = layout.block(held, p.workers, p.batch_size * p.avg_freq)
+                model, state, steps, _ = run_round(block.filter(F.col("round") == r), model, state, p, it, epoch,
+                                                   id_col=id_col, features=features, label=label, step0=steps_done)
+                it, steps_done = it + steps, steps_done + steps
+            done = epoch - start_epoch + 1
+            if snapshot_path and done % snapshot_every == 0:
+                write_snapshot(spark, model, snapshot_path, epoch, state=state,
+                               meta={"iterations": it, "updater_steps": steps_done, "epoch": epoch})
+            if done % p.eval_interval == 0:
                 metrics = evaluate_splits({"train": train_eval, "valid": valid_eval}, model, features=features,
                                           label=label)
-                for split, m in metrics.items():
-                    hist.append({"epoch": epoch, "split": split, "n": m.get("n"), "loss": m.get("loss"),
-                                 "accuracy": m.get("accuracy"), "precision": m.get("precision"),
-                                 "recall": m.get("recall"), "l2_penalty": l2_penalty(model, p.l2)})
+                rows = [{"epoch": epoch, "split": split, "n": m.get("n"), "loss": m.get("loss"),
+                         "accuracy": m.get("accuracy"), "precision": m.get("precision"),
+                         "recall": m.get("recall"), "l2_penalty": l2_penalty(model, p.l2)} for split, m in metrics.items()]
+                hist += rows
+                if history_path and rows:
+                    spark.createDataFrame([tuple(r.values()) for r in rows], HISTORY_SCHEMA).coalesce(1) \
+                        .write.mode("append").parquet(history_path)
     finally:
-        if layout is None:
-            table.unpersist()
+        if block is not None:
+            block.unpersist()
+        if own:
+            layout.release()
         if valid_eval is not None:
             valid_eval.unpersist()
-    history = pd.DataFrame(hist, columns=HISTORY_SCHEMA.fieldNames())
-    if history_path and len(history):
-        df.sparkSession.createDataFrame(history, schema=HISTORY_SCHEMA).write.mode("append").parquet(history_path)
-    return FitResult(model, state, it, history)
+    return FitResult(model, state, it, pd.DataFrame(hist, columns=HISTORY_SCHEMA.fieldNames()), steps_done)

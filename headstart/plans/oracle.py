@@ -65,7 +65,7 @@ def _path_sql() -> str:
     d3 = "lpad(CAST(label + 1 AS VARCHAR), 3, '0')"
     d4 = "lpad(CAST(vec_id % 10000 AS VARCHAR), 4, '0')"
     split = "CASE WHEN vec_id % 5 = 0 THEN 'valid' ELSE 'train' END"
-    return (f"SELECT vec_id, label, '/img/' || {split} || '/' || {d3} || '.c/' || {d3} || '_' || {d4} "
+    return (f"SELECT vec_id, label, '/img/' || {split} || '/' || {d3} || '.c' || CAST(vec_id // 10000 AS VARCHAR) || '/' || {d3} || '_' || {d4} "
             f"|| '.jpg' AS path FROM embeddings")
 
 
@@ -127,16 +127,80 @@ ORACLES: dict[str, str] = {
 
 # ---- training, models, moments, schedule, staged featurization, sinks, sources ----------
 
-_XW = ("SELECT e.vec_id, e.label, p.pos // 25 AS worker, CAST(unnest(e.embedding) AS DOUBLE) AS v, "
-       f"unnest(range(len(e.embedding))) AS i FROM embeddings e JOIN ({POS}) p ON p.vec_id = e.vec_id")
-_GW = ("SELECT worker, i, j, avg(v * (0.1 - CASE WHEN label = j THEN 1 ELSE 0 END)) AS g FROM "
-       f"(SELECT worker, i, v, label, unnest(range(10)) AS j FROM ({_XW})) GROUP BY worker, i, j")
-_BW = ("SELECT worker, j, avg(0.1 - CASE WHEN label = j THEN 1 ELSE 0 END) AS g FROM "
-       f"(SELECT p.pos // 25 AS worker, e.label, unnest(range(10)) AS j FROM embeddings e "
-       f"JOIN ({POS}) p ON p.vec_id = e.vec_id) GROUP BY worker, j")
-# one averaging round from zero weights, rate 1: w = -mean over workers of the worker gradient
-ZERO_ROUND = (f"SELECT 'W' AS param, i, j, -avg(g) AS v FROM ({_GW}) GROUP BY i, j "
-              f"UNION ALL SELECT 'b' AS param, 0 AS i, j, -avg(g) AS v FROM ({_BW}) GROUP BY j")
+def _exploded_rows(where: str) -> str:
+    """vec_id, label, worker (quarters of the seeded order of the chosen rows), i, v."""
+    chosen = (f"SELECT vec_id, CAST((row_number() OVER (ORDER BY pos) - 1) * 4 // count(*) OVER () AS BIGINT) AS worker "
+              f"FROM ({POS}) WHERE {where}")
+    return ("SELECT e.vec_id, e.label, p.worker, CAST(unnest(e.embedding) AS DOUBLE) AS v, "
+            f"unnest(range(len(e.embedding))) AS i FROM embeddings e JOIN ({chosen}) p ON p.vec_id = e.vec_id")
+
+
+def _zero_gradients(where: str) -> tuple[str, str]:
+    """Each worker's mean gradient at zero weights: (worker, i, j, g) and (worker, j, g)."""
+    x = _exploded_rows(where)
+    d = "0.1 - CASE WHEN label = j THEN 1 ELSE 0 END"
+    w = (f"SELECT worker, i, j, avg(v * ({d})) AS g FROM (SELECT worker, i, v, label, unnest(range(10)) AS j FROM ({x})) "
+         "GROUP BY worker, i, j")
+    b = (f"SELECT worker, j, avg({d}) AS g FROM (SELECT worker, label, unnest(range(10)) AS j FROM ({x}) WHERE i = 0) "
+         "GROUP BY worker, j")
+    return w, b
+
+
+def _zero_round(where: str = "true", step: str = "-g") -> str:
+    """Weights after one averaging round from zero: the mean over workers of ``step`` of g."""
+    w, b = _zero_gradients(where)
+    return (f"SELECT 'W' AS param, i, j, avg({step}) AS v FROM ({w}) GROUP BY i, j "
+            f"UNION ALL SELECT 'b' AS param, 0 AS i, j, avg({step}) AS v FROM ({b}) GROUP BY j")
+
+
+ZERO_ROUND = _zero_round()
+
+
+def _logits(x: str, model: str) -> str:
+    """vec_id, label, j, z of rows ``x`` under a model (param, i, j, v)."""
+    return (f"SELECT x.vec_id, x.label, w.j, sum(x.v * w.v) + max(b.v) AS z FROM ({x}) x "
+            f"JOIN (SELECT * FROM ({model}) WHERE param = 'W') w ON w.i = x.i "
+            f"JOIN (SELECT j, v FROM ({model}) WHERE param = 'b') b ON b.j = w.j GROUP BY x.vec_id, x.label, w.j")
+
+
+#: One step of each update rule from zero state.
+FIRST_STEPS = {
+    "sgd": "-0.01 * g",
+    "nesterovs": "-1.9 * 0.01 * g",
+    "adam": "-0.01 * g / (abs(g) + 1e-8)",
+    "adadelta": "-sqrt(1e-6) / sqrt(0.05 * g * g + 1e-6) * g",
+    "rmsprop": "-0.01 * g / sqrt(0.05 * g * g + 1e-8)",
+}
+
+# a second round from ZERO_ROUND, rate 0.5, L2 0.01
+_D2 = (f"SELECT vec_id, j, p - CASE WHEN label = j THEN 1 ELSE 0 END AS d FROM ({_softmax(_logits(X, ZERO_ROUND))})")
+_XD2 = f"SELECT x.vec_id, x.worker, x.i, x.v, d.j, d.d FROM ({_exploded_rows('true')}) x JOIN ({_D2}) d ON d.vec_id = x.vec_id"
+WARM_ROUND = (
+    f"SELECT m.param, m.i, m.j, m.v - 0.5 * (avg(g.g) + CASE WHEN m.param = 'W' THEN 0.01 * m.v ELSE 0 END) AS v "
+    f"FROM ({ZERO_ROUND}) m JOIN (SELECT 'W' AS param, worker, i, j, avg(v * d) AS g FROM ({_XD2}) GROUP BY worker, i, j "
+    f"UNION ALL SELECT 'b' AS param, worker, 0 AS i, j, avg(d) AS g FROM ({_XD2}) WHERE i = 0 GROUP BY worker, j) g "
+    "ON g.param = m.param AND g.i = m.i AND g.j = m.j GROUP BY m.param, m.i, m.j, m.v")
+
+# metrics on train and valid after one round on the train split
+_TRAIN = "pos >= 110"
+_SPLITS = (f"SELECT x.*, CASE WHEN p.pos < 50 THEN 'valid' ELSE 'train' END AS split FROM ({X}) x "
+           f"JOIN ({POS}) p ON p.vec_id = x.vec_id WHERE p.pos < 50 OR p.pos >= 110")
+_SPLIT_ROWS = (
+    f"SELECT q.vec_id, s.split, q.label, q.j, q.z, q.p, row_number() OVER (PARTITION BY q.vec_id ORDER BY q.z DESC, q.j) AS rk "
+    f"FROM ({_softmax(_logits(X, _zero_round(_TRAIN)))}) q JOIN (SELECT DISTINCT vec_id, split FROM ({_SPLITS})) s ON s.vec_id = q.vec_id")
+_SPLIT_PRED = (f"SELECT split, vec_id, label, max(CASE WHEN rk = 1 THEN j END) AS pred, "
+               f"max(CASE WHEN j = label THEN -ln(p) END) AS nll FROM ({_SPLIT_ROWS}) GROUP BY split, vec_id, label")
+_SPLIT_CLASSES = (f"SELECT split, cls, sum(tp) AS tp, sum(predicted) AS predicted, sum(actual) AS actual FROM ("
+                  f"SELECT split, label AS cls, CASE WHEN label = pred THEN 1 ELSE 0 END AS tp, 0 AS predicted, 1 AS actual FROM ({_SPLIT_PRED}) "
+                  f"UNION ALL SELECT split, pred AS cls, 0 AS tp, 1 AS predicted, 0 AS actual FROM ({_SPLIT_PRED})) GROUP BY split, cls")
+_PENALTY = f"SELECT 0.5 * 0.05 * sum(v * v) FROM ({_zero_round(_TRAIN)}) WHERE param = 'W'"
+HISTORY = (
+    f"SELECT CAST(0 AS INTEGER) AS epoch, a.split, a.n, {rnd('a.loss')} AS loss, {rnd('a.accuracy')} AS accuracy, "
+    f"{rnd('c.precision')} AS precision, {rnd('c.recall')} AS recall, "
+    f"{rnd('(' + _PENALTY + ')')} AS l2_penalty "
+    f"FROM (SELECT split, count(*) AS n, avg(nll) AS loss, avg(CASE WHEN label = pred THEN 1.0 ELSE 0.0 END) AS accuracy "
+    f"FROM ({_SPLIT_PRED}) GROUP BY split) a JOIN (SELECT split, avg(tp / nullif(predicted, 0)) AS precision, "
+    f"avg(tp / nullif(actual, 0)) AS recall FROM ({_SPLIT_CLASSES}) GROUP BY split) c ON c.split = a.split")
 
 _MOM = "SELECT i, avg(v) AS mean, var_pop(v) AS var FROM ({X}) GROUP BY i".replace("{X}", X)
 
@@ -154,6 +218,11 @@ _PX = ("SELECT vec_id, label, k, CAST(least(greatest(floor((x + 0.5) * 256), 0),
        "(SELECT vec_id, label, CAST(unnest(embedding) AS DOUBLE) AS x, unnest(range(len(embedding))) AS k "
        "FROM embeddings)")
 
+# the 8 x 8 pixels doubled to 16 x 16, three colours each, in reading order
+_TENSOR = (f"SELECT x.vec_id, x.label, x.p, t.range AS t FROM ({_PX}) x JOIN range(768) t "
+           "ON x.k = (t.range // 3 // 16 // 2) * 8 + (t.range // 3 % 16) // 2")
+_ALL_SPLITS = f"SELECT x.vec_id, x.label, x.i, x.v, {SPLIT} AS split FROM ({X}) x JOIN ({POS}) p ON p.vec_id = x.vec_id"
+
 ORACLES.update({
     "param_average": (f"SELECT param, CAST(i AS INTEGER) AS i, CAST(j AS INTEGER) AS j, {rnd('v')} AS value "
                       f"FROM ({ZERO_ROUND})"),
@@ -174,13 +243,24 @@ ORACLES.update({
         f"{rnd('list_sum(list_transform(e.embedding, lambda x: CAST(x AS DOUBLE)))')} AS s "
         f"FROM embeddings e JOIN ({POS}) p ON p.vec_id = e.vec_id"),
     "scan_splits": f"SELECT e.vec_id, e.label, {SPLIT} AS split FROM embeddings e JOIN ({POS}) p ON p.vec_id = e.vec_id",
-    "scan_binary": ("SELECT regexp_extract(filename, '([^/]+)$', 1) AS name, CAST(size AS BIGINT) AS length, "
-                    "md5(content) AS md5 FROM read_blob('/root/testdata/sf0.01/*.parquet')"),
+    "scan_binary": ("SELECT label, CAST(sum(len(CAST(vec_id AS VARCHAR)) + 1) AS BIGINT) AS bytes FROM embeddings GROUP BY label"),
     "scan_image": (f"SELECT x.vec_id, x.label, {SPLIT} AS split, CAST(8 AS INTEGER) AS height, "
                    f"CAST(8 AS INTEGER) AS width, CAST(3 AS INTEGER) AS n_channels, "
-                   f"CAST(max(CASE WHEN k = 0 THEN x.p END) AS INTEGER) AS first_red, "
-                   f"CAST(4 * sum(x.p + x.p // 2 + 25 * x.label) AS DOUBLE) AS tensor_sum "
-                   f"FROM ({_PX}) x JOIN ({POS}) p ON p.vec_id = x.vec_id GROUP BY x.vec_id, x.label, p.pos"),
+                   f"CAST(max(CASE WHEN x.t = 0 THEN x.p END) AS INTEGER) AS first_red, "
+                   f"md5(string_agg(CAST(CASE x.t % 3 WHEN 0 THEN x.p WHEN 1 THEN x.p // 2 ELSE 25 * x.label END AS VARCHAR), "
+                   f"',' ORDER BY x.t)) AS pixels "
+                   f"FROM ({_TENSOR}) x JOIN ({POS}) p ON p.vec_id = x.vec_id GROUP BY x.vec_id, x.label, p.pos"),
+    "train_updaters": " UNION ALL ".join(
+        f"SELECT param, CAST(i AS INTEGER) AS i, CAST(j AS INTEGER) AS j, {rnd('v')} AS value, '{u}' AS updater "
+        f"FROM ({_zero_round('true', step)})" for u, step in FIRST_STEPS.items()),
+    "train_history": HISTORY,
+    "train_warm_start": (f"SELECT param, CAST(i AS INTEGER) AS i, CAST(j AS INTEGER) AS j, {rnd('v')} AS value "
+                         f"FROM ({WARM_ROUND})"),
+    "ml_baseline": (
+        f"SELECT s.split, s.label, count(DISTINCT s.vec_id) AS n, {rnd('sum(CASE WHEN s.i = 0 THEN s.x END)')} AS first, "
+        f"{rnd('sum(s.x * s.x)')} AS squares FROM (SELECT a.vec_id, a.label, a.split, a.i, (a.v - m.mean) / m.sd AS x "
+        f"FROM ({_ALL_SPLITS}) a JOIN (SELECT i, avg(v) AS mean, stddev_samp(v) AS sd FROM ({_ALL_SPLITS}) "
+        f"WHERE split = 'train' GROUP BY i) m ON m.i = a.i) s GROUP BY s.split, s.label"),
 })
 
 

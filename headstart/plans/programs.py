@@ -23,7 +23,7 @@ from ..model import Model, head, init_params, initial_preset
 from ..operators.evaluation import evaluate
 from ..operators.scoring import BatchFn, featurize, layer_chain, broadcast_model, predict
 from ..operators.training import FitParams, FitResult, fit
-from ..sources.features import read_features, write_features, write_split_folders
+from ..sources.features import read_features, split_paths, write_features, write_split_folders
 from ..sources.files import (IMAGE_CHANNELS, IMAGE_HEIGHT, IMAGE_INPUTS, IMAGE_WIDTH, image_decoder, scan_images,
                             with_split_from_path)
 from ..sources.models import read_model, write_model
@@ -99,7 +99,7 @@ def featurize_images(spark: SparkSession, image_root: str, save_path: str, *, n_
     _require(image_root=image_root, save_path=save_path)
     scorer = image_scorer(spark, model=model, output_layer=output_layer, scorer_factory=scorer_factory,
                           n_in=height * width * channels)
-    imgs = scan_images(spark, image_root, on_invalid="drop" if on_bad == "drop" else "error")
+    imgs = scan_images(spark, split_paths(spark, image_root), on_invalid="drop" if on_bad == "drop" else "error")
     feats = image_features(imgs, scorer, n_classes=n_classes, height=height, width=width, channels=channels,
                            on_bad=on_bad, with_onehot=with_onehot, layout=layout)
     (write_split_folders if split_folders else write_features)(feats, save_path, mode=mode)
@@ -131,7 +131,7 @@ def train_head(spark: SparkSession, train_path: str, input_layer: str, *, n_in:
                id_col: str = "id", features: str = "features", label: str = "label",
                history_path: str | None = None, snapshot_path: str | None = None) -> FitResult:
     """Build the head for ``input_layer`` (Xavier init, ``params.seed``), fit, optionally save
-    (``snapshot_path``: a model table rewritten after every epoch, for resuming)."""
+    (``snapshot_path``: a model table per epoch, the last two kept, for resuming)."""
     _require(train_path=train_path, input_layer=input_layer)
     model = init_params(head(input_layer, n_in, n_classes, keep_prob=params.keep_prob or 1.0), seed=params.seed)
     train = read_features(spark, train_path, features=features, label=label, columns=[id_col])
@@ -140,8 +140,7 @@ def train_head(spark: SparkSession, train_path: str, input_layer: str, *, n_in:
     res = fit(train, model, params, id_col=id_col, features=features, label=label, valid=valid,
               history_path=history_path, snapshot_path=snapshot_path)
     if save_path:
-        write_model(spark, res.model, save_path, state=res.state,
-                    meta={"iterations": res.iterations, "epoch": params.epochs - 1})
+        write_model(spark, res.model, save_path, state=res.state, meta=res.meta() | {"epoch": params.epochs - 1})
     return res
 
 
@@ -160,9 +159,9 @@ def train_incrementally(spark: SparkSession, train_path: str, model_path: str, s
     start = int(meta.get("epoch", -1)) + 1
     res = fit(train, model, params, id_col=id_col, features=features, label=label, valid=valid,
               state=state, iterations=int(meta.get("iterations", 0)), history_path=history_path,
+              updater_steps=int(meta.get("updater_steps", meta.get("iterations", 0))),
               snapshot_path=snapshot_path, start_epoch=start)
-    write_model(spark, res.model, save_path, state=res.state,
-                meta={"iterations": res.iterations, "epoch": start + params.epochs - 1})
+    write_model(spark, res.model, save_path, state=res.state, meta=res.meta() | {"epoch": start + params.epochs - 1})
     return res
 
 

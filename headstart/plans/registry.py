@@ -7,22 +7,22 @@ are rounded to 6 places on both sides.
 
 from __future__ import annotations
 
-import math
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import labels as L
-from ..functions.random import dropout_keep
+from ..functions.random import dropout_mask
 from ..model import dense, head, init_params, initial_preset
 from ..operators import evaluation as E
 from ..operators import ordering as O
 from ..operators.schedule import parse_schedule, rate_column
 from ..operators.scoring import predict, score
 from ..operators.stats import batchnorm_from_moments, feature_moments, moments_long
-from ..operators.training import UPDATERS, FitParams, fit, l2_penalty, prepare_layout
-from ..session import scratch_path
+from ..operators.training import (HISTORY_SCHEMA, UPDATERS, FitParams, evaluate_splits, fit, full_batch_round, init_state,
+                                  l2_penalty, prepare_layout)
+from ..session import remove_path, scratch_path
 from ..sources.features import read_features, read_split_folders, write_features, write_split_folders
 from ..sources.files import scan_binary, scan_images, to_tensor, with_split_from_path
 from ..sources.models import model_to_df, read_model, write_model
@@ -139,7 +139,8 @@ def _paths(spark, sf_dir):
     d3 = F.lpad((F.col("label") + 1).cast("string"), 3, "0")
     d4 = F.lpad(F.pmod(F.col("vec_id"), F.lit(10000)).cast("string"), 4, "0")
     split = F.when(F.pmod(F.col("vec_id"), F.lit(5)) == 0, "valid").otherwise("train")
-    path = F.concat(F.lit("/img/"), split, F.lit("/"), d3, F.lit(".c/"), d3, F.lit("_"), d4, F.lit(".jpg"))
+    hi = F.floor(F.col("vec_id") / 10000).cast("string")  # a folder level keeps names apart at any id
+    path = F.concat(F.lit("/img/"), split, F.lit("/"), d3, F.lit(".c"), hi, F.lit("/"), d3, F.lit("_"), d4, F.lit(".jpg"))
     return df.select("vec_id", path.alias("path"))
 
 
@@ -188,33 +189,41 @@ def q_minibatch_assign(spark, sf_dir):
 
 
 def q_dropout_mask(spark, sf_dir):
-    df = _emb(spark, sf_dir).select("vec_id", F.posexplode("embedding").alias("i", "x"))
-    return df.select("vec_id", "i", dropout_keep(F.col("vec_id"), F.col("i"), 0.9, FX.SEED, 0).alias("kept"))
+    mask = dropout_mask("vec_id", FX.WIDTH, 0.9, FX.SEED, 0)  # hashes the row once
+    return _emb(spark, sf_dir).select("vec_id", F.posexplode(mask).alias("i", "kept"))
+
+
+WORKERS = 4
+
+
+def _zeros():
+    return init_params([dense("predictions", FX.WIDTH, FX.N_CLASSES, "softmax")], scheme="zeros")
+
+
+def _with_worker(df):
+    """``worker`` 0 to 3: quarters of the seeded order, whatever the table's size."""
+    n = max(1, df.count())
+    return O.with_position(df, "vec_id", FX.SEED).withColumn("worker", F.expr(f"int((pos * {WORKERS}) div {n})"))
+
+
+def _full_round(df, model, p, it=0, state=None):
+    """One averaging round: every worker takes one step on all its rows, then the mean."""
+    state = init_state(model, p.updater) if state is None else state
+    return full_batch_round(df, model, state, p, it, features="embedding", label="label")[0]
+
+
+SGD = FitParams(rate=1.0, updater="sgd", seed=FX.SEED)
 
 
 def _zero_one_round(spark, sf_dir):
-    """One parameter-averaging round over the whole table from zero weights (k = 1, plain
-    SGD, rate 1): every worker takes one step on its own 25 rows, then the mean is taken.
-    Workers grow with the table; each group stays 25 rows."""
-    df = _emb(spark, sf_dir)
-    n = df.count()
-    p = FitParams(epochs=1, workers=max(1, math.ceil(n / 25)), batch_size=25, avg_freq=1, rate=1.0,
-                  updater="sgd", eval_interval=1 << 30, seed=FX.SEED)
-    m0 = init_params([dense("predictions", FX.WIDTH, FX.N_CLASSES, "softmax")], scheme="zeros")
-    return fit(df, m0, p, id_col="vec_id", features="embedding", label="label").model
+    """One round over the whole table from zero weights (plain SGD, rate 1)."""
+    return _full_round(_with_worker(_emb(spark, sf_dir)), _zeros(), SGD)
 
 
 def _model_long(spark, model):
-    recs = []
-    for k in model.keys():
-        arr = model.params[k]
-        name = k.rsplit("/", 1)[1]
-        mat = arr.reshape(1, -1) if arr.ndim == 1 else arr
-        for i in range(mat.shape[0]):
-            for j in range(mat.shape[1]):
-                recs.append((name, i, j, float(mat[i, j])))
-    df = spark.createDataFrame(recs, "param string, i int, j int, v double")
-    return df.select("param", "i", "j", _rnd(F.col("v")).alias("value"))
+    return model_to_df(spark, model).filter("param <> ''") \
+        .select("param", F.col("row").alias("i"), F.posexplode("values").alias("j", "v")) \
+        .select("param", "i", "j", _rnd(F.col("v")).alias("value"))
 
 
 def q_param_average(spark, sf_dir):
@@ -226,15 +235,15 @@ def q_model_roundtrip(spark, sf_dir):
     path = scratch_path(spark, "model")
     write_model(spark, model, path, meta={"iterations": 1})
     back, _, _ = read_model(spark, path)
+    remove_path(spark, path)
     table = model_to_df(spark, back)
     return table.select("param", "row", F.size("values").alias("n"),
                         _rnd(F.aggregate("values", F.lit(0.0), lambda acc, x: acc + x)).alias("s"))
 
 
 def q_l2_penalty(spark, sf_dir):
-    model = _zero_one_round(spark, sf_dir)
-    return spark.createDataFrame([(l2_penalty(model, 0.05),)], "penalty double") \
-        .select(_rnd(F.col("penalty")).alias("penalty"))
+    weights = model_to_df(spark, _zero_one_round(spark, sf_dir)).filter("param = 'W'").select(F.explode("values").alias("w"))
+    return weights.agg(_rnd(F.lit(0.5 * 0.05) * F.sum(F.col("w") * F.col("w"))).alias("penalty"))
 
 
 SCHEDULE_TEXT = "0,0.1|3,0.01|3,0.05|7,0.001"
@@ -297,9 +306,13 @@ def q_scan_splits(spark, sf_dir):
 
 
 def q_scan_binary(spark, sf_dir):
-    files = scan_binary(spark, sf_dir, glob="*.parquet")
-    return files.select(F.regexp_extract("path", r"([^/]+)$", 1).alias("name"), "length",
-                        F.md5("content").alias("md5"))
+    """Files below a folder tree, by name and length (the content column is never read)."""
+    root = scratch_path(spark, "binary")
+    _emb(spark, sf_dir).select(F.col("vec_id").cast("string").alias("value"), "label") \
+        .write.partitionBy("label").text(root)
+    files = scan_binary(spark, root)
+    return files.groupBy(F.regexp_extract("path", r"/label=(\d+)/[^/]+$", 1).cast("int").alias("label")) \
+        .agg(F.sum("length").alias("bytes"))
 
 
 def _image_root(spark, sf_dir):
@@ -320,7 +333,7 @@ def q_scan_image(spark, sf_dir):
                                                                     "width", "n_channels"])
     return t.select("vec_id", "label", "split", "height", "width", "n_channels",
                     F.col("features")[0].cast("int").alias("first_red"),
-                    F.aggregate("features", F.lit(0.0), lambda a, x: a + x.cast("double")).alias("tensor_sum"))
+                    F.md5(F.array_join(F.transform("features", lambda x: x.cast("int").cast("string")), ",")).alias("pixels"))
 
 
 def _history_row(h):
@@ -334,6 +347,36 @@ def _train_valid(spark, sf_dir):
 
 
 def q_train_history(spark, sf_dir):
+    """One full round on the train split from zero weights, then the history rows."""
+    train, valid = _train_valid(spark, sf_dir)
+    p = SGD.replace(l2=0.05)
+    model = _full_round(_with_worker(train), _zeros(), p)
+    metrics = evaluate_splits({"train": train, "valid": valid}, model, features="embedding", label="label")
+    rows = [(0, k, m["n"], m["loss"], m["accuracy"], m["precision"], m["recall"], l2_penalty(model, p.l2)) for k, m in metrics.items()]
+    return _history_row(spark.createDataFrame(rows, HISTORY_SCHEMA))
+
+
+def q_train_updaters(spark, sf_dir):
+    """The weights after one step of each update rule from zero weights and zero state."""
+    df, out = _with_worker(_emb(spark, sf_dir)), None
+    for u in UPDATERS:
+        model = _full_round(df, _zeros(), FitParams(rate=0.01, updater=u, seed=FX.SEED))
+        part = _model_long(spark, model).withColumn("updater", F.lit(u))
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+def q_train_warm_start(spark, sf_dir):
+    """A second round from a saved model, with another rate and L2."""
+    df = _with_worker(_emb(spark, sf_dir))
+    path = scratch_path(spark, "warm-model")
+    write_model(spark, _full_round(df, _zeros(), SGD), path, meta={"iterations": 1})
+    model, state, meta = read_model(spark, path)
+    remove_path(spark, path)
+    return _model_long(spark, _full_round(df, model, SGD.replace(rate=0.5, l2=0.01), int(meta["iterations"])))
+
+
+def q_fit_history(spark, sf_dir):
     train, valid = _train_valid(spark, sf_dir)
     model = init_params(head("fc2", FX.WIDTH, FX.N_CLASSES, keep_prob=0.9), seed=FX.SEED)
     p = FitParams(epochs=4, workers=4, batch_size=32, avg_freq=5, rate=0.01, momentum=0.9, l2=0.05,
@@ -342,7 +385,7 @@ def q_train_history(spark, sf_dir):
     return _history_row(res.history_df(spark))
 
 
-def q_train_updaters(spark, sf_dir):
+def q_fit_updaters(spark, sf_dir):
     train, valid = _train_valid(spark, sf_dir)
     frames = []
     base = FitParams(epochs=1, workers=4, batch_size=16, avg_freq=2, rate=0.01, eval_interval=1, seed=FX.SEED)
@@ -359,33 +402,50 @@ def q_train_updaters(spark, sf_dir):
     return out
 
 
-def q_train_warm_start(spark, sf_dir):
+def q_fit_warm_start(spark, sf_dir):
     train, valid = _train_valid(spark, sf_dir)
     pre = initial_preset("fc2", FX.WIDTH, FX.N_CLASSES)
     first = fit(train, init_params(pre.layers, seed=pre.seed),
                 FitParams(epochs=1, rate=pre.rate, momentum=pre.momentum, l2=pre.l2, eval_interval=1),
                 id_col="vec_id", features="embedding", valid=valid)
     path = scratch_path(spark, "warm-model")
-    write_model(spark, first.model, path, state=first.state, meta={"iterations": first.iterations})
+    write_model(spark, first.model, path, state=first.state, meta=first.meta())
     model, state, meta = read_model(spark, path)
+    remove_path(spark, path)
     p = FitParams(epochs=2, rate=0.01, schedule=parse_schedule(SCHEDULE_TEXT), updater="nesterovs",
                   momentum=0.9, l2=0.01, eval_interval=1, seed=7)
     res = fit(train, model, p, id_col="vec_id", features="embedding", valid=valid, state=state,
-              iterations=int(meta.get("iterations", 0)))
+              iterations=int(meta["iterations"]), updater_steps=int(meta["updater_steps"]))
     return _history_row(res.history_df(spark)).withColumn("iterations", F.lit(res.iterations))
 
 
-def q_ml_baseline(spark, sf_dir):
+def _ml_points(spark, sf_dir):
+    """Labeled points with their split, in a scratch table: the fit reads them many times."""
     from pyspark.ml import Pipeline
     from pyspark.ml.classification import LogisticRegression
     from pyspark.ml.feature import StandardScaler
 
-    df = _with_split(spark, sf_dir)
-    pts = L.to_labeled_points(df, features="embedding", keep=("split",))
+    pts = L.to_labeled_points(_with_split(spark, sf_dir), features="embedding", keep=("vec_id", "split")).persist()
     pipe = Pipeline(stages=[StandardScaler(inputCol="features", outputCol="scaled", withMean=True),
                             LogisticRegression(featuresCol="scaled", labelCol="label", family="multinomial",
                                                maxIter=50, regParam=0.01)])
-    fitted = pipe.fit(pts.filter(F.col("split") == "train"))
+    return pts, pipe.fit(pts.filter(F.col("split") == "train"))
+
+
+def q_ml_baseline(spark, sf_dir):
+    """Rows and standardized features by split and class, as the classifier sees them."""
+    from pyspark.ml.functions import vector_to_array
+
+    pts, fitted = _ml_points(spark, sf_dir)
+    scaled = fitted.transform(pts).select("split", F.col("label").cast("int").alias("label"),
+                                          vector_to_array("scaled").alias("x"))
+    return scaled.groupBy("split", "label").agg(
+        F.count(F.lit(1)).alias("n"), _rnd(F.sum(F.col("x")[0])).alias("first"),
+        _rnd(F.sum(F.aggregate("x", F.lit(0.0), lambda a, v: a + v * v))).alias("squares"))
+
+
+def q_ml_accuracy(spark, sf_dir):
+    pts, fitted = _ml_points(spark, sf_dir)
     pred = fitted.transform(pts).select("split", F.col("label").cast("int").alias("label"),
                                          F.col("prediction").cast("int").alias("pred"))
     return pred.groupBy("split").agg(F.count(F.lit(1)).alias("n"),
@@ -430,4 +490,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "train_updaters": q_train_updaters,
     "train_warm_start": q_train_warm_start,
     "ml_baseline": q_ml_baseline,
+    "fit_history": q_fit_history,
+    "fit_updaters": q_fit_updaters,
+    "fit_warm_start": q_fit_warm_start,
+    "ml_accuracy": q_ml_accuracy,
 }

@@ -72,14 +72,6 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{root}/headstart/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def is_local_path(path: str) -> bool:
-    return path.startswith("/") or path.startswith("file:")
-
-
-def local_fs_path(path: str) -> str:
-    return path[len("file:"):] if path.startswith("file:") else path
-
-
 def arrow_uri(path: str) -> str:
     """A Hadoop-style path (``/x``, ``file:/x``, ``s3a://b/x``) as a URI pyarrow.fs accepts."""
     if path.startswith("file:") and not path.startswith("file://"):
@@ -91,11 +83,6 @@ def arrow_uri(path: str) -> str:
     return path
 
 
-def ensure_parent(path: str) -> None:
-    if is_local_path(path):
-        os.makedirs(os.path.dirname(local_fs_path(path)), exist_ok=True)
-
-
 _SHIPPED: set[str] = set()
 
 

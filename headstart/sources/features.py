@@ -54,10 +54,21 @@ def read_features(spark: SparkSession, path: str, *, features: str = "embedding"
     return require_not_null(df, [features, label], "drop") if on_null == "drop" else df
 
 
+def split_paths(spark: SparkSession, root: str) -> list[str]:
+    """The split folders that exist below ``root``."""
+    jvm = spark.sparkContext._jvm
+    base = jvm.org.apache.hadoop.fs.Path(root)
+    fs = base.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    found = [f"{root.rstrip('/')}/{s}" for s in SPLITS if fs.exists(jvm.org.apache.hadoop.fs.Path(base, s))]
+    if not found:
+        raise FileNotFoundError(f"none of the folders {', '.join(SPLITS)} in {root}")
+    return found
+
+
 def read_split_folders(spark: SparkSession, root: str, *, fmt: str = "parquet") -> DataFrame:
-    """One scan of ``root/{train,test,valid}/…`` (unpartitioned folders) with a ``split``
-    column taken from each file's path (S4); a single job instead of one per split."""
-    df = (spark.read.format(fmt).option("recursiveFileLookup", "true").load(root))
+    """One scan of the folders ``train``, ``test`` and ``valid`` below ``root`` with a ``split``
+    column taken from each file's path (S4); a single job, and nothing else below ``root`` is read."""
+    df = spark.read.format(fmt).option("recursiveFileLookup", "true").load(split_paths(spark, root))
     return df.withColumn("split", F.regexp_extract(F.col("_metadata.file_path"), SPLIT_FOLDER, 1))
 
 
@@ -74,17 +85,19 @@ def write_split_folders(df: DataFrame, root: str, *, split: str = "split",
                         mode: str = "errorifexists") -> None:
     """The reference's layout: ``root/train``, ``root/test``, ``root/valid`` as plain folders
     (no ``split=`` prefix). One partitioned write (the input's lineage runs once), then each
-    ``split=<name>`` folder is renamed to ``<name>`` through Spark's Hadoop file system — a
-    metadata operation. Read it back with :func:`read_split_folders`."""
+    ``split=<name>`` folder is renamed to ``<name>`` through Spark's Hadoop file system, whatever
+    the name (a metadata operation on a file system, a copy on an object store). Read the
+    three back with :func:`read_split_folders`."""
     write_features(df, root, split=split, mode=mode)
     spark = df.sparkSession
     jvm = spark.sparkContext._jvm
     base = jvm.org.apache.hadoop.fs.Path(root)
     fs = base.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    for sp in SPLITS:
-        src = jvm.org.apache.hadoop.fs.Path(base, f"{split}={sp}")
-        if fs.exists(src) and not fs.rename(src, jvm.org.apache.hadoop.fs.Path(base, sp)):
-            raise RuntimeError(f"could not rename {src} to {sp}")
+    for f in fs.globStatus(jvm.org.apache.hadoop.fs.Path(base, f"{split}=*")) or []:
+        src = f.getPath()
+        name = src.getName().split("=", 1)[1]
+        if not fs.rename(src, jvm.org.apache.hadoop.fs.Path(base, name)):
+            raise RuntimeError(f"could not rename {src} to {name}")
 
 
 def to_packed(df: DataFrame, features: str = "features", out: str | None = None) -> DataFrame:

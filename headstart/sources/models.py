@@ -4,7 +4,7 @@ Layout (Parquet, through Spark's file systems, so a shared folder works from any
 ``layer int, name string, kind string, activation string, n_in int, n_out int,
 keep_prob double, eps double, decay double, param string, row int, values array<double>``.
 A matrix is one row per input index; vectors are ``row = 0``; optimizer state rides in
-``param = '<param>@<slot>'``; run counters are ``layer = -1, name = '_meta'``.
+``param = '<param>@<updater>.<slot>'``; run counters are ``layer = -1, name = '_meta'``.
 The model goes back to the driver by design: it is broadcast to score or train.
 """
 
@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from ..model import Layer, Model
+from ..session import remove_path
 
 SCHEMA = T.StructType([
     T.StructField("layer", T.IntegerType(), False),
@@ -83,6 +84,24 @@ def model_from_rows(pdf: pd.DataFrame) -> tuple[Model, dict[str, np.ndarray], di
     return Model(tuple(layers), params), state, meta
 
 
+def write_snapshot(spark: SparkSession, model: Model, path: str, epoch: int, *, state=None, meta=None) -> None:
+    """Save a model table as ``path/epoch=N``; the last complete one stays until this one is."""
+    write_model(spark, model, f"{path}/epoch={epoch}", state=state, meta=meta, mode="overwrite")
+    for n in snapshots(spark, path):
+        if n < epoch - 1:
+            remove_path(spark, f"{path}/epoch={n}")
+
+
+def snapshots(spark: SparkSession, path: str) -> list[int]:
+    """Epochs of the complete snapshots below ``path``, ascending."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/epoch=*/_SUCCESS")
+    found = p.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(p) or []
+    return sorted(int(f.getPath().getParent().getName().split("=")[1]) for f in found)
+
+
 def read_model(spark: SparkSession, path: str) -> tuple[Model, dict[str, np.ndarray], dict[str, float]]:
-    """Load a model table (S6) → (model, optimizer state, meta counters)."""
+    """Load a model table (S6), or the newest complete snapshot below ``path`` → (model,
+    optimizer state, meta counters)."""
+    if done := snapshots(spark, path):
+        path = f"{path}/epoch={done[-1]}"
     return model_from_rows(spark.read.schema(SCHEMA).parquet(path).toPandas())

@@ -47,7 +47,7 @@ def test_public_api_imports():
     assert not missing
 
 
-@pytest.mark.parametrize("name", ["train_history", "train_warm_start"])
+@pytest.mark.parametrize("name", ["fit_history", "fit_warm_start"])
 def test_rows_only_queries_are_deterministic(spark, name):
     q = E.queries()[name]
     a = sorted(map(tuple, q(spark, SF01).collect()))

@@ -92,7 +92,7 @@ def test_bad_path_fails_featurization(spark):
     with open(os.path.join(root, "train", "x", "12_0001.jpg"), "wb") as f:
         f.write(png_bytes(np.zeros((6, 5, 3))))
     out = os.path.join(tempfile.mkdtemp(prefix="hs-out-"), "f")
-    with pytest.raises(Exception, match="Could not parse label from path"):
+    with pytest.raises(Exception, match="no class number in image path"):
         featurize_images(spark, root, out, n_classes=4, model=_small_chain(), output_layer="fc1",
                          height=6, width=5)
 

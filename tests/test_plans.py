@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from headstart.operators import evaluation as E
 from headstart.operators.scoring import predict
-from headstart.operators.training import FitParams, prepare
+from headstart.operators.training import FitParams, prepare_layout
 from headstart.plans import fixtures as FX
 from headstart.sources.features import read_features
 
@@ -41,9 +41,11 @@ def test_evaluation_shuffles_only_aggregates(spark, emb):
 
 
 def test_training_round_has_no_exchange(spark, emb):
-    table, _ = prepare(emb, FitParams(workers=2, batch_size=8, avg_freq=2), id_col="vec_id",
-                       features="embedding", label="label")
-    part = table.filter(F.col("round") == 1)
-    plan = _plan(part.mapInArrow(lambda it: it, part.schema))
+    layout = prepare_layout(emb, FitParams(workers=2, batch_size=8, avg_freq=2), id_col="vec_id",
+                            features="embedding", label="label")
+    block = layout.block(0, 2, 16)
+    part = block.filter(F.col("round") == 1)
+    plan = _plan(part.mapInArrow(lambda it: it, part.schema), "simple").split("InMemoryRelation")[0]
     assert "Exchange" not in plan and "InMemoryTableScan" in plan and "(round#" in plan
-    table.unpersist()
+    block.unpersist()
+    layout.release()

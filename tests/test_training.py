@@ -50,7 +50,7 @@ def test_updaters_reduce_loss(emb, updater):
 
 
 def test_params_are_checked_before_jobs():
-    with pytest.raises(ValueError, match="Invalid updater"):
+    with pytest.raises(ValueError, match="unknown updater"):
         FitParams(updater="lbfgs")
     with pytest.raises(ValueError):
         FitParams(workers=0)
@@ -64,7 +64,7 @@ def test_dropout_and_warm_start_are_reproducible(spark, emb):
     m = init_params(head("fc2", 64, 10, keep_prob=0.8), seed=42)
     p = FitParams(epochs=1, workers=2, batch_size=16, avg_freq=2, rate=0.05, eval_interval=1)
     a = fit(emb, m, p, id_col="vec_id", features="embedding")
-    b = fit(emb, m, p, id_col="vec_id", features="embedding", materialize="persist")
+    b = fit(emb, m, p, id_col="vec_id", features="embedding")
     for k in a.model.keys():
         assert np.array_equal(a.model.params[k], b.model.params[k])
     # warm start continues the iteration count and keeps optimizer state
@@ -83,36 +83,176 @@ def test_keep_prob_override(emb):
     assert not np.array_equal(r1.model.params["predictions/W"], r2.model.params["predictions/W"])
 
 
-def test_distributed_average_equals_collected(emb, monkeypatch):
+def test_chunked_average_is_bit_equal_on_reruns(emb, monkeypatch):
     from headstart.operators import training as TR
 
     m = init_params(head("fc2", 64, 10, keep_prob=0.9), seed=42)
     p = FitParams(epochs=1, workers=3, batch_size=16, avg_freq=2, rate=0.05, updater="adam",
                   eval_interval=1 << 30)
     a = fit(emb, m, p, id_col="vec_id", features="embedding")
-    monkeypatch.setattr(TR, "COLLECT_AVERAGE_BYTES", 0)   # force groupBy(chunk) + Summarizer
     monkeypatch.setattr(TR, "CHUNK", 100)                 # several chunks per vector
-    b = fit(emb, m, p, id_col="vec_id", features="embedding")
-    assert a.iterations == b.iterations
+    b = fit(emb.repartition(5), m, p, id_col="vec_id", features="embedding")
+    assert a.iterations == b.iterations == a.updater_steps
     for k in m.keys():
-        assert np.abs(a.model.params[k] - b.model.params[k]).max() < 1e-12
+        assert np.array_equal(a.model.params[k], b.model.params[k])
     for k in a.state:
-        assert np.abs(a.state[k] - b.state[k]).max() < 1e-12
+        assert np.array_equal(a.state[k], b.state[k])
 
 
-def test_each_task_holds_exactly_one_worker(emb):
+def test_layout_blocks(emb):
+    """Each worker alone in a partition of a block; blocks hold consecutive rounds and all rows."""
     from pyspark.sql import functions as F
 
-    from headstart.operators.training import prepare
+    from headstart.operators.training import prepare_layout
 
     p = FitParams(workers=5, batch_size=8, avg_freq=3)
-    table, rounds = prepare(emb, p, id_col="vec_id", features="embedding", label="label")
-    per = (table.groupBy(F.spark_partition_id().alias("part"))
-           .agg(F.countDistinct("worker").alias("w"), F.min("worker").alias("worker")).collect())
-    assert len(per) == 5 and all(r.w == 1 for r in per)
-    assert sorted(r.worker for r in per) == list(range(5))
-    assert rounds == -(-emb.count() // (5 * 8 * 3))
-    table.unpersist()
+    layout = prepare_layout(emb, p, id_col="vec_id", features="embedding", label="label", rounds_per_block=2)
+    assert layout.rounds == -(-emb.count() // (5 * 8 * 3)) and layout.blocks == -(-layout.rounds // 2)
+    seen = 0
+    for b in range(layout.blocks):
+        block = layout.block(b, 5, 24)
+        per = (block.groupBy(F.spark_partition_id().alias("part"))
+               .agg(F.countDistinct("worker").alias("w"), F.min("worker").alias("worker")).collect())
+        assert all(r.w == 1 for r in per) and len({r.worker for r in per}) == len(per)
+        assert {r["round"] for r in block.select("round").distinct().collect()} <= {2 * b, 2 * b + 1}
+        seen += block.count()
+        block.unpersist()
+    assert seen == emb.count()
+    layout.release()
+
+
+def test_jobs_and_reads_of_an_epoch_follow_the_rows(spark, emb, monkeypatch):
+    from headstart.operators import training as TR
+
+    calls = {"block": 0, "rows": 0, "round": 0}
+    block, run = TR.Layout.block, TR.run_round
+
+    def counted_block(self, *a):
+        out = block(self, *a)
+        calls["block"] += 1
+        calls["rows"] += out.count()
+        return out
+
+    def counted_round(*a, **kw):
+        calls["round"] += 1
+        return run(*a, **kw)
+
+    monkeypatch.setattr(TR.Layout, "block", counted_block)
+    monkeypatch.setattr(TR, "run_round", counted_round)
+    m, p = _zero_model(), FitParams(epochs=2, workers=2, batch_size=5, avg_freq=2, **ZERO)
+    got = []
+    for n in (100, 200, 400):
+        calls.update(block=0, rows=0, round=0)
+        layout = TR.prepare_layout(emb.filter(f"vec_id < {n}"), p, id_col="vec_id", features="embedding", rounds_per_block=2)
+        fit(emb, m, p, id_col="vec_id", features="embedding", layout=layout)
+        layout.release()
+        got.append((calls["block"], calls["rows"], calls["round"]))
+    assert [g[1] for g in got] == [200, 400, 800]  # two epochs read every row twice
+    assert [g[2] for g in got] == [10, 20, 40]
+    assert got[2][0] == 2 * -(-20 // 2) and got[0][0] == 2 * -(-5 // 2)
+
+
+def test_one_block_is_read_once_for_all_epochs(emb, monkeypatch):
+    from headstart.operators import training as TR
+
+    n, block = [0], TR.Layout.block
+    monkeypatch.setattr(TR.Layout, "block", lambda self, *a: (n.__setitem__(0, n[0] + 1), block(self, *a))[1])
+    _fit(emb, _zero_model(), epochs=3, workers=2, batch_size=50, avg_freq=1, **ZERO)
+    assert n == [1]
+
+
+def test_full_batch_round_equals_one_step_on_all_rows(spark, emb):
+    from pyspark.sql import functions as F
+
+    from headstart.operators.training import full_batch_round
+
+    m = init_params([dense("h", 64, 8, "relu"), dense("out", 8, 10, "softmax")], seed=1)
+    rows = emb.collect()
+    for updater in ("sgd", "adam"):
+        p = FitParams(rate=0.1, updater=updater, l2=0.01)
+        df = emb.withColumn("worker", (F.col("vec_id") % 3).cast("int"))
+        got, state, loss = full_batch_round(df.repartition(7), m, init_state(m, updater), p, features="embedding", label="label")
+        again, _, _ = full_batch_round(df.repartition(7), m, init_state(m, updater), p, features="embedding", label="label")
+        steps, losses = [], []
+        for w in range(3):
+            mine = [r for r in rows if r.vec_id % 3 == w]
+            one = (np.arange(len(mine)), np.array([r.embedding for r in mine], float), np.array([r.label for r in mine]))
+            out = train_batches(m, init_state(m, updater), [one], p, 0, 0)
+            steps.append(out[0].params)
+            losses.append(out[3])
+        for k in m.keys():
+            assert np.abs(got.params[k] - np.mean([s[k] for s in steps], axis=0)).max() < 1e-12
+            assert np.array_equal(got.params[k], again.params[k])
+        assert abs(loss - np.mean(losses)) < 1e-12
+    with pytest.raises(ValueError, match="batch-norm"):
+        full_batch_round(df, init_params(head("fc2", 64, 10)), {}, p, features="embedding", label="label")
+
+
+@pytest.mark.parametrize("updater", ["sgd", "nesterovs", "adam", "adadelta", "rmsprop"])
+def test_update_rules_against_hand_formulas(updater):
+    """Three steps on one weight and one bias, by the rules as published."""
+    from headstart.operators.training import apply_update
+
+    p = FitParams(updater=updater, rate=0.1, momentum=0.9, l2=0.5)
+    params = {"l/W": np.array([[2.0]]), "l/b": np.array([1.0])}
+    shape = init_params([dense("l", 1, 1, "softmax")], scheme="zeros")
+    state = init_state(shape, updater)
+    w = {"l/W": [2.0, 0.0, 0.0], "l/b": [1.0, 0.0, 0.0]}  # value and two slots
+    for t, grads in enumerate([(1.0, -2.0), (0.5, 0.25), (-3.0, 1.0)]):
+        apply_update(params, {"l/W": np.array([[grads[0]]]), "l/b": np.array([grads[1]])}, state, p, 0.1, t)
+        for key, g in zip(("l/W", "l/b"), grads):
+            x, a, b = w[key]
+            g = g + 0.5 * x if key == "l/W" else g
+            if updater == "sgd":
+                x -= 0.1 * g
+            elif updater == "nesterovs":
+                v = 0.9 * a - 0.1 * g
+                x, a = x - 0.9 * a + 1.9 * v, v
+            elif updater == "adam":
+                a, b = 0.9 * a + 0.1 * g, 0.999 * b + 0.001 * g * g
+                x -= 0.1 * (a / (1 - 0.9 ** (t + 1))) / ((b / (1 - 0.999 ** (t + 1))) ** 0.5 + 1e-8)
+            elif updater == "rmsprop":
+                a = 0.95 * a + 0.05 * g * g
+                x -= 0.1 * g / (a + 1e-8) ** 0.5
+            else:
+                a = 0.95 * a + 0.05 * g * g
+                d = -((b + 1e-6) ** 0.5) / (a + 1e-6) ** 0.5 * g
+                x, b = x + d, 0.95 * b + 0.05 * d * d
+            w[key] = [x, a, b]
+            assert abs(params[key].item() - x) < 1e-12, (updater, key, t)
+
+
+@pytest.mark.parametrize("first", ["sgd", "nesterovs", "adam", "adadelta", "rmsprop"])
+def test_another_updater_starts_from_fresh_state(spark, emb, first):
+    from headstart.sources.models import read_model, write_model
+    from headstart.session import scratch_path
+
+    m = init_params(head("predictions", 64, 10), seed=3)
+    p = FitParams(epochs=1, workers=2, batch_size=50, avg_freq=5, rate=0.01, updater=first, eval_interval=1 << 30)
+    a = fit(emb, m, p, id_col="vec_id", features="embedding")
+    path = scratch_path(spark, "t-warm")
+    write_model(spark, a.model, path, state=a.state, meta=a.meta())
+    model, state, meta = read_model(spark, path)
+    for second in ("nesterovs", "adam", "adadelta", "rmsprop"):
+        q = p.replace(updater=second)
+        warm = fit(emb, model, q, id_col="vec_id", features="embedding", state=state, iterations=int(meta["iterations"]),
+                   updater_steps=int(meta["updater_steps"]))
+        cold = fit(emb, model, q, id_col="vec_id", features="embedding")
+        same = all(np.array_equal(warm.model.params[k], cold.model.params[k]) for k in model.keys())
+        assert same == (second != first), (first, second)
+        assert warm.iterations == a.iterations + cold.iterations
+        assert warm.updater_steps == cold.iterations + (a.updater_steps if second == first else 0)
+
+
+def test_interval_counts_epochs_of_the_run_and_history_is_appended(spark, emb):
+    from headstart.session import scratch_path
+
+    path = scratch_path(spark, "t-hist")
+    p = FitParams(epochs=3, workers=2, batch_size=100, avg_freq=1, rate=0.01, eval_interval=2)
+    res = fit(emb, _zero_model(), p, id_col="vec_id", features="embedding", start_epoch=5, history_path=path)
+    assert res.history.epoch.tolist() == [6]
+    fit(emb, _zero_model(), p.replace(eval_interval=1), id_col="vec_id", features="embedding", history_path=path)
+    assert sorted(r.epoch for r in spark.read.parquet(path).collect()) == [0, 1, 2, 6]
 
 
 def test_shared_layout_gives_the_same_fit(emb):
@@ -190,16 +330,43 @@ def test_snapshot_resume_equals_uninterrupted_run(spark, emb):
         assert np.abs(rest.model.params[k] - full.model.params[k]).max() < 1e-12
 
 
-def test_fit_survives_losing_the_cached_layout(emb):
-    """Executors lost ⇒ cached blocks gone: rounds then read the checkpointed layout (no
-    re-shuffle, one worker per partition still) and give exactly the same model."""
-    from headstart.operators.training import prepare_layout
+def test_snapshot_survives_a_broken_write(spark, emb, tmp_path):
+    from headstart.sources.models import read_model, snapshots
+
+    snap = str(tmp_path / "snap")
+    m = _zero_model()
+    fit(emb, m, FitParams(epochs=3, workers=2, batch_size=100, avg_freq=1, **ZERO), id_col="vec_id", features="embedding",
+        snapshot_path=snap)
+    assert snapshots(spark, snap) == [1, 2]  # the last two stay
+    (tmp_path / "snap" / "epoch=3").mkdir()  # a write that never finished
+    (tmp_path / "snap" / "epoch=3" / "part-0.parquet").write_bytes(b"broken")
+    assert read_model(spark, snap)[2]["epoch"] == 2
+
+
+def test_null_elements_are_refused(spark, emb):
+    from pyspark.sql import functions as F
+
+    bad = emb.withColumn("embedding", F.when(F.col("vec_id") == 7, F.transform("embedding", lambda x, i: F.when(i != 3, x)))
+                         .otherwise(F.col("embedding")))
+    with pytest.raises(Exception, match="null element"):
+        _fit(bad, _zero_model(), epochs=1, workers=2, batch_size=100, avg_freq=1, **ZERO)
+
+
+def test_fit_survives_losing_the_cached_block(emb, monkeypatch):
+    """Executors lost: rounds then read the block from the layout again and give the same model."""
+    from headstart.operators import training as TR
 
     m = init_params(head("fc2", 64, 10, keep_prob=0.8), seed=4)
     p = FitParams(epochs=1, workers=3, batch_size=16, avg_freq=2, rate=0.05, eval_interval=1 << 30)
     ref = fit(emb, m, p, id_col="vec_id", features="embedding")
-    layout = prepare_layout(emb, p, id_col="vec_id", features="embedding")
-    layout.table.unpersist(blocking=True)  # as if every executor holding the cache were lost
-    res = fit(emb, m, p, id_col="vec_id", features="embedding", layout=layout)
+    block = TR.Layout.block
+
+    def lost(self, *a):
+        out = block(self, *a)
+        out.unpersist(blocking=True)  # as if every executor holding the cache were lost
+        return out
+
+    monkeypatch.setattr(TR.Layout, "block", lost)
+    res = fit(emb, m, p, id_col="vec_id", features="embedding")
     for k in m.keys():
         assert np.array_equal(res.model.params[k], ref.model.params[k])

@@ -28,10 +28,11 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from ..session import scratch_path
 from .common import drop_stage, map_arrow, shuffle_partitions, stage
-from .tokens import encoder, vocabulary
+from .tokens import encoded, vocabulary
 
 MAX_BITS = 16
 RUN = 64
@@ -131,41 +132,57 @@ def decode_blocks(blocks: list[tuple[int, bytes, bytes]], symbol: np.ndarray, le
     return [flat[a:a + n] for a, (n, _, _) in zip(ends, blocks)]
 
 
-def _tokenized(docs: DataFrame, vocab: str, end_id: int) -> DataFrame:
-    """``shard, doc_id, at, n, ids``: documents in id order, ``at`` the ids before it in its shard."""
+def _ids_below(vocab: str, end_id: int) -> int:
+    """A number that all ids are below."""
+    from tokenizers import Tokenizer
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc, end, at, shard = encoder(vocab), np.array([end_id], "<u4").tobytes(), 0, TaskContext.get().partitionId()
-        for b in batches:
-            ids = [enc.encode(t) + end for t in b.column("text").to_pylist()]
-            n = np.array([len(x) // 4 for x in ids], np.int64)
-            before = at + np.cumsum(n) - n
-            at += int(n.sum())
-            yield pa.record_batch({"shard": pa.array(np.full(len(n), shard, np.int32)), "doc_id": b.column("doc_id"),
-                                   "at": pa.array(before), "n": pa.array(n), "ids": pa.array(ids, pa.binary())})
+    return max(Tokenizer.from_file(vocab).get_vocab_size(), end_id + 1)
 
-    spark = docs.sparkSession
+
+def _tokenized(docs: DataFrame, vocab: str, end_id: int, kind: str) -> DataFrame:
+    """``counts, shard, doc_id, at, n, ids``: documents in id order, ``at`` the ids before it in its shard.
+
+    Behind its documents a shard has a row (``counts`` true) with how often it has each id.
+    """
+    size = _ids_below(vocab, end_id)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, shard, total = 0, TaskContext.get().partitionId(), np.zeros(size, np.int64)
+        for b, texts in (x for batch in batches for x in encoded(batch, vocab, end_id)):
+            flat = np.frombuffer(b"".join(texts), "<u4")
+            total += np.bincount(flat, minlength=size)
+            n = np.fromiter(map(len, texts), np.int64, len(texts)) // 4
+            ends = np.cumsum(n)
+            packed = flat.astype(kind).tobytes()
+            width = np.dtype(kind).itemsize
+            bounds = (width * np.append(0, ends)).tolist()
+            yield pa.record_batch({"counts": pa.array(np.zeros(len(n), bool)), "shard": pa.array(np.full(len(n), shard, np.int32)),
+                                   "doc_id": b.column("doc_id"), "at": pa.array(at + ends - n), "n": pa.array(n),
+                                   "ids": pa.array([packed[i:j] for i, j in zip(bounds, bounds[1:])], pa.binary())})
+            at += int(ends[-1]) if len(ends) else 0
+        if at:
+            yield pa.record_batch({"counts": pa.array([True]), "shard": pa.array([shard], pa.int32()),
+                                   "doc_id": pa.nulls(1, id_type), "at": pa.nulls(1, pa.int64()), "n": pa.nulls(1, pa.int64()),
+                                   "ids": pa.array([total.tobytes()], pa.binary())})
+
+    spark, doc_id = docs.sparkSession, docs.schema["doc_id"].dataType
+    id_type = to_arrow_type(doc_id)
     ordered = (docs.select("doc_id", "text").repartitionByRange(shuffle_partitions(spark), "doc_id")
                .sortWithinPartitions("doc_id"))
-    return map_arrow(ordered, run, f"shard int, doc_id {docs.schema['doc_id'].dataType.simpleString()}, "
-                                   "at long, n long, ids binary")
+    return map_arrow(ordered, run, f"counts boolean, shard int, doc_id {doc_id.simpleString()}, at long, n long, ids binary")
 
 
 def _counts(tokens: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     """Distinct ids and their counts over all documents: at most the vocabulary's size."""
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(1, np.int64)
+    def unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for x in b.column("ids"):
-                c = np.bincount(np.frombuffer(x.as_buffer(), "<u4"))
-                if len(c) > len(total):
-                    c, total = total, c.astype(np.int64)
-                total[: len(c)] += c
-        some = np.flatnonzero(total)
-        yield pa.record_batch({"symbol": pa.array(some), "n": pa.array(total[some])})
-
-    rows = (map_arrow(tokens.select("ids"), count, "symbol long, n long").groupBy("symbol")
+            if b.num_rows:
+                total = np.sum([np.frombuffer(x, np.int64) for x in b.column("ids").to_pylist()], axis=0)
+                some = np.flatnonzero(total)
+                yield pa.record_batch({"symbol": pa.array(some), "n": pa.array(total[some])})
+
+    rows = (map_arrow(tokens.filter("counts").select("ids"), unpack, "symbol long, n long").groupBy("symbol")
             .agg(F.sum("n").alias("n")).orderBy("symbol").toArrow())
     return rows["symbol"].to_numpy(), rows["n"].to_numpy()
 
@@ -173,8 +190,10 @@ def _counts(tokens: DataFrame) -> tuple[np.ndarray, np.ndarray]:
 def write_ids(docs: DataFrame, path: str, vocab: str, end_id: int = END_ID) -> None:
     """Tokenize ``docs``, append ``end_id`` to each, and write the id file at ``path``."""
     spark = docs.sparkSession
-    tokens = stage(_tokenized(docs, vocab, end_id), "idfile-tokens")
+    kind = "<u2" if _ids_below(vocab, end_id) <= 1 << 16 else "<u4"
+    tokens = stage(_tokenized(docs, vocab, end_id, kind), "idfile-tokens")
     symbols, counts = _counts(tokens)
+    tokens, scratch = tokens.filter("not counts").drop("counts"), tokens
     lengths = code_lengths(counts, max(MAX_BITS, int(len(counts) - 1).bit_length() if len(counts) else 0))
     spark.createDataFrame([(int(s), int(n)) for s, n in zip(symbols, lengths)], "symbol long, length int") \
         .coalesce(1).write.parquet(f"{path}/codebook")
@@ -192,15 +211,15 @@ def write_ids(docs: DataFrame, path: str, vocab: str, end_id: int = END_ID) -> N
                         and shard[hi] == shard[lo]:
                     size += int(n[hi])
                     hi += 1
-                marks, payload = encode_ids(np.frombuffer(b"".join(blobs[i].as_py() for i in range(lo, hi)), "<u4"),
+                marks, payload = encode_ids(np.frombuffer(b"".join(blobs.slice(lo, hi - lo).to_pylist()), kind),
                                             code, length)
                 rows.append({"shard": int(shard[lo]), "first": int(first[lo]), "doc_ids": ids[lo:hi],
                              "lengths": n[lo:hi].tolist(), "n_ids": size, "marks": marks, "payload": payload})
                 lo = hi
             yield pa.RecordBatch.from_pylist(rows, schema)
 
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    id_type = tokens.limit(0).select("doc_id").toArrow().schema.field(0).type
+    doc_id = docs.schema["doc_id"].dataType
+    id_type = to_arrow_type(doc_id)
     schema = pa.schema([("shard", pa.int32()), ("first", pa.int64()), ("doc_ids", pa.list_(id_type)),
                         ("lengths", pa.list_(pa.int64())), ("n_ids", pa.int64()), ("marks", pa.binary()),
                         ("payload", pa.binary())])
@@ -209,9 +228,9 @@ def write_ids(docs: DataFrame, path: str, vocab: str, end_id: int = END_ID) -> N
     before = sums.select("shard", (F.sum("n").over(Window.orderBy("shard")) - F.col("n")).alias("before"))
     placed = tokens.join(F.broadcast(before), "shard").withColumn("first", F.col("at") + F.col("before"))
     map_arrow(placed.select("shard", "doc_id", "first", "n", "ids"), encode,
-              f"shard int, first long, doc_ids array<{kind}>, lengths array<bigint>, n_ids long, marks binary, "
-              "payload binary").write.option("compression", "none").parquet(f"{path}/blocks")
-    drop_stage(tokens)
+              f"shard int, first long, doc_ids array<{doc_id.simpleString()}>, lengths array<bigint>, n_ids long, "
+              "marks binary, payload binary").write.option("compression", "none").parquet(f"{path}/blocks")
+    drop_stage(scratch)
 
 
 def read_ids(spark: SparkSession, path: str) -> DataFrame:

@@ -29,12 +29,12 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import map_arrow, stage
-from .tokens import encoder, vocabulary
+from .tokens import encoded, vocabulary
 
 CAPACITY = 2048
 END_ID = 0
-#: Pieces of one length that a rank window holds at most, about; sets the number of chunks.
-RANK_ROWS = 50_000
+#: Pieces of one length that a rank window holds at most, about; a more frequent length has several.
+RANK_ROWS = 500
 
 
 class _Bins:
@@ -137,11 +137,9 @@ def pieces(docs: DataFrame, vocab: str, capacity: int = CAPACITY, end_id: int =
     """``doc_id, piece, start, length, ids_crc32`` of every piece of every document."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc, end = encoder(vocab), np.array([end_id], "<u4").tobytes()
-        for b in batches:
+        for b, texts in (x for batch in batches for x in encoded(batch, vocab, end_id)):
             row, out = [], [[], [], [], []]
-            for r, text in enumerate(b.column("text").to_pylist()):
-                ids = enc.encode(text) + end
+            for r, ids in enumerate(texts):
                 n = len(ids) // 4
                 first = n % capacity or capacity
                 bounds = [0, *range(first, n + 1, capacity)] if n > capacity else [0, n]
@@ -163,9 +161,9 @@ def pack(docs: DataFrame, vocab: str | None = None, capacity: int = CAPACITY, en
     vocab = vocab or vocabulary("byte_bpe_50k.json")
     cut = stage(pieces(docs, vocab, capacity, end_id), "pack-pieces")
     histogram = {int(r.length): int(r.n) for r in cut.groupBy("length").agg(F.count("*").alias("n")).collect()}
-    chunks = max(1, sum(histogram.values()) // RANK_ROWS)
     # rank within a length: counts of (length, chunk) give offsets, a window ranks inside a chunk
-    chunked = cut.withColumn("chunk", F.pmod(F.xxhash64("doc_id", "piece"), F.lit(chunks)))
+    chunks = F.array(*[F.lit(-(-histogram.get(n, 1) // RANK_ROWS)) for n in range(1, capacity + 1)])
+    chunked = cut.withColumn("chunk", F.pmod(F.xxhash64("doc_id", "piece"), F.element_at(chunks, F.col("length").cast("int"))))
     counts = chunked.groupBy("length", "chunk").agg(F.count("*").alias("n"))
     before = counts.withColumn("before", F.sum("n").over(Window.partitionBy("length").orderBy("chunk")) - F.col("n"))
     inside = Window.partitionBy("length", "chunk").orderBy("doc_id", "piece")

@@ -2,20 +2,78 @@
 
 A text is cut at single spaces between non-space characters. Both vocabularies split there
 in any context, so the pieces' ids, concatenated, are the whole text's ids
-(``tests/llm/test_tokens.py`` compares them). All ids come from the tokenizers library;
-pieces already seen by the worker come from its cache, which is emptied when full.
+(``tests/llm/test_tokens_files.py`` compares them). A text with other runs of white space is cut
+only where a lone space stands between non-space characters.
+
+All ids come from the tokenizers library. A piece that is a plain word, perhaps with a
+punctuation mark behind it and a second word on the next line, goes straight to the
+vocabulary's merge model; any other piece goes through the whole tokenizer.
 """
 
 from __future__ import annotations
 
+import json
 import os
 import re
+import sys
+from array import array
+from collections.abc import Callable, Iterator
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
-CACHE_PIECES = 400_000
-_MIXED_SPACE = re.compile(r"\s\s")
+#: Pieces in the young half of the cache; when full it becomes the old half.
+CACHE_PIECES = 150_000
 _BETWEEN = re.compile(r"(?<=\S) (?=\S)")
+#: Outer white space, or two white space characters together: the text needs the careful cut.
+_UNSAFE = re.compile(r"\A\s|\s\Z|\s\s|\A\Z")
+_LETTERS = "A-Za-zÀ-ÖØ-öø-ÿ"
+_PLAIN = rf"^(?P<word>[{_LETTERS}]+)(?P<mark>[.,;:!?]?)(?:\n(?P<word2>[{_LETTERS}]+)(?P<mark2>[.,;:!?]?))?$"
+
+
+def _bytes(ids: list[int]) -> bytes:
+    a = array("I", ids)
+    if sys.byteorder == "big":
+        a.byteswap()
+    return a.tobytes()
+
+
+class _Cache:
+    """Ids of pieces, computed when first asked for; drops what wasn't asked for in a while."""
+
+    def __init__(self, make: Callable[[str], bytes]):
+        self.make, self.young, self.old = make, {}, {}
+
+    def one(self, piece: str) -> bytes:
+        got = self.young.get(piece)
+        return self._late(piece) if got is None else got
+
+    def many(self, pieces: list[str]) -> list[bytes]:
+        young = self.young
+        return [self._late(p) if g is None else g for p, g in zip(pieces, map(young.get, pieces))]
+
+    def _late(self, piece: str) -> bytes:
+        ids = self.old.get(piece)
+        if ids is None:
+            ids = self.make(piece)
+        if len(self.young) >= CACHE_PIECES:
+            self.old, self.young = self.young, {}
+        self.young[piece] = ids
+        return ids
+
+
+def _gather(data: np.ndarray, size: np.ndarray, index: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Entries ``index`` of ``data``, whose entries have the given sizes, and their sizes."""
+    at = np.cumsum(size, dtype=np.int64) - size
+    n = size[index]
+    source = np.repeat(at[index] - np.cumsum(n, dtype=np.int64) + n, n)
+    source += np.arange(len(source))
+    return data[source], n
+
+
+#: Stands for the ids of a piece that mustn't be cut out of its text; no ids have this length.
+_CARE = b"?"
 
 
 class Encoder:
@@ -23,35 +81,102 @@ class Encoder:
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
+        from tokenizers.pre_tokenizers import ByteLevel
 
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         self.tok = Tokenizer.from_file(path)
-        self.cache: dict[str, bytes] = {}
-
-    def _learn(self, pieces: list[str]) -> None:
-        if len(self.cache) + len(pieces) > CACHE_PIECES:
-            self.cache.clear()
-        for at in range(0, len(pieces), 4096):
-            part = pieces[at:at + 4096]
-            for p, e in zip(part, self.tok.encode_batch_fast(part, add_special_tokens=False)):
-                self.cache[p] = np.array(e.ids, "<u4").tobytes()
+        self.model = self.tok.model
+        with open(path, encoding="utf-8") as f:
+            spec = json.load(f)
+        # with word ends, the text is lower-cased and its white space dropped; else spaces lead words
+        self.word_ends = spec["model"].get("end_of_word_suffix") == "</w>"
+        byte_level = ByteLevel(add_prefix_space=False, use_regex=False)
+        one = lambda c: byte_level.pre_tokenize_str(c)[0][0]
+        letters = [chr(c) for c in range(0x100) if re.fullmatch(rf"[{_LETTERS}]", chr(c))]
+        self.bytes_of = str.maketrans({c: one(c.lower() if self.word_ends else c) for c in letters})
+        self.space = "" if self.word_ends else one(" ")
+        self.word = _Cache(lambda w: self._merge(self.space + w.translate(self.bytes_of)))
+        self.line_word = self.word if self.word_ends else _Cache(lambda w: self._merge(w.translate(self.bytes_of)))
+        self.whole = _Cache(lambda p: self._ids(p))
+        self.after_space = _Cache(lambda p: _CARE if _UNSAFE.search(p) else self._ids(" " + p))
+
+    def _merge(self, piece: str) -> bytes:
+        return _bytes([t.id for t in self.model.tokenize(piece)])
+
+    def _ids(self, text: str) -> bytes:
+        return _bytes(self.tok.encode(text, add_special_tokens=False).ids)
 
     def encode(self, text: str | None) -> bytes:
+        """Ids of one text, cut only at lone spaces between non-space characters."""
         if not text:
             return b""
-        parts = text.split(" ") if _MIXED_SPACE.search(text) is None else _BETWEEN.split(text)
-        head, *rest = parts
-        # a piece keeps the space before it; cached by the bare piece, the first one apart
-        cache = self.cache
-        pieces = [head] + [" " + p for p in rest] if rest else [head]
-        try:
-            return b"".join([cache[p] for p in pieces])
-        except KeyError:
-            new = [p for p in dict.fromkeys(pieces) if p not in cache]
-            if len(cache) + len(new) > CACHE_PIECES:
-                new = list(dict.fromkeys(pieces))
-            self._learn(new)
-            return b"".join([cache[p] for p in pieces])
+        head, *rest = _BETWEEN.split(text)
+        return b"".join([self.whole.one(head), *[self.whole.one(" " + p) for p in rest]])
+
+    def encode_all(self, texts: pa.Array, end_id: int) -> list[bytes]:
+        """Ids of every text (a null is empty) with ``end_id`` behind: pieces are looked up once each."""
+        if not len(texts):
+            return []
+        parts = pc.split_pattern(pc.fill_null(texts, ""), " ")
+        starts = parts.offsets.to_numpy()
+        starts = starts - starts[0]
+        pieces = pc.dictionary_encode(parts.flatten())
+        index, distinct = pieces.indices.to_numpy().copy(), pieces.dictionary
+        heads = distinct.take(pa.array(index[starts[:-1]])).to_pylist()
+        data, size, care = self._distinct(distinct, heads)
+        # a text's first piece has no space before it: an entry of its own
+        index[starts[:-1]] = np.arange(len(distinct), len(distinct) + len(heads))
+        out, n = _gather(data, size, index)
+        out, ends = out.tobytes(), np.cumsum(n, dtype=np.int64)
+        before = 4 * np.append(0, ends)[starts]
+        careful, end = np.logical_or.reduceat(care[index], starts[:-1]), _bytes([end_id])
+        return [(self.encode(texts[k].as_py()) if c else out[a:b]) + end
+                for k, (a, b, c) in enumerate(zip(before.tolist(), before[1:].tolist(), careful))]
+
+
+    def _distinct(self, pieces: pa.StringArray, heads: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ids of the pieces behind a space, then of the heads: all ids, how many each, which need care."""
+        plain = pc.extract_regex(pieces, _PLAIN)
+        others = np.flatnonzero(np.asarray(plain.is_null()))
+        words, words2 = (pc.dictionary_encode(pc.fill_null(pc.struct_field(plain, f), "")) for f in ("word", "word2"))
+        marks, marks2 = (pc.dictionary_encode(pc.fill_null(pc.struct_field(plain, f), "")) for f in ("mark", "mark2"))
+        line = b"" if self.word_ends else self.whole.one("\n")
+        entries, sub = [b""], np.zeros((len(pieces) + len(heads), 5), np.int64)
+
+        def put(column: int, ids: list[bytes], at: np.ndarray, rows=slice(0, len(pieces))) -> None:
+            sub[rows, column] = len(entries) + at
+            entries.extend(ids)
+
+        put(0, self.word.many(words.dictionary.to_pylist()), words.indices.to_numpy())
+        put(1, self.whole.many(marks.dictionary.to_pylist()), marks.indices.to_numpy())
+        second = words2.dictionary.to_pylist()
+        put(2, [line if w else b"" for w in second], words2.indices.to_numpy())
+        put(3, self.line_word.many(second), words2.indices.to_numpy())
+        put(4, self.whole.many(marks2.dictionary.to_pylist()), marks2.indices.to_numpy())
+        put(0, self.after_space.many(pieces.take(pa.array(others)).to_pylist()), np.arange(len(others)), others)
+        put(0, [_CARE if _UNSAFE.search(h) else self.whole.one(h) for h in heads], np.arange(len(heads)),
+            slice(len(pieces), None))
+        sub[others, 1:] = 0
+        length = np.fromiter(map(len, entries), np.int32, len(entries))
+        marked = length == len(_CARE)
+        data = np.frombuffer(b"".join(entries), np.uint8)
+        if marked.any():  # take the marks out again
+            data = data[~np.repeat(marked, length)]
+            length[marked] = 0
+        out, n = _gather(data.view("<u4"), length >> 2, sub.reshape(-1))
+        return out, n.reshape(-1, 5).sum(1), marked[sub[:, 0]]
+
+
+def encoded(batch: pa.RecordBatch, path: str, end_id: int, slice_bytes: int = 4 << 20) -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
+    """Slices of ``batch`` of about ``slice_bytes`` of text, each with the ids of its texts."""
+    enc = encoder(path)
+    total = np.cumsum(pc.fill_null(pc.binary_length(batch.column("text")), 0).to_numpy(zero_copy_only=False))
+    lo = 0
+    while lo < batch.num_rows:
+        hi = max(lo + 1, int(np.searchsorted(total, (total[lo - 1] if lo else 0) + slice_bytes)))
+        part = batch.slice(lo, hi - lo)
+        yield part, enc.encode_all(part.column("text"), end_id)
+        lo = hi
 
 
 _ENCODERS: dict[str, Encoder] = {}

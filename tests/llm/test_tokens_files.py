@@ -4,11 +4,13 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
 from headstart.llm import idfile, packing
-from headstart.llm.tokens import encoder, vocabulary
+from headstart.llm import tokens
+from headstart.llm.tokens import encoded, encoder, vocabulary
 
 from ..conftest import SF001
 from .conftest import TEXTS, rows
@@ -23,11 +25,25 @@ def test_pieces_give_the_whole_texts_ids(spark, name):
     tok = Tokenizer.from_file(vocabulary(name))
     docs = [r.text for r in spark.read.parquet(f"{SF001}/documents.parquet").select("text").collect()]
     rng = random.Random(1)
-    alphabet = ["a", "B", "'s", " ", " ", "  ", "\n", "\t", "é", "́", "1", ".", "\x1c", " ", "Σ", "<|endoftext|>"]
+    alphabet = ["a", "B", "Éß", "word", ",", "?", "it's", "'s", " ", " ", "  ", "\n", "\t", "é", "́", "1", ".", "\x1c", " ", "Σ", "<|endoftext|>"]
     noise = ["".join(rng.choices(alphabet, k=rng.randint(0, 30))) for _ in range(3000)]
-    for t in docs + HARD + noise:
-        assert np.frombuffer(encoder(vocabulary(name)).encode(t), "<u4").tolist() == \
-            tok.encode(t, add_special_tokens=False).ids, repr(t)
+    texts = docs + HARD + noise
+    want = [tok.encode(t, add_special_tokens=False).ids for t in texts]
+    enc = encoder(vocabulary(name))
+    for t, w in zip(texts, want):
+        assert np.frombuffer(enc.encode(t), "<u4").tolist() == w, repr(t)
+    for t, got, w in zip(texts, enc.encode_all(pa.array(texts), 7), want):
+        assert np.frombuffer(got, "<u4").tolist() == w + [7], repr(t)
+    batch = pa.record_batch({"text": pa.array(texts[:50] + [None] + texts[50:99], pa.string())}).slice(1)
+    assert [x for _, ids in encoded(batch, vocabulary(name), 7, 5000) for x in ids] == \
+        [enc.encode(t) + b"\7\0\0\0" for t in batch["text"].to_pylist()]
+
+
+def test_cache_turns_over(monkeypatch):
+    monkeypatch.setattr(tokens, "CACHE_PIECES", 3)
+    enc = tokens.Encoder(vocabulary("byte_bpe_50k.json"))
+    for t in ["a b c d e f g h, i.\nJ a b", "h, g a zz yy xx"] * 3:
+        assert np.frombuffer(enc.encode(t), "<u4").tolist() == enc.tok.encode(t, add_special_tokens=False).ids
 
 
 def test_plan_places_every_piece_once():

@@ -35,15 +35,15 @@ from pyspark.sql import functions as F
 
 from .common import drop_stage, map_arrow, shuffle_partitions, stage
 
-DEGREE = 24
+DEGREE = 40
 ORDERS = 12
 BLOCK = 256
 ROUNDS = 3
-MEMBERS = 48
-TOLD = 6
-HOPS = 4
-EXPAND = 16
-BEAM = 64
+MEMBERS = 80
+TOLD = 10
+HOPS = 5
+EXPAND = 24
+BEAM = 128
 
 _LIST = "node long, vec binary, ids binary, sims binary"
 

@@ -8,6 +8,7 @@ touches A-Z only (what ``bytes.lower()`` does). Scratch tables are Parquet below
 from __future__ import annotations
 
 import gc
+import time
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -60,9 +61,12 @@ def drop_stage(*tables: DataFrame) -> None:
 
 def free_shuffles(spark: SparkSession) -> None:
     """Let Spark delete the shuffle files of finished steps now: it does so once the driver's
-    garbage collector has seen that no plan can read them any more."""
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
+    garbage collector has seen that no plan can read them any more. A first collection lets
+    go of the Python side's handles, a second one of what they held."""
+    for _ in range(2):
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
+        time.sleep(0.3)
 
 
 def shuffle_partitions(spark: SparkSession) -> int:

@@ -298,11 +298,14 @@ def score(docs: DataFrame, role: Column) -> DataFrame:
                              _chunk_rows, _CHUNK_SCHEMA), "lm-chunks")
     tokens = chunks.agg(F.sum("tokens").alias("n")).first().n or 0
     owners = max(8, int(tokens // TOKENS_PER_OWNER))
-    words, bigrams = _answers(chunks, owners, "words"), _answers(chunks, owners, "bigrams")
-    v, n, v_core, n_core = (int(x or 0) for x in words.agg(*(F.sum(c) for c in ("v", "n", "v_core", "n_core"))).first())
+    words = _answers(chunks, owners, "words")
+    free_shuffles(chunks.sparkSession)
+    bigrams = _answers(chunks, owners, "bigrams")
     free_shuffles(chunks.sparkSession)
+    v, n, v_core, n_core = (int(x or 0) for x in words.agg(*(F.sum(c) for c in ("v", "n", "v_core", "n_core"))).first())
     odd = lambda t: t.filter(F.col("chunk") % 2 == 1)
     weights = learn_weights(_events(odd(chunks), odd(words), odd(bigrams), n_core), 1 / (v_core + 1))
+    free_shuffles(chunks.sparkSession)
 
     def final(c: _Chunk, counts) -> pa.Table:
         word, context, pair = counts("train")

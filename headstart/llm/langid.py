@@ -31,13 +31,12 @@ UND = "und"
 DIMS = 1 << 14
 ORDERS = (1, 2, 3, 4)
 SAMPLE_PER_LANG = 1500
-_LETTER = re.compile(r"[^\W\d_]")
 _OTHER = re.compile(rb"[\x00-@\[-`{-\x7f]+")
 _FACTORS = np.array([0x9E3779B1, 0x85EBCA6B, 0xC2B2AE35, 0x27D4EB2F], np.uint32)
 
 
 def has_letter(text: str | None) -> bool:
-    return bool(text) and _LETTER.search(text) is not None
+    return bool(text) and any(map(str.isalpha, text))
 
 
 def gram_counts(text: str) -> tuple[np.ndarray, np.ndarray]:

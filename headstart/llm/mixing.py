@@ -59,8 +59,9 @@ def source_targets(sized: DataFrame, max_epochs: int = MAX_EPOCHS) -> DataFrame:
 
 
 def random_key(seed: int = SEED) -> Column:
-    """A document's hash-random place on its source's line."""
-    return F.xxhash64(F.lit(seed), F.col("doc_id"), F.col("text"))
+    """A document's hash-random place on its source's line, the same in any engine with md5."""
+    return F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.lit(":"),
+                          F.coalesce(F.col("text"), F.lit(""))))
 
 
 def mix(docs: DataFrame, max_epochs: int = MAX_EPOCHS, seed: int = SEED) -> DataFrame:

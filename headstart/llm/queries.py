@@ -65,4 +65,38 @@ def op10_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_near_dedup, op2_pack, op3_huffman_ids, op4_secrets, op5_ann, op6_topk, op7_pii, op8_langid, op9_mix, op10_lm_score)}
 
-ORACLES: dict[str, str] = {}
+_INT = ("SELECT vec_id, CAST(floor(256 * CAST(unnest(embedding) AS DOUBLE)) AS BIGINT) AS w, "
+        "unnest(range(len(embedding))) AS i FROM embeddings")
+
+#: Sources in code point order, weights 1, 2, 3; the sources that stop at three times their
+#: size are those with the smallest size for their weight, as many as the shared rest asks for.
+_MIX = """
+WITH d AS (
+  SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size,
+         md5('9:' || coalesce(CAST(doc_id AS VARCHAR), '') || ':' || coalesce(text, '')) AS k FROM documents),
+s AS (SELECT source, CAST(sum(size) AS BIGINT) AS size, (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1 AS weight
+      FROM d GROUP BY source),
+r AS (SELECT *, row_number() OVER (ORDER BY 3.0 * size / weight, source NULLS LAST) AS n,
+             3.0 * size / weight AS stop, sum(size) OVER () AS total FROM s WHERE size > 0),
+u AS (SELECT *, (total - coalesce(sum(3 * size) OVER (ORDER BY n ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
+             / sum(weight) OVER (ORDER BY n ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS unit FROM r),
+f AS (SELECT min(n) AS first_open FROM u WHERE stop >= unit),
+t AS (SELECT source, size AS source_size, CAST(CASE WHEN n < first_open THEN 3.0 * size
+             ELSE (SELECT x.unit FROM u x, f WHERE x.n = f.first_open) * weight END AS DOUBLE) AS target FROM u, f),
+p AS (SELECT d.doc_id, d.size, s.size AS source_size, coalesce(t.target, 0.0) AS target,
+             coalesce(sum(d.size) OVER (PARTITION BY d.source ORDER BY d.k, d.doc_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before
+      FROM d JOIN s ON s.source IS NOT DISTINCT FROM d.source LEFT JOIN t ON t.source IS NOT DISTINCT FROM d.source),
+e AS (SELECT *, CASE WHEN source_size > 0 THEN CAST(round(target) AS BIGINT) // source_size ELSE 0 END AS epochs FROM p)
+SELECT doc_id, CAST(size AS BIGINT) AS size, source_size, target,
+       CAST(epochs * size + greatest(0, least(size, CAST(round(target) AS BIGINT) - epochs * source_size - before)) AS BIGINT) AS taken FROM e
+"""
+
+ORACLES: dict[str, str] = {
+    "op6_topk": (
+        "SELECT query_id, CAST(n AS INTEGER) AS rank, vec_id, score FROM (SELECT *, "
+        "row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS n FROM ("
+        "SELECT q.vec_id AS query_id, c.vec_id, CAST(sum(q.w * c.w) AS BIGINT) AS score "
+        f"FROM ({_INT}) q JOIN ({_INT}) c ON c.i = q.i AND c.vec_id <> q.vec_id "
+        "WHERE q.vec_id % 50 = 0 GROUP BY q.vec_id, c.vec_id)) WHERE n <= 5"),
+    "op9_mix": _MIX,
+}

@@ -45,7 +45,7 @@ def _training_flags(p: argparse.ArgumentParser, incremental: bool) -> None:
     p.add_argument("--idCol", default="id")
     p.add_argument("--featuresCol", default="features")
     p.add_argument("--labelCol", default="label")
-    p.add_argument("--snapshot", help="model table rewritten after every epoch")
+    p.add_argument("--snapshot", help="folder for a model table per epoch (the last two stay)")
     p.add_argument("--history", help="append the metrics history here (Parquet)")
 
 

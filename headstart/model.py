@@ -117,6 +117,9 @@ class Model:
             raise ValueError(f"no layers after {name!r}")
         return self._sub(rest)
 
+    def astype(self, dtype) -> "Model":
+        return Model(self.layers, {k: v.astype(dtype) for k, v in self.params.items()})
+
     def copy(self) -> "Model":
         return Model(self.layers, {k: v.copy() for k, v in self.params.items()})
 
@@ -153,9 +156,9 @@ def _activate(z: np.ndarray, act: str) -> np.ndarray:
     return z
 
 
-def forward(model: Model, x: np.ndarray) -> np.ndarray:
+def forward(model: Model, x: np.ndarray, dtype=np.float64) -> np.ndarray:
     """Inference forward pass of a batch ``x`` (rows × n_in) → rows × n_out."""
-    a = np.asarray(x, dtype=np.float64)
+    a = np.asarray(x, dtype=dtype)
     if a.ndim != 2 or a.shape[1] != model.n_in:
         raise ValueError(f"input has shape {a.shape}, model takes {model.n_in} features")
     p = model.params

@@ -6,8 +6,8 @@ import numpy as np
 import pyarrow as pa
 
 
-def packed_matrix(col: pa.Array, width: int | None = None) -> np.ndarray:
-    """A binary column of packed little-endian float32 vectors as a float64 matrix."""
+def packed_matrix(col: pa.Array, width: int | None = None, dtype=np.float64) -> np.ndarray:
+    """A binary column of packed little-endian float32 vectors as a matrix (no copy for float32)."""
     n = len(col)
     if col.null_count:
         raise ValueError("null feature vector")
@@ -21,9 +21,9 @@ def packed_matrix(col: pa.Array, width: int | None = None) -> np.ndarray:
         raise ValueError(f"feature vectors must all have length {w}; found byte lengths "
                          f"{sorted(set(lens.tolist()))[:5]}")
     if not n:
-        return np.zeros((0, w))
+        return np.zeros((0, w), dtype)
     flat = np.frombuffer(bufs[2], dtype="<f4", count=int(offsets[-1] - offsets[0]) // 4, offset=int(offsets[0]))
-    return flat.astype(np.float64).reshape(n, w)
+    return flat.astype(dtype, copy=False).reshape(n, w)
 
 
 def pack_rows(m: np.ndarray) -> pa.Array:
@@ -34,13 +34,13 @@ def pack_rows(m: np.ndarray) -> pa.Array:
     return pa.BinaryArray.from_buffers(pa.binary(), n, [None, offsets.buffers()[1], pa.py_buffer(m.tobytes())])
 
 
-def list_matrix(col: pa.Array, width: int | None = None) -> np.ndarray:
-    """Feature column as a float64 matrix (rows × width): a list column of equal-length
+def list_matrix(col: pa.Array, width: int | None = None, dtype=np.float64) -> np.ndarray:
+    """Feature column as a matrix of ``dtype`` (rows × width): a list column of equal-length
     numeric arrays, or packed float32 binary (see :func:`packed_matrix`)."""
     if isinstance(col, pa.ChunkedArray):
         col = pa.concat_arrays(col.chunks) if col.num_chunks != 1 else col.chunk(0)
     if pa.types.is_binary(col.type) or pa.types.is_large_binary(col.type):
-        return packed_matrix(col, width)
+        return packed_matrix(col, width, dtype)
     n = len(col)
     if col.null_count:
         raise ValueError("null feature vector")
@@ -53,7 +53,7 @@ def list_matrix(col: pa.Array, width: int | None = None) -> np.ndarray:
     if values.null_count:
         raise ValueError("null element in a feature vector")
     flat = values.to_numpy(zero_copy_only=False)
-    return np.asarray(flat, dtype=np.float64).reshape(n, w)
+    return np.asarray(flat, dtype=dtype).reshape(n, w)
 
 
 def matrix_list(m: np.ndarray, value_type: pa.DataType = pa.float64()) -> pa.Array:

@@ -54,3 +54,19 @@ def test_cli_featurize_with_a_model_table_and_initial_model(spark):
           "--numClasses", "4"], spark=spark)
     model, _, meta = read_model(spark, init)
     assert model.n_in == 7 and model.n_out == 4 and meta["momentum"] == 0.98
+
+
+def test_cli_train_takes_the_width_from_the_input_layer(spark):
+    from pyspark.sql import functions as F
+
+    from headstart.sources.models import read_model
+
+    emb = spark.read.parquet(f"{SF01}/embeddings.parquet").filter("vec_id < 64")
+    path, save, hist = (scratch_path(spark, f"t-cli-{n}") for n in ("wide", "wide-model", "wide-history"))
+    emb.select(F.col("vec_id").alias("id"), F.flatten(F.array_repeat("embedding", 64)).alias("features"), "label").write.parquet(path)
+    main(["train", "--train", path, "--valid", path, "--save", save, "--inputLayer", "fc2", "--numClasses", "10", "--epochs", "2",
+          "--validationInterval", "1", "--rate", "0.01", "--batchSize", "32", "--averagingFrequency", "5", "--momentum", "0.9",
+          "--reg", "0.05", "--updater", "nesterovs", "--workers", "2", "--history", hist], spark=spark)
+    assert read_model(spark, save)[0].n_in == 4096
+    assert sorted((r.epoch, r.split) for r in spark.read.parquet(hist).collect()) == [
+        (0, "train"), (0, "valid"), (1, "train"), (1, "valid")]

@@ -75,3 +75,18 @@ def test_null_label_or_features_fail_where_consumed(spark):
     nf = spark.createDataFrame([(1, None, 0)], "vec_id long, embedding array<float>, label int")
     with pytest.raises(Exception, match="null feature vector"):
         predict(nf, FX.one_layer(), features="embedding", keep=["vec_id"]).collect()
+
+
+def test_float32_compute_is_close(spark, emb):
+    a = {r.vec_id: r.output for r in score(emb, FX.one_layer(), features="embedding", keep=["vec_id"]).collect()}
+    for kw in (dict(), dict(output_float=True)):
+        b = {r.vec_id: r.output for r in score(emb, FX.one_layer(), features="embedding", keep=["vec_id"], dtype=np.float32, **kw).collect()}
+        assert all(np.allclose(a[k], b[k], atol=1e-6) for k in a)
+    p = predict(emb, FX.one_layer(), features="embedding", keep=["vec_id"], dtype=np.float32).collect()
+    assert all(abs(r.prob - max(a[r.vec_id])) < 1e-6 for r in p)
+
+
+def test_null_element_is_refused(spark):
+    df = spark.createDataFrame([(1, [1.0] * 63 + [None], 0)], "vec_id long, embedding array<float>, label int")
+    with pytest.raises(Exception, match="null element"):
+        predict(df, FX.one_layer(), features="embedding").collect()

@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
@@ -34,30 +35,39 @@ SCHEMA = T.StructType([
 ])
 
 
-def model_frame(spark: SparkSession, model: Model, state: dict[str, np.ndarray] | None = None,
-                meta: dict[str, float] | None = None) -> pd.DataFrame:
-    recs = []
-    state = state or {}
+def model_table(model: Model, state: dict[str, np.ndarray] | None = None,
+                meta: dict[str, float] | None = None) -> pa.Table:
+    """The model table as Arrow, built array by array (no per-value Python objects)."""
+    cols: dict[str, list] = {f.name: [] for f in SCHEMA.fields if f.name != "values"}
+    values: list[pa.Array] = []
+
+    def put(base: tuple, param: str, rows: np.ndarray) -> None:
+        n, width = rows.shape
+        for name, v in zip(list(cols)[:9], base):
+            cols[name] += [v] * n
+        cols["param"] += [param] * n
+        cols["row"] += range(n)
+        offsets = pa.array(np.arange(n + 1, dtype=np.int32) * width)
+        values.append(pa.ListArray.from_arrays(offsets, pa.array(rows.ravel(), pa.float64())))
+
     for li, l in enumerate(model.layers):
-        base = (li, l.name, l.kind, l.activation, l.n_in, l.n_out, float(l.keep_prob),
-                float(l.eps), float(l.decay))
+        base = (li, l.name, l.kind, l.activation, l.n_in, l.n_out, float(l.keep_prob), float(l.eps), float(l.decay))
         entries = [(p, model.params[f"{l.name}/{p}"]) for p in l.param_shapes()]
-        entries += [(k.split("/", 1)[1], v) for k, v in state.items() if k.startswith(f"{l.name}/")]
-        if not entries:
-            recs.append(base + ("", 0, []))
-        for p, arr in entries:
-            arr = np.asarray(arr, dtype=np.float64)
-            rows = arr.reshape(1, -1) if arr.ndim == 1 else arr
-            for r in range(rows.shape[0]):
-                recs.append(base + (p, r, rows[r].tolist()))
+        entries += [(k.split("/", 1)[1], v) for k, v in (state or {}).items() if k.startswith(f"{l.name}/")]
+        for p, arr in entries or [("", np.zeros((1, 0)))]:
+            arr = np.asarray(arr, np.float64)
+            put(base, p, arr.reshape(1, -1) if arr.ndim == 1 else arr)
     for k, v in (meta or {}).items():
-        recs.append((-1, "_meta", "", "identity", 0, 0, 1.0, 0.0, 0.0, k, 0, [float(v)]))
-    return pd.DataFrame.from_records(recs, columns=SCHEMA.fieldNames())
+        put((-1, "_meta", "", "identity", 0, 0, 1.0, 0.0, 0.0), k, np.array([[float(v)]]))
+    # one chunk per array: a list array's values stay below 2^31
+    table = [pa.array(c, {"string": pa.string(), "double": pa.float64()}.get(SCHEMA[n].dataType.simpleString(), pa.int32()))
+             for n, c in cols.items()]
+    return pa.table([*table, pa.chunked_array(values, pa.list_(pa.float64()))], names=[*cols, "values"])
 
 
 def model_to_df(spark: SparkSession, model: Model, state: dict[str, np.ndarray] | None = None,
                 meta: dict[str, float] | None = None) -> DataFrame:
-    return spark.createDataFrame(model_frame(spark, model, state, meta), schema=SCHEMA)
+    return spark.createDataFrame(model_table(model, state, meta), schema=SCHEMA)
 
 
 def write_model(spark: SparkSession, model: Model, path: str, *, state=None, meta=None,

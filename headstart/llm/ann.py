@@ -14,7 +14,9 @@ Nearness is the inner product. Equal vectors collapse to one node that remembers
    its best ``BEAM`` nodes. The nodes kept are scored again on the original vectors in
    double precision and expanded into the ids of their copies.
 
-The graph works on vectors of one byte per component with a scale of their own. The limits
+The graph works on vectors of one byte per component with a scale of their own. It is meant
+for vectors of about equal length, as embeddings are; where lengths differ widely, few long
+vectors fill all lists, and recall must be measured anew. The limits
 above are the method's parameters; the tests measure the recall against
 brute force (0.9 or more is asked; README has figures).
 

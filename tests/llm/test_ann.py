@@ -55,10 +55,11 @@ def test_few_rows_give_all_candidates(spark):
 
 
 def test_descent_improves_lists(spark, monkeypatch):
-    monkeypatch.setattr(ann, "ORDERS", 1)
-    monkeypatch.setattr(ann, "BLOCK", 32)
+    monkeypatch.setattr(ann, "ORDERS", 2)
+    monkeypatch.setattr(ann, "BLOCK", 64)
     rng = np.random.default_rng(1)
     x = rng.normal(size=(3000, 16))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
     base = spark.createDataFrame([(i, v) for i, v in enumerate(ann.quantized(x))], "node long, vec binary")
     s = x @ x.T
     np.fill_diagonal(s, -np.inf)
@@ -72,4 +73,4 @@ def test_descent_improves_lists(spark, monkeypatch):
     for rounds in (0, 1, 3):
         monkeypatch.setattr(ann, "ROUNDS", rounds)
         seen.append(recall(ann.build_graph(base, 16)))
-    assert seen[0] < 0.4 < seen[1] < seen[2] and seen[2] > 0.8
+    assert seen[0] < 0.4 < seen[1] < seen[2] and seen[2] > 0.95

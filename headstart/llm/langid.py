@@ -164,7 +164,7 @@ def train(docs: DataFrame, keep: Column | None = None, sample_per_lang: int = SA
     sample = counted.filter("gram is null").orderBy("draw", "lang", "grams").toArrow()
     drop_stage(counted)
     grams = [np.frombuffer(g.as_buffer(), "<i4") for g in sample["grams"]]
-    x = [(g, tf_idf(g, np.frombuffer(c.as_buffer(), "<i4"), idf)) for g, c in zip(grams, sample["counts"])]
+    x = [(g, tf_idf(g, np.frombuffer(c.as_buffer(), "<i4"), idf).astype(np.float32)) for g, c in zip(grams, sample["counts"])]
     y = np.array([langs.index(v) for v in sample["lang"].to_pylist()], np.int64)
     if not len(x):
         return Model([], idf, np.zeros((DIMS, 0)), np.zeros(0), 1.0)

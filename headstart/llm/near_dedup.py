@@ -295,7 +295,8 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 def keep_one(docs: DataFrame) -> DataFrame:
     """``docs`` with one document of each group, the one with the smallest id; rows without an id stay."""
     kept = near_duplicates(docs).filter("kept and doc_id is not null").select("doc_id").distinct()
-    return docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"]).unionByName(docs.filter("doc_id is null"))
+    one = docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(docs.columns)
+    return one.unionByName(docs.filter("doc_id is null"))
 
 
 def _same_id(full: DataFrame, reps: DataFrame) -> DataFrame:

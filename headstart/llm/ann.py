@@ -43,8 +43,8 @@ BLOCK = 256
 ROUNDS = 3
 MEMBERS = 80
 TOLD = 10
-HOPS = 5
-EXPAND = 24
+HOPS = 3
+EXPAND = 40
 BEAM = 128
 
 _LIST = "node long, vec binary, ids binary, sims binary"
@@ -344,17 +344,19 @@ def _frontier(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def search(graph: DataFrame, asked: DataFrame) -> DataFrame:
     """``query, vec, ids, sims``: the beam of every node of ``asked`` after the greedy search. A scratch table."""
     linked = stage(_with_neighbour_vectors(graph), "ann-linked")
-    beam = stage(graph.join(asked, "node", "left_semi").select(
-        F.col("node").alias("query"), "vec", "ids", "sims", F.lit(b"").alias("expanded")), "ann-beam")
+    beam = graph.join(asked, "node", "left_semi").select(
+        F.col("node").alias("query"), "vec", "ids", "sims", F.lit(b"").alias("expanded"))
+    none = lambda *cols: [F.lit(None).cast("binary").alias(c) for c in cols]
+    read = [linked]
     for _ in range(HOPS):
         ahead = stage(map_arrow(beam, _frontier, "query long, node long, vec binary, ids binary, sims binary, expanded binary"), "ann-ahead")
+        read.append(ahead)
         found = ahead.filter("node is not null").select("query", "node").join(linked, "node") \
-            .select("query", *[F.lit(None).cast("binary").alias(c) for c in ("vec", "ids", "sims", "expanded")], "members", "vecs")
-        states = ahead.filter("node is null").select("query", "vec", "ids", "sims", "expanded",
-                                                     F.lit(None).cast("binary").alias("members"), F.lit(None).cast("binary").alias("vecs"))
-        last, beam = beam, stage(map_arrow(_by(states.unionByName(found), "query"), _expand, _BEAM), "ann-beam")
-        drop_stage(last, ahead)
-    drop_stage(linked)
+            .select("query", *none("vec", "ids", "sims", "expanded"), "members", "vecs")
+        states = ahead.filter("node is null").select("query", "vec", "ids", "sims", "expanded", *none("members", "vecs"))
+        beam = map_arrow(_by(states.unionByName(found), "query"), _expand, _BEAM)
+    beam = stage(beam, "ann-beam")
+    drop_stage(*read)
     return beam
 
 

@@ -13,7 +13,9 @@
 3. Candidates whose signatures agree in fewer than ``MIN_AGREE`` components go (a pair at the
    threshold falls below that with a chance under 1e-6). The rest is confirmed on the full
    shingle sets.
-4. Components of the confirmed links by minimum labels and pointer jumping.
+4. Components of the confirmed links by minimum labels and pointer jumping. Then each member
+   of a region (``STRAY_DEPTH`` equal components) that is not in the region's largest component
+   is compared with that component's members there, which attaches the outliers of large groups.
 
 A pair at similarity s shares its first four components in an order with chance s**4; at
 0.75 some of the 24 orders has it with chance 0.9999. Documents of one group are linked along
@@ -42,8 +44,9 @@ COMPONENTS = 96
 TREES = 24
 MIN_DEPTH = COMPONENTS // TREES
 MAX_DEPTH = 12
-REGION = 8
-CHAIN = 2
+STRAY_DEPTH = 6
+REGION = 16
+CHAIN = 3
 MIN_AGREE = 50
 SIMILAR = 75  # per cent
 #: Ids of candidates that are broadcast at most, to filter texts where they are read.
@@ -195,10 +198,32 @@ def _pairs_of_sorted(batches: Iterator[pa.RecordBatch], ends: bool) -> Iterator[
 _PAIR_SCHEMA = "a long, b long, tree int, key binary, node long"
 
 
+def _orders(reps: DataFrame, depth: int, *more: str) -> DataFrame:
+    """``tree, key, node``: each node in every order, with its first ``depth`` components there."""
+    return reps.select("node", *more, F.concat("sig", "sig").alias("s"), F.explode(F.sequence(F.lit(0), F.lit(TREES - 1))).alias("tree")) \
+        .select("tree", F.expr(f"substring(s, 1 + tree * {2 * MIN_DEPTH}, {2 * depth})").alias("key"), "node", *more)
+
+
+def stray_pairs(reps: DataFrame, labels: DataFrame) -> DataFrame:
+    """Pairs of a region's nodes with the members of its largest component, for nodes in another one.
+
+    In a large group of near copies an outlier may be similar to few others, which need not be
+    its neighbours in any order. Regions here are runs of ``STRAY_DEPTH`` equal components.
+    """
+    region = F.xxhash64("tree", "key").alias("region")
+    members = _orders(reps.join(labels.select("node", "label"), "node"), STRAY_DEPTH, "label").select(region, "label", "node")
+    sizes = members.groupBy("region", "label").agg(F.count("*").alias("n"))
+    largest = sizes.groupBy("region").agg(F.max(F.struct("n", "label")).alias("top")).select("region", "top.label")
+    own = labels.select("node", F.col("label").alias("own"))
+    strays = _orders(reps, STRAY_DEPTH).select(region, "node").join(largest, "region").join(own, "node", "left") \
+        .filter("coalesce(own, node) <> label").select("region", "label", F.col("node").alias("stray"))
+    pairs = strays.join(members, ["region", "label"])
+    return pairs.select(F.least("node", "stray").alias("a"), F.greatest("node", "stray").alias("b")).distinct()
+
+
 def candidates(reps: DataFrame) -> DataFrame:
     """Distinct pairs ``a < b`` of neighbours in some order; ``reps`` has ``node, sig``."""
-    orders = reps.select("node", F.concat("sig", "sig").alias("s"), F.explode(F.sequence(F.lit(0), F.lit(TREES - 1))).alias("tree")) \
-        .select("tree", F.expr(f"substring(s, 1 + tree * {2 * MIN_DEPTH}, {2 * MAX_DEPTH})").alias("key"), "node")
+    orders = _orders(reps, MAX_DEPTH)
     n = shuffle_partitions(reps.sparkSession)
     ordered = orders.repartitionByRange(n, "tree", "key", "node").sortWithinPartitions("tree", "key", "node")
     found = stage(map_arrow(ordered, lambda bs: _pairs_of_sorted(bs, True), _PAIR_SCHEMA), "forest")
@@ -280,9 +305,15 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     close = stage(agreeing(pairs, reps.select("node", "sig")), "forest-close")
     drop_stage(pairs)
     links = confirmed(close, docs)
+    labels = components(links)
+    nodes = reps.select("node", "sig")
+    near_strays = stage(agreeing(stray_pairs(nodes, labels), nodes), "forest-strays")
+    more = confirmed(near_strays, docs)
     # rows that repeat an id with another text belong to the same document
-    labels = components(links.unionByName(_same_id(full, reps)))
-    drop_stage(close, links)
+    every = stage(links.unionByName(more).unionByName(_same_id(full, reps)), "forest-every")
+    drop_stage(labels, close, near_strays, links, more)
+    labels = components(every)
+    drop_stage(every)
     found = reps.select(*by_set, "node").join(labels.select("node", "label"), "node", "left") \
         .select(*by_set, F.coalesce("label", "node").alias("component_id"))
     ids = signs.select("doc_id", *by_set)

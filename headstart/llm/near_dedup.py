@@ -14,8 +14,8 @@
    threshold falls below that with a chance under 1e-6). The rest is confirmed on the full
    shingle sets.
 4. Components of the confirmed links by minimum labels and pointer jumping. Then each member
-   of a region (``STRAY_DEPTH`` equal components) that is not in the region's largest component
-   is compared with that component's members there, which attaches the outliers of large groups.
+   of a region that is not in the region's largest component is compared with two of that
+   component's members there, which attaches most outliers of large groups.
 
 A pair at similarity s shares its first four components in an order with chance s**4; at
 0.75 some of the 24 orders has it with chance 0.9999. Documents of one group are linked along
@@ -44,9 +44,8 @@ COMPONENTS = 96
 TREES = 24
 MIN_DEPTH = COMPONENTS // TREES
 MAX_DEPTH = 12
-STRAY_DEPTH = 6
-REGION = 16
-CHAIN = 3
+REGION = 12
+CHAIN = 2
 MIN_AGREE = 50
 SIMILAR = 75  # per cent
 #: Ids of candidates that are broadcast at most, to filter texts where they are read.
@@ -205,20 +204,22 @@ def _orders(reps: DataFrame, depth: int, *more: str) -> DataFrame:
 
 
 def stray_pairs(reps: DataFrame, labels: DataFrame) -> DataFrame:
-    """Pairs of a region's nodes with the members of its largest component, for nodes in another one.
+    """Pairs of a region's nodes with hubs of its largest component, for nodes in another one.
 
     In a large group of near copies an outlier may be similar to few others, which need not be
-    its neighbours in any order. Regions here are runs of ``STRAY_DEPTH`` equal components.
+    its neighbours in any order. A region's hubs are two members of its largest component,
+    picked by a hash that differs from region to region, so a node meets up to ``2 * TREES``.
     """
     region = F.xxhash64("tree", "key").alias("region")
-    members = _orders(reps.join(labels.select("node", "label"), "node"), STRAY_DEPTH, "label").select(region, "label", "node")
-    sizes = members.groupBy("region", "label").agg(F.count("*").alias("n"))
-    largest = sizes.groupBy("region").agg(F.max(F.struct("n", "label")).alias("top")).select("region", "top.label")
+    members = _orders(reps.join(labels.select("node", "label"), "node"), MIN_DEPTH, "label").select(region, "label", "node")
+    drawn = F.struct(F.xxhash64("region", "node").alias("draw"), "node")
+    hubs = members.groupBy("region", "label").agg(F.count("*").alias("n"), F.array(F.min(drawn), F.max(drawn)).alias("hubs"))
+    largest = hubs.groupBy("region").agg(F.max(F.struct("n", "label", "hubs")).alias("top")).select("region", "top.label", "top.hubs")
     own = labels.select("node", F.col("label").alias("own"))
-    strays = _orders(reps, STRAY_DEPTH).select(region, "node").join(largest, "region").join(own, "node", "left") \
-        .filter("coalesce(own, node) <> label").select("region", "label", F.col("node").alias("stray"))
-    pairs = strays.join(members, ["region", "label"])
-    return pairs.select(F.least("node", "stray").alias("a"), F.greatest("node", "stray").alias("b")).distinct()
+    strays = _orders(reps, MIN_DEPTH).select(region, "node").join(largest, "region").join(own, "node", "left") \
+        .filter("coalesce(own, node) <> label")
+    pairs = strays.select("node", F.explode("hubs.node").alias("hub"))
+    return pairs.select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b")).distinct()
 
 
 def candidates(reps: DataFrame) -> DataFrame:

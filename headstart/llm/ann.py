@@ -43,8 +43,8 @@ BLOCK = 256
 ROUNDS = 3
 MEMBERS = 80
 TOLD = 10
-HOPS = 4
-EXPAND = 28
+HOPS = 5
+EXPAND = 24
 BEAM = 128
 
 _LIST = "node long, vec binary, ids binary, sims binary"

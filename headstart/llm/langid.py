@@ -30,7 +30,7 @@ from .common import drop_stage, map_arrow, stage
 UND = "und"
 DIMS = 1 << 14
 ORDERS = (1, 2, 3, 4)
-SAMPLE_PER_LANG = 1500
+SAMPLE_PER_LANG = 800
 _OTHER = re.compile(rb"[\x00-@\[-`{-\x7f]+")
 _FACTORS = np.array([0x9E3779B1, 0x85EBCA6B, 0xC2B2AE35, 0x27D4EB2F], np.uint32)
 
@@ -171,6 +171,8 @@ def train(docs: DataFrame, keep: Column | None = None, sample_per_lang: int = SA
     held = np.arange(len(x)) % 5 == 0 if len(x) >= 10 else np.zeros(len(x), bool)
     w, bias = fit_ftrl([x[i] for i in np.flatnonzero(~held)], y[~held], len(langs))
     logits = np.array([x[i][1] @ w[x[i][0]] + bias for i in np.flatnonzero(held)]).reshape(-1, len(langs))
+    del sample, grams, x
+    pa.default_memory_pool().release_unused()
     return Model(langs, idf, w, bias, fit_temperature(logits, y[held]) if len(logits) else 1.0)
 
 

@@ -311,9 +311,12 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     near_strays = stage(agreeing(stray_pairs(nodes, labels), nodes), "forest-strays")
     more = confirmed(near_strays, docs)
     # rows that repeat an id with another text belong to the same document
-    every = stage(links.unionByName(more).unionByName(_same_id(full, reps)), "forest-every")
-    drop_stage(labels, close, near_strays, links, more)
-    labels = components(every)
+    every = stage(_relabelled(more.unionByName(_same_id(full, reps)), labels), "forest-every")
+    drop_stage(close, near_strays, links, more)
+    if every.limit(1).count():
+        first, joined = labels, components(every)
+        labels = stage(_renamed(first, joined), "labels")
+        drop_stage(first, joined)
     drop_stage(every)
     found = reps.select(*by_set, "node").join(labels.select("node", "label"), "node", "left") \
         .select(*by_set, F.coalesce("label", "node").alias("component_id"))
@@ -324,6 +327,20 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
                                             F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
 
 
+def _relabelled(links: DataFrame, labels: DataFrame) -> DataFrame:
+    """Links between components: a linked node stands for its label."""
+    of = lambda c, out: labels.select(F.col("node").alias(c), F.col("label").alias(out))
+    both = links.join(of("a", "la"), "a", "left").join(of("b", "lb"), "b", "left")
+    return both.select(F.coalesce("la", "a").alias("a"), F.coalesce("lb", "b").alias("b")).filter("a <> b").distinct()
+
+
+def _renamed(labels: DataFrame, joined: DataFrame) -> DataFrame:
+    """Labels after the components that they stand for have been joined."""
+    new = joined.select(F.col("node").alias("label"), F.col("label").alias("new"))
+    old = labels.join(new, "label", "left").select("node", F.coalesce("new", "label").alias("label"))
+    return old.unionByName(joined.join(labels.select("node"), "node", "left_anti").select("node", "label"))
+
+
 def keep_one(docs: DataFrame) -> DataFrame:
     """``docs`` with one document of each group, the one with the smallest id; rows without an id stay."""
     kept = near_duplicates(docs).filter("kept and doc_id is not null").select("doc_id").distinct()

@@ -62,7 +62,7 @@ class _Words(dict):
     """64-bit hashes of words; emptied when large."""
 
     def __missing__(self, w: bytes) -> int:
-        if len(self) > 500_000:
+        if len(self) > 150_000:
             self.clear()
         h = self[w] = xxhash.xxh3_64_intdigest(w)
         return h

@@ -24,7 +24,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Pieces in the young half of the cache; when full it becomes the old half.
-CACHE_PIECES = 150_000
+CACHE_PIECES = 80_000
 _BETWEEN = re.compile(r"(?<=\S) (?=\S)")
 #: Outer white space, or two white space characters together: the text needs the careful cut.
 _UNSAFE = re.compile(r"\A\s|\s\Z|\s\s|\A\Z")

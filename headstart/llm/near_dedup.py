@@ -13,13 +13,17 @@
 3. Candidates whose signatures agree in fewer than ``MIN_AGREE`` components go (a pair at the
    threshold falls below that with a chance under 1e-6). The rest is confirmed on the full
    shingle sets.
-4. Components of the confirmed links by minimum labels and pointer jumping. Then each member
-   of a region that is not in the region's largest component is compared with two of that
-   component's members there, which attaches most outliers of large groups.
-
-A pair at similarity s shares its first four components in an order with chance s**4; at
-0.75 some of the 24 orders has it with chance 0.9999. Documents of one group are linked along
-many paths, so a missed pair rarely parts a group.
+4. Components of the confirmed links by minimum labels and pointer jumping.
+5. An exact pass over what the forest left apart. All shingles have one global order, rarest
+   first by a sample; two sets at the threshold share a shingle among the first quarter of
+   each (prefix filter). Documents of different components that share one there, and whose
+   sizes and places in the order leave room for the overlap asked, are candidates; a crowded
+   shingle is compared in blocks of ``BLOCK`` documents, all pairs of blocks. The same filter
+   by signature and confirmation follow, and the links found join the components.
+
+The forest only has to join most of a large group, so that its pairs needn't meet one by one;
+every pair of two components meets in the exact pass, so a link is missed only if its
+signatures agree in too few components.
 
 Edge cases: words are ``[^\\x20\\x09-\\x0D]+`` after lower-casing A-Z; a document with one to four words
 has its whole sequence as its only shingle; null or wordless texts have an empty set and are
@@ -37,6 +41,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .ann import whole_groups
 from .common import drop_stage, map_arrow, shuffle_partitions, stage
 
 SHINGLE = 5
@@ -50,6 +55,11 @@ MIN_AGREE = 50
 SIMILAR = 75  # per cent
 #: Ids of candidates that are broadcast at most, to filter texts where they are read.
 BROADCAST_IDS = 1_000_000
+#: Documents that the order of shingles is learnt from, and how many shingles it tells apart (the rest is ordered by hash).
+ORDER_SAMPLE = 4096
+ORDERED = 500_000
+#: Documents of a shingle that are compared in one block.
+BLOCK = 512
 
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 _rng = np.random.default_rng(1)
@@ -110,8 +120,36 @@ def signatures(sets: list[np.ndarray]) -> np.ndarray:
     return ((out * np.uint32(0x85EBCA6B)) >> np.uint32(16)).astype(">u2")
 
 
+def common_shingles(docs: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """(sorted hashes, how often each) of the shingles that a sample of documents repeats most."""
+    every = max(1, docs.count() // ORDER_SAMPLE)
+    some = docs.filter(F.pmod(F.xxhash64("doc_id", "text"), F.lit(every)) == 0).select("text")
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            sets = [shingles(t.as_py()) for t in b.column("text")]
+            h, n = np.unique(np.concatenate([np.empty(0, np.uint64), *sets]), return_counts=True)
+            yield pa.record_batch({"h": pa.array(h.view(np.int64)), "n": pa.array(n)})
+
+    top = map_arrow(some, count, "h long, n long").groupBy("h").agg(F.sum("n").alias("n")).filter("n > 1") \
+        .orderBy(F.desc("n"), "h").limit(ORDERED).toArrow()
+    h, n = top["h"].to_numpy().astype(np.int64).view(np.uint64), top["n"].to_numpy().astype(np.int64)
+    order = np.argsort(h)
+    return h[order], n[order]
+
+
+def head(s: np.ndarray, common: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
+    """The first shingles of a set in the global order: those of which a similar set shares one."""
+    rank = np.zeros(len(s), np.int64)
+    if len(common[0]):
+        at = np.minimum(np.searchsorted(common[0], s), len(common[0]) - 1)
+        rank = np.where(common[0][at] == s, common[1][at], 0)
+    return s[np.argsort(rank, kind="stable")[:len(s) - (SIMILAR * len(s) + 99) // 100 + 1]]
+
+
 def signed(docs: DataFrame) -> DataFrame:
-    """``doc_id, n_shingles, f1, f2, sig`` of every document (no ``sig`` for an empty set)."""
+    """``doc_id, n_shingles, f1, f2, sig, head`` of every document (no ``sig`` and ``head`` for an empty set)."""
+    common = docs.sparkSession.sparkContext.broadcast(common_shingles(docs))
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -128,10 +166,11 @@ def signed(docs: DataFrame) -> DataFrame:
                 yield pa.record_batch({
                     "doc_id": batch.column("doc_id").slice(lo, at - lo), "n_shingles": pa.array([len(s) for s in sets], pa.int64()),
                     "f1": pa.array([p[0] for p in prints], pa.int64()), "f2": pa.array([p[1] for p in prints], pa.int64()),
-                    "sig": pa.array([next(sig).tobytes() if len(s) else None for s in sets], pa.binary())})
+                    "sig": pa.array([next(sig).tobytes() if len(s) else None for s in sets], pa.binary()),
+                    "head": pa.array([head(s, common.value).tobytes() if len(s) else None for s in sets], pa.binary())})
 
     return map_arrow(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), sign,
-                     "doc_id long, n_shingles long, f1 long, f2 long, sig binary")
+                     "doc_id long, n_shingles long, f1 long, f2 long, sig binary, head binary")
 
 
 def neighbour_pairs(tree: np.ndarray, key: np.ndarray, node: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -197,34 +236,15 @@ def _pairs_of_sorted(batches: Iterator[pa.RecordBatch], ends: bool) -> Iterator[
 _PAIR_SCHEMA = "a long, b long, tree int, key binary, node long"
 
 
-def _orders(reps: DataFrame, depth: int, *more: str) -> DataFrame:
-    """``tree, key, node``: each node in every order, with its first ``depth`` components there."""
-    return reps.select("node", *more, F.concat("sig", "sig").alias("s"), F.explode(F.sequence(F.lit(0), F.lit(TREES - 1))).alias("tree")) \
-        .select("tree", F.expr(f"substring(s, 1 + tree * {2 * MIN_DEPTH}, {2 * depth})").alias("key"), "node", *more)
-
-
-def stray_pairs(reps: DataFrame, labels: DataFrame) -> DataFrame:
-    """Pairs of a region's nodes with hubs of its largest component, for nodes in another one.
-
-    In a large group of near copies an outlier may be similar to few others, which need not be
-    its neighbours in any order. A region's hubs are two members of its largest component,
-    picked by a hash that differs from region to region, so a node meets up to ``2 * TREES``.
-    """
-    region = F.xxhash64("tree", "key").alias("region")
-    members = _orders(reps.join(labels.select("node", "label"), "node"), MIN_DEPTH, "label").select(region, "label", "node")
-    drawn = F.struct(F.xxhash64("region", "node").alias("draw"), "node")
-    hubs = members.groupBy("region", "label").agg(F.count("*").alias("n"), F.array(F.min(drawn), F.max(drawn)).alias("hubs"))
-    largest = hubs.groupBy("region").agg(F.max(F.struct("n", "label", "hubs")).alias("top")).select("region", "top.label", "top.hubs")
-    own = labels.select("node", F.col("label").alias("own"))
-    strays = _orders(reps, MIN_DEPTH).select(region, "node").join(largest, "region").join(own, "node", "left") \
-        .filter("coalesce(own, node) <> label")
-    pairs = strays.select("node", F.explode("hubs.node").alias("hub"))
-    return pairs.select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b")).distinct()
+def _orders(reps: DataFrame) -> DataFrame:
+    """``tree, key, node``: each node in every order, with its first ``MAX_DEPTH`` components there."""
+    return reps.select("node", F.concat("sig", "sig").alias("s"), F.explode(F.sequence(F.lit(0), F.lit(TREES - 1))).alias("tree")) \
+        .select("tree", F.expr(f"substring(s, 1 + tree * {2 * MIN_DEPTH}, {2 * MAX_DEPTH})").alias("key"), "node")
 
 
 def candidates(reps: DataFrame) -> DataFrame:
     """Distinct pairs ``a < b`` of neighbours in some order; ``reps`` has ``node, sig``."""
-    orders = _orders(reps, MAX_DEPTH)
+    orders = _orders(reps)
     n = shuffle_partitions(reps.sparkSession)
     ordered = orders.repartitionByRange(n, "tree", "key", "node").sortWithinPartitions("tree", "key", "node")
     found = stage(map_arrow(ordered, lambda bs: _pairs_of_sorted(bs, True), _PAIR_SCHEMA), "forest")
@@ -237,6 +257,67 @@ def candidates(reps: DataFrame) -> DataFrame:
     return pairs
 
 
+def postings(sets: DataFrame) -> DataFrame:
+    """``h, node, size, rest, label`` of each shingle in the heads; ``rest`` counts the set's shingles from this one on."""
+
+    def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for at in range(0, b.num_rows, 256):
+                c = b.slice(at, 256)
+                heads = [np.frombuffer(v, np.int64) for v in c.column("head").to_pylist()]
+                n = [len(v) for v in heads]
+                size = np.repeat(c.column("n_shingles").to_numpy(), n)
+                yield pa.record_batch({
+                    "h": pa.array(np.concatenate(heads)), "node": pa.array(np.repeat(c.column("node").to_numpy(), n)),
+                    "size": pa.array(size.astype(np.int32)),
+                    "rest": pa.array((size - np.concatenate([np.arange(k) for k in n])).astype(np.int32)),
+                    "label": pa.array(np.repeat(c.column("label").to_numpy(), n))})
+
+    return map_arrow(sets.select("node", "n_shingles", "head", "label"), spread, "h long, node long, size int, rest int, label long")
+
+
+def _pairs_of_shingle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Pairs of a group from different components whose sizes and places leave room for the overlap asked."""
+    for t in whole_groups(batches, "g"):
+        g, node, label, block, own = (t[c].to_numpy() for c in ("g", "node", "label", "block", "own"))
+        size, rest = t["size"].to_numpy().astype(np.int64), t["rest"].to_numpy().astype(np.int64)
+        first = np.flatnonzero(np.append(True, g[1:] != g[:-1]))
+        place = np.arange(len(g)) - np.repeat(first, np.diff(np.append(first, len(g))))
+        i, left, right, o = np.arange(len(g)), [], [], 0
+        while len(i := i[place[i] > o]):
+            o += 1
+            j = i - o
+            ok = (label[i] != label[j]) & (own[i] | (block[i] != block[j])) \
+                & ((100 + SIMILAR) * np.minimum(rest[i], rest[j]) >= SIMILAR * (size[i] + size[j]))
+            left.append(node[j[ok]])
+            right.append(node[i[ok]])
+        if left:
+            x, y = np.concatenate(left), np.concatenate(right)
+            yield pa.record_batch({"a": pa.array(np.minimum(x, y)), "b": pa.array(np.maximum(x, y))})
+
+
+def pairs_apart(reps: DataFrame, labels: DataFrame) -> DataFrame:
+    """Distinct pairs ``a < b`` of different components that may be similar: none that is similar is left out.
+
+    ``reps`` has ``node, n_shingles, head``. A shingle whose documents are all of one component
+    has no pairs; what the others need grows with the documents that share a rare shingle.
+    """
+    sets = reps.join(labels.select("node", "label"), "node", "left").withColumn("label", F.coalesce("label", "node"))
+    every = postings(sets)
+    shared = stage(every.groupBy("h").agg(F.count("*").alias("n"), F.min("label").alias("lo"), F.max("label").alias("hi"))
+                   .filter("lo < hi").select("h", F.ceil(F.col("n") / BLOCK).alias("blocks")), "forest-shared")
+    few = shared.count() <= BROADCAST_IDS
+    found = every.join(F.broadcast(shared) if few else shared, "h").withColumn("block", F.expr("pmod(xxhash64(node), blocks)")) \
+        .withColumn("other", F.explode(F.expr("sequence(0L, blocks - 1)")))
+    grouped = found.select(F.xxhash64("h", F.least("block", "other"), F.greatest("block", "other")).alias("g"), "node", "size", "rest",
+                           "label", "block", (F.col("block") == F.col("other")).alias("own"))
+    n = shuffle_partitions(reps.sparkSession)
+    ordered = grouped.repartition(n, "g").sortWithinPartitions("g", "node")
+    pairs = stage(map_arrow(ordered, _pairs_of_shingle, "a long, b long").distinct(), "forest-apart")
+    drop_stage(shared)
+    return pairs
+
+
 def agreeing(pairs: DataFrame, reps: DataFrame) -> DataFrame:
     """The pairs whose signatures agree in enough components."""
 
@@ -301,18 +382,19 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     signs = stage(signed(docs), "signatures")
     full = signs.filter("n_shingles > 0 and doc_id is not null")
     by_set = ["n_shingles", "f1", "f2"]
-    reps = stage(full.groupBy(*by_set).agg(F.min("doc_id").alias("node"), F.first("sig").alias("sig")), "forest-reps")
+    reps = stage(full.groupBy(*by_set).agg(F.min("doc_id").alias("node"), F.first("sig").alias("sig"), F.first("head").alias("head")), "forest-reps")
     pairs = candidates(reps.select("node", "sig"))
     close = stage(agreeing(pairs, reps.select("node", "sig")), "forest-close")
     drop_stage(pairs)
     links = confirmed(close, docs)
     labels = components(links)
     nodes = reps.select("node", "sig")
-    near_strays = stage(agreeing(stray_pairs(nodes, labels), nodes), "forest-strays")
-    more = confirmed(near_strays, docs)
+    apart = pairs_apart(reps.select("node", "n_shingles", "head"), labels)
+    near = stage(agreeing(apart, nodes), "forest-near")
+    more = confirmed(near, docs)
     # rows that repeat an id with another text belong to the same document
     every = stage(_relabelled(more.unionByName(_same_id(full, reps)), labels), "forest-every")
-    drop_stage(close, near_strays, links, more)
+    drop_stage(close, apart, near, links, more)
     if every.limit(1).count():
         first, joined = labels, components(every)
         labels = stage(_renamed(first, joined), "labels")

@@ -77,6 +77,24 @@ def test_large_groups_of_copies_and_near_copies(spark):
     assert len({want[i] for i in range(400)}) == 1 and len(set(want.values())) > 400
 
 
+def _changed(rng, words, k):
+    """``words`` with ``k`` of them replaced, at least five apart."""
+    v = list(words)
+    for at in rng.sample(range(0, len(v) - 4, 5), k):
+        v[at + 2] = "x%d" % rng.randrange(10**9)
+    return v
+
+
+def test_strays_of_a_large_group_are_found(spark):
+    rng = random.Random(5)
+    base = rng.choices([f"w{i}" for i in range(3000)], k=200)
+    members = [_changed(rng, base, 1) for _ in range(500)]
+    strays = [_changed(rng, v, 5) for v in members[:80]]  # similar to one member only
+    texts = [(i, " ".join(v)) for i, v in enumerate([*members, *strays])]
+    want = _check_dedup(spark.createDataFrame(texts, "doc_id long, text string").repartition(7), texts)
+    assert len(set(want.values())) < 5
+
+
 def test_dedup_edge_rows(spark, edge_docs, no_docs):
     got = rows(near_dedup.near_duplicates(edge_docs))
     assert len(got) == len(TEXTS)

@@ -4,7 +4,8 @@ Nearness is the inner product. Equal vectors collapse to one node that remembers
 ``k + 1`` smallest ids (no other copy can reach a top k), so copies never meet as pairs.
 
 1. First lists: ``ORDERS`` sorted orders of random sign codes are cut into blocks of ``BLOCK``
-   consecutive nodes; within a block every node takes its best ``DEGREE`` others.
+   consecutive nodes; within a block every node takes its best ``DEGREE`` others. The number of
+   ranges follows the rows, and the rows on both sides of a border form a block too.
 2. NN-descent, ``ROUNDS`` times: a node receives the vectors of its neighbours, forward and
    reverse (at most ``MEMBERS`` of them, forward ones first), compares them with each other,
    and tells each the best ones that improve on the worst of its list. Every step is
@@ -32,6 +33,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -149,31 +151,63 @@ def first_lists(base: DataFrame, dim: int, seed: int = 5) -> DataFrame:
                 yield pa.record_batch({"tree": pa.array(np.full(len(x), t, np.int32)), "code": pa.array(code),
                                        "node": b.column("node"), "vec": b.column("vec")})
 
-    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def block(t: pa.Table) -> pa.RecordBatch:
-            ids = t["node"].to_numpy()
-            x, scale = _vectors(t["vec"].to_pylist())
-            s = (x @ x.T) * (scale[:, None] * scale[None])
-            np.fill_diagonal(s, -np.inf)
-            cols, ok = _top(s, np.full(len(ids), -np.inf, np.float32), DEGREE)
-            sims = np.take_along_axis(s, cols, 1)
-            return _told(ids.tolist(), [ids[c[m]].astype("<i8").tobytes() for c, m in zip(cols, ok)],
-                         [v[m].astype("<f4").tobytes() for v, m in zip(sims, ok)])
+    def block(t: pa.Table) -> pa.RecordBatch:
+        ids, one = np.unique(t["node"].to_numpy(), return_index=True)  # a node may come from two orders
+        x, scale = _vectors(t["vec"].take(pa.array(one)).to_pylist())
+        s = (x @ x.T) * (scale[:, None] * scale[None])
+        np.fill_diagonal(s, -np.inf)
+        cols, ok = _top(s, np.full(len(ids), -np.inf, np.float32), DEGREE)
+        sims = np.take_along_axis(s, cols, 1)
+        return _told(ids.tolist(), [ids[c[m]].astype("<i8").tobytes() for c, m in zip(cols, ok)],
+                     [v[m].astype("<f4").tobytes() for v, m in zip(sims, ok)])
+
+    def bordered(found: pa.RecordBatch) -> pa.RecordBatch:
+        return found.append_column("border", pa.nulls(found.num_rows, pa.int64()))
+
+    def end(t: pa.Table, border: int) -> pa.RecordBatch:
+        """Outer rows of a range, for the block across that border."""
+        n = t.num_rows
+        return pa.record_batch({"node": t["node"].combine_chunks(), "vec": t["vec"].combine_chunks(), "ids": pa.nulls(n, pa.binary()),
+                                "sims": pa.nulls(n, pa.binary()), "border": pa.array(np.full(n, border))})
 
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        here = TaskContext.get().partitionId()
         held: list[pa.RecordBatch] = []
+        last, begun = None, False
         for b in batches:
+            if not b.num_rows:
+                continue
             held.append(b)
             while sum(x.num_rows for x in held) >= 2 * BLOCK:
                 t = pa.Table.from_batches(held)
-                yield block(t.slice(0, BLOCK))
+                if not begun:
+                    yield end(t.slice(0, BLOCK // 2), here)
+                    begun = True
+                yield bordered(block(t.slice(0, BLOCK)))
                 held = t.slice(BLOCK).to_batches()
-        if sum(x.num_rows for x in held) > 1:
-            yield block(pa.Table.from_batches(held))
+        if held:
+            last = pa.Table.from_batches(held)
+            if not begun:
+                yield end(last.slice(0, BLOCK // 2), here)
+            yield end(last.slice(max(0, last.num_rows - BLOCK // 2)), here + 1)
+            if last.num_rows > 1:
+                yield bordered(block(last))
+
+    def across(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for t in whole_groups(batches, "border"):
+            border = t["border"].to_numpy()
+            starts = np.flatnonzero(np.append(True, border[1:] != border[:-1]))
+            for a, b in zip(starts, np.append(starts[1:], len(border))):
+                if b - a > 1:
+                    yield block(t.slice(a, b - a))
 
     coded = map_arrow(base.select("node", "vec"), codes, "tree int, code long, node long, vec binary")
-    n = shuffle_partitions(base.sparkSession)
+    # several blocks a range: the lists must not depend on the session's number of partitions
+    n = max(1, min(shuffle_partitions(base.sparkSession), ORDERS * base.count() // (8 * BLOCK)))
     ordered = coded.repartitionByRange(n, "tree", "code", "node").sortWithinPartitions("tree", "code", "node")
-    return map_arrow(ordered, compare, _LIST)
+    found = stage(map_arrow(ordered, compare, _LIST + ", border long"), "ann-first")
+    ends = _by(found.filter("border is not null").select("border", "node", "vec"), "border", "node")
+    return found.filter("border is null").select("node", "vec", "ids", "sims").unionByName(map_arrow(ends, across, _LIST))
 
 
 def _sent_vectors(graph: DataFrame) -> DataFrame:
@@ -268,7 +302,8 @@ def descend(graph: DataFrame) -> DataFrame:
 def build_graph(base: DataFrame, dim: int) -> DataFrame:
     """``node, vec, ids, sims``: every node's neighbours, best first."""
     empty = base.select("node", "vec", F.lit(None).cast("binary").alias("ids"), F.lit(None).cast("binary").alias("sims"))
-    graph = stage(map_arrow(_by(empty.unionByName(first_lists(base, dim)), "node"), _merge, _LIST), "ann-graph")
+    first = first_lists(base, dim)
+    graph = stage(map_arrow(_by(empty.unionByName(first), "node"), _merge, _LIST), "ann-graph")
     for _ in range(ROUNDS):
         last, graph = graph, descend(graph)
         drop_stage(last)

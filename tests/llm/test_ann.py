@@ -54,6 +54,19 @@ def test_few_rows_give_all_candidates(spark):
     assert ann.nearest(one.limit(0), F.col("vec_id") % 20 == 0).count() == 0
 
 
+def test_few_rows_at_many_partitions(spark, monkeypatch):
+    monkeypatch.setattr(ann, "ROUNDS", 0)
+    spark.conf.set("spark.sql.shuffle.partitions", "200")
+    try:
+        for n in (5, 30):
+            x = np.random.default_rng(2).normal(size=(n, 8))
+            base = spark.createDataFrame([(i, v) for i, v in enumerate(ann.quantized(x))], "node long, vec binary")
+            got = {r.node: set(np.frombuffer(r.ids, "<i8")) for r in ann.build_graph(base, 8).collect()}
+            assert got == {i: set(range(n)) - {i} for i in range(n)}
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "8")
+
+
 def test_descent_improves_lists(spark, monkeypatch):
     monkeypatch.setattr(ann, "ORDERS", 2)
     monkeypatch.setattr(ann, "BLOCK", 64)

@@ -95,6 +95,16 @@ def test_strays_of_a_large_group_are_found(spark):
     assert len(set(want.values())) < 5
 
 
+def test_pairs_among_unlinked_documents_of_a_template(spark):
+    rng = random.Random(6)
+    template = rng.choices([f"w{i}" for i in range(3000)], k=170)
+    texts = [template + ["u%d" % rng.randrange(10**9) for _ in range(30)] for _ in range(3000)]
+    texts += [_changed(rng, v, 5) for v in texts[:100]]  # 0.77 similar to one document; all others are 0.74 alike at most
+    df = spark.createDataFrame([(i, " ".join(v)) for i, v in enumerate(texts)], "doc_id long, text string").repartition(7)
+    got = {r["doc_id"]: r["component_id"] for r in rows(near_dedup.near_duplicates(df))}
+    assert got == {i: i if i < 3000 else i - 3000 for i in range(3100)}
+
+
 def test_dedup_edge_rows(spark, edge_docs, no_docs):
     got = rows(near_dedup.near_duplicates(edge_docs))
     assert len(got) == len(TEXTS)

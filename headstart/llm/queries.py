@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, idfile, langid, lm_score, mixing, near_dedup, packing, pii, secret_scan, topk
+from . import ann, idfile, langid, lm_score, mixing, near_dedup, packing, periodic, pii, secret_scan, topk
 from .common import fold_of
 
 
@@ -62,8 +62,24 @@ def op10_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.withColumn("held_out", F.col("role") == lm_score.TEST).drop("role")
 
 
+def periodic_digest(found: DataFrame) -> DataFrame:
+    """Counts and digests of ``periodic_runs``."""
+    lines = F.array_join(F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"])), "\n")
+    return found.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), "best.start", "best.length", "best.period",
+        F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+        F.sha2(F.when(F.size("runs") > 0, F.concat(lines, F.lit("\n"))).otherwise(""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"))
+
+
+def op11_periodic(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = periodic.with_periodic_tails(_table(spark, sf_dir, "documents"))
+    return periodic_digest(periodic.periodic_runs(docs))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_near_dedup, op2_pack, op3_huffman_ids, op4_secrets, op5_ann, op6_topk, op7_pii, op8_langid, op9_mix, op10_lm_score)}
+    f.__name__: f for f in (op1_near_dedup, op2_pack, op3_huffman_ids, op4_secrets, op5_ann, op6_topk, op7_pii, op8_langid, op9_mix, op10_lm_score,
+                              op11_periodic)}
 
 _INT = ("SELECT vec_id, CAST(floor(256 * CAST(unnest(embedding) AS DOUBLE)) AS BIGINT) AS w, "
         "unnest(range(len(embedding))) AS i FROM embeddings")

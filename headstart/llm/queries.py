@@ -7,8 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, idfile, langid, lm_score, mixing, near_dedup, packing, periodic, pii, secret_scan, topk
+from . import align, ann, idfile, langid, lm_score, mixing, near_dedup, packing, periodic, pii, secret_scan, topk
 from .common import fold_of
+from .tokens import vocabulary
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -77,9 +78,14 @@ def op11_periodic(spark: SparkSession, sf_dir: str) -> DataFrame:
     return periodic_digest(periodic.periodic_runs(docs))
 
 
+def op12_align(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    return align.align(docs, vocabulary("byte_bpe_50k.json"), vocabulary("piece_bpe_32k.model")).withColumnRenamed("groups", "groups_sha256")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_near_dedup, op2_pack, op3_huffman_ids, op4_secrets, op5_ann, op6_topk, op7_pii, op8_langid, op9_mix, op10_lm_score,
-                              op11_periodic)}
+                              op11_periodic, op12_align)}
 
 _INT = ("SELECT vec_id, CAST(floor(256 * CAST(unnest(embedding) AS DOUBLE)) AS BIGINT) AS w, "
         "unnest(range(len(embedding))) AS i FROM embeddings")

@@ -16,8 +16,9 @@ are linked over the corpus says which of them stand for each other.
    of all documents (fewer than a thousand texts, whose list is broadcast) are salted.
 
 Both vocabularies begin a token at a lone space between non-space characters, so a text is the
-concatenation of its pieces there, and a worker aligns each distinct piece once; other white
-space stays inside a piece (``tests/llm/test_align.py`` compares whole texts).
+concatenation of its pieces there; other white space stays inside a piece. A worker asks the
+tokenizers once for each distinct unit (a plain word, a mark, any other piece) and aligns whole
+slices of texts by arrays (``tests/llm/test_align.py`` compares with the libraries' whole texts).
 
 Edge cases: null and empty texts, and texts whose tokens' joined bytes differ from space+text
 (the second vocabulary writes U+2581 for a space) have no tokens: zeros and an empty digest.
@@ -32,6 +33,7 @@ from __future__ import annotations
 import hashlib
 import os
 import re
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -42,32 +44,26 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import drop_stage, map_arrow, stage
-from .tokens import _BETWEEN, _UNSAFE, _gather
+from .tokens import _BETWEEN, _LETTERS, _PLAIN, _UNSAFE, _gather
 
 #: Links of the texts that exchange pair counts together, about.
 CHUNK_LINKS = 4_000_000
 #: Bytes of text that are aligned together.
-SLICE_BYTES = 4 << 20
-#: Pieces in the young half of a worker's cache; when full it becomes the old half.
-CACHE_PIECES = 60_000
-#: A longer piece isn't kept in the cache.
-CACHED_BYTES = 100
+SLICE_BYTES = 2 << 20
+#: Units in the young half of a worker's cache; when full it becomes the old half.
+CACHE_UNITS = 120_000
+#: A longer unit isn't kept in the cache.
+CACHED_CHARS = 100
 #: Bits of an id of the second tokenizer in a pair's code.
 B_BITS = 31 - 16
 #: Texts with more than this part of all documents are salted.
 HOT_PART = 1000
 
 
-class _Piece:
-    """A piece's counts (tokens of both kinds, groups, links), its groups as text and its pairs' codes."""
-    __slots__ = ("counts", "groups", "pairs")
-
-    def __init__(self, counts, groups, pairs):
-        self.counts, self.groups, self.pairs = counts, groups, pairs
-
-
 def overlaps(a_end: np.ndarray, b_end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(token of A, token of B) whose byte ranges overlap, by A, then B; given the tokens' ends."""
+    if not len(a_end):
+        return np.empty(0, np.int64), np.empty(0, np.int64)
     first = np.searchsorted(b_end, np.append(0, a_end[:-1]), side="right")
     last = np.searchsorted(b_end, a_end, side="left")
     n = last - first + 1
@@ -75,8 +71,21 @@ def overlaps(a_end: np.ndarray, b_end: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return a, np.arange(len(a)) - np.repeat(np.cumsum(n) - n, n) + np.repeat(first, n)
 
 
+#: (ids of A, ids of B) as packed unsigned 16-bit numbers; None if their tokens give other bytes.
+_Unit = tuple[bytes, bytes] | None
+_EMPTY: _Unit = (b"", b"")
+
+
+def _sums(values: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    return np.diff(np.append(0, np.cumsum(values, dtype=np.int64))[bounds])
+
+
 class Aligner:
-    """Aligned pieces of texts under two vocabularies (a ``tokenizers`` file and a ``sentencepiece`` model)."""
+    """Aligns texts under two vocabularies (a ``tokenizers`` file and a ``sentencepiece`` model).
+
+    Units are cached: a plain word behind a space, a mark, a word on a new line, any other piece.
+    Neither vocabulary has a token that holds the border of two units of a plain piece.
+    """
 
     def __init__(self, a_path: str, b_path: str):
         import sentencepiece
@@ -91,18 +100,23 @@ class Aligner:
         # every byte's letter, read off characters that hold the byte
         letter = {}
         for c in [*map(chr, range(0x800)), *map(chr, range(0x800, 0x10000, 0x1000)), *map(chr, range(0x10000, 0x110000, 0x40000))]:
-            if 0xD800 <= ord(c) < 0xE000:
-                continue
-            for byte, x in zip(c.encode(), byte_level.pre_tokenize_str(c)[0][0]):
-                letter[x] = byte
-        size = self.a.get_vocab_size()
-        tokens = [self.a.id_to_token(i) or "" for i in range(size)]
+            if not 0xD800 <= ord(c) < 0xE000:
+                letter.update(zip(byte_level.pre_tokenize_str(c)[0][0], c.encode()))
+        tokens = [self.a.id_to_token(i) or "" for i in range(self.a.get_vocab_size())]
         self.a_bytes = [bytes(letter[x] for x in t) if all(x in letter for x in t) else t.encode() for t in tokens]
-        self.b_bytes = [self._b_token(self.b.id_to_piece(i)) for i in range(self.b.get_piece_size())]
-        if size > 1 << 16 or len(self.b_bytes) > 1 << B_BITS:
+        pieces = [self.b.id_to_piece(i) for i in range(self.b.get_piece_size())]
+        self.b_bytes = [self._b_token(p) for p in pieces]
+        if len(tokens) > 1 << 16 or len(pieces) > 1 << B_BITS:
             raise ValueError("ids of these vocabularies don't fit a pair's code")
-        self.young: dict[str, _Piece | None] = {}
-        self.old: dict[str, _Piece | None] = {}
+        self.a_size, self.b_size = (np.array([len(x) for x in t], np.int64) for t in (self.a_bytes, self.b_bytes))
+        #: a token's id and what stands behind it in the groups' text
+        self.written = [b"%d%c" % (i, mark) for mark in b",|;" for i in range(1 << 16)]
+        border = re.compile(rf"[{_LETTERS}][.,;:!?\n]|[.,;:!?]\n|\n[{_LETTERS}]|[^▁]▁")
+        if any(border.search(p) for p, x in zip(pieces, self.b_bytes) if len(x) > 1):
+            raise ValueError("a token of the second vocabulary holds the border of two units")
+        self.letters = str.maketrans({chr(c): byte_level.pre_tokenize_str(chr(c))[0][0] for c in range(0x100) if re.fullmatch(rf"[{_LETTERS}]", chr(c))})
+        self.young: dict[str, _Unit] = {}
+        self.old: dict[str, _Unit] = {}
 
     @staticmethod
     def _b_token(piece: str) -> bytes:
@@ -110,63 +124,129 @@ class Aligner:
             return bytes([int(m[1], 16)])
         return piece.replace("▁", " ").encode()
 
-    def pieces(self, wanted: list[str]) -> list[_Piece | None]:
-        """Aligned pieces, each standing behind a space; None for one whose tokens give other bytes."""
-        got: dict[str, _Piece | None] = {}
-        missing = []
-        for p in wanted:
-            if p in self.young:
-                got[p] = self.young[p]
-            elif p in self.old:
-                got[p] = self.young[p] = self.old[p]
-            else:
-                missing.append(p)
+    def units(self, wanted: list[str], kind: str) -> list[_Unit]:
+        """Ids of units: ``word`` (letters behind a space), ``line`` (letters or a mark behind what
+        isn't a space) or ``piece`` (anything, behind a space)."""
+        keys = wanted if kind == "piece" else [kind + " " + w for w in wanted]  # a piece that isn't cut has no such space
+        got = [self.young.get(k) for k in keys]
+        missing: dict[str, int] = {}
+        for n, (k, x) in enumerate(zip(keys, got)):
+            if x is None and k not in self.young:
+                if k in self.old:
+                    got[n] = self.young[k] = self.old[k]
+                else:
+                    missing.setdefault(k, n)
         if missing:
-            ids_a = [e.ids for e in self.a.encode_batch([" " + p for p in missing], add_special_tokens=False)]
-            ids_b = self.b.encode(missing, num_threads=1)
-            for p, a, b in zip(missing, ids_a, ids_b):
-                got[p] = x = self._align(p, a, b)
-                if len(p) <= CACHED_BYTES:
-                    self.young[p] = x
-        if len(self.young) > CACHE_PIECES:
+            made = self._made([wanted[n] for n in missing.values()], kind)
+            for k, x in zip(missing, made):
+                missing[k] = x
+                if len(k) <= CACHED_CHARS:
+                    self.young[k] = x
+            got = [missing.get(k, x) for k, x in zip(keys, got)]
+        if len(self.young) > CACHE_UNITS:
             self.old, self.young = self.young, {}
-        return [got[p] for p in wanted]
-
-    def _align(self, piece: str, a: list[int], b: list[int]) -> _Piece | None:
-        bytes_a, bytes_b = [self.a_bytes[i] for i in a], [self.b_bytes[i] for i in b]
-        if b"".join(bytes_a) != (whole := (" " + piece).encode()) or b"".join(bytes_b) != whole:
-            return None
-        if len(a) == len(b) == 1:
-            return _Piece((1, 1, 1, 1), b"%d|%d" % (a[0], b[0]), np.array([a[0] << B_BITS | b[0]], np.uint32))
-        a_end, b_end = np.cumsum([len(x) for x in bytes_a]), np.cumsum([len(x) for x in bytes_b])
-        i, j = overlaps(a_end, b_end)
-        both = np.intersect1d(a_end, b_end)
-        ka, kb, groups, la, lb = np.searchsorted(a_end, both).tolist(), np.searchsorted(b_end, both).tolist(), [], 0, 0
-        for x, y in zip(ka, kb):
-            groups.append(",".join(map(str, a[la:x + 1])) + "|" + ",".join(map(str, b[lb:y + 1])))
-            la, lb = x + 1, y + 1
-        codes = np.asarray(a, np.uint32)[i] << np.uint32(B_BITS) | np.asarray(b, np.uint32)[j]
-        return _Piece((len(a), len(b), len(groups), len(i)), ";".join(groups).encode(), codes)
-
-    def texts(self, texts: pa.Array) -> list[list[_Piece] | None]:
-        """The aligned pieces of every text (None: no tokens); texts are non-empty."""
+        return got
+
+    def _made(self, units: list[str], kind: str) -> list[_Unit]:
+        ids_b = self.b.encode(units if kind != "line" else ["\n" + u for u in units], num_threads=1)
+        if kind == "line":
+            ids_b = [b[2:] for b in ids_b]  # the space and the new line, neither of which joins with letters or marks
+            ids_a = [e.ids for e in self.a.encode_batch(units, add_special_tokens=False)]
+        elif kind == "word":
+            merge = self.a.model.tokenize
+            ids_a = [[t.id for t in merge("Ġ" + u.translate(self.letters))] for u in units]
+        else:
+            ids_a = [e.ids for e in self.a.encode_batch([" " + u for u in units], add_special_tokens=False)]
+        out = []
+        for u, a, b in zip(units, ids_a, ids_b):
+            whole = (u if kind == "line" else " " + u).encode()
+            same = b"".join([self.a_bytes[i] for i in a]) == whole == b"".join([self.b_bytes[i] for i in b])
+            out.append((array("H", a).tobytes(), array("H", b).tobytes()) if same else None)
+        return out
+
+    def _pieces(self, distinct: pa.StringArray, skip: np.ndarray) -> tuple[list[_Unit], np.ndarray]:
+        """Units, and which five of them make up each distinct piece (none where ``skip``)."""
+        plain = pc.extract_regex(distinct, _PLAIN)
+        whole = np.flatnonzero(np.asarray(plain.is_null()) & ~skip)
+        units: list[_Unit] = [_EMPTY]
+        sub = np.zeros((len(distinct), 5), np.int64)
+
+        def put(column: int, made: list[_Unit], at: np.ndarray, rows=slice(None)) -> None:
+            sub[rows, column] = len(units) + at
+            units.extend(made)
+
+        def some(field: str, kind: str) -> tuple[list[_Unit], np.ndarray, list[str]]:
+            d = pc.dictionary_encode(pc.fill_null(pc.struct_field(plain, field), ""))
+            words = d.dictionary.to_pylist()
+            made = iter(self.units([w for w in words if w], kind))
+            return [next(made) if w else _EMPTY for w in words], d.indices.to_numpy(), words
+
+        if len(distinct):
+            put(0, *some("word", "word")[:2])
+            put(1, *some("mark", "line")[:2])
+            made, at, words = some("word2", "line")
+            line = self.units(["\n"], "line")[0]
+            put(2, [line if w else _EMPTY for w in words], at)
+            put(3, made, at)
+            put(4, *some("mark2", "line")[:2])
+            sub[np.asarray(plain.is_null())] = 0
+            put(0, self.units(distinct.take(pa.array(whole)).to_pylist(), "piece"), np.arange(len(whole)), whole)
+        return units, sub
+
+    def ids(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """(ids of A, where each text's begin, ids of B, where each text's begin, texts that have tokens)."""
+        n = len(texts)
         parts = pc.split_pattern(texts, " ")
-        starts = (parts.offsets.to_numpy() - parts.offsets[0].as_py()).tolist()
+        starts = parts.offsets.to_numpy() - parts.offsets[0].as_py()
         flat = pc.dictionary_encode(parts.flatten())
-        distinct = flat.dictionary.to_pylist()
-        unsafe = [bool(_UNSAFE.search(p)) for p in distinct]
-        known = iter(self.pieces([p for p, u in zip(distinct, unsafe) if not u]))
-        found = [None if u else next(known) for u in unsafe]
-        index, odd = flat.indices.to_numpy().tolist(), np.array([u or x is None for u, x in zip(unsafe, found)], bool)
-        any_odd = np.logical_or.reduceat(odd[index], starts[:-1]) if len(texts) else ()
+        index, distinct = flat.indices.to_numpy(), flat.dictionary
+        unsafe = np.fromiter((bool(_UNSAFE.search(p)) for p in distinct.to_pylist()), bool, len(distinct))
+        odd = _sums(unsafe[index], starts) > 0
+        # texts with other white space are cut at lone spaces between non-space characters only
+        cut = {k: _BETWEEN.split(texts[k].as_py()) for k in np.flatnonzero(odd).tolist()}
+        more = {p: len(distinct) + i for i, p in enumerate(dict.fromkeys(p for ps in cut.values() for p in ps))}
+        units, sub = self._pieces(distinct, unsafe)
+        sub = np.vstack([sub, np.zeros((len(more), 5), np.int64)])
+        sub[len(distinct):, 0] = len(units) + np.arange(len(more))
+        units += self.units(list(more), "piece")
+        bad = np.fromiter((u is None for u in units), bool, len(units))[sub].any(1)
+        order = [np.array([more[p] for p in cut[k]]) if k in cut else index[starts[k]:starts[k + 1]] for k in range(n)]
+        order = [o if not (bad[o].any()) else None for o in order]
+        ok = np.fromiter((o is not None for o in order), bool, n)
+        order = [o if o is not None else np.empty(0, np.int64) for o in order]
+        bounds = np.cumsum([0, *map(len, order)])
+        order = np.concatenate(order) if n else np.empty(0, np.int64)
         out = []
-        for k, (lo, hi) in enumerate(zip(starts, starts[1:])):
-            if any_odd[k]:  # cut at lone spaces between non-space characters only
-                mine = self.pieces(_BETWEEN.split(texts[k].as_py()))
-                out.append(None if any(x is None for x in mine) else mine)
-            else:
-                out.append([found[x] for x in index[lo:hi]])
-        return out
+        for side in (0, 1):
+            mine = [_EMPTY[side] if u is None else u[side] for u in units]
+            size = np.fromiter(map(len, mine), np.int64, len(mine)) >> 1
+            ids, k = _gather(np.frombuffer(b"".join(mine), np.uint16), size, sub.reshape(-1))
+            ids, k = _gather(ids, k.reshape(-1, 5).sum(1), order)
+            out += [ids, np.append(0, np.cumsum(k))[bounds]]
+        return (*out, ok)
+
+    def align(self, texts: pa.Array) -> tuple[np.ndarray, list[bytes | None], np.ndarray, np.ndarray]:
+        """(texts x counts of tokens of A, of B, groups, links; the groups' text, None without tokens;
+        the text of each link; its pair's code) of non-empty texts."""
+        a, a_at, b, b_at, ok = self.ids(texts)
+        a_end, b_end = np.cumsum(self.a_size[a]), np.cumsum(self.b_size[b])
+        at = np.searchsorted(b_end, a_end)
+        a_last = b_end[at] == a_end if len(a) else np.empty(0, bool)
+        b_last = np.zeros(len(b), bool)
+        b_last[at[a_last]] = True
+        i, j = overlaps(a_end, b_end)
+        counts = np.stack([np.diff(a_at), np.diff(b_at), _sums(a_last, a_at), np.diff(np.searchsorted(i, a_at))], 1)
+        # a group's tokens of A, then its tokens of B
+        a_group, b_group = np.cumsum(a_last) - a_last, np.cumsum(b_last) - b_last
+        a_ends, b_ends = np.append(0, np.flatnonzero(a_last) + 1), np.append(0, np.flatnonzero(b_last) + 1)
+        token = np.empty(len(a) + len(b), np.int64)
+        token[np.arange(len(a)) + b_ends[a_group]] = a + (a_last.astype(np.int64) << 16)
+        token[np.arange(len(b)) + a_ends[b_group + 1]] = b + (b_last.astype(np.int64) << 17)
+        written, groups = self.written, []
+        for lo, hi, has in zip((a_at + b_at).tolist(), (a_at + b_at)[1:].tolist(), ok.tolist()):
+            groups.append(b"".join([written[t] for t in token[lo:hi].tolist()])[:-1] if has else None)
+        codes = a[i].astype(np.int64) << B_BITS | b[j]
+        return counts, groups, np.repeat(np.arange(len(texts)), counts[:, 3]), codes
 
 
 _ALIGNERS: dict[tuple[str, str], Aligner] = {}
@@ -205,18 +285,9 @@ def aligned(docs: DataFrame, a_path: str, b_path: str, digest: bool = True) -> D
     def align(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tool, chunk, links = aligner(a_path, b_path), TaskContext.get().partitionId() << 32, 0
         for b in _slices(batches):
-            texts = tool.texts(b.column("text"))
-            count = np.zeros((b.num_rows, 4), np.int64)
-            groups, pieces, owner = [], [], []
-            for t, mine in enumerate(texts):
-                whole = b"" if mine is None else b";".join([p.groups for p in mine])
-                groups.append("" if mine is None else hashlib.sha256(whole).hexdigest() if digest else whole.decode())
-                if mine:
-                    count[t] = np.array([p.counts for p in mine]).sum(0)
-                    pieces += mine
-            owner = np.repeat(np.arange(b.num_rows), count[:, 3])
-            codes = np.concatenate([p.pairs for p in pieces]) if pieces else np.empty(0, np.uint32)
-            key, times = np.unique(owner << 31 | codes.astype(np.int64), return_counts=True)
+            count, whole, owner, codes = tool.align(b.column("text"))
+            groups = ["" if g is None else hashlib.sha256(g).hexdigest() if digest else g.decode() for g in whole]
+            key, times = np.unique(owner << 31 | codes, return_counts=True)
             cuts = np.searchsorted(key, np.arange(1, b.num_rows) << 31)
             codes, times = (key & ((1 << 31) - 1)).astype("<u4"), times.astype("<u4")
             pack = lambda x: pa.array([v.tobytes() for v in np.split(x, cuts)], pa.binary())

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import align, ann, idfile, langid, lm_score, mixing, near_dedup, packing, periodic, pii, secret_scan, topk
+from . import align, ann, idfile, langid, licenses, lm_score, mixing, near_dedup, packing, periodic, pii, secret_scan, topk
 from .common import fold_of
 from .tokens import vocabulary
 
@@ -83,9 +83,13 @@ def op12_align(spark: SparkSession, sf_dir: str) -> DataFrame:
     return align.align(docs, vocabulary("byte_bpe_50k.json"), vocabulary("piece_bpe_32k.model")).withColumnRenamed("groups", "groups_sha256")
 
 
+def op13_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan_licenses(_table(spark, sf_dir, "documents")).drop("spans")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_near_dedup, op2_pack, op3_huffman_ids, op4_secrets, op5_ann, op6_topk, op7_pii, op8_langid, op9_mix, op10_lm_score,
-                              op11_periodic, op12_align)}
+                              op11_periodic, op12_align, op13_licenses)}
 
 _INT = ("SELECT vec_id, CAST(floor(256 * CAST(unnest(embedding) AS DOUBLE)) AS BIGINT) AS w, "
         "unnest(range(len(embedding))) AS i FROM embeddings")

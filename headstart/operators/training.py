@@ -8,11 +8,15 @@ Plan of one fit:
    ``ROUNDS_PER_BLOCK`` consecutive rounds: an epoch reads every block once, and a lost
    executor costs a re-read;
 3. a block (its size is set by the parameters, not by the data) is dealt to its workers by one
-   exchange, each worker alone in a partition, and persisted while its rounds run;
-4. per round: filter ``round = r`` → ``mapInArrow`` over the ``workers`` partitions, no shuffle
-   of rows; each task trains at most ``batch_size · avg_freq`` rows and emits its parameter +
-   optimizer state vector in chunks → mean per chunk over the workers, added in worker
-   order, so reruns are bit-equal → broadcast for the next round;
+   exchange, each worker alone in a partition;
+4. all rounds of a block run in one barrier stage (``run_block``): a task holds its worker's
+   rows, trains its batches of a round, and gets the other workers' parameter + optimizer
+   state vectors by ``allGather``; the mean is added in worker order, so every task has the same
+   bits and goes on with the next round. The first task emits the last mean. A lost executor costs
+   a rerun of the block from the model it began with, with the same result;
+   beyond ``BARRIER_BYTES`` gathered in a round, or with fewer task slots than workers, the
+   block is persisted and a round is a job (``run_round``: filter → ``mapInArrow`` → mean per chunk
+   → broadcast), with the same bits;
 5. every ``eval_interval`` epochs of the run: train rows (from the layout) and valid rows
    (persisted for the run) are scored in one pass and evaluated grouped by split; the
    metrics are appended to the history table at once;
@@ -20,7 +24,8 @@ Plan of one fit:
    written to a new folder, so a run can resume exactly after losing its driver.
 
 Workers without rows in the last round are absent from the mean (equal weight per active
-worker); a short last batch uses its own length. Jobs per epoch = rounds + blocks.
+worker); a short last batch uses its own length. Jobs per epoch = blocks; a single block runs
+up to ``EPOCHS_PER_JOB`` epochs in a job.
 
 ``full_batch_round`` is the other shape of a round: every worker takes one step on all its
 rows, whose gradient sums are accumulated over Arrow batches in any number of tasks.
@@ -28,6 +33,7 @@ rows, whose gradient sums are accumulated over Arrow batches in any number of ta
 
 from __future__ import annotations
 
+import base64
 import dataclasses
 import math
 from dataclasses import dataclass
@@ -35,7 +41,7 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark import StorageLevel, TaskContext
+from pyspark import BarrierTaskContext, StorageLevel, TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -54,6 +60,11 @@ STATE_SLOTS = {"sgd": (), "nesterovs": ("v",), "adam": ("m", "v"), "adadelta": (
                "rmsprop": ("g2",)}
 CHUNK = 16384  # doubles per averaged row (128 KB)
 ROUNDS_PER_BLOCK = 32
+#: Bytes that the workers of a barrier stage gather at most in a round, all together: the
+#: messages meet on the driver's side of the barrier. Larger models average by a job a round.
+BARRIER_BYTES = 16 << 20
+#: Epochs of a single block in one job at most: what a lost executor can cost.
+EPOCHS_PER_JOB = 8
 
 # Fixed optimizer constants.
 ADAM_B1, ADAM_B2, ADAM_EPS = 0.9, 0.999, 1e-8
@@ -257,7 +268,7 @@ def average_chunks(worker_chunks: DataFrame) -> DataFrame:
 def _averaged(worker_chunks: DataFrame, model: Model, state: dict):
     """(model, state, steps, mean batch loss) from the workers' chunks; the model comes to
     the driver by design, to be broadcast again."""
-    agg = average_chunks(worker_chunks).orderBy("chunk").toArrow()
+    agg = average_chunks(worker_chunks).toArrow().sort_by("chunk")  # a row per 128 KB of the model
     if agg.num_rows == 0:
         return model, state, 0, float("nan")
     vec = np.frombuffer(b"".join(agg.column("values").to_pylist()), "<f8")
@@ -280,6 +291,73 @@ def run_round(part: DataFrame, model: Model, state: dict, p: FitParams, it0: int
         bc.destroy()  # the round's job is over: free executors and driver alike
 
 
+def barrier_slots(spark) -> int:
+    """Tasks that surely run side by side; 0 where that isn't known."""
+    conf = spark.sparkContext.getConf()
+    if conf.get("spark.dynamicAllocation.enabled", "false") == "true" or conf.contains("spark.default.parallelism"):
+        return 0
+    return spark.sparkContext.defaultParallelism
+
+
+def _message_bytes(model: Model, state: dict) -> int:
+    return (flatten(model, state).nbytes + 3 * 8) * 4 // 3
+
+
+def _block_fn(bc, id_col: str, features: str, label: str):
+    """Train one worker's rows of all rounds of a block, averaging with the other workers after each."""
+    def fn(batches):
+        model, state, p, it, step, epochs, rounds = bc.value
+        task = BarrierTaskContext.get()
+        tables = [rb for rb in batches if rb.num_rows]
+        mine = {}
+        if tables:
+            t = pa.Table.from_batches(tables).combine_chunks().sort_by([("round", "ascending"), ("pos", "ascending")])
+            workers = np.unique(t.column("worker").to_numpy())
+            if len(workers) != 1:
+                raise RuntimeError(f"a training task got rows of workers {workers.tolist()}")
+            ids, x, y = _rows_of(t, model, id_col, features, label)
+            of_round, batch = t.column("round").to_numpy(), t.column("batch").to_numpy()
+            for r in rounds:
+                lo, hi = np.searchsorted(of_round, (r, r + 1))
+                cuts = lo + np.flatnonzero(np.diff(batch[lo:hi], prepend=-1))
+                mine[r] = [(ids[a:b], x[a:b], y[a:b]) for a, b in zip(cuts, [*cuts[1:], hi])]
+        total, loss_sum, n_batches = 0, 0.0, 0
+        for epoch in epochs:
+            for r in rounds:
+                message = ""
+                if mine.get(r):
+                    new_model, new_state, steps, loss = train_batches(model, state, mine[r], p, it + total, epoch, step + total)
+                    head = np.array([workers[0], steps, loss])
+                    message = base64.b64encode(np.concatenate([head, flatten(new_model, new_state)]).astype("<f8").tobytes()).decode()
+                got = [np.frombuffer(base64.b64decode(m), "<f8") for m in task.allGather(message) if m]
+                if not got:
+                    continue
+                got.sort(key=lambda v: v[0])  # a fixed order of addition
+                model, state = unflatten(model, state, np.sum([v[3:] for v in got], axis=0) / len(got))
+                steps = int(max(v[1] for v in got))
+                total, n_batches = total + steps, n_batches + len(got) * steps
+                loss_sum += math.fsum(v[2] for v in got)
+        if task.partitionId() == 0:
+            yield _chunk_rows(0, total, loss_sum / max(1, n_batches), flatten(model, state))
+    return fn
+
+
+def run_block(rows: DataFrame, model: Model, state: dict, p: FitParams, it0: int, epochs: range, rounds: range,
+              *, id_col: str, features: str, label: str, step0: int | None = None):
+    """All ``rounds`` of a block (one partition per worker), ``epochs`` times, in one barrier stage →
+    (model, state, steps, mean batch loss). The same bits as ``run_round`` round by round."""
+    spark = rows.sparkSession
+    check_model_size(spark, model.nbytes() + sum(v.nbytes for v in state.values()))
+    ship_package(spark)
+    bc = spark.sparkContext.broadcast((model, state, p, it0, it0 if step0 is None else step0, epochs, rounds))
+    try:
+        out = rows.mapInArrow(_block_fn(bc, id_col, features, label), ROUND_OUT, barrier=True).toArrow().sort_by("chunk")
+    finally:
+        bc.destroy()
+    new_model, new_state = unflatten(model, state, np.frombuffer(b"".join(out.column("values").to_pylist()), "<f8"))
+    return new_model, new_state, out.column("steps")[0].as_py(), out.column("loss_sum")[0].as_py()
+
+
 def full_batch_round(df: DataFrame, model: Model, state: dict, p: FitParams, it0: int = 0, step0: int | None = None,
                      *, features: str, label: str, worker: str = "worker"):
     """One round in which every worker takes one step on all its rows → (model, state, mean loss).
@@ -399,14 +477,18 @@ class Layout:
     def blocks(self) -> int:
         return -(-self.rounds // self.per_block)
 
-    def block(self, b: int, workers: int, rows: int) -> DataFrame:
-        """Block ``b`` with each worker alone in its partition, persisted; cached in column
-        batches of one round's ``rows`` of a worker, so a round's filter skips the others."""
+    def dealt(self, b: int, workers: int) -> DataFrame:
+        """Block ``b`` with each worker alone in its partition."""
         spark = self.table.sparkSession
         keys = F.array(*[F.lit(k).cast("bigint") for k in worker_keys(spark, workers)])
         read = spark.read.schema(self.table.drop("block").schema).parquet(f"{self.path}/block={b}")
-        laid = (read.withColumn("_wkey", F.element_at(keys, F.col("worker") + 1)).repartition(workers, "_wkey")
-                .sortWithinPartitions("round", "pos").drop("_wkey"))
+        return read.withColumn("_wkey", F.element_at(keys, F.col("worker") + 1)).repartition(workers, "_wkey").drop("_wkey")
+
+    def block(self, b: int, workers: int, rows: int) -> DataFrame:
+        """Block ``b`` dealt to its workers and persisted, for a job per round; cached in column
+        batches of one round's ``rows`` of a worker, so a round's filter skips the others."""
+        spark = self.table.sparkSession
+        laid = self.dealt(b, workers).sortWithinPartitions("round", "pos")
         # the setting must hold until the count below has built the cache
         conf = "spark.sql.inMemoryColumnarStorage.batchSize"
         before = spark.conf.get(conf)
@@ -498,17 +580,33 @@ def fit(df: DataFrame, model: Model, p: FitParams, *, id_col: str = "id", featur
     train_eval = layout.table.select(features, label)
     valid_eval = valid.select(features, label).persist(StorageLevel.MEMORY_AND_DISK) if valid is not None else None
     held, block = None, None
+    together = p.workers * _message_bytes(model, state) <= BARRIER_BYTES and barrier_slots(spark) >= p.workers
+    names = {"id_col": id_col, "features": features, "label": label}
+    end, epoch = start_epoch + p.epochs, start_epoch - 1
     try:
-        for epoch in range(start_epoch, start_epoch + p.epochs):
-            for r in range(layout.rounds):
-                if r // layout.per_block != held:  # a single block stays for all epochs
-                    if block is not None:
-                        block.unpersist()
-                    held = r // layout.per_block
-                    block = layout.block(held, p.workers, p.batch_size * p.avg_freq)
-                model, state, steps, _ = run_round(block.filter(F.col("round") == r), model, state, p, it, epoch,
-                                                   id_col=id_col, features=features, label=label, step0=steps_done)
-                it, steps_done = it + steps, steps_done + steps
+        while epoch + 1 < end:
+            done = epoch + 1 - start_epoch
+            if together:
+                # a single block goes on until the next evaluation or snapshot
+                stops = [p.eval_interval] + [snapshot_every] * bool(snapshot_path)
+                span = 1 if layout.blocks > 1 else min(EPOCHS_PER_JOB, end - epoch - 1, *(n - done % n for n in stops))
+                for b in range(layout.blocks):
+                    rounds = range(b * layout.per_block, min(layout.rounds, (b + 1) * layout.per_block))
+                    model, state, steps, _ = run_block(layout.dealt(b, p.workers), model, state, p, it, range(epoch + 1, epoch + 1 + span),
+                                                       rounds, step0=steps_done, **names)
+                    it, steps_done = it + steps, steps_done + steps
+                epoch += span
+            else:
+                epoch += 1
+                for r in range(layout.rounds):
+                    if r // layout.per_block != held:  # a single block stays for all epochs
+                        if block is not None:
+                            block.unpersist()
+                        held = r // layout.per_block
+                        block = layout.block(held, p.workers, p.batch_size * p.avg_freq)
+                    model, state, steps, _ = run_round(block.filter(F.col("round") == r), model, state, p, it, epoch,
+                                                       step0=steps_done, **names)
+                    it, steps_done = it + steps, steps_done + steps
             done = epoch - start_epoch + 1
             if snapshot_path and done % snapshot_every == 0:
                 write_snapshot(spark, model, snapshot_path, epoch, state=state,

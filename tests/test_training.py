@@ -1,7 +1,9 @@
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from headstart.model import dense, head, init_params
+from headstart.operators import training as TR
 from headstart.operators.ordering import assign_minibatches, with_position
 from headstart.operators.training import FitParams, fit, init_state, train_batches
 
@@ -84,7 +86,6 @@ def test_keep_prob_override(emb):
 
 
 def test_chunked_average_is_bit_equal_on_reruns(emb, monkeypatch):
-    from headstart.operators import training as TR
 
     m = init_params(head("fc2", 64, 10, keep_prob=0.9), seed=42)
     p = FitParams(epochs=1, workers=3, batch_size=16, avg_freq=2, rate=0.05, updater="adam",
@@ -122,7 +123,7 @@ def test_layout_blocks(emb):
 
 
 def test_jobs_and_reads_of_an_epoch_follow_the_rows(spark, emb, monkeypatch):
-    from headstart.operators import training as TR
+    monkeypatch.setattr(TR, "BARRIER_BYTES", 0)  # a job per round
 
     calls = {"block": 0, "rows": 0, "round": 0}
     block, run = TR.Layout.block, TR.run_round
@@ -153,7 +154,7 @@ def test_jobs_and_reads_of_an_epoch_follow_the_rows(spark, emb, monkeypatch):
 
 
 def test_one_block_is_read_once_for_all_epochs(emb, monkeypatch):
-    from headstart.operators import training as TR
+    monkeypatch.setattr(TR, "BARRIER_BYTES", 0)  # a job per round
 
     n, block = [0], TR.Layout.block
     monkeypatch.setattr(TR.Layout, "block", lambda self, *a: (n.__setitem__(0, n[0] + 1), block(self, *a))[1])
@@ -358,7 +359,7 @@ def test_null_elements_are_refused(spark, emb):
 
 def test_fit_survives_losing_the_cached_block(emb, monkeypatch):
     """Executors lost: rounds then read the block from the layout again and give the same model."""
-    from headstart.operators import training as TR
+    monkeypatch.setattr(TR, "BARRIER_BYTES", 0)  # a job per round
 
     m = init_params(head("fc2", 64, 10, keep_prob=0.8), seed=4)
     p = FitParams(epochs=1, workers=3, batch_size=16, avg_freq=2, rate=0.05, eval_interval=1 << 30)
@@ -374,3 +375,39 @@ def test_fit_survives_losing_the_cached_block(emb, monkeypatch):
     res = fit(emb, m, p, id_col="vec_id", features="embedding")
     for k in m.keys():
         assert np.array_equal(res.model.params[k], ref.model.params[k])
+
+
+def test_barrier_blocks_equal_rounds_bit_for_bit(spark, emb, monkeypatch):
+    """Several blocks, several epochs of one block, dropout and batch-norm, a short last round, every updater's state."""
+    for rounds_per_block, updater in ((2, "adam"), (32, "nesterovs")):
+        p = FitParams(epochs=3, workers=3, batch_size=16, avg_freq=3, rate=0.05, updater=updater, l2=0.01, eval_interval=2,
+                      schedule={0: 0.05, 7: 0.01})
+        model = init_params(head("fc2", 64, 10, keep_prob=0.9), seed=1)
+        layout = TR.prepare_layout(emb, p, id_col="vec_id", features="embedding", rounds_per_block=rounds_per_block)
+        got = {}
+        for together in (True, False):
+            jobs = []
+            run = TR.run_block
+            monkeypatch.setattr(TR, "run_block", lambda *a, **k: (jobs.append(1), run(*a, **k))[1])
+            monkeypatch.setattr(TR, "BARRIER_BYTES", (16 << 20) * together)
+            got[together] = fit(emb, model, p, id_col="vec_id", features="embedding", layout=layout)
+            assert len(jobs) == together * (3 * layout.blocks if layout.blocks > 1 else 2)
+            monkeypatch.setattr(TR, "run_block", run)
+        layout.release()
+        a, b = got[True], got[False]
+        assert a.iterations == b.iterations and a.updater_steps == b.updater_steps
+        assert TR.flatten(a.model, a.state).tobytes() == TR.flatten(b.model, b.state).tobytes()
+        assert a.history.equals(b.history)
+
+
+def test_more_workers_than_slots_average_by_rounds(spark, emb, monkeypatch):
+    monkeypatch.setattr(TR, "barrier_slots", lambda s: 3)
+    monkeypatch.setattr(TR, "run_block", lambda *a, **k: pytest.fail("no slots for a barrier stage"))
+    p = FitParams(epochs=1, workers=4, batch_size=32, avg_freq=4, updater="sgd")
+    assert fit(emb, init_params(head("predictions", 64, 10)), p, id_col="vec_id", features="embedding").iterations > 0
+
+
+def test_a_failing_barrier_task_fails_the_fit(spark, emb):
+    bad = emb.withColumn("label", F.when(F.col("vec_id") == 7, F.lit(None).cast("int")).otherwise(F.col("label")))
+    with pytest.raises(Exception, match="null in column label"):
+        fit(bad, init_params(head("predictions", 64, 10)), FitParams(workers=2), id_col="vec_id", features="embedding")

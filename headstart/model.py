@@ -172,12 +172,14 @@ def forward(model: Model, x: np.ndarray, dtype=np.float64) -> np.ndarray:
 
 
 def loss_and_grads(model: Model, x: np.ndarray, y: np.ndarray,
-                   masks: dict[str, np.ndarray] | None = None):
+                   masks: dict[str, np.ndarray] | None = None, moments: dict[str, tuple] | None = None):
     """Training forward + backward for one mini-batch.
 
     Returns ``(mean_nll, grads, running)`` where ``grads`` maps trainable parameter keys to
     gradients of the *mean* NLL and ``running`` holds the updated batch-norm moments.
-    ``masks`` maps dropout layer names to boolean keep masks (rows × width).
+    ``masks`` maps dropout layer names to boolean keep masks (rows × width). ``moments`` maps
+    batch-norm layers to the (mean, variance) of a whole batch of which ``x`` is a part; parameters
+    below such a layer then get no right gradient.
     """
     last = model.layers[-1]
     if last.kind != DENSE or last.activation != "softmax":
@@ -192,7 +194,7 @@ def loss_and_grads(model: Model, x: np.ndarray, y: np.ndarray,
             out = _activate(z, l.activation)
             cache.append((a, z))
         elif l.kind == BATCHNORM:
-            mu, var = a.mean(axis=0), a.var(axis=0)
+            mu, var = moments[l.name] if moments else (a.mean(axis=0), a.var(axis=0))
             inv = 1.0 / np.sqrt(var + l.eps)
             xhat = (a - mu) * inv
             out = xhat * p[f"{l.name}/gamma"] + p[f"{l.name}/beta"]

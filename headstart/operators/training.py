@@ -19,7 +19,7 @@ Plan of one fit:
    → broadcast), with the same bits;
 5. every ``eval_interval`` epochs of the run: train rows (from the layout) and valid rows
    (persisted for the run) are scored in one pass and evaluated grouped by split; the
-   metrics are appended to the history table at once;
+   metrics replace their (epoch, split) in the history table at once;
 6. optionally every ``snapshot_every`` epochs: model, optimizer state and counters are
    written to a new folder, so a run can resume exactly after losing its driver.
 
@@ -47,7 +47,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.random import dropout_mask_np
-from ..model import BATCHNORM, DENSE, DROPOUT, TRAINABLE, Model, loss_and_grads, pack, replace
+from ..model import BATCHNORM, DENSE, DROPOUT, TRAINABLE, Layer, Model, loss_and_grads, pack, replace
 from ..session import remove_path, scratch_path, ship_package
 from . import evaluation as E
 from .arrowbatch import list_matrix
@@ -161,11 +161,7 @@ def train_batches(model: Model, state: dict, batches, p: FitParams, it0: int, ep
     steps, loss_sum = 0, 0.0
     for ids, x, y in batches:
         cur = Model(model.layers, params)
-        masks = {}
-        for li, l in enumerate(model.layers):
-            if l.kind == DROPOUT and l.keep_prob < 1.0:
-                masks[l.name] = dropout_mask_np(ids, l.n_in, l.keep_prob, p.seed + 7919 * li, epoch)
-        loss, grads, running = loss_and_grads(cur, x, y, masks)
+        loss, grads, running = loss_and_grads(cur, x, y, _masks(model, ids, p, epoch))
         lr = rate_at(it0 + steps, p.schedule, p.rate)
         apply_update(params, grads, state, p, lr, step0 + steps)
         params.update(running)
@@ -358,36 +354,112 @@ def run_block(rows: DataFrame, model: Model, state: dict, p: FitParams, it0: int
     return new_model, new_state, out.column("steps")[0].as_py(), out.column("loss_sum")[0].as_py()
 
 
+def leading_norm(model: Model) -> Layer | None:
+    """The model's batch-norm layer if only dropout stands before it; ``ValueError`` if layers
+    that need the gradient below a batch-norm (or of a second one) are there."""
+    norms = [k for k, l in enumerate(model.layers) if l.kind == BATCHNORM]
+    if not norms:
+        return None
+    if len(norms) > 1 or any(l.kind != DROPOUT for l in model.layers[:norms[0]]):
+        raise ValueError("a full-batch round takes one batch-norm layer, with only dropout before it")
+    return model.layers[norms[0]]
+
+
+def _by_worker(t: pa.Table, model: Model, worker: str, id_col: str, features: str, label: str):
+    """(worker, ids, features, labels) of each worker's rows of ``t``."""
+    workers = t.column(worker).to_numpy()
+    for w in np.unique(workers):
+        mine = t.filter(pa.array(workers == w)).combine_chunks()
+        yield (int(w), *_rows_of(mine, model, id_col, features, label))
+
+
+def merged_moments(parts: list[tuple[int, np.ndarray, np.ndarray]]) -> tuple[int, np.ndarray, np.ndarray]:
+    """(rows, mean, sum of squared distances from it) of the union of parts that have the same three."""
+    n, mean, squares = parts[0]
+    for m, other, more in parts[1:]:
+        away = other - mean
+        mean = mean + away * (m / (n + m))
+        squares = squares + more + away * away * (n * m / (n + m))
+        n += m
+    return n, mean, squares
+
+
+def _worker_moments(df: DataFrame, bc, p: FitParams, epoch: int, columns: dict[str, str]) -> dict[int, tuple[np.ndarray, np.ndarray]]:
+    """Mean and variance of each worker's inputs to the leading batch-norm: partial moments where
+    the rows are, merged per worker in task order. Two vectors of the layer's width per worker come back."""
+    width = leading_norm(bc.value[0]).n_in
+
+    def parts(batches):
+        model, _ = bc.value
+        total: dict[int, tuple] = {}
+        for b in batches:
+            for w, ids, x, _ in _by_worker(pa.Table.from_batches([b]), model, **columns):
+                x = _dropped(model, x, _masks(model, ids, p, epoch))
+                mean = x.mean(axis=0)
+                mine = len(x), mean, ((x - mean) ** 2).sum(axis=0)
+                total[w] = merged_moments([total[w], mine]) if w in total else mine
+        for w, (n, mean, squares) in total.items():
+            yield pa.record_batch({"worker": pa.array([w], pa.int32()), "task": pa.array([TaskContext.get().partitionId()], pa.int32()),
+                                   "n": pa.array([n], pa.int64()), "values": pa.array([np.concatenate([mean, squares]).astype("<f8").tobytes()], pa.binary())})
+
+    def merge(t: pa.Table) -> pa.Table:
+        t = t.sort_by("task")
+        cut = [(n, v[:width], v[width:]) for n, v in zip(t.column("n").to_pylist(), (np.frombuffer(v, "<f8") for v in t.column("values").to_pylist()))]
+        n, mean, squares = merged_moments(cut)
+        return pa.table({"worker": t.column("worker").slice(0, 1),
+                         "values": pa.array([np.concatenate([mean, squares / n]).astype("<f8").tobytes()], pa.binary())})
+
+    found = df.mapInArrow(parts, "worker int, task int, n long, values binary").groupBy("worker") \
+        .applyInArrow(merge, "worker int, values binary").toArrow().to_pylist()
+    return {r["worker"]: (v[:width], v[width:]) for r in found for v in [np.frombuffer(r["values"], "<f8")]}
+
+
+def _masks(model: Model, ids: np.ndarray, p: FitParams, epoch: int) -> dict[str, np.ndarray]:
+    return {l.name: dropout_mask_np(ids, l.n_in, l.keep_prob, p.seed + 7919 * li, epoch)
+            for li, l in enumerate(model.layers) if l.kind == DROPOUT and l.keep_prob < 1.0}
+
+
+def _dropped(model: Model, x: np.ndarray, masks: dict[str, np.ndarray]) -> np.ndarray:
+    """What the dropout layers before the batch-norm leave of ``x``."""
+    for l in model.layers:
+        if l.kind == BATCHNORM:
+            break
+        if l.name in masks:
+            x = x * masks[l.name] / l.keep_prob
+    return x
+
+
 def full_batch_round(df: DataFrame, model: Model, state: dict, p: FitParams, it0: int = 0, step0: int | None = None,
-                     *, features: str, label: str, worker: str = "worker"):
+                     *, features: str, label: str, worker: str = "worker", id_col: str | None = None, epoch: int = 0):
     """One round in which every worker takes one step on all its rows → (model, state, mean loss).
 
     Gradient sums are accumulated over Arrow batches wherever the rows are, then added per
-    worker in task order: no task holds a worker's rows. For models without batch-norm and
-    dropout, whose gradient of a batch is the sum over its rows.
+    worker in task order: no task holds a worker's rows. A batch-norm that only dropout
+    precedes gets each worker's moments by a pass of its own, before the gradients.
+    ``id_col`` keys the dropout masks; models without dropout need none.
     """
-    if any(l.kind in (BATCHNORM, DROPOUT) for l in model.layers):
-        raise ValueError("a full-batch round takes models without batch-norm and dropout")
+    norm = leading_norm(model)
+    if id_col is None and any(l.kind == DROPOUT and l.keep_prob < 1.0 for l in model.layers):
+        raise ValueError("dropout masks need id_col")
     spark = df.sparkSession
     check_model_size(spark, model.nbytes() + sum(v.nbytes for v in state.values()))
     ship_package(spark)
     bc = spark.sparkContext.broadcast((model, state))
     step = it0 if step0 is None else step0
     names = _trainable(model)
+    columns = {"worker": worker, "id_col": id_col or worker, "features": features, "label": label}
+    df = df.select(*dict.fromkeys(columns.values()))
+    moments = _worker_moments(df, bc, p, epoch, columns) if norm else {}
 
     def sums(batches):
         model, _ = bc.value
         total: dict[int, list] = {}
         for b in batches:
-            t = pa.Table.from_batches([b])
-            workers = t.column(worker).to_numpy()
-            for w in np.unique(workers):
-                mine = t.filter(pa.array(workers == w)).combine_chunks()
-                _, x, y = _rows_of(mine, model, worker, features, label)
-                loss, grads, _ = loss_and_grads(model, x, y, None)
+            for w, ids, x, y in _by_worker(pa.Table.from_batches([b]), model, **columns):
+                loss, grads, _ = loss_and_grads(model, x, y, _masks(model, ids, p, epoch), {norm.name: moments[w]} if norm else None)
                 vec = np.concatenate([grads[k].ravel() for k in names]) * len(y)
-                n, s, v = total.get(int(w), (0, 0.0, 0.0))
-                total[int(w)] = n + len(y), s + loss * len(y), v + vec
+                n, s, v = total.get(w, (0, 0.0, 0.0))
+                total[w] = n + len(y), s + loss * len(y), v + vec
         for w, (n, s, v) in total.items():
             yield pa.record_batch({"worker": pa.array([w], pa.int32()), "task": pa.array([TaskContext.get().partitionId()], pa.int32()),
                                    "n": pa.array([n], pa.int64()), "loss": pa.array([s]),
@@ -403,11 +475,14 @@ def full_batch_round(df: DataFrame, model: Model, state: dict, p: FitParams, it0
             grads[k] = mean[at:at + params[k].size].reshape(params[k].shape)
             at += params[k].size
         apply_update(params, grads, new_state, p, rate_at(it0, p.schedule, p.rate), step)
+        if norm:
+            for name, now in zip(("mean", "var"), moments[t.column("worker")[0].as_py()]):
+                params[f"{norm.name}/{name}"] = norm.decay * params[f"{norm.name}/{name}"] + (1 - norm.decay) * now
         return pa.Table.from_batches([_chunk_rows(t.column("worker")[0].as_py(), 1, math.fsum(t.column("loss").to_pylist()) / n,
                                                   flatten(Model(model.layers, params), new_state))])
 
     try:
-        partial = df.select(worker, features, label).mapInArrow(sums, "worker int, task int, n long, loss double, values binary")
+        partial = df.mapInArrow(sums, "worker int, task int, n long, loss double, values binary")
         new_model, new_state, _, loss = _averaged(partial.groupBy("worker").applyInArrow(one_step, ROUND_OUT), model, state)
         return new_model, new_state, loss
     finally:
@@ -522,6 +597,21 @@ def prepare_layout(df: DataFrame, p: FitParams, *, id_col: str = "id", features:
     return Layout(table, path, 0 if top is None else int(top) + 1, layout_key(p), rounds_per_block)
 
 
+def write_history(rows: DataFrame, path: str) -> None:
+    """Put history rows into the table at ``path``, one folder per (epoch, split) (K3).
+
+    Dynamic partition overwrite replaces exactly the folders that get rows, so an epoch that a
+    resumed run evaluates again leaves one row for each key, and the other epochs stay.
+    """
+    rows.withColumns({"_epoch": F.col("epoch"), "_split": F.col("split")}).repartition("_epoch", "_split") \
+        .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("_epoch", "_split").parquet(path)
+
+
+def read_history(spark, path: str) -> DataFrame:
+    """The history table at ``path``: one row for each (epoch, split)."""
+    return spark.read.schema(HISTORY_SCHEMA).parquet(path).select(*HISTORY_SCHEMA.fieldNames())
+
+
 def evaluate_splits(frames: dict[str, DataFrame | None], model: Model, *, features: str,
                     label: str) -> dict[str, dict]:
     """Metrics of several tables in one job: the tables are tagged and unioned, scored
@@ -548,8 +638,8 @@ def fit(df: DataFrame, model: Model, p: FitParams, *, id_col: str = "id", featur
 
     Warm start (T10): pass a saved model, its ``state``, ``iterations`` and ``updater_steps``.
     State of another updater isn't used: the new one starts from zero state and zero steps.
-    History rows every ``eval_interval`` epochs of this run, appended to ``history_path`` as
-    they come. ``layout``: a :class:`Layout` prepared from the same ``df`` (kept for the caller).
+    History rows every ``eval_interval`` epochs of this run go to ``history_path`` as they come, each
+    replacing an earlier row of its epoch and split. ``layout``: a :class:`Layout` prepared from the same ``df`` (kept for the caller).
     ``snapshot_path``: every ``snapshot_every`` epochs a model table is written to its folder
     ``epoch=N``; a run that loses its driver resumes from the newest complete one
     (``read_model`` finds it) with ``start_epoch`` = its epoch + 1, so dropout masks (keyed by
@@ -619,8 +709,7 @@ def fit(df: DataFrame, model: Model, p: FitParams, *, id_col: str = "id", featur
                          "recall": m.get("recall"), "l2_penalty": l2_penalty(model, p.l2)} for split, m in metrics.items()]
                 hist += rows
                 if history_path and rows:
-                    spark.createDataFrame([tuple(r.values()) for r in rows], HISTORY_SCHEMA).coalesce(1) \
-                        .write.mode("append").parquet(history_path)
+                    write_history(spark.createDataFrame([tuple(r.values()) for r in rows], HISTORY_SCHEMA), history_path)
     finally:
         if block is not None:
             block.unpersist()

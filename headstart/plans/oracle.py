@@ -7,6 +7,8 @@ before arithmetic; integer sums are cast back to BIGINT.
 
 from __future__ import annotations
 
+from .oracle_training import RULES, Phase, fit_states
+
 R = 6
 
 
@@ -185,22 +187,34 @@ WARM_ROUND = (
 _TRAIN = "pos >= 110"
 _SPLITS = (f"SELECT x.*, CASE WHEN p.pos < 50 THEN 'valid' ELSE 'train' END AS split FROM ({X}) x "
            f"JOIN ({POS}) p ON p.vec_id = x.vec_id WHERE p.pos < 50 OR p.pos >= 110")
-_SPLIT_ROWS = (
-    f"SELECT q.vec_id, s.split, q.label, q.j, q.z, q.p, row_number() OVER (PARTITION BY q.vec_id ORDER BY q.z DESC, q.j) AS rk "
-    f"FROM ({_softmax(_logits(X, _zero_round(_TRAIN)))}) q JOIN (SELECT DISTINCT vec_id, split FROM ({_SPLITS})) s ON s.vec_id = q.vec_id")
-_SPLIT_PRED = (f"SELECT split, vec_id, label, max(CASE WHEN rk = 1 THEN j END) AS pred, "
-               f"max(CASE WHEN j = label THEN -ln(p) END) AS nll FROM ({_SPLIT_ROWS}) GROUP BY split, vec_id, label")
-_SPLIT_CLASSES = (f"SELECT split, cls, sum(tp) AS tp, sum(predicted) AS predicted, sum(actual) AS actual FROM ("
-                  f"SELECT split, label AS cls, CASE WHEN label = pred THEN 1 ELSE 0 END AS tp, 0 AS predicted, 1 AS actual FROM ({_SPLIT_PRED}) "
-                  f"UNION ALL SELECT split, pred AS cls, 0 AS tp, 1 AS predicted, 0 AS actual FROM ({_SPLIT_PRED})) GROUP BY split, cls")
-_PENALTY = f"SELECT 0.5 * 0.05 * sum(v * v) FROM ({_zero_round(_TRAIN)}) WHERE param = 'W'"
-HISTORY = (
-    f"SELECT CAST(0 AS INTEGER) AS epoch, a.split, a.n, {rnd('a.loss')} AS loss, {rnd('a.accuracy')} AS accuracy, "
-    f"{rnd('c.precision')} AS precision, {rnd('c.recall')} AS recall, "
-    f"{rnd('(' + _PENALTY + ')')} AS l2_penalty "
-    f"FROM (SELECT split, count(*) AS n, avg(nll) AS loss, avg(CASE WHEN label = pred THEN 1.0 ELSE 0.0 END) AS accuracy "
-    f"FROM ({_SPLIT_PRED}) GROUP BY split) a JOIN (SELECT split, avg(tp / nullif(predicted, 0)) AS precision, "
-    f"avg(tp / nullif(actual, 0)) AS recall FROM ({_SPLIT_CLASSES}) GROUP BY split) c ON c.split = a.split")
+
+
+def _history(models: str, l2: float) -> str:
+    """Metrics of every epoch's weights (epoch, param, i, j, v) on the train and valid rows."""
+    one = f"SELECT DISTINCT epoch FROM ({models})"
+    x = f"SELECT x.vec_id, x.label, x.split, x.i, x.v, e.epoch FROM ({_SPLITS}) x, ({one}) e"
+    z = (f"SELECT x.epoch, x.split, x.vec_id, x.label, w.j, sum(x.v * w.v) + max(b.v) AS z FROM ({x}) x "
+         f"JOIN (SELECT * FROM ({models}) WHERE param = 'W') w ON w.i = x.i AND w.epoch = x.epoch "
+         f"JOIN (SELECT * FROM ({models}) WHERE param = 'b') b ON b.j = w.j AND b.epoch = x.epoch GROUP BY ALL")
+    q = (f"SELECT *, e / sum(e) OVER (PARTITION BY epoch, vec_id) AS p, row_number() OVER (PARTITION BY epoch, vec_id ORDER BY z DESC, j) AS rk "
+         f"FROM (SELECT *, exp(z - max(z) OVER (PARTITION BY epoch, vec_id)) AS e FROM ({z}))")
+    pred = (f"SELECT epoch, split, vec_id, label, max(CASE WHEN rk = 1 THEN j END) AS pred, "
+            f"max(CASE WHEN j = label THEN -ln(p) END) AS nll FROM ({q}) GROUP BY ALL")
+    classes = (f"SELECT epoch, split, cls, sum(tp) AS tp, sum(predicted) AS predicted, sum(actual) AS actual FROM ("
+               f"SELECT epoch, split, label AS cls, CASE WHEN label = pred THEN 1 ELSE 0 END AS tp, 0 AS predicted, 1 AS actual FROM preds "
+               f"UNION ALL SELECT epoch, split, pred AS cls, 0 AS tp, 1 AS predicted, 0 AS actual FROM preds) GROUP BY ALL")
+    penalty = f"SELECT epoch, 0.5 * {l2} * sum(v * v) AS penalty FROM ({models}) WHERE param = 'W' GROUP BY epoch"
+    return (
+        f"WITH preds AS MATERIALIZED ({pred}) "
+        f"SELECT CAST(a.epoch AS INTEGER) AS epoch, a.split, a.n, {rnd('a.loss')} AS loss, {rnd('a.accuracy')} AS accuracy, "
+        f"{rnd('c.precision')} AS precision, {rnd('c.recall')} AS recall, {rnd('p.penalty')} AS l2_penalty "
+        f"FROM (SELECT epoch, split, count(*) AS n, avg(nll) AS loss, avg(CASE WHEN label = pred THEN 1.0 ELSE 0.0 END) AS accuracy "
+        f"FROM preds GROUP BY ALL) a JOIN (SELECT epoch, split, avg(tp / nullif(predicted, 0)) AS precision, "
+        f"avg(tp / nullif(actual, 0)) AS recall FROM ({classes}) GROUP BY ALL) c ON c.split = a.split AND c.epoch = a.epoch "
+        f"JOIN ({penalty}) p ON p.epoch = a.epoch")
+
+
+HISTORY = _history(f"SELECT 0 AS epoch, * FROM ({_zero_round(_TRAIN)})", 0.05)
 
 _MOM = "SELECT i, avg(v) AS mean, var_pop(v) AS var FROM ({X}) GROUP BY i".replace("{X}", X)
 
@@ -264,6 +278,26 @@ ORACLES.update({
 })
 
 
+# whole fits: mini-batches, averaging rounds, optimizer state, warm start, schedule
+_SHAPE = {"workers": 4, "batch": 16, "freq": 2}
+_TRAIN_POS = f"SELECT vec_id, row_number() OVER (ORDER BY pos) - 1 AS pos FROM ({POS}) WHERE {_TRAIN}"
+_RATE_AT = "CASE WHEN it >= 7 THEN 0.001 WHEN it >= 3 THEN 0.05 ELSE 0.1 END"
+
+
+def _last_weights(states: str, more: str = "") -> str:
+    return (f"WITH m AS MATERIALIZED ({states}) SELECT param, CAST(i AS INTEGER) AS i, CAST(j AS INTEGER) AS j, {rnd('v')} AS value{more} "
+            "FROM m WHERE epoch = (SELECT max(epoch) FROM m)")
+
+
+ORACLES.update({
+    "fit_minibatch": " UNION ALL ".join(
+        f"SELECT * FROM ({_last_weights(fit_states(POS, u, [Phase(1, '0.01', 0.01)], **_SHAPE), f", '{u}' AS updater")})" for u in RULES),
+    "fit_warm_state": _last_weights(fit_states(POS, "adam", [Phase(1, "0.01"), Phase(2, _RATE_AT, 0.01)], **_SHAPE)),
+    "fit_minibatch_history": (f"WITH models AS MATERIALIZED ({fit_states(_TRAIN_POS, 'nesterovs', [Phase(2, '0.05', 0.05)], **_SHAPE)}) "
+                              f"SELECT * FROM ({_history('SELECT * FROM models', 0.05)})"),
+})
+
+
 def _mix_steps(src: str, cols: str) -> str:
     """Apply the 32-bit mixer to column ``x`` of ``src`` as nested selects."""
     for _ in range(2):
@@ -283,3 +317,25 @@ def _dropout_sql(keep: float, seed: int, step: int) -> str:
 
 
 ORACLES["dropout_mask"] = _dropout_sql(0.9, 42, 0)
+
+# the fc2 head from zero softmax weights: masked inputs, each worker's batch moments, one step
+_MASKED = (f"SELECT x.worker, x.vec_id, x.label, x.i, CASE WHEN m.kept THEN x.v / 0.9 ELSE 0 END AS v FROM ({_exploded_rows('true')}) x "
+           f"JOIN ({_dropout_sql(0.9, 42, 0)}) m ON m.vec_id = x.vec_id AND m.i = x.i")
+_WORKER_MOMENTS = "SELECT worker, i, avg(v) AS mean, var_pop(v) AS var FROM masked GROUP BY worker, i"
+_D0 = "0.1 - CASE WHEN label = j THEN 1 ELSE 0 END"
+ORACLES["fc2_batchnorm_round"] = (
+    f"WITH masked AS MATERIALIZED ({_MASKED}), mom AS MATERIALIZED ({_WORKER_MOMENTS}), "
+    "xhat AS MATERIALIZED (SELECT x.worker, x.label, x.i, (x.v - m.mean) / sqrt(m.var + 1e-5) AS v FROM masked x JOIN mom m ON m.worker = x.worker AND m.i = x.i), "
+    f"w AS (SELECT i, j, avg(g) AS g FROM (SELECT worker, i, j, avg(v * ({_D0})) AS g FROM (SELECT *, unnest(range(10)) AS j FROM xhat) GROUP BY worker, i, j) GROUP BY i, j), "
+    f"b AS (SELECT j, avg(g) AS g FROM (SELECT worker, j, avg({_D0}) AS g FROM (SELECT *, unnest(range(10)) AS j FROM xhat WHERE i = 0) GROUP BY worker, j) GROUP BY j), "
+    "p AS (SELECT 'W' AS param, i, j, -g AS v FROM w UNION ALL SELECT 'b', 0, j, -g FROM b "
+    "UNION ALL SELECT 'gamma', 0, i, 1.0 FROM mom GROUP BY i UNION ALL SELECT 'beta', 0, i, 0.0 FROM mom GROUP BY i "
+    "UNION ALL SELECT 'mean', 0, i, 0.1 * avg(mean) FROM mom GROUP BY i UNION ALL SELECT 'var', 0, i, 0.9 + 0.1 * avg(var) FROM mom GROUP BY i) "
+    f"SELECT param, CAST(i AS INTEGER) AS i, CAST(j AS INTEGER) AS j, {rnd('v')} AS value FROM p")
+ORACLES["ml_optimality"] = f"SELECT label, count(*) AS n, true AS optimal FROM ({_ALL_SPLITS}) WHERE split = 'train' AND i = 0 GROUP BY label"
+ORACLES["lr_schedule_parse"] = (
+    "SELECT vec_id, CAST(iteration AS INTEGER) AS iteration, max_by(rate, n) AS rate FROM ("
+    "SELECT vec_id, 0 AS n, 0 AS iteration, CAST(0.1 AS DOUBLE) AS rate FROM embeddings "
+    "UNION ALL SELECT vec_id, 1, vec_id % 7, CAST(label + 1 AS DOUBLE) / 8 FROM embeddings "
+    "UNION ALL SELECT vec_id, 2, vec_id % 5, CAST(0.05 AS DOUBLE) FROM embeddings "
+    "UNION ALL SELECT vec_id, 3, 10 + vec_id, CAST(0.001 AS DOUBLE) FROM embeddings) GROUP BY vec_id, iteration")

@@ -17,11 +17,11 @@ from ..functions.random import dropout_mask
 from ..model import dense, head, init_params, initial_preset
 from ..operators import evaluation as E
 from ..operators import ordering as O
-from ..operators.schedule import parse_schedule, rate_column
+from ..operators.schedule import parse_schedule, parse_schedules, rate_asof, schedule_frame
 from ..operators.scoring import predict, score
 from ..operators.stats import batchnorm_from_moments, feature_moments, moments_long
 from ..operators.training import (HISTORY_SCHEMA, UPDATERS, FitParams, evaluate_splits, fit, full_batch_round, init_state,
-                                  l2_penalty, prepare_layout)
+                                  l2_penalty, prepare_layout, read_history)
 from ..session import remove_path, scratch_path
 from ..sources.features import read_features, read_split_folders, write_features, write_split_folders
 from ..sources.files import scan_binary, scan_images, to_tensor, with_split_from_path
@@ -250,10 +250,14 @@ SCHEDULE_TEXT = "0,0.1|3,0.01|3,0.05|7,0.001"
 
 
 def q_lr_schedule_asof(spark, sf_dir):
-    sched = parse_schedule(SCHEDULE_TEXT)
     it = (F.col("pos") / 8).cast("long").cast("int")
-    return _positioned(spark, sf_dir).select("vec_id", it.alias("iteration")) \
-        .withColumn("rate", rate_column("iteration", sched, 0.001))
+    return rate_asof(_positioned(spark, sf_dir).select("vec_id", it.alias("iteration")), schedule_frame(spark, SCHEDULE_TEXT), base=0.001)
+
+
+def q_lr_schedule_parse(spark, sf_dir):
+    """Schedules as a column: one text for each row, with duplicate iterations in most."""
+    text = F.expr("concat('0,0.1|', vec_id % 7, ',', (label + 1) / 8.0D, '|', vec_id % 5, ',0.05|', 10 + vec_id, ',0.001')")
+    return parse_schedules(_emb(spark, sf_dir).select("vec_id", text.alias("text")), "text", "vec_id")
 
 
 def _moments(spark, sf_dir):
@@ -419,16 +423,90 @@ def q_fit_warm_start(spark, sf_dir):
     return _history_row(res.history_df(spark)).withColumn("iterations", F.lit(res.iterations))
 
 
+MINIBATCH = FitParams(epochs=1, workers=4, batch_size=16, avg_freq=2, rate=0.01, l2=0.01, eval_interval=1, seed=FX.SEED)
+
+
+def q_fit_minibatch(spark, sf_dir):
+    """An epoch of mini-batch rounds over the whole table with every updater: the averaged weights."""
+    df, out = _emb(spark, sf_dir), None
+    layout = prepare_layout(df, MINIBATCH, id_col="vec_id", features="embedding")
+    for u in UPDATERS:
+        res = fit(df, _zeros(), MINIBATCH.replace(updater=u, eval_interval=2), id_col="vec_id", features="embedding", layout=layout)
+        part = _model_long(spark, res.model).withColumn("updater", F.lit(u))
+        out = part if out is None else out.unionByName(part)
+    layout.release()
+    return out
+
+
+def q_fit_warm_state(spark, sf_dir):
+    """An epoch of Adam; model and state saved and loaded; two more epochs on a schedule, with L2."""
+    df = _emb(spark, sf_dir)
+    p = MINIBATCH.replace(updater="adam", l2=0.0, eval_interval=3)
+    first = fit(df, _zeros(), p, id_col="vec_id", features="embedding")
+    path = scratch_path(spark, "warm-model")
+    write_model(spark, first.model, path, state=first.state, meta=first.meta())
+    model, state, meta = read_model(spark, path)
+    remove_path(spark, path)
+    p = p.replace(epochs=2, l2=0.01, schedule=parse_schedule(SCHEDULE_TEXT))
+    res = fit(df, model, p, id_col="vec_id", features="embedding", state=state, iterations=int(meta["iterations"]),
+              updater_steps=int(meta["updater_steps"]))
+    return _model_long(spark, res.model)
+
+
+def q_fc2_batchnorm_round(spark, sf_dir):
+    """One full round of the dropout → batch-norm → softmax head from zero softmax weights."""
+    df = _with_worker(_emb(spark, sf_dir))
+    model = init_params(head("fc2", FX.WIDTH, FX.N_CLASSES, keep_prob=0.9), scheme="zeros")
+    new = full_batch_round(df, model, init_state(model, "sgd"), SGD, features="embedding", label="label", id_col="vec_id")[0]
+    return _model_long(spark, new)
+
+
+def q_ml_optimality(spark, sf_dir):
+    """A certificate of the fitted classifier: its regularised gradient, by class, is next to nothing.
+
+    The gradient comes from this engine's own full-batch round: a step of rate 1 is the gradient.
+    """
+    from pyspark.ml.functions import vector_to_array
+
+    pts, fitted = _ml_points(spark, sf_dir)
+    lr = fitted.stages[-1]
+    rows = fitted.stages[0].transform(pts.filter(F.col("split") == "train")).select(
+        F.col("label").cast("int").alias("label"), vector_to_array("scaled").alias("x"), F.lit(0).alias("worker"))
+    model = init_params([dense("lr", FX.WIDTH, FX.N_CLASSES, "softmax")], scheme="zeros")
+    model.params["lr/W"], model.params["lr/b"] = lr.coefficientMatrix.toArray().T.copy(), lr.interceptVector.toArray().copy()
+    new = full_batch_round(rows, model, init_state(model, "sgd"), SGD.replace(l2=ML_REG), features="x", label="label")[0]
+    away = [abs(model.params[k] - new.params[k]).reshape(-1, FX.N_CLASSES).max(axis=0) for k in ("lr/W", "lr/b")]
+    largest = spark.createDataFrame([(j, float(max(a[j] for a in away))) for j in range(FX.N_CLASSES)], "label int, gradient double")
+    return rows.groupBy("label").agg(F.count(F.lit(1)).alias("n")).join(largest, "label") \
+        .select("label", "n", (F.col("gradient") < OPTIMAL).alias("optimal"))
+
+
+def q_fit_minibatch_history(spark, sf_dir):
+    """The history of two epochs of mini-batch rounds on the train split, as the metrics sink holds it."""
+    train, valid = _train_valid(spark, sf_dir)
+    path = scratch_path(spark, "history")
+    fit(train, _zeros(), MINIBATCH.replace(epochs=2, rate=0.05, l2=0.05, updater="nesterovs"), id_col="vec_id", features="embedding",
+        valid=valid, history_path=path)
+    rows = spark.createDataFrame(read_history(spark, path).collect(), HISTORY_SCHEMA)  # a row for each evaluation and split
+    remove_path(spark, path)
+    return _history_row(rows)
+
+
+ML_REG = 0.01
+#: Largest component of the regularised gradient at a classifier that counts as optimal.
+OPTIMAL = 1e-3
+
+
 def _ml_points(spark, sf_dir):
-    """Labeled points with their split, in a scratch table: the fit reads them many times."""
+    """Labeled points with their split, checkpointed (the fit reads them many times), and the fitted pipeline."""
     from pyspark.ml import Pipeline
     from pyspark.ml.classification import LogisticRegression
     from pyspark.ml.feature import StandardScaler
 
-    pts = L.to_labeled_points(_with_split(spark, sf_dir), features="embedding", keep=("vec_id", "split")).persist()
+    pts = L.to_labeled_points(_with_split(spark, sf_dir), features="embedding", keep=("vec_id", "split")).checkpoint(eager=True)
     pipe = Pipeline(stages=[StandardScaler(inputCol="features", outputCol="scaled", withMean=True),
                             LogisticRegression(featuresCol="scaled", labelCol="label", family="multinomial",
-                                               maxIter=50, regParam=0.01)])
+                                               maxIter=50, regParam=ML_REG)])
     return pts, pipe.fit(pts.filter(F.col("split") == "train"))
 
 
@@ -494,4 +572,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "fit_updaters": q_fit_updaters,
     "fit_warm_start": q_fit_warm_start,
     "ml_accuracy": q_ml_accuracy,
+    "lr_schedule_parse": q_lr_schedule_parse,
+    "fc2_batchnorm_round": q_fc2_batchnorm_round,
+    "ml_optimality": q_ml_optimality,
+    "fit_minibatch": q_fit_minibatch,
+    "fit_warm_state": q_fit_warm_state,
+    "fit_minibatch_history": q_fit_minibatch_history,
 }

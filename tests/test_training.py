@@ -185,8 +185,8 @@ def test_full_batch_round_equals_one_step_on_all_rows(spark, emb):
             assert np.abs(got.params[k] - np.mean([s[k] for s in steps], axis=0)).max() < 1e-12
             assert np.array_equal(got.params[k], again.params[k])
         assert abs(loss - np.mean(losses)) < 1e-12
-    with pytest.raises(ValueError, match="batch-norm"):
-        full_batch_round(df, init_params(head("fc2", 64, 10)), {}, p, features="embedding", label="label")
+    with pytest.raises(ValueError, match="one batch-norm layer"):
+        full_batch_round(df, init_params(head("fc1", 64, 10)), {}, p, features="embedding", label="label")
 
 
 @pytest.mark.parametrize("updater", ["sgd", "nesterovs", "adam", "adadelta", "rmsprop"])
@@ -411,3 +411,52 @@ def test_a_failing_barrier_task_fails_the_fit(spark, emb):
     bad = emb.withColumn("label", F.when(F.col("vec_id") == 7, F.lit(None).cast("int")).otherwise(F.col("label")))
     with pytest.raises(Exception, match="null in column label"):
         fit(bad, init_params(head("predictions", 64, 10)), FitParams(workers=2), id_col="vec_id", features="embedding")
+
+
+def test_full_batch_round_with_batch_norm_and_dropout_equals_one_big_batch(spark, emb):
+    """Moments and gradients merged over tasks give what one worker gets from all its rows at once."""
+    rows = emb.collect()
+    ids, x, y = (np.array([r[c] for r in rows]) for c in ("vec_id", "embedding", "label"))
+    x = x.astype(np.float64) * 3 + 100  # far from 0: sums of squares alone would lose digits
+    for layers in (head("fc2", 64, 10, keep_prob=0.7), head("predictions", 64, 10), [dense("layer0", 64, 10, "softmax")]):
+        m, p = init_params(layers, seed=3), FitParams(rate=0.1, updater="adam", l2=0.01, seed=9)
+        df = spark.createDataFrame([(int(i), v.tolist(), int(c), int(i) % 3) for i, v, c in zip(ids, x, y)],
+                                   "vec_id long, embedding array<double>, label int, worker int").repartition(7)
+        got, state, _ = TR.full_batch_round(df, m, init_state(m, "adam"), p, features="embedding", label="label", id_col="vec_id", epoch=2)
+        want = [TR.flatten(*train_batches(m, init_state(m, "adam"), [(ids[k], x[k], y[k])], p, 0, 2)[:2]) for k in (ids % 3 == w for w in range(3))]
+        assert np.allclose(TR.flatten(got, state), np.mean(want, axis=0), rtol=1e-9, atol=1e-9)
+    deep = init_params(head("fc1", 64, 10, keep_prob=0.7), seed=3)
+    with pytest.raises(ValueError, match="one batch-norm layer"):
+        TR.full_batch_round(df, deep, init_state(deep, "sgd"), p, features="embedding", label="label", id_col="vec_id")
+    fc2 = init_params(head("fc2", 64, 10, keep_prob=0.7), seed=3)
+    with pytest.raises(ValueError, match="id_col"):
+        TR.full_batch_round(df, fc2, init_state(fc2, "sgd"), p, features="embedding", label="label")
+
+
+def test_merged_moments_of_uneven_parts():
+    rng = np.random.default_rng(2)
+    parts = [rng.normal(1e6, 1, (n, 4)) for n in (1, 2, 50, 7)]
+    n, mean, squares = TR.merged_moments([(len(v), v.mean(0), ((v - v.mean(0)) ** 2).sum(0)) for v in parts])
+    whole = np.concatenate(parts)
+    assert n == 60 and np.allclose(mean, whole.mean(0), rtol=1e-12) and np.allclose(squares / n, whole.var(0), rtol=1e-6)
+
+
+def test_a_resumed_run_leaves_one_history_row_for_each_key(spark, emb):
+    """Killed after the evaluation of epoch 2, resumed from the snapshot of epoch 0: epochs 1 and 2 run again."""
+    from headstart.session import scratch_path
+    from headstart.sources.models import read_model
+
+    history, snaps = scratch_path(spark, "t-hist-resume"), scratch_path(spark, "t-snap-resume")
+    p = FitParams(epochs=3, workers=2, batch_size=50, avg_freq=2, rate=0.01, eval_interval=1)
+    m = init_params(head("predictions", 64, 10), seed=4)
+    kw = {"id_col": "vec_id", "features": "embedding", "valid": emb.filter("vec_id < 50"), "history_path": history}
+    fit(emb, m, p.replace(epochs=1), snapshot_path=snaps, **kw)
+    whole = fit(emb, m, p, **kw)
+    model, state, meta = read_model(spark, snaps)
+    fit(emb, model, p.replace(epochs=2), state=state, iterations=int(meta["iterations"]), updater_steps=int(meta["updater_steps"]),
+        start_epoch=int(meta["epoch"]) + 1, **kw)
+    got = sorted((r.epoch, r.split, r.loss) for r in TR.read_history(spark, history).collect())
+    want = sorted((r.epoch, r.split, r.loss) for r in whole.history.itertuples())
+    assert [g[:2] for g in got] == [w[:2] for w in want] == [(e, s) for e in range(3) for s in ("train", "valid")]
+    assert np.allclose([g[2] for g in got], [w[2] for w in want], rtol=1e-9)
+    assert spark.read.parquet(history).filter("_epoch = 1").count() == 2

@@ -14,9 +14,10 @@
    threshold falls below that with a chance under 1e-6). The rest is confirmed on the full
    shingle sets.
 4. Components of the confirmed links by minimum labels and pointer jumping.
-5. An exact pass over what the forest left apart. All shingles have one global order, rarest
-   first by a sample; two sets at the threshold share a shingle among the first quarter of
-   each (prefix filter). Documents of different components that share one there, and whose
+5. An exact pass over what the forest left apart. All shingles have one global order: by the
+   number of documents' shingles in their slot (a table of counts over all documents, of fixed
+   size), then by hash, so that a set's rarest come first as far as the slots tell them apart;
+   two sets at the threshold share a shingle among the first quarter of each (prefix filter). Documents of different components that share one there, and whose
    sizes and places in the order leave room for the overlap asked, are candidates; a crowded
    shingle is compared in blocks of ``BLOCK`` documents, all pairs of blocks. The same filter
    by signature and confirmation follow, and the links found join the components.
@@ -38,6 +39,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -55,9 +57,9 @@ MIN_AGREE = 50
 SIMILAR = 75  # per cent
 #: Ids of candidates that are broadcast at most, to filter texts where they are read.
 BROADCAST_IDS = 1_000_000
-#: Documents that the order of shingles is learnt from, and how many shingles it tells apart (the rest is ordered by hash).
-ORDER_SAMPLE = 4096
-ORDERED = 500_000
+#: The order of shingles goes by counts in ``2^SLOT_BITS`` slots, which are added up in pieces of ``2^PIECE_BITS``.
+SLOT_BITS = 24
+PIECE_BITS = 13
 #: Documents of a shingle that are compared in one block.
 BLOCK = 512
 
@@ -120,36 +122,59 @@ def signatures(sets: list[np.ndarray]) -> np.ndarray:
     return ((out * np.uint32(0x85EBCA6B)) >> np.uint32(16)).astype(">u2")
 
 
-def common_shingles(docs: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """(sorted hashes, how often each) of the shingles that a sample of documents repeats most."""
-    every = max(1, docs.count() // ORDER_SAMPLE)
-    some = docs.filter(F.pmod(F.xxhash64("doc_id", "text"), F.lit(every)) == 0).select("text")
+def _saturated(counts: np.ndarray, most: int) -> np.ndarray:
+    return np.minimum(counts, most)
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            sets = [shingles(t.as_py()) for t in b.column("text")]
-            h, n = np.unique(np.concatenate([np.empty(0, np.uint64), *sets]), return_counts=True)
-            yield pa.record_batch({"h": pa.array(h.view(np.int64)), "n": pa.array(n)})
-
-    top = map_arrow(some, count, "h long, n long").groupBy("h").agg(F.sum("n").alias("n")).filter("n > 1") \
-        .orderBy(F.desc("n"), "h").limit(ORDERED).toArrow()
-    h, n = top["h"].to_numpy().astype(np.int64).view(np.uint64), top["n"].to_numpy().astype(np.int64)
-    order = np.argsort(h)
-    return h[order], n[order]
 
+def shingle_counts(docs: DataFrame) -> np.ndarray:
+    """How many documents' shingles fall into each of ``2^SLOT_BITS`` slots of their hashes, over all
+    documents (at most 65,535 each; 32 MB whatever the corpus)."""
+    pieces = 1 << (SLOT_BITS - PIECE_BITS)
 
-def head(s: np.ndarray, common: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(1 << SLOT_BITS, np.uint32)
+        for b in batches:
+            for t in b.column("text"):
+                if len(s := shingles(t.as_py())):
+                    np.add.at(total, s >> np.uint64(64 - SLOT_BITS), 1)
+        task = TaskContext.get().partitionId()
+        used = np.flatnonzero(total)
+        n = _saturated(total[used], 255).astype(np.uint8)
+        cuts = np.searchsorted(used, np.arange(pieces + 1) << PIECE_BITS)
+        slots = (used & ((1 << PIECE_BITS) - 1)).astype("<u2")
+        for lo in range(0, pieces, 256):
+            rows = [(p, slots[cuts[p]:cuts[p + 1]].tobytes(), n[cuts[p]:cuts[p + 1]].tobytes()) for p in range(lo, min(pieces, lo + 256)) if cuts[p] < cuts[p + 1]]
+            yield pa.record_batch({"piece": pa.array([r[0] for r in rows], pa.int32()), "part": pa.array([task // 64] * len(rows), pa.int32()),
+                                   "slots": pa.array([r[1] for r in rows], pa.binary()), "n": pa.array([r[2] for r in rows], pa.binary())})
+
+    def add(t: pa.Table) -> pa.Table:
+        total = np.zeros(1 << PIECE_BITS, np.uint32)
+        for slots, n in zip(t.column("slots").to_pylist(), t.column("n").to_pylist()):
+            total[np.frombuffer(slots, "<u2")] += np.frombuffer(n, np.uint8)
+        return pa.table({"piece": t.column("piece").slice(0, 1), "counts": pa.array([_saturated(total, 65535).astype("<u2").tobytes()], pa.binary())})
+
+    def merge(t: pa.Table) -> pa.Table:
+        total = np.sum([np.frombuffer(c, "<u2").astype(np.uint32) for c in t.column("counts").to_pylist()], axis=0)
+        return pa.table({"piece": t.column("piece").slice(0, 1), "counts": pa.array([_saturated(total, 65535).astype("<u2").tobytes()], pa.binary())})
+
+    # 64 tasks' counts of a piece meet first, so that no group grows with the number of tasks as such
+    parts = map_arrow(docs.select("text"), count, "piece int, part int, slots binary, n binary")
+    summed = parts.groupBy("piece", "part").applyInArrow(add, "piece int, counts binary")
+    whole = np.zeros((pieces, 1 << PIECE_BITS), np.uint16)
+    for r in summed.groupBy("piece").applyInArrow(merge, "piece int, counts binary").toArrow().to_pylist():
+        whole[r["piece"]] = np.frombuffer(r["counts"], "<u2")
+    return whole.reshape(-1)
+
+
+def head(s: np.ndarray, counts: np.ndarray) -> np.ndarray:
     """The first shingles of a set in the global order: those of which a similar set shares one."""
-    rank = np.zeros(len(s), np.int64)
-    if len(common[0]):
-        at = np.minimum(np.searchsorted(common[0], s), len(common[0]) - 1)
-        rank = np.where(common[0][at] == s, common[1][at], 0)
+    rank = counts[s >> np.uint64(64 - SLOT_BITS)]
     return s[np.argsort(rank, kind="stable")[:len(s) - (SIMILAR * len(s) + 99) // 100 + 1]]
 
 
 def signed(docs: DataFrame) -> DataFrame:
     """``doc_id, n_shingles, f1, f2, sig, head`` of every document (no ``sig`` and ``head`` for an empty set)."""
-    common = docs.sparkSession.sparkContext.broadcast(common_shingles(docs))
+    counts = docs.sparkSession.sparkContext.broadcast(shingle_counts(docs))
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -167,7 +192,7 @@ def signed(docs: DataFrame) -> DataFrame:
                     "doc_id": batch.column("doc_id").slice(lo, at - lo), "n_shingles": pa.array([len(s) for s in sets], pa.int64()),
                     "f1": pa.array([p[0] for p in prints], pa.int64()), "f2": pa.array([p[1] for p in prints], pa.int64()),
                     "sig": pa.array([next(sig).tobytes() if len(s) else None for s in sets], pa.binary()),
-                    "head": pa.array([head(s, common.value).tobytes() if len(s) else None for s in sets], pa.binary())})
+                    "head": pa.array([head(s, counts.value).tobytes() if len(s) else None for s in sets], pa.binary())})
 
     return map_arrow(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), sign,
                      "doc_id long, n_shingles long, f1 long, f2 long, sig binary, head binary")

@@ -4,16 +4,20 @@ Base kinds are fixed patterns (``assign``, ``access``, ``hex``). On top, candida
 are scanned with a window whose Shannon entropy per character class is kept by incremental
 counts: moving the window by one changes two counts, and the sum of ``c * log2 c`` is
 adjusted by their difference. A candidate is reported from the first to the last window at
-or above its class's threshold, unless the allow-list explains it.
+or above its class's threshold, unless the allow-list explains it; where a base span covers a
+part of it, the parts outside are reported.
 
 Edge cases: null or empty text has no span; texts of any length are scanned whole; every
-row (also a repeated one) gets its own row.
+row (also a repeated one, or one with a null id) gets its own row; an empty table gives an empty
+result; other columns, whatever their names, aren't read by ``scan_secrets`` and stay as they are
+in ``redact_secrets`` (but for ``n_chars``).
 """
 
 from __future__ import annotations
 
 import hashlib
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
 from math import log2
 
@@ -33,6 +37,8 @@ WINDOW = 20
 #: Character classes, and the entropy in bits that a window of 20 must reach.
 CLASSES = (("hex", re.compile(r"[0-9a-fA-F]+\Z"), 3.0), ("alnum", re.compile(r"[A-Za-z0-9]+\Z"), 3.7),
            ("base64", re.compile(r"[A-Za-z0-9+/=_-]+\Z"), 3.9))
+#: A part of an entropy span beside a base span is reported from so many characters on.
+LEAST_PART = WINDOW // 2
 _CANDIDATE = re.compile(r"[A-Za-z0-9+/=_-]{20,}")
 #: Strings that look random and aren't secrets: plain words, numbers, ids with a public form.
 ALLOWED = (re.compile(r"[A-Z]?[a-z]+(?:[-_/=+][A-Z]?[a-z]+)*[-_/=+]*\Z"), re.compile(r"[A-Z]+(?:[-_/=+][A-Z]+)*[-_/=+]*\Z"),
@@ -73,8 +79,26 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return sorted(out)
 
 
+def _outside(a: int, b: int, covered: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """Parts of ``a..b`` outside the sorted, disjoint ``covered`` stretches."""
+    out = []
+    for x, y in covered[max(0, bisect_left(covered, (a, a)) - 1):]:
+        if x >= b:
+            break
+        if y > a:
+            out.append((a, x))
+            a = y
+    return [(x, y) for x, y in [*out, (a, b)] if y - x >= LEAST_PART]
+
+
 def entropy_spans(text: str, taken: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
-    """Spans of high entropy outside the base spans."""
+    """Spans of high entropy: what of them stands outside the base spans."""
+    covered: list[tuple[int, int]] = []
+    for x, _, y in taken:
+        if covered and x <= covered[-1][1]:
+            covered[-1] = covered[-1][0], max(y, covered[-1][1])
+        else:
+            covered.append((x, y))
     out = []
     for m in _CANDIDATE.finditer(text):
         s, at = m.group(), m.start()
@@ -82,9 +106,7 @@ def entropy_spans(text: str, taken: list[tuple[int, int, int]]) -> list[tuple[in
             continue
         least = next(bits for _, p, bits in CLASSES if p.match(s))
         if found := entropy_span(s, least):
-            a, b = at + found[0], at + found[1]
-            if not any(x < b and a < y for x, _, y in taken):
-                out.append((a, 3, b))
+            out += [(a, 3, b) for a, b in _outside(at + found[0], at + found[1], covered)]
     return out
 
 

@@ -11,7 +11,8 @@ Scores are exact 64-bit integers. Equal scores go to the smaller id; a query is
 own candidate (rows that repeat the query's id are not candidates of it either, and a
 repeated query id is asked once, with its smallest row). Vectors
 that are null or hold null or non-finite components take no part; vectors may differ in
-length (missing components count as 0). An empty table gives an empty result.
+length (missing components count as 0). An empty table gives an empty result. Of the input only
+``vec_id`` and ``embedding`` are read, whatever other columns there are.
 """
 
 from __future__ import annotations
@@ -27,6 +28,8 @@ from .common import map_arrow
 
 BLOCK = 4096
 QUERY_BLOCK = 1024
+#: Candidate blocks, about, that a query block meets in one task.
+BLOCKS_PER_PART = 4
 SCALE = 256
 
 
@@ -141,10 +144,13 @@ def top_k(vectors: DataFrame, queries, k: int = 5, scale: int = SCALE) -> DataFr
     """
     rows = integer_rows(vectors, scale)
     asked = rows.filter(queries)
-    n_blocks = max(1, -(-asked.count() // QUERY_BLOCK))
-    # the stated query set against all rows, in blocks: a candidate block meets each query block
-    met = candidate_blocks(rows, BLOCK).withColumn("q_block", F.explode(F.sequence(F.lit(0), F.lit(n_blocks - 1))))
-    pairs = met.join(query_blocks(asked, n_blocks), "q_block")
+    n_blocks, n_parts = max(1, -(-asked.count() // QUERY_BLOCK)), max(1, -(-rows.count() // (BLOCK * BLOCKS_PER_PART)))
+    # the stated query set against all rows, in blocks: a candidate block meets each query block;
+    # a key is a query block and a part of the candidate blocks, so tasks grow with the candidates
+    met = candidate_blocks(rows, BLOCK).withColumn("part", F.pmod(F.xxhash64("ids"), F.lit(n_parts)).cast("int")) \
+        .withColumn("q_block", F.explode(F.sequence(F.lit(0), F.lit(n_blocks - 1))))
+    asked_in = query_blocks(asked, n_blocks).withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(n_parts - 1))))
+    pairs = met.hint("merge").join(asked_in, ["q_block", "part"])  # the candidates are never broadcast
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -153,7 +159,7 @@ def top_k(vectors: DataFrame, queries, k: int = 5, scale: int = SCALE) -> DataFr
                                     *_unpacked(r["ids"], r["n"], r["t"], r["w"]), k)
                 yield pa.record_batch(dict(zip(("query_id", "vec_id", "score"), map(pa.array, got))))
 
-    best = map_arrow(pairs.drop("q_block"), score, "query_id long, vec_id long, score long")
+    best = map_arrow(pairs.drop("q_block", "part"), score, "query_id long, vec_id long, score long")
     w = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return (best.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
             .select("query_id", "rank", "vec_id", "score"))

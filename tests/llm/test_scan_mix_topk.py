@@ -173,3 +173,14 @@ def test_temperature_undoes_overconfidence():
     p = np.exp(logits) / np.exp(logits).sum(1, keepdims=True)
     y = np.array([rng.choice(3, p=v) for v in p])
     assert abs(langid.fit_temperature(logits * 4, y) - 4) < 0.5
+
+
+def test_scoring_tasks_follow_the_candidates_and_candidates_are_not_broadcast(spark, monkeypatch):
+    vectors = spark.read.parquet(f"{SF01}/embeddings.parquet")
+    want = sorted(map(tuple, topk.top_k(vectors, F.col("vec_id") % 50 == 0).collect()))
+    for c, n in (("BLOCK", 16), ("BLOCKS_PER_PART", 2), ("QUERY_BLOCK", 4)):
+        monkeypatch.setattr(topk, c, n)
+    found = topk.top_k(vectors, F.col("vec_id") % 50 == 0)
+    assert sorted(map(tuple, found.collect())) == want
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin [q_block" in plan and "BroadcastHashJoin" not in plan

@@ -6,20 +6,26 @@ Nearness is the inner product. Equal vectors collapse to one node that remembers
 1. First lists: ``ORDERS`` sorted orders of random sign codes are cut into blocks of ``BLOCK``
    consecutive nodes; within a block every node takes its best ``DEGREE`` others. The number of
    ranges follows the rows, and the rows on both sides of a border form a block too.
-2. NN-descent, ``ROUNDS`` times: a node receives the vectors of its neighbours, forward and
+2. NN-descent, in rounds: a node receives the vectors of its neighbours, forward and
    reverse (at most ``MEMBERS`` of them, forward ones first), compares them with each other,
    and tells each the best ones that improve on the worst of its list. Every step is
-   a shuffle by node and a pass over sorted partitions.
-3. Queries search greedily: ``HOPS`` times a query expands its best ``EXPAND`` nodes not yet
-   expanded by joining the graph, whose rows carry their neighbours' vectors, and keeps
-   its best ``BEAM`` nodes. The nodes kept are scored again on the original vectors in
-   double precision and expanded into the ids of their copies.
+   a shuffle by node and a pass over sorted partitions. The rounds end when one has replaced
+   at most the share ``DELTA`` of all list entries; larger tables take more rounds.
+3. Queries search greedily: a query expands its best ``EXPAND`` nodes not yet
+   expanded by joining the graph, whose rows carry their neighbours' vectors, until the best
+   ``BEAM`` nodes it knows are all expanded; a query that is done leaves the loop. Then the
+   recall is measured: ``PROBES`` queries (by hash) are compared with every node, in one pass.
+   While it is below ``RECALL``, the beam doubles and the search goes on from where
+   it stood, so the beam follows the size and the shape of the table. Twice the beam
+   is remembered; the best ``BEAM`` nodes are scored again on the original vectors in
+   double precision and expanded into the ids of their copies. A beam as wide as the table is
+   the end (then all that the graph reaches is expanded).
 
 The graph works on vectors of one byte per component with a scale of their own. It is meant
 for vectors of about equal length, as embeddings are; where lengths differ widely, few long
 vectors fill all lists, and recall must be measured anew. The limits
 above are the method's parameters; the tests measure the recall against
-brute force (0.9 or more is asked; README has figures).
+brute force as well (0.9 or more is asked; README has figures).
 
 Edge cases: vectors that are null, zero, or hold null or non-finite components take no part,
 nor do rows with a null id; shorter vectors count as padded with zeros; a repeated query id
@@ -30,6 +36,7 @@ candidate; an empty table gives an empty result.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import partial, reduce
 
 import numpy as np
 import pyarrow as pa
@@ -37,19 +44,21 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import drop_stage, map_arrow, shuffle_partitions, stage
+from .common import bucketed, drop_stage, map_arrow, shuffle_partitions, stage
 
 DEGREE = 40
 ORDERS = 12
 BLOCK = 256
-ROUNDS = 3
+DELTA = 0.01
 MEMBERS = 80
 TOLD = 10
-HOPS = 5
-EXPAND = 24
+EXPAND = 32
 BEAM = 128
+PROBES = 400
+RECALL = 0.94
 
 _LIST = "node long, vec binary, ids binary, sims binary"
+_GRAPH = _LIST + ", changed long"
 
 
 def whole_groups(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[pa.Table]:
@@ -113,15 +122,19 @@ def _list_rows(node, ids, sims, k: int) -> dict[int, tuple[bytes, bytes]]:
 
 
 def _merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """One row per node from its own row (with ``vec``) and the lists it was told."""
+    """One row per node from its own row (with ``vec``) and the lists it was told; ``changed``
+    counts the entries that its own list didn't hold."""
     for t in whole_groups(batches, "node"):
         node = t["node"].to_numpy()
         ids, n = _lists(t["ids"], "<i8")
         rows = _list_rows(np.repeat(node, n), ids, _lists(t["sims"], "<f4")[0], DEGREE)
         own = np.flatnonzero(~np.asarray(t["vec"].is_null()))
         got = [rows.get(int(i), (b"", b"")) for i in node[own]]
+        old = t["ids"].take(own).to_pylist()
+        changed = [np.isin(np.frombuffer(g[0], "<i8"), np.frombuffer(o or b"", "<i8"), invert=True).sum() for g, o in zip(got, old)]
         yield pa.record_batch({"node": pa.array(node[own]), "vec": pa.array(t["vec"].take(own).to_pylist(), pa.binary()),
-                               "ids": pa.array([g[0] for g in got], pa.binary()), "sims": pa.array([g[1] for g in got], pa.binary())})
+                               "ids": pa.array([g[0] for g in got], pa.binary()), "sims": pa.array([g[1] for g in got], pa.binary()),
+                               "changed": pa.array(changed, pa.int64())})
 
 
 def _told(node: list, ids: list, sims: list) -> pa.RecordBatch:
@@ -296,17 +309,23 @@ def _compare_members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBat
 def descend(graph: DataFrame) -> DataFrame:
     """One round of NN-descent."""
     told = map_arrow(_by(_sent_vectors(graph), "node"), _compare_members, _LIST)
-    return stage(map_arrow(_by(graph.unionByName(told), "node"), _merge, _LIST), "ann-graph")
+    return stage(map_arrow(_by(graph.drop("changed").unionByName(told), "node"), _merge, _GRAPH), "ann-graph")
 
 
-def build_graph(base: DataFrame, dim: int) -> DataFrame:
-    """``node, vec, ids, sims``: every node's neighbours, best first."""
+def build_graph(base: DataFrame, dim: int, rounds: int | None = None) -> DataFrame:
+    """``node, vec, ids, sims, changed``: every node's neighbours, best first, after NN-descent
+    until it has settled (or after ``rounds`` rounds)."""
     empty = base.select("node", "vec", F.lit(None).cast("binary").alias("ids"), F.lit(None).cast("binary").alias("sims"))
     first = first_lists(base, dim)
-    graph = stage(map_arrow(_by(empty.unionByName(first), "node"), _merge, _LIST), "ann-graph")
-    for _ in range(ROUNDS):
+    graph = stage(map_arrow(_by(empty.unionByName(first), "node"), _merge, _GRAPH), "ann-graph")
+    done = 0
+    while done != rounds:  # a list only ever improves, so the changes die out
         last, graph = graph, descend(graph)
         drop_stage(last)
+        done += 1
+        changed, entries = graph.agg(F.sum("changed"), F.sum(F.length("ids") / 8)).first()
+        if rounds is None and (changed or 0) <= DELTA * (entries or 0):
+            break
     return graph
 
 
@@ -329,8 +348,8 @@ def _with_neighbour_vectors(graph: DataFrame) -> DataFrame:
 _BEAM = "query long, vec binary, ids binary, sims binary, expanded binary"
 
 
-def _expand(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """A query's beam after its expansions: ``query`` rows hold the state (with ``vec``) or found nodes."""
+def _expand(batches: Iterator[pa.RecordBatch], keep_: int) -> Iterator[pa.RecordBatch]:
+    """A query's ``keep_`` best nodes after its expansions: ``query`` rows hold the state (with ``vec``) or found nodes."""
     for t in whole_groups(batches, "query"):
         q = t["query"].to_numpy()
         own = np.flatnonzero(~np.asarray(t["ids"].is_null()))
@@ -352,45 +371,102 @@ def _expand(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             sims = sims[at]
             keep = ids != q[i]
             ids, sims = ids[keep], sims[keep]
-            best = np.lexsort((ids, -sims))[:BEAM]
+            best = np.lexsort((ids, -sims))[:keep_]
             for c, v in zip(out, (int(q[i]), r["vec"], ids[best].astype("<i8").tobytes(), sims[best].astype("<f4").tobytes(), done.tobytes())):
                 c.append(v)
         yield pa.record_batch(dict(zip(("query", "vec", "ids", "sims", "expanded"),
                                        (pa.array(out[0], pa.int64()), *(pa.array(c, pa.binary()) for c in out[1:])))))
 
 
-def _frontier(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The best nodes of each beam that are not expanded yet, and the states that then count them so."""
+def _frontier(batches: Iterator[pa.RecordBatch], beam: int) -> Iterator[pa.RecordBatch]:
+    """The best nodes of each beam that are not expanded yet, and the states that then count them so
+    (``open`` if there were any)."""
     for b in batches:
-        out: list[list] = [[] for _ in range(6)]
+        out: list[list] = [[] for _ in range(7)]
         for r in b.to_pylist():
             ids = np.frombuffer(r["ids"], "<i8")
             done = np.frombuffer(r["expanded"], "<i8")
-            next_ = ids[~np.isin(ids, done)][:EXPAND]
+            next_ = ids[:beam][~np.isin(ids[:beam], done)][:EXPAND]
             for k in next_:
-                for c, v in zip(out, (r["query"], int(k), None, None, None, None)):
+                for c, v in zip(out, (r["query"], int(k), None, None, None, None, None)):
                     c.append(v)
-            for c, v in zip(out, (r["query"], None, r["vec"], r["ids"], r["sims"], np.append(done, next_).astype("<i8").tobytes())):
+            for c, v in zip(out, (r["query"], None, r["vec"], r["ids"], r["sims"], np.append(done, next_).astype("<i8").tobytes(), len(next_) > 0)):
                 c.append(v)
-        yield pa.record_batch(dict(zip(("query", "node", "vec", "ids", "sims", "expanded"),
-                                       (*(pa.array(c, pa.int64()) for c in out[:2]), *(pa.array(c, pa.binary()) for c in out[2:])))))
+        yield pa.record_batch(dict(zip(("query", "node", "vec", "ids", "sims", "expanded", "open"),
+                                       (*(pa.array(c, pa.int64()) for c in out[:2]), *(pa.array(c, pa.binary()) for c in out[2:6]),
+                                        pa.array(out[6], pa.bool_())))))
 
 
-def search(graph: DataFrame, asked: DataFrame) -> DataFrame:
-    """``query, vec, ids, sims``: the beam of every node of ``asked`` after the greedy search. A scratch table."""
-    linked = stage(_with_neighbour_vectors(graph), "ann-linked")
+_STATE = ["query", "vec", "ids", "sims", "expanded"]
+
+
+def probes(exact: DataFrame, asked: DataFrame, dim: int, k: int) -> DataFrame:
+    """``query, true``: the ``k`` nearest nodes of at most ``PROBES`` nodes of ``asked``, by comparing
+    them with all nodes. The probes' vectors are the only thing broadcast; a task keeps ``k`` for each."""
+    some = exact.join(asked, "node", "left_semi").select("node", "x").orderBy(F.xxhash64("node"), "node").limit(PROBES).toArrow()
+    query = some["node"].to_numpy()
+    q = _padded(some["x"].combine_chunks(), dim)
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ids, best = np.zeros((len(query), 0), np.int64), np.zeros((len(query), 0))
+        for b in batches:
+            if b.num_rows:
+                node = b.column("node").to_numpy()
+                ids = np.concatenate([ids, np.broadcast_to(node, (len(query), len(node)))], 1)
+                best = np.concatenate([best, np.where(query[:, None] == node, -np.inf, q @ _padded(b.column("x"), dim).T)], 1)
+                at = np.argpartition(-best, min(k, best.shape[1]) - 1, axis=1)[:, :k]
+                ids, best = np.take_along_axis(ids, at, 1), np.take_along_axis(best, at, 1)
+        ok = best > -np.inf
+        yield pa.record_batch({"query": pa.array(np.repeat(query, ok.sum(1))), "node": pa.array(ids[ok]), "s": pa.array(-best[ok])})
+
+    found = map_arrow(exact.select("node", "x"), compare, "query long, node long, s double")
+    return found.groupBy("query").agg(F.slice(F.array_sort(F.collect_list(F.struct("s", "node"))), 1, k).alias("t")) \
+        .select("query", F.col("t.node").alias("true"))
+
+
+def _padded(col: pa.Array, dim: int) -> np.ndarray:
+    return np.frombuffer(b"".join(v.ljust(8 * dim, b"\0") for v in col.to_pylist()), "<f8").reshape(-1, dim)
+
+
+def _recall(found: DataFrame, truth: DataFrame) -> float:
+    """Share of the probes' true neighbours among the ``BEAM`` nodes that get scored exactly."""
+    def hits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            pairs = zip(b.column("ids").to_pylist(), b.column("true").to_pylist())
+            yield pa.record_batch({"n": pa.array([len(t) for t in b.column("true").to_pylist()], pa.int64()),
+                                   "hit": pa.array([np.isin(t, np.frombuffer(i, "<i8")[:BEAM]).sum() for i, t in pairs], pa.int64())})
+
+    n, hit = map_arrow(truth.join(found.select("query", "ids"), "query"), hits, "n long, hit long").agg(F.sum("n"), F.sum("hit")).first()
+    return hit / n if n else 1.0
+
+
+def search(graph: DataFrame, asked: DataFrame, truth: DataFrame) -> DataFrame:
+    """``query, vec, ids, sims, expanded``: what every node of ``asked`` knows after the greedy
+    search. A scratch table."""
+    width = BEAM
+    # buckets by node: the wide rows are sorted once, and no hop shuffles them again
+    linked, drop_linked = bucketed(_with_neighbour_vectors(graph), "node", "ann-linked")
+    size = graph.count()
     beam = stage(graph.join(asked, "node", "left_semi").select(
         F.col("node").alias("query"), "vec", "ids", "sims", F.lit(b"").alias("expanded")), "ann-beam")
-    for _ in range(HOPS):
-        ahead = stage(map_arrow(beam, _frontier, "query long, node long, vec binary, ids binary, sims binary, expanded binary"), "ann-ahead")
-        found = ahead.filter("node is not null").select("query", "node").join(linked, "node") \
-            .select("query", *[F.lit(None).cast("binary").alias(c) for c in ("vec", "ids", "sims", "expanded")], "members", "vecs")
-        states = ahead.filter("node is null").select("query", "vec", "ids", "sims", "expanded",
-                                                     F.lit(None).cast("binary").alias("members"), F.lit(None).cast("binary").alias("vecs"))
-        last, beam = beam, stage(map_arrow(_by(states.unionByName(found), "query"), _expand, _BEAM), "ann-beam")
-        drop_stage(last, ahead)
-    drop_stage(linked)
-    return beam
+    settled = []
+    while True:  # ends: a node is expanded once for a query, and only better ones enter its beam
+        ahead = stage(map_arrow(beam, partial(_frontier, beam=width), ", ".join(
+            ["query long", "node long", *[f"{c} binary" for c in _STATE[1:]], "open boolean"])), "ann-ahead")
+        settled.append(ahead)
+        drop_stage(beam)
+        if ahead.filter("node is not null").isEmpty():
+            found = stage(reduce(DataFrame.unionByName, [t.filter("not open").select(_STATE) for t in settled]), "ann-found")
+            drop_stage(*settled)
+            if width >= size or _recall(found, truth) >= RECALL:
+                drop_linked()
+                return found
+            width, settled, beam = 2 * width, [], found
+            continue
+        states = ahead.filter("open").select(*_STATE, *[F.lit(None).cast("binary").alias(c) for c in ("members", "vecs")])
+        met = ahead.filter("node is not null").select("query", "node").join(linked, "node") \
+            .select("query", *[F.lit(None).cast("binary").alias(c) for c in _STATE[1:]], "members", "vecs")
+        beam = stage(map_arrow(_by(states.unionByName(met), "query"), partial(_expand, keep_=2 * width), _BEAM), "ann-beam")
 
 
 def keyed(vectors: DataFrame) -> DataFrame:
@@ -436,7 +512,7 @@ def _kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(query, node) for every node of a beam, and for the query's own node."""
     for b in batches:
         query = b.column("query").to_numpy()
-        ids, n = _lists(b.column("ids"), "<i8")
+        ids, n = _lists(pa.array([i[:8 * BEAM] for i in b.column("ids").to_pylist()], pa.binary()), "<i8")
         yield pa.record_batch({"query": pa.array(np.append(np.repeat(query, n), query)), "node": pa.array(np.append(ids, query))})
 
 
@@ -445,20 +521,18 @@ def nearest(vectors: DataFrame, queries: Column, k: int = 20) -> DataFrame:
     exact = stage(nodes(vectors, k), "ann-nodes")
     dim = int(exact.agg(F.max(F.length("x"))).first()[0] or 8) // 8
 
-    def padded(col: pa.Array) -> np.ndarray:
-        return np.frombuffer(b"".join(v.ljust(8 * dim, b"\0") for v in col.to_pylist()), "<f8").reshape(-1, dim)
-
     def quantize(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             if b.num_rows:
-                yield pa.record_batch({"node": b.column("node"), "vec": pa.array(quantized(padded(b.column("x"))), pa.binary())})
+                yield pa.record_batch({"node": b.column("node"), "vec": pa.array(quantized(_padded(b.column("x"), dim)), pa.binary())})
 
     base = stage(map_arrow(exact.select("node", "x"), quantize, "node long, vec binary"), "ann-base")
     graph = build_graph(base, dim)
     asked = stage(keyed(vectors.filter(queries)).groupBy(F.col("vec_id").alias("query_id"))
                   .agg(F.min(F.xxhash64("x")).alias("node")), "ann-asked")
-    beam = search(graph, asked.select("node").distinct())
-    drop_stage(base, graph)
+    truth = stage(probes(exact, asked, dim, k), "ann-probes")
+    beam = search(graph, asked.select("node").distinct(), truth)
+    drop_stage(base, graph, truth)
 
     pairs = map_arrow(beam.select("query", "ids"), _kept, "query long, node long") \
         .join(exact.select("node", F.col("x").alias("y"), "copies"), "node") \
@@ -466,7 +540,7 @@ def nearest(vectors: DataFrame, queries: Column, k: int = 20) -> DataFrame:
 
     def rescore(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            score = (padded(b.column("x")) * padded(b.column("y"))).sum(1)
+            score = (_padded(b.column("x"), dim) * _padded(b.column("y"), dim)).sum(1)
             yield pa.record_batch({"query": b.column("query"), "score": pa.array(score), "copies": b.column("copies")})
 
     scored = map_arrow(pairs.select("query", "x", "y", "copies"), rescore, "query long, score double, copies array<bigint>")

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import gc
 import time
+import uuid
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -59,6 +60,24 @@ def drop_stage(*tables: DataFrame) -> None:
         remove_path(t.sparkSession, t.scratch_folder)
 
 
+def bucketed(df: DataFrame, key: str, name: str) -> tuple[DataFrame, Callable[[], None]]:
+    """A scratch table sorted in one file per bucket of ``key``, so that joins on ``key`` don't
+    shuffle it again; and what deletes it."""
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    table = f"scratch_{uuid.uuid4().hex}"
+    n = shuffle_partitions(spark)
+    df.repartition(n, key).write.option("path", path).bucketBy(n, key).sortBy(key).saveAsTable(table, format="parquet")
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(p)
+
+    def drop() -> None:
+        spark.sql(f"DROP TABLE IF EXISTS {table}")
+        remove_path(spark, path)
+
+    return spark.table(table), drop
+
+
 def free_shuffles(spark: SparkSession) -> None:
     """Let Spark delete the shuffle files of finished steps now: it does so once the driver's
     garbage collector has seen that no plan can read them any more. A first collection lets

@@ -54,14 +54,13 @@ def test_few_rows_give_all_candidates(spark):
     assert ann.nearest(one.limit(0), F.col("vec_id") % 20 == 0).count() == 0
 
 
-def test_few_rows_at_many_partitions(spark, monkeypatch):
-    monkeypatch.setattr(ann, "ROUNDS", 0)
+def test_few_rows_at_many_partitions(spark):
     spark.conf.set("spark.sql.shuffle.partitions", "200")
     try:
         for n in (5, 30):
             x = np.random.default_rng(2).normal(size=(n, 8))
             base = spark.createDataFrame([(i, v) for i, v in enumerate(ann.quantized(x))], "node long, vec binary")
-            got = {r.node: set(np.frombuffer(r.ids, "<i8")) for r in ann.build_graph(base, 8).collect()}
+            got = {r.node: set(np.frombuffer(r.ids, "<i8")) for r in ann.build_graph(base, 8, rounds=0).collect()}
             assert got == {i: set(range(n)) - {i} for i in range(n)}
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", "8")
@@ -84,6 +83,38 @@ def test_descent_improves_lists(spark, monkeypatch):
 
     seen = []
     for rounds in (0, 1, 3):
-        monkeypatch.setattr(ann, "ROUNDS", rounds)
-        seen.append(recall(ann.build_graph(base, 16)))
+        seen.append(recall(ann.build_graph(base, 16, rounds)))
     assert seen[0] < 0.4 < seen[1] < seen[2] and seen[2] > 0.95
+    settled = ann.build_graph(base, 16)
+    assert recall(settled) >= seen[2]
+    changed, entries = settled.agg(F.sum("changed"), F.sum(F.length("ids") / 8)).first()
+    assert changed <= ann.DELTA * entries
+
+
+def test_beam_widens_until_the_recall_is_there(spark, monkeypatch):
+    """From a poor graph (two orders, one round) and a narrow beam, in a hard space."""
+    for name, value in (("ORDERS", 2), ("BLOCK", 64), ("DELTA", 2.0), ("BEAM", 16)):
+        monkeypatch.setattr(ann, name, value)
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(3000, 48))
+    vectors = [(i, [float(c) for c in np.float32(v / np.linalg.norm(v))]) for i, v in enumerate(x)]
+    df = spark.createDataFrame(vectors, "vec_id long, embedding array<float>").repartition(4)
+    monkeypatch.setattr(ann, "RECALL", 0.0)
+    narrow = _recall(df, vectors)
+    monkeypatch.setattr(ann, "RECALL", 0.75)  # of 20, among the 16 best
+    wide = _recall(df, vectors)
+    assert narrow < 0.9 < 0.93 < wide, (narrow, wide)
+
+
+def test_probes_are_the_exact_neighbours(spark):
+    x = np.random.default_rng(4).normal(size=(700, 9))
+    vectors = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    exact = ann.nodes(vectors, 20).persist()
+    ids = {r.node: r.copies[0] for r in exact.collect()}
+    s = x @ x.T
+    np.fill_diagonal(s, -np.inf)
+    got = ann.probes(exact, exact.select("node"), 9, 20).collect()
+    assert len(got) == ann.PROBES
+    for r in got:
+        assert [ids[t] for t in r.true] == list(np.argsort(-s[ids[r.query]])[:20])
+    exact.unpersist()

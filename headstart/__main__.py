@@ -115,7 +115,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> di
         P.featurize_images(spark, a.imagePath, a.savePath, n_classes=a.numClasses, height=a.height,
                            width=a.width, layout=a.layout, split_folders=a.splitFolders, **kw)
     elif a.program == "featurize-stage2":
-        P.featurize_features(spark, a.data, a.save, read_model(spark, a.model)[0], a.lastLayer, layout=a.layout)
+        P.featurize_features(spark, a.data, a.save, a.model, a.lastLayer, layout=a.layout)
     elif a.program == "train":
         res = P.train_head(spark, a.train, a.inputLayer, n_in=a.numIn or layer_width(a.inputLayer), n_classes=a.numClasses,
                            params=_fit_params(a, spark), valid_path=a.valid, save_path=a.save,

@@ -242,6 +242,8 @@ ORACLES.update({
                       f"FROM ({ZERO_ROUND})"),
     "model_roundtrip": (f"SELECT param, CAST(i AS INTEGER) AS row, CAST(count(*) AS INTEGER) AS n, "
                         f"{rnd('sum(v)')} AS s FROM ({ZERO_ROUND}) GROUP BY param, i"),
+    "model_scan_layers": (f"SELECT param, CAST(i AS INTEGER) AS row, CAST(count(*) AS INTEGER) AS n, "
+                          f"{rnd('sum(v)')} AS s FROM ({ZERO_ROUND}) GROUP BY param, i"),
     "l2_penalty": f"SELECT {rnd('0.5 * 0.05 * sum(v * v)')} AS penalty FROM ({ZERO_ROUND}) WHERE param = 'W'",
     "lr_schedule_asof": (f"SELECT r.vec_id, r.iteration, coalesce(s.rate, 0.001) AS rate FROM "
                          f"(SELECT vec_id, CAST(pos // 8 AS INTEGER) AS iteration FROM ({POS})) r "

@@ -108,17 +108,21 @@ def featurize_images(spark: SparkSession, image_root: str, save_path: str, *, n_
 STAGES = {"fc2": ("fc1", "fc2"), "predictions": ("fc2", None)}
 
 
-def featurize_features(spark: SparkSession, data_path: str, save_path: str, model: Model,
+def featurize_features(spark: SparkSession, data_path: str, save_path: str, model: Model | str,
                        last_layer: str, *, features: str = "features", mode: str = "errorifexists",
                        layout: str = "float") -> None:
     """Second-stage featurization: ``fc2`` runs the layers after ``fc1`` up to ``fc2``;
-    ``predictions`` runs everything after ``fc2``. Other names are refused."""
+    ``predictions`` runs everything after ``fc2``. Other names are refused. Of a model given
+    as the path of its table, only the layers that run are read."""
     _require(data_path=data_path, save_path=save_path, last_layer=last_layer)
     if last_layer not in STAGES:
         raise ValueError(f"last layer must be one of {sorted(STAGES)}, not {last_layer!r}")
     start, end = STAGES[last_layer]
-    tail = model.after(start)
-    tail = tail.upto(end) if end else tail
+    if isinstance(model, str):
+        tail = read_model(spark, model, after=start, upto=end)[0]
+    else:
+        tail = model.after(start)
+        tail = tail.upto(end) if end else tail
     df = spark.read.parquet(data_path)
     keep = [c for c in df.columns if c != features]
     out = featurize(df, layer_chain(broadcast_model(spark, tail)), input_col=features, output_col=features,

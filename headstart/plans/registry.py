@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from ..functions import labels as L
 from ..functions.random import dropout_mask
-from ..model import dense, head, init_params, initial_preset
+from ..model import Model, dense, head, init_params, initial_preset
 from ..operators import evaluation as E
 from ..operators import ordering as O
 from ..operators.schedule import parse_schedule, parse_schedules, rate_asof, schedule_frame
@@ -241,6 +241,19 @@ def q_model_roundtrip(spark, sf_dir):
                         _rnd(F.aggregate("values", F.lit(0.0), lambda acc, x: acc + x)).alias("s"))
 
 
+def q_model_scan_layers(spark, sf_dir):
+    """The trained layer alone, read from the table of a chain with a dense layer before it."""
+    model = _zero_one_round(spark, sf_dir)
+    first = init_params([dense("fc1", model.n_in, model.n_in, "relu")], seed=1)
+    chain = Model((*first.layers, *model.layers), {**first.params, **model.params})
+    path = scratch_path(spark, "model")
+    write_model(spark, chain, path)
+    back, _, _ = read_model(spark, path, after="fc1")
+    remove_path(spark, path)
+    return model_to_df(spark, back).select("param", "row", F.size("values").alias("n"),
+                                           _rnd(F.aggregate("values", F.lit(0.0), lambda acc, x: acc + x)).alias("s"))
+
+
 def q_l2_penalty(spark, sf_dir):
     weights = model_to_df(spark, _zero_one_round(spark, sf_dir)).filter("param = 'W'").select(F.explode("values").alias("w"))
     return weights.agg(_rnd(F.lit(0.5 * 0.05) * F.sum(F.col("w") * F.col("w"))).alias("penalty"))
@@ -555,6 +568,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "dropout_mask": q_dropout_mask,
     "param_average": q_param_average,
     "model_roundtrip": q_model_roundtrip,
+    "model_scan_layers": q_model_scan_layers,
     "l2_penalty": q_l2_penalty,
     "lr_schedule_asof": q_lr_schedule_asof,
     "feature_moments": q_feature_moments,

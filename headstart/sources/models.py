@@ -14,6 +14,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..model import Layer, Model
@@ -109,9 +110,29 @@ def snapshots(spark: SparkSession, path: str) -> list[int]:
     return sorted(int(f.getPath().getParent().getName().split("=")[1]) for f in found)
 
 
-def read_model(spark: SparkSession, path: str) -> tuple[Model, dict[str, np.ndarray], dict[str, float]]:
+def scan_layers(spark: SparkSession, path: str, *, after: str | None = None, upto: str | None = None) -> DataFrame:
+    """The rows of a model table for the layers behind ``after`` up to ``upto`` (and the run
+    counters). The layer range is a pushed filter: row groups of other layers aren't read."""
+    table = spark.read.schema(SCHEMA).parquet(path)
+    if after is None and upto is None:
+        return table
+    place = {r.name: r.layer for r in table.filter("layer >= 0").select("layer", "name").distinct().collect()}  # one a layer
+    for name in (after, upto):
+        if name is not None and name not in place:
+            raise ValueError(f"no layer named {name!r}; layers are {sorted(place, key=place.get)}")
+    lo = place[after] + 1 if after is not None else 0
+    hi = place[upto] if upto is not None else max(place.values())
+    if lo > hi:
+        raise ValueError(f"no layers after {after!r}" + (f" up to {upto!r}" if upto is not None else ""))
+    layer = F.col("layer")
+    return table.filter((layer < 0) | ((layer >= lo) & (layer <= hi)))
+
+
+def read_model(spark: SparkSession, path: str, *, after: str | None = None,
+               upto: str | None = None) -> tuple[Model, dict[str, np.ndarray], dict[str, float]]:
     """Load a model table (S6), or the newest complete snapshot below ``path`` → (model,
-    optimizer state, meta counters)."""
+    optimizer state, meta counters). With ``after`` / ``upto`` only those layers are read:
+    ``Model.after(...)``, ``Model.upto(...)`` of the whole model."""
     if done := snapshots(spark, path):
         path = f"{path}/epoch={done[-1]}"
-    return model_from_rows(spark.read.schema(SCHEMA).parquet(path).toPandas())
+    return model_from_rows(scan_layers(spark, path, after=after, upto=upto).toPandas())

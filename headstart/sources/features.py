@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .commits import commit_splits, committed
+
 SPLITS = ("train", "test", "valid")
 # Fixed value: split folders are named train, test and valid. Patterns are anchored at the
 # end of the path, so a parent folder with one of those names is never taken for the split.
@@ -67,9 +69,19 @@ def split_paths(spark: SparkSession, root: str) -> list[str]:
 
 def read_split_folders(spark: SparkSession, root: str, *, fmt: str = "parquet") -> DataFrame:
     """One scan of the folders ``train``, ``test`` and ``valid`` below ``root`` with a ``split``
-    column taken from each file's path (S4); a single job, and nothing else below ``root`` is read."""
-    df = spark.read.format(fmt).option("recursiveFileLookup", "true").load(split_paths(spark, root))
-    return df.withColumn("split", F.regexp_extract(F.col("_metadata.file_path"), SPLIT_FOLDER, 1))
+    column taken from each file's path (S4); a single job, and nothing else below ``root`` is read.
+    Where :func:`write_split_folders` wrote them, only files of committed writes are read, and
+    a root whose first write was never committed is refused."""
+    manifest = committed(spark, root)
+    reader = spark.read.format(fmt).option("recursiveFileLookup", "true")
+    if manifest is None:
+        paths = split_paths(spark, root)
+    else:
+        paths = [f"{root.rstrip('/')}/{s}" for s in SPLITS if s in manifest["splits"]]
+        if not paths:
+            raise FileNotFoundError(f"none of the folders {', '.join(SPLITS)} in {root}")
+        reader = reader.option("pathGlobFilter", "*{" + ",".join(manifest["writes"]) + "}*")
+    return reader.load(paths).withColumn("split", F.regexp_extract(F.col("_metadata.file_path"), SPLIT_FOLDER, 1))
 
 
 def write_features(df: DataFrame, path: str, *, split: str | None = "split",
@@ -84,20 +96,11 @@ def write_features(df: DataFrame, path: str, *, split: str | None = "split",
 def write_split_folders(df: DataFrame, root: str, *, split: str = "split",
                         mode: str = "errorifexists") -> None:
     """The reference's layout: ``root/train``, ``root/test``, ``root/valid`` as plain folders
-    (no ``split=`` prefix). One partitioned write (the input's lineage runs once), then each
-    ``split=<name>`` folder is renamed to ``<name>`` through Spark's Hadoop file system, whatever
-    the name (a metadata operation on a file system, a copy on an object store). Read the
-    three back with :func:`read_split_folders`."""
-    write_features(df, root, split=split, mode=mode)
-    spark = df.sparkSession
-    jvm = spark.sparkContext._jvm
-    base = jvm.org.apache.hadoop.fs.Path(root)
-    fs = base.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    for f in fs.globStatus(jvm.org.apache.hadoop.fs.Path(base, f"{split}=*")) or []:
-        src = f.getPath()
-        name = src.getName().split("=", 1)[1]
-        if not fs.rename(src, jvm.org.apache.hadoop.fs.Path(base, name)):
-            raise RuntimeError(f"could not rename {src} to {name}")
+    (no ``split=`` prefix), whatever the names. One partitioned write (the input's lineage runs
+    once) to a staging folder, renames through Spark's Hadoop file system (a metadata operation
+    on a file system, a copy on an object store), and a manifest written last: see
+    :func:`headstart.sources.commits.commit_splits`. Read back with :func:`read_split_folders`."""
+    commit_splits(df, root, split, mode)
 
 
 def to_packed(df: DataFrame, features: str = "features", out: str | None = None) -> DataFrame:

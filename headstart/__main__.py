@@ -112,8 +112,8 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> di
                                                  channels_first=a.channelsFirst))
         else:
             kw = dict(model=read_model(spark, a.modelPath)[0], output_layer=a.outputLayer)
-        P.featurize_images(spark, a.imagePath, a.savePath, n_classes=a.numClasses, height=a.height,
-                           width=a.width, layout=a.layout, split_folders=a.splitFolders, **kw)
+        out["intake"] = P.featurize_images(spark, a.imagePath, a.savePath, n_classes=a.numClasses, height=a.height,
+                                           width=a.width, layout=a.layout, split_folders=a.splitFolders, **kw)
     elif a.program == "featurize-stage2":
         P.featurize_features(spark, a.data, a.save, a.model, a.lastLayer, layout=a.layout)
     elif a.program == "train":

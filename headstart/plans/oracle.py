@@ -259,6 +259,10 @@ ORACLES.update({
         f"{rnd('list_sum(list_transform(e.embedding, lambda x: CAST(x AS DOUBLE)))')} AS s "
         f"FROM embeddings e JOIN ({POS}) p ON p.vec_id = e.vec_id"),
     "scan_splits": f"SELECT e.vec_id, e.label, {SPLIT} AS split FROM embeddings e JOIN ({POS}) p ON p.vec_id = e.vec_id",
+    "featurize_rejects": (
+        "SELECT count(*) + count(*) FILTER (vec_id % 100 = 0) AS files, count(*) FILTER (vec_id % 100 = 0) AS bad_images, "
+        "count(*) FILTER (vec_id % 10 = 3) AS bad_paths, count(*) FILTER (vec_id % 10 <> 3) AS written, "
+        "CAST(sum(label) FILTER (vec_id % 10 <> 3) AS BIGINT) AS labels FROM embeddings"),
     "scan_binary": ("SELECT label, CAST(sum(len(CAST(vec_id AS VARCHAR)) + 1) AS BIGINT) AS bytes FROM embeddings GROUP BY label"),
     "scan_image": (f"SELECT x.vec_id, x.label, {SPLIT} AS split, CAST(8 AS INTEGER) AS height, "
                    f"CAST(8 AS INTEGER) AS width, CAST(3 AS INTEGER) AS n_channels, "

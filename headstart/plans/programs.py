@@ -15,10 +15,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.labels import onehot_encode, with_path_label
+from ..functions.labels import onehot_encode, path_is_valid, with_path_label
 from ..model import Model, head, init_params, initial_preset
 from ..operators.evaluation import evaluate
 from ..operators.scoring import BatchFn, featurize, layer_chain, broadcast_model, predict
@@ -26,6 +26,7 @@ from ..operators.training import FitParams, FitResult, fit
 from ..sources.features import read_features, split_paths, write_features, write_split_folders
 from ..sources.files import (IMAGE_CHANNELS, IMAGE_HEIGHT, IMAGE_INPUTS, IMAGE_WIDTH, image_decoder, scan_images,
                             with_split_from_path)
+from ..session import path_exists
 from ..sources.models import read_model, write_model
 
 
@@ -67,6 +68,19 @@ def image_features(imgs: DataFrame, scorer_factory: Callable[[], BatchFn], *, n_
     return feats
 
 
+def observe_intake(imgs: DataFrame, n_classes: int) -> tuple[DataFrame, Observation]:
+    """``imgs`` and what the next action on it sees of every file: ``files``, ``bad_images`` (not
+    decodable), ``bad_paths`` (decoded, but without a class in the path) and ``first_bad`` (the
+    smallest path of either; null without one). The metrics ride on the job that reads the files;
+    nothing is scanned again and nothing is collected but this one row."""
+    broken = F.col("height") < 0
+    unlabeled = ~broken & ~path_is_valid("path", n_classes)
+    seen = Observation()
+    return imgs.observe(seen, F.count(F.lit(1)).alias("files"), F.count_if(broken).alias("bad_images"),
+                        F.count_if(unlabeled).alias("bad_paths"),
+                        F.min(F.when(broken | unlabeled, F.col("path"))).alias("first_bad")), seen
+
+
 def image_scorer(spark: SparkSession, *, model: Model | None, output_layer: str | None,
                  scorer_factory: Callable[[], BatchFn] | None, n_in: int) -> Callable[[], BatchFn]:
     """The scorer of a featurization: a truncated layer chain or a user's factory."""
@@ -86,7 +100,7 @@ def featurize_images(spark: SparkSession, image_root: str, save_path: str, *, n_
                      scorer_factory: Callable[[], BatchFn] | None = None, height: int = IMAGE_HEIGHT,
                      width: int = IMAGE_WIDTH, channels: int = IMAGE_CHANNELS, on_bad: str = "error",
                      with_onehot: bool = False, mode: str = "errorifexists", layout: str = "float",
-                     split_folders: bool = False) -> None:
+                     split_folders: bool = False) -> dict | None:
     """Featurize ``image_root/{train,test,valid}/ddd.name/ddd_dddd.jpg`` in one job.
 
     The network is either a layer chain ``model`` truncated after ``output_layer`` or any
@@ -95,14 +109,24 @@ def featurize_images(spark: SparkSession, image_root: str, save_path: str, *, n_
     ``array<float>`` by default (see ``layout``), written one folder per split (``split=``
     partitions, or the reference's plain ``train``/``test``/``valid`` folders with
     ``split_folders``); fails if ``save_path`` exists (default mode).
+
+    With ``on_bad="drop"``, files that don't decode or whose path has no class are left out;
+    the counts come back (see :func:`observe_intake`), taken in the same pass. ``mode="ignore"``
+    with an existing ``save_path`` runs nothing and returns None.
     """
     _require(image_root=image_root, save_path=save_path)
     scorer = image_scorer(spark, model=model, output_layer=output_layer, scorer_factory=scorer_factory,
                           n_in=height * width * channels)
-    imgs = scan_images(spark, split_paths(spark, image_root), on_invalid="drop" if on_bad == "drop" else "error")
+    if mode == "ignore" and path_exists(spark, save_path):
+        return None
+    imgs, seen = observe_intake(scan_images(spark, split_paths(spark, image_root), on_invalid="keep" if on_bad == "drop" else "error"),
+                                n_classes)
+    if on_bad == "drop":
+        imgs = imgs.filter(F.col("height") >= 0)
     feats = image_features(imgs, scorer, n_classes=n_classes, height=height, width=width, channels=channels,
                            on_bad=on_bad, with_onehot=with_onehot, layout=layout)
     (write_split_folders if split_folders else write_features)(feats, save_path, mode=mode)
+    return seen.get
 
 
 STAGES = {"fc2": ("fc1", "fc2"), "predictions": ("fc2", None)}

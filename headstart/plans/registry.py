@@ -29,6 +29,7 @@ from ..sources.models import model_to_df, read_model, write_model
 from . import derived_images as DI
 from . import fixtures as FX
 from .derived_images import write_images
+from .programs import featurize_images
 
 R = 6  # rounding places for floating outputs
 
@@ -353,6 +354,25 @@ def q_scan_image(spark, sf_dir):
                     F.md5(F.array_join(F.transform("features", lambda x: x.cast("int").cast("string")), ",")).alias("pixels"))
 
 
+def q_featurize_rejects(spark, sf_dir):
+    """Every row as an image, a tenth of them in folders of unknown classes, and for each hundredth
+    id a file that is no image: the counts of one featurization and the rows that it wrote."""
+    root, out = scratch_path(spark, "images"), scratch_path(spark, "features")
+    df = _with_split(spark, sf_dir)
+    unknown = F.when(F.pmod(F.col("vec_id"), F.lit(10)) == 3, F.col("label") + 500).otherwise(F.col("label"))
+    write_images(df.withColumn("label", unknown), root)
+    df.filter(F.pmod(F.col("vec_id"), F.lit(100)) == 0).select("vec_id", F.lit("no image").alias("value")) \
+        .write.partitionBy("vec_id").text(f"{root}/train/notes")
+    chain = init_params([dense("fc1", 3 * DI.SIDE ** 2, 4, "relu")], scheme="fixture")
+    seen = featurize_images(spark, root, out, n_classes=FX.N_CLASSES, model=chain, output_layer="fc1", height=DI.SIDE,
+                            width=DI.SIDE, on_bad="drop", split_folders=True)
+    written = read_split_folders(spark, out).agg(F.count("*").alias("n"), F.sum("label").alias("labels")).first()
+    for p in (root, out):
+        remove_path(spark, p)
+    return spark.createDataFrame([(seen["files"], seen["bad_images"], seen["bad_paths"], written.n, written.labels)],
+                                 "files long, bad_images long, bad_paths long, written long, labels long")
+
+
 def _history_row(h):
     return h.select("epoch", "split", "n", *[_rnd(F.col(c)).alias(c) for c in
                                              ("loss", "accuracy", "precision", "recall", "l2_penalty")])
@@ -576,6 +596,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "featurize_stage2": q_featurize_stage2,
     "feature_table_roundtrip": q_feature_table_roundtrip,
     "scan_splits": q_scan_splits,
+    "featurize_rejects": q_featurize_rejects,
     "scan_binary": q_scan_binary,
     "scan_image": q_scan_image,
     "train_history": q_train_history,

@@ -3,7 +3,7 @@
 Decoding is Spark's own ``image`` source (JVM, one file per row, BGR bytes). The resize
 to the network's input size is an Arrow batch operator (numpy), one output row per file.
 A file that does not decode fails the job by default (the reference has no handler);
-``on_invalid="drop"`` quarantines it instead.
+``on_invalid="drop"`` leaves it out, ``"keep"`` keeps it with a height of -1.
 """
 
 from __future__ import annotations
@@ -69,8 +69,10 @@ def _image_columns(raw: DataFrame, on_invalid: str) -> DataFrame:
     bad = F.col("height") < 0
     if on_invalid == "drop":
         return df.filter(~bad)
+    if on_invalid == "keep":
+        return df
     if on_invalid != "error":
-        raise ValueError("on_invalid must be 'error' or 'drop'")
+        raise ValueError("on_invalid must be 'error', 'drop' or 'keep'")
     return df.withColumn("height", F.when(~bad, F.col("height")).otherwise(
         F.raise_error(F.concat(F.lit("Could not decode image: "), F.col("path"))).cast("int")))
 

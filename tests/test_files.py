@@ -160,3 +160,32 @@ def test_featurize_into_plain_split_folders(spark):
     assert sorted(d for d in os.listdir(out) if not d.startswith(("_", "."))) == ["test", "train", "valid"]
     back = {r.path.replace("file://", "").replace("file:", ""): r.split for r in read_split_folders(spark, out).collect()}
     assert back == {p: v[0] for p, v in want.items()}
+
+
+def test_rejects_are_counted_in_the_featurizing_pass(spark):
+    from headstart.sources.features import read_split_folders
+
+    root = tempfile.mkdtemp(prefix="hs-rejects-")
+    want = _write_tree(root, n=9, junk=False)
+    for name, content in (("train/x/12_0001.jpg", png_bytes(np.zeros((6, 5, 3)))), ("train/x/999_0001.jpg", png_bytes(np.zeros((6, 5, 3)))),
+                          ("valid/x/001_0009.jpg", b"no image"), ("valid/x/bad_name.txt", b"no image, no class")):
+        os.makedirs(os.path.dirname(os.path.join(root, name)), exist_ok=True)
+        with open(os.path.join(root, name), "wb") as f:
+            f.write(content)
+    kw = dict(n_classes=4, model=_small_chain(), output_layer="fc1", height=6, width=5, on_bad="drop")
+    for folders in (False, True):
+        out = os.path.join(tempfile.mkdtemp(prefix="hs-out-"), "f")
+        jobs = spark.sparkContext.statusTracker()
+        spark.sparkContext.setJobGroup(f"intake {folders}", "featurize")
+        seen = featurize_images(spark, root, out, split_folders=folders, **kw)
+        assert len(jobs.getJobIdsForGroup(f"intake {folders}")) == 1  # no second scan
+        spark.sparkContext._jsc.sc().clearJobGroup()
+        assert (seen["files"], seen["bad_images"], seen["bad_paths"]) == (13, 2, 2)
+        assert seen["first_bad"].endswith("train/x/12_0001.jpg")
+        back = read_split_folders(spark, out) if folders else spark.read.parquet(out)
+        assert back.count() == len(want)
+        assert featurize_images(spark, root, out, split_folders=folders, mode="ignore", **kw) is None
+    empty = os.path.join(tempfile.mkdtemp(prefix="hs-empty-"))
+    os.makedirs(os.path.join(empty, "train"))
+    seen = featurize_images(spark, empty, os.path.join(empty, "out"), **kw)
+    assert (seen["files"], seen["bad_images"], seen["bad_paths"], seen["first_bad"]) == (0, 0, 0, None)

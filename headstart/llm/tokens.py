@@ -39,28 +39,36 @@ def _bytes(ids: list[int]) -> bytes:
     return a.tobytes()
 
 
+def _strings(a: pa.StringArray) -> list[str]:
+    return a.to_numpy(zero_copy_only=False).tolist()
+
+
 class _Cache:
     """Ids of pieces, computed when first asked for; drops what wasn't asked for in a while."""
 
-    def __init__(self, make: Callable[[str], bytes]):
+    def __init__(self, make: Callable[[list[str]], list[bytes]]):
         self.make, self.young, self.old = make, {}, {}
 
     def one(self, piece: str) -> bytes:
         got = self.young.get(piece)
-        return self._late(piece) if got is None else got
-
-    def many(self, pieces: list[str]) -> list[bytes]:
-        young = self.young
-        return [self._late(p) if g is None else g for p, g in zip(pieces, map(young.get, pieces))]
-
-    def _late(self, piece: str) -> bytes:
-        ids = self.old.get(piece)
-        if ids is None:
-            ids = self.make(piece)
-        if len(self.young) >= CACHE_PIECES:
-            self.old, self.young = self.young, {}
-        self.young[piece] = ids
-        return ids
+        return self.many([piece])[0] if got is None else got
+
+    def many(self, pieces: list[str], often: np.ndarray | None = None) -> list[bytes]:
+        """Ids of the pieces; a new one that isn't among the ``often`` (all of them, if not given) isn't kept."""
+        out = list(map(self.young.get, pieces))
+        late = [k for k, ids in enumerate(out) if ids is None]
+        keep, new = [], []
+        for k, ids in zip(late, map(self.old.get, [pieces[k] for k in late])):
+            out[k] = ids
+            (new if ids is None else keep).append(k)
+        for k, ids in zip(new, self.make([pieces[k] for k in new])):
+            out[k] = ids
+        keep += new if often is None else np.asarray(new, np.int64)[often[new]].tolist()
+        for k in keep:
+            if len(self.young) >= CACHE_PIECES:
+                self.old, self.young = self.young, {}
+            self.young[pieces[k]] = out[k]
+        return out
 
 
 def _gather(data: np.ndarray, size: np.ndarray, index: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -95,13 +103,19 @@ class Encoder:
         letters = [chr(c) for c in range(0x100) if re.fullmatch(rf"[{_LETTERS}]", chr(c))]
         self.bytes_of = str.maketrans({c: one(c.lower() if self.word_ends else c) for c in letters})
         self.space = "" if self.word_ends else one(" ")
-        self.word = _Cache(lambda w: self._merge(self.space + w.translate(self.bytes_of)))
-        self.line_word = self.word if self.word_ends else _Cache(lambda w: self._merge(w.translate(self.bytes_of)))
-        self.whole = _Cache(lambda p: self._ids(p))
-        self.after_space = _Cache(lambda p: _CARE if _UNSAFE.search(p) else self._ids(" " + p))
-
-    def _merge(self, piece: str) -> bytes:
-        return _bytes([t.id for t in self.model.tokenize(piece)])
+        self.word = _Cache(lambda words: self._merge(words, self.space))
+        self.line_word = self.word if self.word_ends else _Cache(lambda words: self._merge(words, ""))
+        self.whole = _Cache(lambda pieces: [self._ids(p) for p in pieces])
+        self.after_space = _Cache(lambda pieces: [_CARE if _UNSAFE.search(p) else self._ids(" " + p) for p in pieces])
+
+    def _merge(self, words: list[str], space: str) -> list[bytes]:
+        """Ids of plain words with ``space`` before each."""
+        ids, ends, tokenize, bytes_of = [], [0], self.model.tokenize, self.bytes_of
+        for w in words:
+            ids += [t.id for t in tokenize(space + w.translate(bytes_of))]
+            ends.append(4 * len(ids))
+        data = _bytes(ids)
+        return [data[i:j] for i, j in zip(ends, ends[1:])]
 
     def _ids(self, text: str) -> bytes:
         return _bytes(self.tok.encode(text, add_special_tokens=False).ids)
@@ -122,8 +136,8 @@ class Encoder:
         starts = starts - starts[0]
         pieces = pc.dictionary_encode(parts.flatten())
         index, distinct = pieces.indices.to_numpy().copy(), pieces.dictionary
-        heads = distinct.take(pa.array(index[starts[:-1]])).to_pylist()
-        data, size, care = self._distinct(distinct, heads)
+        heads = _strings(distinct.take(pa.array(index[starts[:-1]])))
+        data, size, care = self._distinct(distinct, np.bincount(index, minlength=len(distinct)), heads)
         # a text's first piece has no space before it: an entry of its own
         index[starts[:-1]] = np.arange(len(distinct), len(distinct) + len(heads))
         out, n = _gather(data, size, index)
@@ -133,9 +147,9 @@ class Encoder:
         return [(self.encode(texts[k].as_py()) if c else out[a:b]) + end
                 for k, (a, b, c) in enumerate(zip(before.tolist(), before[1:].tolist(), careful))]
 
-
-    def _distinct(self, pieces: pa.StringArray, heads: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Ids of the pieces behind a space, then of the heads: all ids, how many each, which need care."""
+    def _distinct(self, pieces: pa.StringArray, times: np.ndarray, heads: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ids of the pieces (``times``: how often each stands there) behind a space, then of the heads: all
+        ids, how many each, which need care. Words that stand there once are rarely asked for again."""
         plain = pc.extract_regex(pieces, _PLAIN)
         others = np.flatnonzero(np.asarray(plain.is_null()))
         words, words2 = (pc.dictionary_encode(pc.fill_null(pc.struct_field(plain, f), "")) for f in ("word", "word2"))
@@ -147,13 +161,14 @@ class Encoder:
             sub[rows, column] = len(entries) + at
             entries.extend(ids)
 
-        put(0, self.word.many(words.dictionary.to_pylist()), words.indices.to_numpy())
-        put(1, self.whole.many(marks.dictionary.to_pylist()), marks.indices.to_numpy())
-        second = words2.dictionary.to_pylist()
+        often = np.bincount(words.indices.to_numpy(), times, len(words.dictionary)) > 1
+        put(0, self.word.many(_strings(words.dictionary), often), words.indices.to_numpy())
+        put(1, self.whole.many(_strings(marks.dictionary)), marks.indices.to_numpy())
+        second = _strings(words2.dictionary)
         put(2, [line if w else b"" for w in second], words2.indices.to_numpy())
         put(3, self.line_word.many(second), words2.indices.to_numpy())
-        put(4, self.whole.many(marks2.dictionary.to_pylist()), marks2.indices.to_numpy())
-        put(0, self.after_space.many(pieces.take(pa.array(others)).to_pylist()), np.arange(len(others)), others)
+        put(4, self.whole.many(_strings(marks2.dictionary)), marks2.indices.to_numpy())
+        put(0, self.after_space.many(_strings(pieces.take(pa.array(others)))), np.arange(len(others)), others)
         put(0, [_CARE if _UNSAFE.search(h) else self.whole.one(h) for h in heads], np.arange(len(heads)),
             slice(len(pieces), None))
         sub[others, 1:] = 0
@@ -167,7 +182,7 @@ class Encoder:
         return out, n.reshape(-1, 5).sum(1), marked[sub[:, 0]]
 
 
-def encoded(batch: pa.RecordBatch, path: str, end_id: int, slice_bytes: int = 4 << 20) -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
+def encoded(batch: pa.RecordBatch, path: str, end_id: int, slice_bytes: int = 8 << 20) -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
     """Slices of ``batch`` of about ``slice_bytes`` of text, each with the ids of its texts."""
     enc = encoder(path)
     total = np.cumsum(pc.fill_null(pc.binary_length(batch.column("text")), 0).to_numpy(zero_copy_only=False))

@@ -46,6 +46,18 @@ def test_cache_turns_over(monkeypatch):
         assert np.frombuffer(enc.encode(t), "<u4").tolist() == enc.tok.encode(t, add_special_tokens=False).ids
 
 
+def test_words_seen_once_leave_the_others_in_the_cache(monkeypatch):
+    monkeypatch.setattr(tokens, "CACHE_PIECES", 10)
+    enc = tokens.Encoder(vocabulary("word_bpe_49k.json"))
+    often, once = "go cat dog go cat dog go cat dog", " ".join("x" + "abcdefghij"[k // 10] + "klmnopqrst"[k % 10] for k in range(100))
+    made, make = [], enc.word.make
+    enc.word.make = lambda words: (made.extend(words), make(words))[1]
+    for _ in range(3):
+        for t in (often, once):
+            assert np.frombuffer(enc.encode_all(pa.array([t]), 7)[0], "<u4").tolist() == enc.tok.encode(t, add_special_tokens=False).ids + [7]
+    assert [made.count(w) for w in ("cat", "dog", "xak")] == [1, 1, 3]
+
+
 def test_plan_places_every_piece_once():
     rng = random.Random(2)
     cases = [[rng.randint(1, 2048) for _ in range(3000)], [683] * 7, [1024] * 7 + [1025], [5] * 1000, [],

@@ -4,19 +4,25 @@ Plan of one fit:
 
 1. seeded order → dense position → ``round, worker, batch`` (T4); the positions come in sorted
    ranges, so a task holds consecutive rounds;
-2. the table is written once below the checkpoint folder, partitioned by blocks of
-   ``ROUNDS_PER_BLOCK`` consecutive rounds: an epoch reads every block once, and a lost
-   executor costs a re-read;
-3. a block (its size is set by the parameters, not by the data) is dealt to its workers by one
-   exchange, each worker alone in a partition;
-4. all rounds of a block run in one barrier stage (``run_block``): a task holds its worker's
-   rows, trains its batches of a round, and gets the other workers' parameter + optimizer
-   state vectors by ``allGather``; the mean is added in worker order, so every task has the same
-   bits and goes on with the next round. The first task emits the last mean. A lost executor costs
-   a rerun of the block from the model it began with, with the same result;
-   beyond ``BARRIER_BYTES`` gathered in a round, or with fewer task slots than workers, the
-   block is persisted and a round is a job (``run_round``: filter → ``mapInArrow`` → mean per chunk
-   → broadcast), with the same bits;
+2. the table is written once below the checkpoint folder, partitioned by blocks of consecutive
+   rounds, ``BLOCK_BYTES`` of features or ``ROUNDS_PER_BLOCK`` rounds, whichever is more: an
+   epoch reads every block once, and a lost executor costs a re-read;
+3. a block's size is set by the parameters, not by the data; the rounds of a block run in one job
+   (``run_block``), from the model that the block before left:
+
+   * a round takes a barrier a second or more, whatever its work (Spark looks for the answer
+     once a second). Where the workers' batches of a round take less than that one after another
+     (``turn_seconds``), one task takes the block and trains the workers in turn (``run_turns``);
+   * else the block is dealt to its workers by one exchange, each worker alone in a partition
+     of a barrier stage: a task holds its worker's rows, trains its batches of a round, and gets the
+     other workers' parameter + optimizer state vectors by ``allGather``.
+
+4. the mean of a round is added in worker order, so every task has the same bits and goes on with
+   the next round. The first task emits the last mean. A lost executor costs a rerun of the
+   block from the model it began with, with the same result;
+   beyond ``BARRIER_BYTES`` gathered in a round, or with rounds of long work and fewer task slots than
+   workers, the block is persisted and a round is a job (``run_round``: filter → ``mapInArrow`` →
+   mean per chunk → broadcast), with the same bits;
 5. every ``eval_interval`` epochs of the run: train rows (from the layout) and valid rows
    (persisted for the run) are scored in one pass and evaluated grouped by split; the
    metrics replace their (epoch, split) in the history table at once;
@@ -36,12 +42,14 @@ from __future__ import annotations
 import base64
 import dataclasses
 import math
+from collections.abc import Callable
 from dataclasses import dataclass
+from multiprocessing.pool import ThreadPool
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark import BarrierTaskContext, StorageLevel, TaskContext
+from pyspark import BarrierTaskContext, StorageLevel, TaskContext, inheritable_thread_target
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -60,6 +68,10 @@ STATE_SLOTS = {"sgd": (), "nesterovs": ("v",), "adam": ("m", "v"), "adadelta": (
                "rmsprop": ("g2",)}
 CHUNK = 16384  # doubles per averaged row (128 KB)
 ROUNDS_PER_BLOCK = 32
+#: Features (as float64) that a block of more rounds than that holds at most.
+BLOCK_BYTES = 64 << 20
+#: Seconds of work up to which the workers of a round train in turn: what a barrier waits for a round at least.
+TURN_SECONDS = 1.0
 #: Bytes that the workers of a barrier stage gather at most in a round, all together: the
 #: messages meet on the driver's side of the barrier. Larger models average by a job a round.
 BARRIER_BYTES = 16 << 20
@@ -159,15 +171,15 @@ def train_batches(model: Model, state: dict, batches, p: FitParams, it0: int, ep
     params = {k: v.copy() for k, v in model.params.items()}
     state = {k: v.copy() for k, v in state.items()}
     steps, loss_sum = 0, 0.0
+    cur = Model(model.layers, params)  # sees every change of params
     for ids, x, y in batches:
-        cur = Model(model.layers, params)
         loss, grads, running = loss_and_grads(cur, x, y, _masks(model, ids, p, epoch))
         lr = rate_at(it0 + steps, p.schedule, p.rate)
         apply_update(params, grads, state, p, lr, step0 + steps)
         params.update(running)
         steps += 1
         loss_sum += loss
-    return Model(model.layers, params), state, steps, loss_sum
+    return cur, state, steps, loss_sum
 
 
 def with_keep_prob(model: Model, keep_prob: float | None) -> Model:
@@ -299,33 +311,45 @@ def _message_bytes(model: Model, state: dict) -> int:
     return (flatten(model, state).nbytes + 3 * 8) * 4 // 3
 
 
-def _block_fn(bc, id_col: str, features: str, label: str):
-    """Train one worker's rows of all rounds of a block, averaging with the other workers after each."""
+def turn_seconds(model: Model, p: FitParams) -> float:
+    """About what a round's batches of all workers take one after another: three products and the
+    update of every parameter at 10⁹ operations a second, and a tenth of a millisecond a step."""
+    return p.workers * p.avg_freq * (1e-4 + model.size() * (3 * p.batch_size + 20) / 1e9)
+
+
+def _by_round(t: pa.Table, model: Model, id_col: str, features: str, label: str) -> dict[int, dict[int, list]]:
+    """``{round: {worker: batches}}`` of training rows, by position."""
+    t = t.combine_chunks().sort_by("pos")
+    ids, x, y = _rows_of(t, model, id_col, features, label)
+    of_round, worker, batch = (t.column(c).to_numpy() for c in ("round", "worker", "batch"))
+    cuts = np.flatnonzero(np.any([np.diff(k, prepend=-1) != 0 for k in (of_round, worker, batch)], axis=0))
+    out: dict[int, dict[int, list]] = {}
+    for a, b in zip(cuts, [*cuts[1:], len(ids)]):
+        out.setdefault(int(of_round[a]), {}).setdefault(int(worker[a]), []).append((ids[a:b], x[a:b], y[a:b]))
+    return out
+
+
+def _block_fn(bc, id_col: str, features: str, label: str, barrier: bool):
+    """Train the rows of all rounds of a block, averaging the workers after each: one worker's rows and
+    the other workers' means by the barrier, or with no barrier all workers' rows."""
     def fn(batches):
         model, state, p, it, step, epochs, rounds = bc.value
-        task = BarrierTaskContext.get()
+        task = BarrierTaskContext.get() if barrier else TaskContext.get()
         tables = [rb for rb in batches if rb.num_rows]
-        mine = {}
-        if tables:
-            t = pa.Table.from_batches(tables).combine_chunks().sort_by([("round", "ascending"), ("pos", "ascending")])
-            workers = np.unique(t.column("worker").to_numpy())
-            if len(workers) != 1:
-                raise RuntimeError(f"a training task got rows of workers {workers.tolist()}")
-            ids, x, y = _rows_of(t, model, id_col, features, label)
-            of_round, batch = t.column("round").to_numpy(), t.column("batch").to_numpy()
-            for r in rounds:
-                lo, hi = np.searchsorted(of_round, (r, r + 1))
-                cuts = lo + np.flatnonzero(np.diff(batch[lo:hi], prepend=-1))
-                mine[r] = [(ids[a:b], x[a:b], y[a:b]) for a, b in zip(cuts, [*cuts[1:], hi])]
+        mine = _by_round(pa.Table.from_batches(tables), model, id_col, features, label) if tables else {}
+        workers = sorted({w for of_round in mine.values() for w in of_round})
+        if barrier and len(workers) > 1:
+            raise RuntimeError(f"a training task got rows of workers {workers}")
         total, loss_sum, n_batches = 0, 0.0, 0
         for epoch in epochs:
             for r in rounds:
-                message = ""
-                if mine.get(r):
-                    new_model, new_state, steps, loss = train_batches(model, state, mine[r], p, it + total, epoch, step + total)
-                    head = np.array([workers[0], steps, loss])
-                    message = base64.b64encode(np.concatenate([head, flatten(new_model, new_state)]).astype("<f8").tobytes()).decode()
-                got = [np.frombuffer(base64.b64decode(m), "<f8") for m in task.allGather(message) if m]
+                got = []
+                for w, own in mine.get(r, {}).items():
+                    new_model, new_state, steps, loss = train_batches(model, state, own, p, it + total, epoch, step + total)
+                    got.append(np.concatenate([np.array([w, steps, loss]), flatten(new_model, new_state)]))
+                if barrier:
+                    message = base64.b64encode(got[0].astype("<f8").tobytes()).decode() if got else ""
+                    got = [np.frombuffer(base64.b64decode(m), "<f8") for m in task.allGather(message) if m]
                 if not got:
                     continue
                 got.sort(key=lambda v: v[0])  # a fixed order of addition
@@ -338,22 +362,34 @@ def _block_fn(bc, id_col: str, features: str, label: str):
     return fn
 
 
-def run_block(rows: DataFrame, model: Model, state: dict, p: FitParams, it0: int, epochs: range, rounds: range,
-              *, id_col: str, features: str, label: str, step0: int | None = None):
-    """All ``rounds`` of a block (one partition per worker), ``epochs`` times, in one barrier stage →
-    (model, state, steps, mean batch loss). The same bits as ``run_round`` round by round."""
+def _run_rounds(rows: DataFrame, model: Model, state: dict, p: FitParams, it0: int, epochs: range, rounds: range,
+                barrier: bool, *, id_col: str, features: str, label: str, step0: int | None = None):
     spark = rows.sparkSession
     check_model_size(spark, model.nbytes() + sum(v.nbytes for v in state.values()))
     ship_package(spark)
     bc = spark.sparkContext.broadcast((model, state, p, it0, it0 if step0 is None else step0, epochs, rounds))
     try:
-        out = rows.mapInArrow(_block_fn(bc, id_col, features, label), ROUND_OUT, barrier=True).toArrow().sort_by("chunk")
+        out = rows.mapInArrow(_block_fn(bc, id_col, features, label, barrier), ROUND_OUT, barrier=barrier).toArrow().sort_by("chunk")
     finally:
         bc.destroy()
     new_model, new_state = unflatten(model, state, np.frombuffer(b"".join(out.column("values").to_pylist()), "<f8"))
     return new_model, new_state, out.column("steps")[0].as_py(), out.column("loss_sum")[0].as_py()
 
 
+def run_turns(layout: "Layout", b: int, model: Model, state: dict, p: FitParams, it0: int, epochs: range, **names):
+    """All rounds of block ``b``, ``epochs`` times, in one task that trains the workers of a round in turn →
+    (model, state, steps, mean batch loss). The same bits as ``run_round`` round by round."""
+    return _run_rounds(layout.read(b).coalesce(1), model, state, p, it0, epochs, layout.rounds_of(b), False, **names)
+
+
+def run_block(layout: "Layout", b: int, model: Model, state: dict, p: FitParams, it0: int, epochs: range, **names):
+    """All rounds of block ``b``, ``epochs`` times, in one job: in turn where that takes less than the
+    barrier waits, else in a barrier stage with a partition per worker. The same bits either way."""
+    if turn_seconds(model, p) <= TURN_SECONDS:
+        return run_turns(layout, b, model, state, p, it0, epochs, **names)
+    return _run_rounds(layout.dealt(b, p.workers), model, state, p, it0, epochs, layout.rounds_of(b), True, **names)
+
+
 def leading_norm(model: Model) -> Layer | None:
     """The model's batch-norm layer if only dropout stands before it; ``ValueError`` if layers
     that need the gradient below a batch-norm (or of a second one) are there."""
@@ -552,12 +588,16 @@ class Layout:
     def blocks(self) -> int:
         return -(-self.rounds // self.per_block)
 
+    def rounds_of(self, b: int) -> range:
+        return range(b * self.per_block, min(self.rounds, (b + 1) * self.per_block))
+
+    def read(self, b: int) -> DataFrame:
+        return self.table.sparkSession.read.schema(self.table.drop("block").schema).parquet(f"{self.path}/block={b}")
+
     def dealt(self, b: int, workers: int) -> DataFrame:
         """Block ``b`` with each worker alone in its partition."""
-        spark = self.table.sparkSession
-        keys = F.array(*[F.lit(k).cast("bigint") for k in worker_keys(spark, workers)])
-        read = spark.read.schema(self.table.drop("block").schema).parquet(f"{self.path}/block={b}")
-        return read.withColumn("_wkey", F.element_at(keys, F.col("worker") + 1)).repartition(workers, "_wkey").drop("_wkey")
+        keys = F.array(*[F.lit(k).cast("bigint") for k in worker_keys(self.table.sparkSession, workers)])
+        return self.read(b).withColumn("_wkey", F.element_at(keys, F.col("worker") + 1)).repartition(workers, "_wkey").drop("_wkey")
 
     def block(self, b: int, workers: int, rows: int) -> DataFrame:
         """Block ``b`` dealt to its workers and persisted, for a job per round; cached in column
@@ -584,9 +624,14 @@ def layout_key(p: FitParams) -> tuple:
 
 
 def prepare_layout(df: DataFrame, p: FitParams, *, id_col: str = "id", features: str = "features",
-                   label: str = "label", rounds_per_block: int = ROUNDS_PER_BLOCK) -> Layout:
-    """Seeded order + mini-batch assignment, written once for all epochs in blocks of rounds."""
+                   label: str = "label", rounds_per_block: int | None = None, width: int | None = None) -> Layout:
+    """Seeded order + mini-batch assignment, written once for all epochs in blocks of rounds.
+
+    ``width``: features of a row, as far as known; narrow rows then go into blocks of more rounds."""
     spark = df.sparkSession
+    if rounds_per_block is None:
+        round_bytes = 8 * (width or 0) * p.workers * p.batch_size * p.avg_freq
+        rounds_per_block = max(ROUNDS_PER_BLOCK, BLOCK_BYTES // round_bytes if round_bytes else 0)
     assigned = assign_minibatches(with_position(df.select(id_col, features, label), id_col, p.seed),
                                   p.workers, p.batch_size, p.avg_freq)
     path = scratch_path(spark, "layout")
@@ -663,14 +708,15 @@ def fit(df: DataFrame, model: Model, p: FitParams, *, id_col: str = "id", featur
     if layout is not None and layout.key != layout_key(p):
         raise ValueError(f"layout was prepared for (seed, workers, batch, avg_freq) = {layout.key}, not {layout_key(p)}")
     own = layout is None
-    layout = layout or prepare_layout(df, p, id_col=id_col, features=features, label=label)
+    layout = layout or prepare_layout(df, p, id_col=id_col, features=features, label=label, width=model.n_in)
     spark, hist = df.sparkSession, []
     # training rows are evaluated from the layout (no recomputation of df's lineage); validation
     # rows are kept for the run as well
     train_eval = layout.table.select(features, label)
     valid_eval = valid.select(features, label).persist(StorageLevel.MEMORY_AND_DISK) if valid is not None else None
     held, block = None, None
-    together = p.workers * _message_bytes(model, state) <= BARRIER_BYTES and barrier_slots(spark) >= p.workers
+    slots = barrier_slots(spark) >= p.workers
+    together = p.workers * _message_bytes(model, state) <= BARRIER_BYTES and (slots or turn_seconds(model, p) <= TURN_SECONDS)
     names = {"id_col": id_col, "features": features, "label": label}
     end, epoch = start_epoch + p.epochs, start_epoch - 1
     try:
@@ -680,10 +726,10 @@ def fit(df: DataFrame, model: Model, p: FitParams, *, id_col: str = "id", featur
                 # a single block goes on until the next evaluation or snapshot
                 stops = [p.eval_interval] + [snapshot_every] * bool(snapshot_path)
                 span = 1 if layout.blocks > 1 else min(EPOCHS_PER_JOB, end - epoch - 1, *(n - done % n for n in stops))
+                run = run_block if slots else run_turns
                 for b in range(layout.blocks):
-                    rounds = range(b * layout.per_block, min(layout.rounds, (b + 1) * layout.per_block))
-                    model, state, steps, _ = run_block(layout.dealt(b, p.workers), model, state, p, it, range(epoch + 1, epoch + 1 + span),
-                                                       rounds, step0=steps_done, **names)
+                    model, state, steps, _ = run(layout, b, model, state, p, it, range(epoch + 1, epoch + 1 + span),
+                                                 step0=steps_done, **names)
                     it, steps_done = it + steps, steps_done + steps
                 epoch += span
             else:
@@ -718,3 +764,11 @@ def fit(df: DataFrame, model: Model, p: FitParams, *, id_col: str = "id", featur
         if valid_eval is not None:
             valid_eval.unpersist()
     return FitResult(model, state, it, pd.DataFrame(hist, columns=HISTORY_SCHEMA.fieldNames()), steps_done)
+
+
+def fit_all(spark, fits: list[Callable[[], FitResult]]) -> list[FitResult]:
+    """The results of fits that don't depend on each other (a sweep), run side by side: each goes on
+    round by round, so their jobs together use more of the cluster."""
+    ship_package(spark)
+    with ThreadPool(len(fits)) as pool:
+        return pool.map(lambda run: run(), [inheritable_thread_target(spark)(f) for f in fits])

@@ -460,3 +460,47 @@ def test_a_resumed_run_leaves_one_history_row_for_each_key(spark, emb):
     assert [g[:2] for g in got] == [w[:2] for w in want] == [(e, s) for e in range(3) for s in ("train", "valid")]
     assert np.allclose([g[2] for g in got], [w[2] for w in want], rtol=1e-9)
     assert spark.read.parquet(history).filter("_epoch = 1").count() == 2
+
+
+def test_rounds_of_little_work_wait_for_no_barrier(spark, emb, monkeypatch):
+    """In turn in one task, by barrier and by a job a round: the same bits, with a barrier only for long rounds."""
+    p = FitParams(epochs=2, workers=3, batch_size=16, avg_freq=3, rate=0.05, updater="adam", l2=0.01, eval_interval=2)
+    model = init_params(head("fc2", 64, 10, keep_prob=0.9), seed=1)
+    layout = TR.prepare_layout(emb, p, id_col="vec_id", features="embedding", rounds_per_block=2)
+    barriers, run = [], TR._run_rounds
+    monkeypatch.setattr(TR, "_run_rounds", lambda *a, **k: (barriers.append(a[7]), run(*a, **k))[1])
+    got = []
+    for turn_seconds, slots, barrier in ((1.0, 4, {False}), (1.0, 0, {False}), (-1.0, 4, {True}), (-1.0, 0, set())):
+        barriers.clear()
+        monkeypatch.setattr(TR, "TURN_SECONDS", turn_seconds)
+        monkeypatch.setattr(TR, "barrier_slots", lambda s, n=slots: n)
+        res = fit(emb, model, p, id_col="vec_id", features="embedding", layout=layout)
+        assert set(barriers) == barrier
+        got.append((res.iterations, TR.flatten(res.model, res.state).tobytes()))
+    layout.release()
+    assert got[0] == got[1] == got[2] == got[3]
+    wide = init_params(head("fc2", 4096, 1000), seed=1)
+    assert TR.turn_seconds(model, p) < 0.1 and TR.turn_seconds(wide, p.replace(batch_size=256, avg_freq=10)) > 1
+
+
+def test_narrow_rows_go_into_blocks_of_more_rounds(emb, monkeypatch):
+    monkeypatch.setattr(TR, "ROUNDS_PER_BLOCK", 2)
+    p = FitParams(workers=2, batch_size=5, avg_freq=2)
+    for width, per_block in ((None, 2), (64, 7), (4096, 2)):
+        monkeypatch.setattr(TR, "BLOCK_BYTES", 7 * 20 * 64 * 8)
+        layout = TR.prepare_layout(emb, p, id_col="vec_id", features="embedding", width=width)
+        assert layout.per_block == per_block and layout.rounds == 25
+        assert [r for b in range(layout.blocks) for r in layout.rounds_of(b)] == list(range(25))
+        assert sum(layout.read(b).count() for b in range(layout.blocks)) == 500
+        layout.release()
+
+
+def test_a_sweep_gives_what_each_fit_gives(spark, emb):
+    p = FitParams(epochs=1, workers=2, batch_size=50, avg_freq=2, rate=0.01, eval_interval=1)
+    layout = TR.prepare_layout(emb, p, id_col="vec_id", features="embedding", width=64)
+    runs = [lambda u=u: fit(emb, _zero_model(), p.replace(updater=u), id_col="vec_id", features="embedding", layout=layout,
+                            valid=emb.filter("vec_id < 50")) for u in ("sgd", "adam")]
+    for a, b in zip(TR.fit_all(spark, runs), [run() for run in runs]):
+        assert TR.flatten(a.model, a.state).tobytes() == TR.flatten(b.model, b.state).tobytes()
+        assert np.allclose(a.history.loss, b.history.loss, rtol=1e-12) and len(a.history) == 2
+    layout.release()

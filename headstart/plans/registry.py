@@ -20,7 +20,7 @@ from ..operators import ordering as O
 from ..operators.schedule import parse_schedule, parse_schedules, rate_asof, schedule_frame
 from ..operators.scoring import predict, score
 from ..operators.stats import batchnorm_from_moments, feature_moments, moments_long
-from ..operators.training import (HISTORY_SCHEMA, UPDATERS, FitParams, evaluate_splits, fit, full_batch_round, init_state,
+from ..operators.training import (HISTORY_SCHEMA, UPDATERS, FitParams, evaluate_splits, fit, fit_all, full_batch_round, init_state,
                                   l2_penalty, prepare_layout, read_history)
 from ..session import remove_path, scratch_path
 from ..sources.features import read_features, read_split_folders, write_features, write_split_folders
@@ -426,11 +426,11 @@ def q_fit_updaters(spark, sf_dir):
     train, valid = _train_valid(spark, sf_dir)
     frames = []
     base = FitParams(epochs=1, workers=4, batch_size=16, avg_freq=2, rate=0.01, eval_interval=1, seed=FX.SEED)
-    layout = prepare_layout(train, base, id_col="vec_id", features="embedding")  # shared by the sweep
-    for u in UPDATERS:
-        model = init_params(head("predictions", FX.WIDTH, FX.N_CLASSES), seed=FX.SEED)
-        res = fit(train, model, base.replace(updater=u), id_col="vec_id", features="embedding", valid=valid,
-                  layout=layout)
+    layout = prepare_layout(train, base, id_col="vec_id", features="embedding", width=FX.WIDTH)  # shared by the sweep
+    model = init_params(head("predictions", FX.WIDTH, FX.N_CLASSES), seed=FX.SEED)
+    found = fit_all(spark, [lambda u=u: fit(train, model, base.replace(updater=u), id_col="vec_id", features="embedding", valid=valid,
+                                            layout=layout) for u in UPDATERS])
+    for u, res in zip(UPDATERS, found):
         frames.append(_history_row(res.history_df(spark)).withColumn("updater", F.lit(u)))
     layout.release()
     out = frames[0]
@@ -462,9 +462,10 @@ MINIBATCH = FitParams(epochs=1, workers=4, batch_size=16, avg_freq=2, rate=0.01,
 def q_fit_minibatch(spark, sf_dir):
     """An epoch of mini-batch rounds over the whole table with every updater: the averaged weights."""
     df, out = _emb(spark, sf_dir), None
-    layout = prepare_layout(df, MINIBATCH, id_col="vec_id", features="embedding")
-    for u in UPDATERS:
-        res = fit(df, _zeros(), MINIBATCH.replace(updater=u, eval_interval=2), id_col="vec_id", features="embedding", layout=layout)
+    layout = prepare_layout(df, MINIBATCH, id_col="vec_id", features="embedding", width=FX.WIDTH)
+    found = fit_all(spark, [lambda u=u: fit(df, _zeros(), MINIBATCH.replace(updater=u, eval_interval=2), id_col="vec_id", features="embedding",
+                                            layout=layout) for u in UPDATERS])
+    for u, res in zip(UPDATERS, found):
         part = _model_long(spark, res.model).withColumn("updater", F.lit(u))
         out = part if out is None else out.unionByName(part)
     layout.release()

@@ -7,12 +7,15 @@ touches A-Z only (what ``bytes.lower()`` does). Scratch tables are Parquet below
 
 from __future__ import annotations
 
+import ctypes
 import gc
 import time
 import uuid
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Hashable, Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -35,7 +38,48 @@ def map_arrow(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[p
               schema: str) -> DataFrame:
     """``mapInArrow`` with the package available to the workers."""
     ship_package(df.sparkSession)
-    return df.mapInArrow(fn, schema)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget_unused()
+        yield from fn(batches)
+
+    return df.mapInArrow(run, schema)
+
+
+_kept: dict[Hashable, object] = {}
+_asked: set[Hashable] = set()
+
+
+def kept(key: Hashable, make: Callable[[], object]):
+    """What ``make`` gives, kept in this worker for as long as its tasks ask for it."""
+    if key not in _kept:
+        _kept[key] = make()
+    _asked.add(key)
+    return _kept[key]
+
+
+def forget_unused() -> None:
+    """Before a task: what the worker's last task didn't ask for goes, and free memory returns to the
+    system. A worker serves the stages of a job in turn; one stage's vocabulary and caches mustn't add
+    up with those of the next."""
+    if unused := _kept.keys() - _asked:
+        for key in unused:
+            del _kept[key]
+        gc.collect()
+    _asked.clear()
+    pa.default_memory_pool().release_unused()
+    if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):  # glibc alone keeps what was freed
+        trim(0)
+
+
+def text_slices(batch: pa.RecordBatch, slice_bytes: int = 1 << 20) -> Iterator[pa.RecordBatch]:
+    """Slices of ``batch`` of about ``slice_bytes`` of ``text``, at least a row each."""
+    total = np.cumsum(pc.fill_null(pc.binary_length(batch.column("text")), 0).to_numpy(zero_copy_only=False))
+    lo = 0
+    while lo < batch.num_rows:
+        hi = max(lo + 1, int(np.searchsorted(total, (total[lo - 1] if lo else 0) + slice_bytes)))
+        yield batch.slice(lo, hi - lo)
+        lo = hi
 
 
 def stage(df: DataFrame, name: str) -> DataFrame:

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import drop_stage, map_arrow, stage
+from .common import drop_stage, map_arrow, stage, text_slices
 
 UND = "und"
 DIMS = 1 << 14
@@ -134,7 +134,7 @@ def train(docs: DataFrame, keep: Column | None = None, sample_per_lang: int = SA
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         df, n = np.zeros(DIMS, np.int64), 0
-        for b in batches:
+        for b in (part for batch in batches for part in text_slices(batch)):
             rows: list[list] = [[], [], [], []]
             for text, lang, u in zip(*(b.column(c).to_pylist() for c in ("text", "lang", "draw"))):
                 if not has_letter(text):
@@ -183,7 +183,7 @@ def predict(docs: DataFrame, model: Model, pred: str = "lang_pred", score: str =
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shared.value
-        for b in batches:
+        for b in (part for batch in batches for part in text_slices(batch)):
             got = [m.predict(t) for t in b.column("text").to_pylist()]
             yield (b.append_column(pred, pa.array([g[0] for g in got], pa.string()))
                    .append_column(score, pa.array([g[1] for g in got], pa.float64())))

@@ -44,7 +44,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .ann import whole_groups
-from .common import drop_stage, map_arrow, shuffle_partitions, stage
+from .common import drop_stage, kept, map_arrow, shuffle_partitions, stage
 
 SHINGLE = 5
 COMPONENTS = 96
@@ -80,12 +80,9 @@ class _Words(dict):
         return h
 
 
-_words = _Words()
-
-
 def word_hashes(text: str | None) -> np.ndarray:
     words = text.encode("utf-8", "replace").lower().split() if text else []
-    return np.fromiter(map(_words.__getitem__, words), np.uint64, len(words))
+    return np.fromiter(map(kept("word hashes", _Words).__getitem__, words), np.uint64, len(words))
 
 
 def shingles(text: str | None) -> np.ndarray:
@@ -126,24 +123,31 @@ def _saturated(counts: np.ndarray, most: int) -> np.ndarray:
     return np.minimum(counts, most)
 
 
+def _add_saturated(total: np.ndarray, slots: np.ndarray) -> None:
+    """Add one to ``total`` (bytes, at most 255 each) for each of the sorted ``slots``."""
+    first = np.flatnonzero(np.append(True, slots[1:] != slots[:-1]))
+    once = slots[first]
+    total[once] = _saturated(total[once] + np.diff(first, append=len(slots)), 255)
+
+
 def shingle_counts(docs: DataFrame) -> np.ndarray:
     """How many documents' shingles fall into each of ``2^SLOT_BITS`` slots of their hashes, over all
     documents (at most 65,535 each; 32 MB whatever the corpus)."""
     pieces = 1 << (SLOT_BITS - PIECE_BITS)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(1 << SLOT_BITS, np.uint32)
+        total = np.zeros(1 << SLOT_BITS, np.uint8)
         for b in batches:
             for t in b.column("text"):
                 if len(s := shingles(t.as_py())):
-                    np.add.at(total, s >> np.uint64(64 - SLOT_BITS), 1)
+                    _add_saturated(total, s >> np.uint64(64 - SLOT_BITS))
         task = TaskContext.get().partitionId()
-        used = np.flatnonzero(total)
-        n = _saturated(total[used], 255).astype(np.uint8)
-        cuts = np.searchsorted(used, np.arange(pieces + 1) << PIECE_BITS)
-        slots = (used & ((1 << PIECE_BITS) - 1)).astype("<u2")
         for lo in range(0, pieces, 256):
-            rows = [(p, slots[cuts[p]:cuts[p + 1]].tobytes(), n[cuts[p]:cuts[p + 1]].tobytes()) for p in range(lo, min(pieces, lo + 256)) if cuts[p] < cuts[p + 1]]
+            rows = []
+            for p in range(lo, min(pieces, lo + 256)):
+                piece = total[p << PIECE_BITS:(p + 1) << PIECE_BITS]
+                if len(slots := np.flatnonzero(piece)):
+                    rows.append((p, slots.astype("<u2").tobytes(), piece[slots].tobytes()))
             yield pa.record_batch({"piece": pa.array([r[0] for r in rows], pa.int32()), "part": pa.array([task // 64] * len(rows), pa.int32()),
                                    "slots": pa.array([r[1] for r in rows], pa.binary()), "n": pa.array([r[2] for r in rows], pa.binary())})
 

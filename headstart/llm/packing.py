@@ -35,6 +35,8 @@ CAPACITY = 2048
 END_ID = 0
 #: Pieces of one length that a rank window holds at most, about; a more frequent length has several.
 RANK_ROWS = 500
+#: Bytes of text that are encoded at once.
+SLICE_BYTES = 4 << 20
 
 
 class _Bins:
@@ -137,7 +139,7 @@ def pieces(docs: DataFrame, vocab: str, capacity: int = CAPACITY, end_id: int =
     """``doc_id, piece, start, length, ids_crc32`` of every piece of every document."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b, texts in (x for batch in batches for x in encoded(batch, vocab, end_id)):
+        for b, texts in (x for batch in batches for x in encoded(batch, vocab, end_id, SLICE_BYTES)):
             row, out = [], [[], [], [], []]
             for r, ids in enumerate(texts):
                 n = len(ids) // 4

@@ -24,7 +24,7 @@ from math import log2
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from .common import map_arrow
+from .common import map_arrow, text_slices
 
 KINDS = ("assign", "access", "hex", "entropy")
 _ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""",
@@ -140,7 +140,7 @@ def scan_secrets(docs: DataFrame) -> DataFrame:
     """``doc_id``, the count of each base kind, ``base_sha256`` and ``spans`` of every document."""
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in (part for batch in batches for part in text_slices(batch)):
             rows = {k: [] for k in ("n_assign", "n_access", "n_hex", "base_sha256", "spans")}
             for text in b.column("text").to_pylist():
                 base, spans = find_secrets(text)
@@ -159,7 +159,7 @@ def redact_secrets(docs: DataFrame) -> DataFrame:
     """``docs`` with every secret in ``text`` replaced; a present ``n_chars`` follows the text."""
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in (part for batch in batches for part in text_slices(batch)):
             texts = [redact(t, find_secrets(t)[1]) for t in b.column("text").to_pylist()]
             b = b.set_column(b.schema.get_field_index("text"), "text", pa.array(texts, pa.string()))
             if (i := b.schema.get_field_index("n_chars")) >= 0:

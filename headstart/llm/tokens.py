@@ -23,6 +23,8 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
+from .common import kept, text_slices
+
 #: Pieces in the young half of the cache; when full it becomes the old half.
 CACHE_PIECES = 80_000
 _BETWEEN = re.compile(r"(?<=\S) (?=\S)")
@@ -185,23 +187,13 @@ class Encoder:
 def encoded(batch: pa.RecordBatch, path: str, end_id: int, slice_bytes: int = 8 << 20) -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
     """Slices of ``batch`` of about ``slice_bytes`` of text, each with the ids of its texts."""
     enc = encoder(path)
-    total = np.cumsum(pc.fill_null(pc.binary_length(batch.column("text")), 0).to_numpy(zero_copy_only=False))
-    lo = 0
-    while lo < batch.num_rows:
-        hi = max(lo + 1, int(np.searchsorted(total, (total[lo - 1] if lo else 0) + slice_bytes)))
-        part = batch.slice(lo, hi - lo)
+    for part in text_slices(batch, slice_bytes):
         yield part, enc.encode_all(part.column("text"), end_id)
-        lo = hi
-
-
-_ENCODERS: dict[str, Encoder] = {}
 
 
 def encoder(path: str) -> Encoder:
     """The worker's encoder of this vocabulary file."""
-    if path not in _ENCODERS:
-        _ENCODERS[path] = Encoder(path)
-    return _ENCODERS[path]
+    return kept(("encoder", path), lambda: Encoder(path))
 
 
 def vocabulary(name: str) -> str:

@@ -1,12 +1,15 @@
 """The pipeline's stages against brute force, and the pipeline against its stages."""
+import tracemalloc
 from collections import Counter
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as E
 import corpus_pipeline as P
-from headstart.llm import langid, secret_scan
+from headstart.llm import common, langid, near_dedup, packing, secret_scan, tokens
 
 from ..conftest import SF001
 from .conftest import TEXTS
@@ -104,3 +107,57 @@ def test_registered_queries_have_the_contract_columns(spark, name):
     n = spark.read.parquet(f"{SF001}/documents.parquet").count()
     if name[2] in "134789" and "_ids" not in name:
         assert df.select("doc_id").distinct().count() == n
+
+
+def test_a_worker_forgets_what_its_last_task_did_not_use(spark, monkeypatch):
+    monkeypatch.setattr(common, "_kept", {})
+    monkeypatch.setattr(common, "_asked", set())
+    vocab = tokens.vocabulary("byte_bpe_50k.json")
+    first = tokens.encoder(vocab)
+    common.forget_unused()
+    assert tokens.encoder(vocab) is first  # a task after a task that used it
+    common.forget_unused()
+    near_dedup.shingles("a stage that needs no tokens at all")
+    common.forget_unused()
+    assert list(common._kept) == ["word hashes"]
+    assert tokens.encoder(vocab) is not first
+
+    # the same in Spark: tasks of packing, then tasks of another stage, in the same workers
+    docs = spark.createDataFrame([(i, f"some words of text {i}") for i in range(8)], "doc_id long, text string").repartition(1)
+
+    def kept(batches):
+        for b in batches:
+            yield pa.record_batch({"key": [str(k) for k in common._kept]})
+
+    assert packing.pieces(docs, vocab).count() == 8
+    for _ in range(2):
+        got = common.map_arrow(docs.select("text"), kept, "key string").collect()
+    assert not [r for r in got if "encoder" in r.key]
+
+
+def test_batches_are_worked_on_in_slices(monkeypatch):
+    text = pa.array(["x" * 1000, None, "", "y" * 5000, "z", "w" * 900])
+    parts = list(common.text_slices(pa.record_batch({"n": list(range(6)), "text": text}), 1000))
+    assert [p["n"].to_pylist() for p in parts] == [[0], [1, 2], [3], [4, 5]]
+    assert list(common.text_slices(pa.record_batch({"text": text[:0]}))) == []
+
+    # redacting a batch of 20 MB holds one slice of Python strings beside it, not all of them
+    run = []
+    monkeypatch.setattr(secret_scan, "map_arrow", lambda df, fn, schema: run.append(fn))
+    secret_scan.redact_secrets(type("Docs", (), {"schema": None}))
+    batch = pa.record_batch({"text": ["some plain words " * 120] * 10_000})
+    tracemalloc.start()
+    n = sum(b.num_rows for b in run[0](iter([batch])))
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert n == 10_000 and most < 8e6
+
+
+def test_slots_saturate():
+    rng = np.random.default_rng(0)
+    total, want = np.zeros(64, np.uint8), np.zeros(64, np.int64)
+    for _ in range(40):
+        slots = np.sort(rng.integers(0, 64, 500).astype(np.uint64) // np.uint64(3))
+        near_dedup._add_saturated(total, slots)
+        np.add.at(want, slots, 1)
+    assert want.max() > 255 and (total == np.minimum(want, 255)).all()

@@ -1,7 +1,8 @@
 """The training-data pipeline: five stages over ``documents``, each by one operator.
 
 Every stage takes ``(spark, docs, sf_dir)`` and returns a DataFrame; ``run`` writes each
-result as Parquet below ``spark.checkpoint.dir`` and hands it to the next stage.
+result as Parquet below ``spark.checkpoint.dir`` and hands it to the next stage. The executors
+serve all stages one after another, so each stage hands its workers texts in small batches.
 """
 
 from __future__ import annotations
@@ -10,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from headstart.llm import langid, mixing, near_dedup, packing, secret_scan
-from headstart.llm.common import drop_stage, stage
+from headstart.llm.common import drop_stage, small_batches, stage
 
 #: A document whose best language has less calibrated probability than this is rejected.
 MIN_LANG_SCORE = 0.5
@@ -18,6 +19,7 @@ MIN_LANG_SCORE = 0.5
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in a language that the classifier recognises; the rest go."""
+    small_batches(spark)
     pred, score = "_lang_pred", "_lang_score"
     marked = langid.predict(docs, langid.train(docs), pred, score)
     return marked.filter((F.col(pred) != langid.UND) & (F.col(score) >= MIN_LANG_SCORE)).drop(pred, score)
@@ -25,11 +27,13 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates: the one with the smallest id."""
+    small_batches(spark)
     return near_dedup.keep_one(docs)
 
 
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document, with the secrets in its text replaced."""
+    small_batches(spark)
     return secret_scan.redact_secrets(docs)
 
 

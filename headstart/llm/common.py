@@ -22,6 +22,8 @@ from pyspark.sql import functions as F
 from ..session import remove_path, scratch_path, ship_package
 
 WORD_CLASS = r"[^ \t-\r]+"
+#: Bytes of rows that Spark hands a worker at once, about, where a step asks for small batches.
+BATCH_BYTES = 2 << 20
 
 
 def n_words(text: Column) -> Column:
@@ -46,6 +48,16 @@ def map_arrow(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[p
     return df.mapInArrow(run, schema)
 
 
+def small_batches(spark: SparkSession) -> None:
+    """From now on the session hands its workers batches of ``BATCH_BYTES``, not of 10,000 rows.
+
+    Worker and executor hold a batch whole, the executor outside its heap and, while it grows, several
+    times over; 10,000 texts are 35 MB and more. Rows don't depend on it. Spark has no such setting for
+    one query alone and reads it when a query runs, so it stays for the session.
+    """
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+
+
 _kept: dict[Hashable, object] = {}
 _asked: set[Hashable] = set()
 

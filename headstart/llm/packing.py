@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import map_arrow, stage
+from .common import map_arrow, small_batches, stage
 from .tokens import encoded, vocabulary
 
 CAPACITY = 2048
@@ -153,6 +153,7 @@ def pieces(docs: DataFrame, vocab: str, capacity: int = CAPACITY, end_id: int =
                                    "piece": pa.array(out[0], pa.int32()), "start": pa.array(out[1], pa.int64()),
                                    "length": pa.array(out[2], pa.int64()), "ids_crc32": pa.array(out[3], pa.int64())})
 
+    small_batches(docs.sparkSession)
     return map_arrow(docs.select("doc_id", "text"), cut,
                      f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, piece int, start long, length long, "
                      "ids_crc32 long")

@@ -161,3 +161,24 @@ def test_slots_saturate():
         near_dedup._add_saturated(total, slots)
         np.add.at(want, slots, 1)
     assert want.max() > 255 and (total == np.minimum(want, 255)).all()
+
+
+@pytest.mark.parametrize("name", ["language", "dedup", "secrets", "pack"])
+def test_stages_hand_texts_to_workers_in_small_batches(spark, name):
+    def sizes(batches):
+        for b in batches:
+            yield pa.record_batch({"rows": [b.num_rows], "size": [b.nbytes]})
+
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    was = spark.conf.get(key)
+    docs = spark.createDataFrame([(i, f"word{i} and some more plain words ", "en", "web", 0) for i in range(9)],
+                                 "doc_id long, text string, lang string, source string, n_chars long")
+    try:
+        spark.conf.set(key, str(256 << 20))
+        dict(P.STAGES)[name](spark, docs, SF001)
+        # 4,000 texts of 4,000 characters come to a worker a part at a time, with none lost
+        long = spark.range(0, 4000, 1, 1).select("id", F.repeat(F.lit("text"), 1000).alias("text"))
+        got = common.map_arrow(long, sizes, "rows long, size long").collect()
+    finally:
+        spark.conf.set(key, was)
+    assert sum(r["rows"] for r in got) == 4000 and max(r["size"] for r in got) < 3 << 20

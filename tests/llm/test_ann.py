@@ -118,3 +118,55 @@ def test_probes_are_the_exact_neighbours(spark):
     for r in got:
         assert [ids[t] for t in r.true] == list(np.argsort(-s[ids[r.query]])[:20])
     exact.unpersist()
+
+
+def _unit(n, dim, seed):
+    x = np.random.default_rng(seed).normal(size=(n, dim))
+    return [(i, [float(c) for c in np.float32(v / np.linalg.norm(v))]) for i, v in enumerate(x)]
+
+
+def test_rows_between_steps_follow_the_parts(spark, monkeypatch):
+    """Steps exchange rows for pairs of parts, not for nodes and members (81 a node and round before)."""
+    made, plain = spark.sparkContext.accumulator(0), ann.map_arrow
+
+    def counted(df, fn, schema):
+        def run(batches):
+            for b in fn(batches):
+                made.add(b.num_rows)
+                yield b
+        return plain(df, run, schema)
+
+    monkeypatch.setattr(ann, "map_arrow", counted)
+    vectors = _unit(4000, 16, 5)
+    ann.nearest(spark.createDataFrame(vectors, "vec_id long, embedding array<float>").repartition(4), F.col("vec_id") % 20 == 0).count()
+    assert made.value < 20 * len(vectors), made.value  # about 7 a node are vectors read, quantized and scored again
+
+
+def test_exact_where_comparing_all_costs_less(spark, monkeypatch):
+    """No beam is enough: a query is compared with every node, from lists that miss most neighbours."""
+    for name, value in (("ORDERS", 1), ("BLOCK", 64), ("DELTA", 2.0), ("RECALL", 2.0)):
+        monkeypatch.setattr(ann, name, value)
+    vectors = _unit(3000, 48, 6) + [(10_000 + i, [0.5] * 4) for i in range(30)]
+    assert _recall(spark.createDataFrame(vectors, "vec_id long, embedding array<float>").repartition(4), vectors) == 1
+
+
+def test_beam_widens_on_the_graph(spark, monkeypatch):
+    for name, value in (("ORDERS", 2), ("BLOCK", 64), ("DELTA", 2.0), ("BEAM", 24), ("RECALL", 0.99), ("SCANNED", 0)):
+        monkeypatch.setattr(ann, name, value)
+    vectors = _unit(2000, 48, 7)
+    assert _recall(spark.createDataFrame(vectors, "vec_id long, embedding array<float>").repartition(4), vectors) > 0.985
+
+
+def test_parts_of_a_few_nodes(spark, monkeypatch):
+    """Many parts and ranges give the lists that one part gives."""
+    x = np.random.default_rng(8).normal(size=(1500, 12))
+    base = spark.createDataFrame([(i * 7919 - 3, v) for i, v in enumerate(ann.quantized(x))], "node long, vec binary")
+    got = []
+    for part in (16384, 100):
+        monkeypatch.setattr(ann, "PART", part)
+        graph = ann.build_graph(base, 12)
+        lists = {r.node: set(np.frombuffer(r.ids, "<i8").tolist()) for r in graph.collect()}
+        assert all(len(v) == ann.DEGREE and k not in v for k, v in lists.items())
+        got.append((graph.parts, lists))
+    assert got[0][0] == 1 and got[1][0] == 15
+    assert np.mean([len(got[0][1][i] & v) / ann.DEGREE for i, v in got[1][1].items()]) > 0.98

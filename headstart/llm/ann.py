@@ -18,10 +18,11 @@ other rows of arrays: one for each pair of parts, not one for each node or pair
    at most the share ``DELTA`` of all list entries; larger tables take more rounds.
 3. Queries search greedily: a query expands its best ``EXPAND`` nodes not yet
    expanded (more with a wider beam): their lists come to the query, and it is scored where the ids that are
-   new to it live, until the best ``BEAM`` nodes it knows are all expanded. ``PROBES`` queries (by hash) go
-   ahead. They are compared with every node, in one pass, and their recall is measured.
-   While it is below ``RECALL``, the beam doubles and their search goes on from where
-   it stood, so the beam follows the size and the shape of the table; then all queries search with that beam. Twice the beam
+   new to it live, until the best ``BEAM`` nodes it knows are all expanded. Then the
+   recall is measured: ``PROBES`` queries (by hash) are compared with every node, in one pass.
+   While it is below ``RECALL``, the beam doubles and the search goes on from where
+   it stood, so the beam follows the size and the shape of the table. Where queries are many, the probes
+   search alone until the beam is found, then all queries do with that beam. Twice the beam
    is remembered; the best ``BEAM`` nodes are scored again on the original vectors in
    double precision and expanded into the ids of their copies. Where a wider beam would score so many nodes that
    comparing a query with every node costs less (``SCANNED``), queries are compared with every node, and keep
@@ -176,7 +177,7 @@ def _only(lists: DataFrame, *columns: str) -> DataFrame:
 
 
 class _Part:
-    """A part's nodes, sorted: their vectors, lists (padded with similarity -inf) and which entries are fresh."""
+    """A part's nodes, sorted: their vectors, lists (padded with their own id and similarity -inf) and which entries are fresh."""
 
     def __init__(self, mail: Mail):
         (self.arrays,) = [m for _, m in mail[_OWN]]
@@ -249,12 +250,17 @@ def _best(row: np.ndarray, ids: np.ndarray, sims: np.ndarray, held_ids: np.ndarr
     order = np.argsort(row.astype(np.int64) << 32 | _down(sims), kind="stable")
     place = _places(*_runs(row[order]))
     order, place = order[place < width], place[place < width]
-    room = int(place.max()) + 1 if len(place) else 0
-    all_ids = np.concatenate([held_ids, np.zeros((n, room), "<i8")], 1)
-    all_sims = np.concatenate([held, np.full((n, room), -np.inf, "<f4")], 1)
-    all_ids[row[order], width + place], all_sims[row[order], width + place] = ids[order], sims[order]
-    cols = np.argsort(-all_sims, 1, kind="stable")[:, :width]
-    return np.take_along_axis(all_ids, cols, 1), np.take_along_axis(all_sims, cols, 1), cols
+    out_ids, out_sims, out_cols = held_ids.copy(), held.copy(), np.tile(np.arange(width), (n, 1))
+    if len(place):
+        some, at = np.unique(row[order], return_inverse=True)
+        room = int(place.max()) + 1
+        all_ids = np.pad(held_ids[some], ((0, 0), (0, room)))
+        all_sims = np.pad(held[some], ((0, 0), (0, room)), constant_values=-np.inf)
+        all_ids[at, width + place], all_sims[at, width + place] = ids[order], sims[order]
+        cols = np.argsort(-all_sims, 1, kind="stable")[:, :width]
+        out_ids[some], out_sims[some] = np.take_along_axis(all_ids, cols, 1), np.take_along_axis(all_sims, cols, 1)
+        out_cols[some] = cols
+    return out_ids, out_sims, out_cols
 
 
 def _dealt(base: DataFrame, parts: int, degree: int) -> DataFrame:
@@ -272,7 +278,7 @@ def _dealt(base: DataFrame, parts: int, degree: int) -> DataFrame:
         node, one = np.unique(node, return_index=True)
         shape = (len(node), degree)
         yield _row(part, _OWN, part, node, vec.reshape(-1, len(vec) // sum(len(m[0]) // 8 for _, m in mail[_SENT]))[one],
-                   np.zeros(shape, "<i8"), np.full(shape, -np.inf, "<f4"), np.zeros(shape, bool))
+                   np.broadcast_to(node[:, None], shape), np.full(shape, -np.inf, "<f4"), np.zeros(shape, bool))
 
     return _at_parts(_delivered(parts, map_arrow(base.select("node", "vec"), deal, _MAIL)), own)
 
@@ -447,22 +453,39 @@ def _compared_members(x: np.ndarray, scale: np.ndarray, least: np.ndarray, membe
     members of the node in the round before have heard of each other."""
     out = [[np.empty(0, np.int64)], [np.empty(0, np.int64)], [np.empty(0, np.float32)]]
     m = members.shape[1]
+    order = np.argsort(~new, 1, kind="stable")  # fresh ones first, nodes with many first
+    members, count = np.take_along_axis(members, order, 1), np.count_nonzero(new, 1)
+    order = np.argsort(-count, kind="stable")
+    members, count = members[order], count[order]
     for lo in range(0, len(members), 64):
-        at, f = members[lo:lo + 64], new[lo:lo + 64]
-        v, k = x[at].astype(np.float32), scale[at]
-        s = np.matmul(v, v.transpose(0, 2, 1))
-        s *= k[:, :, None] * k[:, None, :]
-        hit = s > least[at][:, :, None]
-        hit &= f[:, :, None] | f[:, None, :]
-        hit[:, np.arange(m), np.arange(m)] = False
+        at, k = members[lo:lo + 64], scale[members[lo:lo + 64]]
+        v, most = x[at].astype(np.float32), int(count[lo])
+        f = np.arange(m) < count[lo:lo + 64, None]
+        if most <= told:  # so few that nobody hears of more than ``told`` fresh ones
+            s = np.matmul(v[:, :most], v.transpose(0, 2, 1))
+            s *= k[:, :most, None] * k[:, None, :]
+            hit = (s > least[at][:, None, :]) & (f[:, :most, None] & ~f[:, None, :])  # the others hear of fresh ones
+            flat = np.flatnonzero(hit)
+            row, other = np.divmod(flat, m)
+            out[0].append(at[row // most, other])
+            out[1].append(at[row // most, row % most])
+            out[2].append(s.ravel()[flat])
+            hit = (s > least[at][:, :most, None]) & f[:, :most, None]  # fresh ones of all
+        else:
+            s = np.matmul(v, v.transpose(0, 2, 1))
+            s *= k[:, :, None] * k[:, None, :]
+            hit = s > least[at][:, :, None]
+            hit &= f[:, :, None] | f[:, None, :]
+        rows = np.arange(s.shape[1])
+        hit[:, rows, rows] = False
         many = np.nonzero(np.count_nonzero(hit, 2) > told)
         if len(many[0]):
             values = np.where(hit[many], s[many], -np.inf)
             hit[many] &= values >= -np.partition(-values, told - 1, axis=1)[:, told - 1, None]
         flat = np.flatnonzero(hit)
         row, other = np.divmod(flat, m)
-        out[0].append(at.ravel()[row])
-        out[1].append(at[row // m, other])
+        out[0].append(at[row // len(rows), row % len(rows)])
+        out[1].append(at[row // len(rows), other])
         out[2].append(s.ravel()[flat])
     member, other, sims = map(np.concatenate, out)
     key = member * len(x) + other
@@ -604,8 +627,7 @@ def _expanded(ahead: DataFrame, lists: DataFrame, parts: int) -> DataFrame:
         own = _Part(mail)
         for src, (query, node, *_) in mail.get(_OPENED, []):
             at = np.searchsorted(own.node, np.frombuffer(node, "<i8"))
-            listed = own.sims[at] > -np.inf
-            yield _row(src, _LISTED, part, np.repeat(np.frombuffer(query, "<u4"), listed.sum(1)), own.ids[at][listed])
+            yield _row(src, _LISTED, part, np.repeat(np.frombuffer(query, "<u4"), own.ids.shape[1]), own.ids[at])
 
     def new_ones(part: int, mail: Mail) -> Iterator[tuple]:
         if _QUERIES not in mail:
@@ -657,7 +679,7 @@ def _expanded(ahead: DataFrame, lists: DataFrame, parts: int) -> DataFrame:
         yield own.row(part)
 
     beams = ahead.filter(F.col("kind") == _QUERIES)
-    listed = _at_parts(_delivered(parts, _only(lists, "a", "c", "d"), ahead.filter(F.col("kind") == _OPENED)), lists_of)
+    listed = _at_parts(_delivered(parts, _only(lists, "a", "c"), ahead.filter(F.col("kind") == _OPENED)), lists_of)
     asked = _at_parts(_delivered(parts, beams, listed), new_ones)
     scored = _at_parts(_delivered(parts, _only(lists, "a", "b"), asked), scores)
     return _at_parts(_delivered(parts, beams, scored), improved)
@@ -720,6 +742,7 @@ def _recall(found: DataFrame, truth: DataFrame) -> float:
 
 def _settled(beams: DataFrame, lists: DataFrame, parts: int, width: int, freed: bool) -> DataFrame:
     """``beams`` (which go) after the greedy search: the best ``width`` nodes of each are expanded."""
+    hops = 0
     while True:  # ends: a node is expanded once while a query holds it, and only better ones enter its beam
         ahead = stage(_frontier(beams, width, max(1, EXPAND * width // BEAM), parts), "ann-ahead")
         drop_stage(beams)
@@ -727,7 +750,8 @@ def _settled(beams: DataFrame, lists: DataFrame, parts: int, width: int, freed:
             return ahead
         beams = stage(_expanded(ahead, lists, parts), "ann-beam")
         drop_stage(ahead)
-        if freed:
+        hops += 1
+        if freed and hops % 4 == 0:
             free_shuffles(lists.sparkSession)
 
 
@@ -794,22 +818,28 @@ def search(graph: DataFrame, asked: DataFrame, truth: DataFrame, k: int) -> Data
     """``query, vec, ids, sims, expanded``: what every node of ``asked`` knows after the greedy
     search. A scratch table.
 
-    The probes of ``truth`` go ahead and find the width of the beam. Where the graph would score so many nodes
+    Where queries are many, the probes of ``truth`` go ahead and find the width of the beam. Where the graph would score so many nodes
     that comparing a query with all of them costs less, it is compared with all.
     """
     lists, parts = graph.lists, graph.parts
     size = lists.agg(F.sum(F.length("a") / 8)).first()[0] or 0
     freed = size > 4 * PART
+    ahead = asked.count() > 25 * PROBES  # fewer queries all search at once
     width = BEAM
-    beams = _settled(stage(_asked(lists, truth.select(F.col("query").alias("node")), parts), "ann-beam"), lists, parts, width, freed)
+    first = truth.select(F.col("query").alias("node")) if ahead else asked
+    beams = _settled(stage(_asked(lists, first, parts), "ann-beam"), lists, parts, width, freed)
     while (share := _recall(_beam_rows(beams), truth)) < RECALL and width < size:
         width *= 2
         if width * DEGREE * SCANNED > size:
             break
         beams = _settled(beams, lists, parts, width, freed)
-    drop_stage(beams)
-    beams = stage(_asked(lists, asked, parts), "ann-beam")
-    beams = _settled(beams, lists, parts, width, freed) if share >= RECALL else _compared(beams, lists, parts, k)
+    if ahead:
+        drop_stage(beams)
+        beams = stage(_asked(lists, asked, parts), "ann-beam")
+        if share >= RECALL:
+            beams = _settled(beams, lists, parts, width, freed)
+    if share < RECALL:
+        beams = _compared(beams, lists, parts, k)
     found = stage(_beam_rows(beams), "ann-found")
     drop_stage(beams)
     return found
